@@ -3,20 +3,18 @@ statistics, quality checks and a sample (six report DataFrames).
 
 Plan shape (for a table with C columns and N rows)
 -------------------------------------------------
-* Per-column counts, type flags, mean, std, min and max: ONE aggregation
-  over the wide table (no Expand), partial aggregation in every task.
-* Distinct counts and the most frequent value: the table is unpivoted to
-  (column, value) -- an Expand of N x C rows -- and grouped by (column,
-  value) with partial aggregation, then by column with algebraic
-  aggregates only. A hot value is pre-counted per task; no group is ever
-  collected.
-* Exact quartiles (pandas' linear interpolation): two passes.
-  1. ``percentile_approx`` (a bounded sketch per column) at q +/- 2/accuracy
-     brackets the exact value at rank q*(n-1) in a value window [lo, hi].
-  2. Rows below lo are counted; only the distinct values inside the window
-     are ranked with a window function. The window holds at most about
-     4n/accuracy distinct values, so no task ever sorts a whole column.
-  ``method="approx"`` skips pass 2.
+* One value histogram: the table is unpivoted to (column, value) -- an
+  Expand of N x C cells -- and counted per (column, value) with partial
+  aggregation in every task. Counts, missing values, type flags, distinct
+  values, the most frequent value, min/max and the (two-pass, stable) mean
+  and standard deviation all derive from the histogram, so per-value work
+  runs once per distinct value. A value holding a third of all cells is
+  one counter; no group is ever collected.
+* Exact quartiles (pandas' linear interpolation): a bounded
+  ``percentile_approx`` sketch brackets each target rank in a value window;
+  windows with more than ``max_window`` distinct values are narrowed by
+  further sketches; a last pass ranks only the values inside the windows.
+  No task sorts a whole column. ``method="approx"`` stops at the sketch.
 * Duplicate rows: group by all columns with partial aggregation.
 
 Types follow pandas' CSV inference: NA words are NULL; a column whose every
@@ -26,6 +24,7 @@ integers and none is missing, else 'float64'), otherwise 'object'.
 
 from __future__ import annotations
 
+import math
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -42,7 +41,11 @@ NA_WORDS = [
 # Quartiles of the summary statistics.
 QUARTILES = [0.25, 0.5, 0.75]
 INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
-DEFAULT_ACCURACY = 1_000_000
+DEFAULT_ACCURACY = 10_000
+# Most distinct values one task ranks exactly in the last quantile pass.
+DEFAULT_MAX_WINDOW = 1_000_000
+# Grid of relative ranks used to narrow a quantile window.
+REFINE_GRID = 1000
 
 
 def null_na_words(df: DataFrame) -> DataFrame:
@@ -57,145 +60,208 @@ def null_na_words(df: DataFrame) -> DataFrame:
     )
 
 
-def _idx(df: DataFrame) -> list[tuple[int, str]]:
-    return list(enumerate(df.columns))
+def _long(df: DataFrame) -> DataFrame:
+    """Unpivot to (position, column_name, s): an Expand of rows x columns."""
+    pairs = [
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.col(c).alias("s"))
+        for i, c in enumerate(df.columns)
+    ]
+    return df.select(F.inline(F.array(*pairs)))
 
 
-def column_stats(raw: DataFrame) -> DataFrame:
-    """One row per column: position, name, type and the numeric moments,
-    from a single aggregation over the wide table."""
-    df = null_na_words(raw)
-    aggs = []
-    for i, c in _idx(df):
-        s = F.col(c)
-        v = s.try_cast("double")
-        aggs += [
-            F.count(s).alias(f"n{i}"),
-            F.count_if(s.isNull()).alias(f"m{i}"),
-            F.count_if(s.isNotNull() & v.isNull()).alias(f"bad{i}"),
-            F.count_if(s.isNotNull() & ~s.rlike(INT_PATTERN)).alias(f"nonint{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.stddev_samp(v).alias(f"std{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.max(v).alias(f"max{i}"),
-        ]
-    aggs.append(F.count(F.lit(1)).alias("rows"))
-    wide = df.agg(*aggs)
-    per_col = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column_name"),
-            F.col(f"n{i}").alias("count"),
-            F.col(f"m{i}").alias("missing_count"),
-            F.col(f"bad{i}").alias("bad"),
-            F.col(f"nonint{i}").alias("nonint"),
-            F.col(f"mean{i}").alias("mean"),
-            F.col(f"std{i}").alias("std"),
-            F.col(f"min{i}").alias("min"),
-            F.col(f"max{i}").alias("max"),
-        )
-        for i, c in _idx(df)
-    ]
-    out = wide.select("rows", F.inline(F.array(*per_col)))
+def value_histogram(raw: DataFrame) -> DataFrame:
+    """(position, column_name, s, cnt): count of every distinct text value
+    per column, NULL (missing) included as its own value.
+
+    The only pass over the data: the unpivot is followed by a hash
+    aggregation with partial aggregation in every task, so the shuffle
+    carries at most one row per (column, value) per task, and a value that
+    holds a third of all cells is just one counter.
+    """
+    return _long(null_na_words(raw)).groupBy("position", "column_name", "s").agg(
+        F.count(F.lit(1)).alias("cnt")
+    )
+
+
+def _typed_hist(hist: DataFrame) -> DataFrame:
+    return hist.withColumn("v", F.col("s").try_cast("double")).withColumn(
+        "v", F.when(~F.isnan("v"), F.col("v"))
+    )
+
+
+def column_stats(raw: DataFrame, hist: Optional[DataFrame] = None) -> DataFrame:
+    """One row per column: position, name, pandas-like type, counts,
+    distinct values, most frequent value and the numeric moments.
+
+    Everything is derived from the value histogram, so per-value work
+    (casts, the integer pattern) runs once per distinct value, not per
+    cell. Mean and sample standard deviation use the two-pass formula over
+    the histogram (numerically stable).
+    """
+    h = _typed_hist(hist if hist is not None else value_histogram(raw))
+    present = F.col("s").isNotNull()
+    cnt = F.col("cnt")
+    zero = F.lit(0).cast("long")
+    top = F.min(F.when(present, F.struct((-cnt).alias("neg"), F.col("s").alias("s"))))
+    stats = h.groupBy("position", "column_name").agg(
+        F.sum(cnt).alias("rows"),
+        F.coalesce(F.sum(F.when(present, cnt)), zero).alias("count"),
+        F.coalesce(F.sum(F.when(~present, cnt)), zero).alias("missing_count"),
+        F.coalesce(F.sum(F.when(present & F.col("v").isNull(), cnt)), zero).alias("bad"),
+        F.coalesce(F.sum(F.when(present & ~F.col("s").rlike(INT_PATTERN), cnt)), zero).alias("nonint"),
+        F.count("s").alias("unique_text"),
+        F.count_distinct("v").alias("unique_number"),
+        top.alias("top_struct"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
+        F.sum(F.col("v") * cnt).alias("vsum"),
+        F.sum(F.when(F.col("v").isNotNull(), cnt)).alias("vn"),
+    ).withColumn("mean", F.col("vsum") / F.col("vn"))
+    spread = (
+        h.where(F.col("v").isNotNull())
+        .join(stats.select("column_name", "mean"), "column_name")
+        .groupBy("column_name")
+        .agg(F.sum(cnt * (F.col("v") - F.col("mean")) ** 2).alias("ss"))
+    )
+    out = stats.join(spread, "column_name", "left").withColumn(
+        "std", F.when(F.col("vn") > 1, F.sqrt(F.col("ss") / (F.col("vn") - 1)))
+    )
     numeric = F.col("bad") == 0
     dtype = (
         F.when(numeric & (F.col("missing_count") == 0) & (F.col("nonint") == 0) & (F.col("count") > 0), F.lit("int64"))
         .when(numeric & (F.col("count") > 0), F.lit("float64"))
         .otherwise(F.lit("object"))
     )
-    return out.withColumn("data_type", dtype).drop("bad", "nonint")
-
-
-def _long(df: DataFrame) -> DataFrame:
-    """Unpivot to (column_name, s): an Expand of rows x columns."""
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("s")) for c in df.columns]
-    return df.select(F.inline(F.array(*pairs)))
+    return out.select(
+        "position", "column_name", "rows", "count", "missing_count",
+        dtype.alias("data_type"), "unique_text", "unique_number",
+        F.col("top_struct.s").alias("top"), (-F.col("top_struct.neg")).alias("freq"),
+        "mean", "std", "min", "max",
+    )
 
 
-def value_stats(raw: DataFrame) -> DataFrame:
-    """Per column: distinct text values, distinct numeric values, most
-    frequent text value (ties: smallest) and its count."""
-    long = _long(null_na_words(raw)).where(F.col("s").isNotNull())
-    hist = long.groupBy("column_name", "s").agg(F.count(F.lit(1)).alias("cnt"))
-    top = F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("s").alias("s")))
-    return hist.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("unique_text"),
-        F.count_distinct(F.col("s").try_cast("double")).alias("unique_number"),
-        top.alias("top_struct"),
-    ).select(
-        "column_name",
-        "unique_text",
-        "unique_number",
-        F.col("top_struct.s").alias("top"),
-        (-F.col("top_struct.neg")).alias("freq"),
-    )
+def _collect_small(df: DataFrame) -> list:
+    """Collect a result whose size is fixed by the number of columns and
+    probabilities (never by the data)."""
+    return df.collect()
 
 
 def exact_quantiles(
     values: DataFrame,
     probs: Sequence[float] = QUARTILES,
     accuracy: int = DEFAULT_ACCURACY,
+    max_window: int = DEFAULT_MAX_WINDOW,
     method: str = "exact",
 ) -> DataFrame:
-    """Quantiles with linear interpolation per group.
-
-    ``values`` has columns (column_name, v) with v a non-null double. Output:
-    (column_name, q, value), one row per group and probability.
+    """Quantiles with linear interpolation (pandas/numpy 'linear') per group.
+
+    ``values`` has columns (column_name, v) with v a non-null double; the
+    result has (column_name, q, value). ``method="approx"`` returns the
+    sketch answer (lazy, one pass).
+
+    Exact method: a sketch brackets the rank of each target in a value
+    window; windows holding more than ``max_window`` distinct values are
+    narrowed with a new sketch restricted to the window (each round shrinks
+    them by about accuracy/4); then one pass ranks only the distinct values
+    inside the windows. A window that turns out not to contain its rank
+    (sketch guarantee missed) is widened to the whole column and narrowed
+    again, so the answer is always exact. Driver-side state is a handful of
+    numbers per (column, probability).
     """
+    spark = values.sparkSession
     eps = 1.0 / accuracy
-    lo_p = [max(0.0, p - 2 * eps) for p in probs]
-    hi_p = [min(1.0, p + 2 * eps) for p in probs]
-    sketch = values.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("v", lo_p, accuracy).alias("lo_arr"),
-        F.percentile_approx("v", hi_p, accuracy).alias("hi_arr"),
-        F.percentile_approx("v", list(probs), accuracy).alias("mid_arr"),
-        F.min("v").alias("vmin"),
-        F.max("v").alias("vmax"),
-    )
-    idx = F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("k")
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = sketch.select("column_name", "n", "lo_arr", "hi_arr", "mid_arr", "vmin", "vmax", idx).select(
-        "column_name",
-        "n",
-        F.element_at(probs_arr, F.col("k") + 1).alias("q"),
-        F.element_at("lo_arr", F.col("k") + 1).alias("lo"),
-        F.element_at("hi_arr", F.col("k") + 1).alias("hi"),
-        F.element_at("mid_arr", F.col("k") + 1).alias("approx"),
-        F.col("vmin"),
-    )
-    # Near q = 0 the window starts at the minimum, near q = 1 it is open.
-    targets = targets.withColumn(
-        "lo", F.when(F.col("q") - 2 * eps <= 0, F.col("vmin")).otherwise(F.col("lo"))
-    ).withColumn(
-        "hi", F.when(F.col("q") + 2 * eps >= 1, F.lit(float("inf"))).otherwise(F.col("hi"))
+    probs = [float(p) for p in probs]
+    if method == "approx":
+        q = values.groupBy("column_name").agg(F.percentile_approx("v", probs, accuracy).alias("arr"))
+        rows = [F.struct(F.lit(p).alias("q"), F.element_at("arr", i + 1).alias("value")) for i, p in enumerate(probs)]
+        return q.select("column_name", F.inline(F.array(*rows)))
+
+    def bracket(p):
+        return [max(0.0, p - 3 * eps), min(1.0, p + 3 * eps)]
+
+    grid = [x for p in probs for x in bracket(p)]
+    first = _collect_small(
+        values.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
+            F.percentile_approx("v", grid, accuracy).alias("arr"),
+        )
     )
-    targets = targets.withColumn("pos", F.col("q") * (F.col("n") - 1)).withColumns(
-        {
-            "r_lo": F.floor("pos").cast("long"),
-            "r_hi": F.ceil("pos").cast("long"),
+    targets = []
+    for r in first:
+        for k, p in enumerate(probs):
+            pos = p * (r.n - 1)
+            lo = r.vmin if p - 3 * eps <= 0 else r.arr[2 * k]
+            hi = r.vmax if p + 3 * eps >= 1 else r.arr[2 * k + 1]
+            targets.append(dict(column_name=r.column_name, q=p, pos=pos, r_lo=int(math.floor(pos)),
+                                r_hi=int(math.ceil(pos)), lo=lo, hi=hi, vmin=r.vmin, vmax=r.vmax))
+    if not targets:
+        return spark.createDataFrame([], "column_name string, q double, value double")
+    schema = "column_name string, q double, lo double, hi double"
+    for _ in range(64):
+        win = F.broadcast(spark.createDataFrame([(t["column_name"], t["q"], t["lo"], t["hi"]) for t in targets], schema))
+        j = values.join(win, "column_name")
+        inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+        counts = {
+            (r.column_name, r.q): r
+            for r in _collect_small(
+                j.groupBy("column_name", "q").agg(
+                    F.count_if(F.col("v") < F.col("lo")).alias("below"),
+                    F.count_if(inside).alias("inside"),
+                    F.approx_count_distinct(F.when(inside, F.col("v"))).alias("distinct"),
+                )
+            )
         }
+        narrow = []
+        for t in targets:
+            c = counts[(t["column_name"], t["q"])]
+            t["below"], t["inside"] = c.below, c.inside
+            if c.below > t["r_lo"] or c.below + c.inside <= t["r_hi"]:
+                t["lo"], t["hi"] = t["vmin"], t["vmax"]  # missed: widen
+                narrow.append(t)
+            elif c.distinct > max_window:
+                narrow.append(t)
+        if not narrow:
+            break
+        # New sketches restricted to each window, on a fixed grid of
+        # REFINE_GRID + 1 relative ranks (percentages must be constants);
+        # the grid points around the target's relative rank bound it again.
+        win = F.broadcast(spark.createDataFrame(
+            [(t["column_name"], t["q"], t["lo"], t["hi"]) for t in narrow], schema))
+        j = values.join(win, "column_name").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+        grid_g = [i / REFINE_GRID for i in range(REFINE_GRID + 1)]
+        sk = {
+            (r.column_name, r.q): r
+            for r in _collect_small(
+                j.groupBy("column_name", "q").agg(
+                    F.percentile_approx("v", grid_g, accuracy).alias("arr"),
+                    F.min("v").alias("wmin"), F.max("v").alias("wmax"),
+                )
+            )
+        }
+        for t in narrow:
+            r = sk[(t["column_name"], t["q"])]
+            n_in = max(t["inside"] - 1, 1)
+            a = (t["r_lo"] - t["below"]) / n_in - 3 * eps
+            b = (t["r_hi"] - t["below"]) / n_in + 3 * eps
+            i, k = math.floor(a * REFINE_GRID), math.ceil(b * REFINE_GRID)
+            t["lo"] = r.wmin if i <= 0 else r.arr[i]
+            t["hi"] = r.wmax if k >= REFINE_GRID else r.arr[k]
+    # Exact pass: rank the distinct values inside every (bounded) window.
+    win = F.broadcast(
+        spark.createDataFrame(
+            [(t["column_name"], t["q"], t["lo"], t["hi"], t["below"], t["pos"], t["r_lo"], t["r_hi"]) for t in targets],
+            schema + ", below long, pos double, r_lo long, r_hi long",
+        )
     )
-    if method == "approx":
-        return targets.select("column_name", "q", F.col("approx").alias("value"))
-    # The targets table has (#columns x #probs) rows: a fixed bound, safe to
-    # broadcast. Pass 2 streams the data once more.
-    t = F.broadcast(targets.select("column_name", "q", "lo", "hi"))
-    joined = values.join(t, "column_name")
-    below = joined.groupBy("column_name", "q").agg(
-        F.count_if(F.col("v") < F.col("lo")).alias("below")
-    )
-    inside = (
-        joined.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+    inside_vals = (
+        values.join(win, "column_name")
+        .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
         .groupBy("column_name", "q", "v")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
-    w = Window.partitionBy("column_name", "q").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = inside.withColumn("cum", F.sum("cnt").over(w))
-    ranked = ranked.join(below, ["column_name", "q"]).join(
-        targets.select("column_name", "q", "pos", "r_lo", "r_hi"), ["column_name", "q"]
+    w = Window.partitionBy("column_name", "q").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside_vals.withColumn("cum", F.sum("cnt").over(w)).join(
+        win.select("column_name", "q", "below", "pos", "r_lo", "r_hi"), ["column_name", "q"]
     )
     first_rank = F.col("below") + F.col("cum") - F.col("cnt")
     last_rank = F.col("below") + F.col("cum") - 1
@@ -207,18 +273,17 @@ def exact_quantiles(
     )
     frac = F.col("pos") - F.col("r_lo")
     return picked.select(
-        "column_name",
-        "q",
-        (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"),
+        "column_name", "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value")
     )
 
 
-def numeric_quartiles(raw: DataFrame, accuracy: int = DEFAULT_ACCURACY, method: str = "exact") -> DataFrame:
+def numeric_quartiles(raw: DataFrame, accuracy: int = DEFAULT_ACCURACY, method: str = "exact",
+                      max_window: Optional[int] = None) -> DataFrame:
     """(column_name, p25, p50, p75) over the numeric parse of every column."""
     long = _long(null_na_words(raw)).select(
         "column_name", F.col("s").try_cast("double").alias("v")
     ).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    q = exact_quantiles(long, QUARTILES, accuracy, method)
+    q = exact_quantiles(long, QUARTILES, accuracy, max_window or DEFAULT_MAX_WINDOW, method)
     return q.groupBy("column_name").agg(
         *[F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
           for p, name in zip(QUARTILES, ["p25", "p50", "p75"])]
@@ -246,11 +311,10 @@ def _missing_pct() -> F.Column:
 def profile_dictionary(raw: DataFrame) -> DataFrame:
     """Column name, type, missing count and %, distinct values."""
     cs = column_stats(raw)
-    vs = value_stats(raw)
     unique = F.when(F.col("data_type") == "object", F.col("unique_text")).otherwise(
         F.col("unique_number")
     )
-    return cs.join(vs, "column_name", "left").select(
+    return cs.select(
         "position",
         "column_name",
         "data_type",
@@ -275,9 +339,8 @@ def profile_statistics(raw: DataFrame, accuracy: int = DEFAULT_ACCURACY, method:
     """describe(include='all'): count, unique/top/freq for text columns,
     mean/std/min/quartiles/max for numeric columns."""
     cs = column_stats(raw)
-    vs = value_stats(raw)
     qs = numeric_quartiles(raw, accuracy, method)
-    j = cs.join(vs, "column_name", "left").join(qs, "column_name", "left")
+    j = cs.join(qs, "column_name", "left")
     is_obj = F.col("data_type") == "object"
 
     def num(c):
@@ -310,7 +373,7 @@ def profile_overview(raw: DataFrame, dataset_name: str, size_bytes: Optional[Dat
     one-row ``size_bytes`` DataFrame (column ``bytes``) is given."""
     cs = column_stats(raw)
     summary = cs.agg(
-        F.max("rows").alias("rows"),
+        F.max("rows").cast("long").alias("rows"),
         F.count(F.lit(1)).alias("columns"),
         F.count_if(F.col("data_type") != "object").alias("numeric"),
         F.count_if(F.col("data_type") == "object").alias("categorical"),
