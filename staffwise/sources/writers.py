@@ -34,8 +34,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: Optional[Sequence[str]
     writer.parquet(path)
 
 
-def write_silver(df: DataFrame, path: str, partition_by_state: bool = True, dynamic: bool = False) -> None:
-    write_parquet(df, path, ["state"] if partition_by_state else None, dynamic=dynamic)
+def write_silver(df: DataFrame, path: str, partition_by_state: bool = True, dynamic: bool = False,
+                 mode: str = "overwrite") -> None:
+    write_parquet(df, path, ["state"] if partition_by_state else None, mode=mode, dynamic=dynamic)
 
 
 def with_shadow_partitions(df: DataFrame) -> DataFrame:
