@@ -3,16 +3,16 @@
 Scale notes
 -----------
 * ``facility_daily`` joins staffing (big) with facility (one row per
-  facility, ~15k in the domain). No broadcast hint is written: Spark's
-  size-checked auto broadcast (``spark.sql.autoBroadcastJoinThreshold``,
-  re-checked at run time by AQE on the real shuffle size) picks a broadcast
-  hash join while the facility side is small, and a sort-merge join with
-  AQE skew splitting when it is not.
+  facility, ~15k in the domain). The facility side is broadcast only after
+  its row count is proven under ``joins.BROADCAST_MAX_ROWS``; past that the
+  join is a shuffle join (sort-merge with AQE skew splitting, or an AQE
+  run-time broadcast from real sizes).
 * ``facility_quarterly`` is one hash aggregation with map-side partial
   aggregation (count/avg/sum are algebraic), so a facility holding a third
   of all rows is pre-aggregated in every task before the shuffle.
 * ``staffing_quality`` joins *after* the quarter aggregation (fan-out =
-  measures per facility on the small table, not on daily rows).
+  measures per facility on the small table, not on daily rows); the
+  measure side gets the same checked broadcast.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffwise.functions import safe_ratio, sum_columns
+from staffwise.operators.joins import broadcast_if_bounded
 from staffwise.sources.schemas import CATEGORY_HOURS, QUALITY_JOIN_COLUMNS
 
 QUARTER_KEYS = ["facility_ccn", "facility_name", "state", "calendar_quarter"]
@@ -32,7 +33,7 @@ def facility_daily(staffing: DataFrame, facility: DataFrame) -> DataFrame:
     The facility side is not de-duplicated (a repeated key duplicates the
     facility-days), matching the source semantics.
     """
-    beds = facility.select("facility_ccn", "certified_beds")
+    beds = broadcast_if_bounded(facility.select("facility_ccn", "certified_beds"))
     return (
         staffing.join(beds, "facility_ccn", "left")
         .withColumn("total_nursing_hours", sum_columns(CATEGORY_HOURS))
@@ -79,4 +80,5 @@ def facility_quarterly(daily: DataFrame) -> DataFrame:
 def staffing_quality(quarterly: DataFrame, quality: DataFrame) -> DataFrame:
     """Facility-quarter left-joined with every quality measure of the
     facility (one row with NULL measure columns when there is none)."""
-    return quarterly.join(quality.select(*QUALITY_JOIN_COLUMNS), "facility_ccn", "left")
+    measures = broadcast_if_bounded(quality.select(*QUALITY_JOIN_COLUMNS))
+    return quarterly.join(measures, "facility_ccn", "left")

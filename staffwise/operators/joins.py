@@ -1,0 +1,31 @@
+"""Join helpers.
+
+A dimension side is broadcast only behind a proven size bound: its row
+count is checked with ``limit(max_rows + 1).count()`` (the scan stops after
+max_rows + 1 rows, so the check is cheap even on a huge table). Past the
+bound nothing is hinted and Spark plans a shuffle join; AQE may still turn
+it into a broadcast from the real shuffle size at run time.
+
+The explicit hint also keeps Spark from broadcasting the *fact* side on a
+plan-time size estimate (a compressed Parquet file can look smaller than
+the threshold while holding millions of rows), which would leave the whole
+join to the few tasks of the dimension scan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a narrow dimension (a key and a few attributes) that may be
+# broadcast: ~1M rows x ~100 bytes stays well under executor memory.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df

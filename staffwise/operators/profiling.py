@@ -10,11 +10,11 @@ Plan shape (for a table with C columns and N rows)
   and standard deviation all derive from the histogram, so per-value work
   runs once per distinct value. A value holding a third of all cells is
   one counter; no group is ever collected.
-* Exact quartiles (pandas' linear interpolation): a bounded
-  ``percentile_approx`` sketch brackets each target rank in a value window;
-  windows with more than ``max_window`` distinct values are narrowed by
-  further sketches; a last pass ranks only the values inside the windows.
-  No task sorts a whole column. ``method="approx"`` stops at the sketch.
+* Exact quartiles (pandas' linear interpolation) from the same histogram:
+  each target rank is narrowed by equal-width bucket counts until its
+  value window holds at most ``max_window`` distinct values, then only the
+  values inside are ranked. No task sorts a whole column.
+  ``method="approx"`` uses a bounded ``percentile_approx`` sketch instead.
 * Duplicate rows: group by all columns with partial aggregation.
 
 Types follow pandas' CSV inference: NA words are NULL; a column whose every
@@ -44,8 +44,8 @@ INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 DEFAULT_ACCURACY = 10_000
 # Most distinct values one task ranks exactly in the last quantile pass.
 DEFAULT_MAX_WINDOW = 1_000_000
-# Grid of relative ranks used to narrow a quantile window.
-REFINE_GRID = 1000
+# Equal-width buckets per round when a quantile window is narrowed.
+REFINE_BUCKETS = 1024
 
 
 def null_na_words(df: DataFrame) -> DataFrame:
@@ -146,150 +146,132 @@ def _collect_small(df: DataFrame) -> list:
     return df.collect()
 
 
+def approx_quantiles(values: DataFrame, probs: Sequence[float] = QUARTILES,
+                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Sketch quantiles (one pass, bounded memory per group). ``values``:
+    (column_name, v). Result: (column_name, q, value)."""
+    probs = [float(p) for p in probs]
+    q = values.groupBy("column_name").agg(F.percentile_approx("v", probs, accuracy).alias("arr"))
+    rows = [F.struct(F.lit(p).alias("q"), F.element_at("arr", i + 1).alias("value")) for i, p in enumerate(probs)]
+    return q.select("column_name", F.inline(F.array(*rows)))
+
+
 def exact_quantiles(
     values: DataFrame,
     probs: Sequence[float] = QUARTILES,
-    accuracy: int = DEFAULT_ACCURACY,
     max_window: int = DEFAULT_MAX_WINDOW,
-    method: str = "exact",
+    buckets: int = REFINE_BUCKETS,
 ) -> DataFrame:
-    """Quantiles with linear interpolation (pandas/numpy 'linear') per group.
-
-    ``values`` has columns (column_name, v) with v a non-null double; the
-    result has (column_name, q, value). ``method="approx"`` returns the
-    sketch answer (lazy, one pass).
-
-    Exact method: a sketch brackets the rank of each target in a value
-    window; windows holding more than ``max_window`` distinct values are
-    narrowed with a new sketch restricted to the window (each round shrinks
-    them by about accuracy/4); then one pass ranks only the distinct values
-    inside the windows. A window that turns out not to contain its rank
-    (sketch guarantee missed) is widened to the whole column and narrowed
-    again, so the answer is always exact. Driver-side state is a handful of
-    numbers per (column, probability).
+    """Exact quantiles with linear interpolation (pandas/numpy 'linear').
+
+    ``values`` has (column_name, v) and optionally ``cnt`` (a histogram:
+    each row stands for cnt equal values); v must be non-null. Result:
+    (column_name, q, value), a small DataFrame built from collected
+    numbers (one row per column and probability).
+
+    Each target rank q*(n-1) starts with the window [min, max]. While a
+    window holds more than ``max_window`` distinct values it is cut into
+    ``buckets`` equal-width buckets, counted in one aggregation (a few
+    numbers per bucket reach the driver), and narrowed to the bucket(s)
+    holding the rank. Then one pass ranks the distinct values inside each
+    window with a window function. No task ever sorts more than
+    ``max_window`` values, whatever the size or skew of the column; a value
+    holding a third of the rows is a single histogram row.
     """
     spark = values.sparkSession
-    eps = 1.0 / accuracy
+    hist = values if "cnt" in values.columns else values.groupBy("column_name", "v").agg(
+        F.count(F.lit(1)).alias("cnt"))
+    hist = hist.select("column_name", "v", F.col("cnt").cast("long").alias("cnt"))
     probs = [float(p) for p in probs]
-    if method == "approx":
-        q = values.groupBy("column_name").agg(F.percentile_approx("v", probs, accuracy).alias("arr"))
-        rows = [F.struct(F.lit(p).alias("q"), F.element_at("arr", i + 1).alias("value")) for i, p in enumerate(probs)]
-        return q.select("column_name", F.inline(F.array(*rows)))
-
-    def bracket(p):
-        return [max(0.0, p - 3 * eps), min(1.0, p + 3 * eps)]
-
-    grid = [x for p in probs for x in bracket(p)]
-    first = _collect_small(
-        values.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
-            F.percentile_approx("v", grid, accuracy).alias("arr"),
-        )
-    )
+    base = _collect_small(hist.groupBy("column_name").agg(
+        F.sum("cnt").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
+        F.count(F.lit(1)).alias("distinct")))
     targets = []
-    for r in first:
-        for k, p in enumerate(probs):
+    for r in base:
+        for p in probs:
             pos = p * (r.n - 1)
-            lo = r.vmin if p - 3 * eps <= 0 else r.arr[2 * k]
-            hi = r.vmax if p + 3 * eps >= 1 else r.arr[2 * k + 1]
             targets.append(dict(column_name=r.column_name, q=p, pos=pos, r_lo=int(math.floor(pos)),
-                                r_hi=int(math.ceil(pos)), lo=lo, hi=hi, vmin=r.vmin, vmax=r.vmax))
+                                r_hi=int(math.ceil(pos)), lo=r.vmin, hi=r.vmax, below=0, distinct=r.distinct))
     if not targets:
         return spark.createDataFrame([], "column_name string, q double, value double")
     schema = "column_name string, q double, lo double, hi double"
     for _ in range(64):
-        win = F.broadcast(spark.createDataFrame([(t["column_name"], t["q"], t["lo"], t["hi"]) for t in targets], schema))
-        j = values.join(win, "column_name")
-        inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
-        counts = {
-            (r.column_name, r.q): r
-            for r in _collect_small(
-                j.groupBy("column_name", "q").agg(
-                    F.count_if(F.col("v") < F.col("lo")).alias("below"),
-                    F.count_if(inside).alias("inside"),
-                    F.approx_count_distinct(F.when(inside, F.col("v"))).alias("distinct"),
-                )
-            )
-        }
-        narrow = []
-        for t in targets:
-            c = counts[(t["column_name"], t["q"])]
-            t["below"], t["inside"] = c.below, c.inside
-            if c.below > t["r_lo"] or c.below + c.inside <= t["r_hi"]:
-                t["lo"], t["hi"] = t["vmin"], t["vmax"]  # missed: widen
-                narrow.append(t)
-            elif c.distinct > max_window:
-                narrow.append(t)
-        if not narrow:
+        open_t = [t for t in targets if "v_lo" not in t and t["distinct"] > max_window and t["hi"] > t["lo"]]
+        if not open_t:
             break
-        # New sketches restricted to each window, on a fixed grid of
-        # REFINE_GRID + 1 relative ranks (percentages must be constants);
-        # the grid points around the target's relative rank bound it again.
         win = F.broadcast(spark.createDataFrame(
-            [(t["column_name"], t["q"], t["lo"], t["hi"]) for t in narrow], schema))
-        j = values.join(win, "column_name").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        grid_g = [i / REFINE_GRID for i in range(REFINE_GRID + 1)]
-        sk = {
-            (r.column_name, r.q): r
-            for r in _collect_small(
-                j.groupBy("column_name", "q").agg(
-                    F.percentile_approx("v", grid_g, accuracy).alias("arr"),
-                    F.min("v").alias("wmin"), F.max("v").alias("wmax"),
-                )
-            )
-        }
-        for t in narrow:
-            r = sk[(t["column_name"], t["q"])]
-            n_in = max(t["inside"] - 1, 1)
-            a = (t["r_lo"] - t["below"]) / n_in - 3 * eps
-            b = (t["r_hi"] - t["below"]) / n_in + 3 * eps
-            i, k = math.floor(a * REFINE_GRID), math.ceil(b * REFINE_GRID)
-            t["lo"] = r.wmin if i <= 0 else r.arr[i]
-            t["hi"] = r.wmax if k >= REFINE_GRID else r.arr[k]
-    # Exact pass: rank the distinct values inside every (bounded) window.
-    win = F.broadcast(
-        spark.createDataFrame(
-            [(t["column_name"], t["q"], t["lo"], t["hi"], t["below"], t["pos"], t["r_lo"], t["r_hi"]) for t in targets],
-            schema + ", below long, pos double, r_lo long, r_hi long",
+            [(t["column_name"], t["q"], t["lo"], t["hi"]) for t in open_t], schema))
+        width = (F.col("hi") - F.col("lo")) / buckets
+        b = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(buckets - 1)).cast("int")
+        counted = (
+            hist.join(win, "column_name")
+            .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+            .groupBy("column_name", "q", b.alias("b"))
+            .agg(F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("distinct"),
+                 F.min("v").alias("bmin"), F.max("v").alias("bmax"))
         )
-    )
-    inside_vals = (
-        values.join(win, "column_name")
-        .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        .groupBy("column_name", "q", "v")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+        per_target = {}
+        for r in _collect_small(counted):
+            per_target.setdefault((r.column_name, r.q), []).append(r)
+        for t in open_t:
+            rows = sorted(per_target[(t["column_name"], t["q"])], key=lambda r: r.b)
+            seen, first, last = t["below"], None, None
+            for r in rows:
+                if first is None and seen + r.cnt > t["r_lo"]:
+                    first = (r, seen)
+                if seen + r.cnt > t["r_hi"]:
+                    last = r
+                    break
+                seen += r.cnt
+            (r_first, below) = first
+            if r_first.b != last.b:
+                # adjacent ranks split across buckets: the last value of one
+                # bucket and the first value of the next are the answer
+                t.update(v_lo=r_first.bmax, v_hi=last.bmin, distinct=0, lo=0.0, hi=0.0)
+            else:
+                t.update(lo=r_first.bmin, hi=r_first.bmax, below=below, distinct=r_first.distinct)
+    done = [t for t in targets if "v_lo" in t]
+    todo = [t for t in targets if "v_lo" not in t]
+    out = [(t["column_name"], t["q"], t["v_lo"] + (t["v_hi"] - t["v_lo"]) * (t["pos"] - t["r_lo"])) for t in done]
+    if not todo:
+        return spark.createDataFrame(out, "column_name string, q double, value double")
+    win = F.broadcast(spark.createDataFrame(
+        [(t["column_name"], t["q"], t["lo"], t["hi"], t["below"], t["pos"], t["r_lo"], t["r_hi"]) for t in todo],
+        schema + ", below long, pos double, r_lo long, r_hi long"))
+    inside = hist.join(win, "column_name").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
     w = Window.partitionBy("column_name", "q").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside_vals.withColumn("cum", F.sum("cnt").over(w)).join(
-        win.select("column_name", "q", "below", "pos", "r_lo", "r_hi"), ["column_name", "q"]
-    )
+    ranked = inside.withColumn("cum", F.sum("cnt").over(w))
     first_rank = F.col("below") + F.col("cum") - F.col("cnt")
     last_rank = F.col("below") + F.col("cum") - 1
     hit_lo = (first_rank <= F.col("r_lo")) & (F.col("r_lo") <= last_rank)
     hit_hi = (first_rank <= F.col("r_hi")) & (F.col("r_hi") <= last_rank)
-    picked = ranked.groupBy("column_name", "q", "pos", "r_lo").agg(
-        F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"),
-        F.max(F.when(hit_hi, F.col("v"))).alias("v_hi"),
-    )
-    frac = F.col("pos") - F.col("r_lo")
-    return picked.select(
-        "column_name", "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value")
-    )
+    picked = _collect_small(ranked.groupBy("column_name", "q", "pos", "r_lo").agg(
+        F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"), F.max(F.when(hit_hi, F.col("v"))).alias("v_hi")))
+    out += [(r.column_name, r.q, r.v_lo + (r.v_hi - r.v_lo) * (r.pos - r.r_lo)) for r in picked]
+    return spark.createDataFrame(out, "column_name string, q double, value double")
 
 
-def numeric_quartiles(raw: DataFrame, accuracy: int = DEFAULT_ACCURACY, method: str = "exact",
-                      max_window: Optional[int] = None) -> DataFrame:
-    """(column_name, p25, p50, p75) over the numeric parse of every column."""
-    long = _long(null_na_words(raw)).select(
-        "column_name", F.col("s").try_cast("double").alias("v")
-    ).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    q = exact_quantiles(long, QUARTILES, accuracy, max_window or DEFAULT_MAX_WINDOW, method)
+def _quartile_columns(q: DataFrame) -> DataFrame:
     return q.groupBy("column_name").agg(
         *[F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
           for p, name in zip(QUARTILES, ["p25", "p50", "p75"])]
     )
 
 
+def numeric_quartiles(raw: DataFrame, method: str = "exact", hist: Optional[DataFrame] = None,
+                      accuracy: int = DEFAULT_ACCURACY, max_window: int = DEFAULT_MAX_WINDOW) -> DataFrame:
+    """(column_name, p25, p50, p75) over the numeric parse of every column;
+    exact from the value histogram, or sketched (``method="approx"``)."""
+    if method == "approx":
+        long = _long(null_na_words(raw)).select(
+            "column_name", F.col("s").try_cast("double").alias("v")
+        ).where(F.col("v").isNotNull() & ~F.isnan("v"))
+        return _quartile_columns(approx_quantiles(long, QUARTILES, accuracy))
+    h = _typed_hist(hist if hist is not None else value_histogram(raw))
+    num = h.where(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.sum("cnt").alias("cnt"))
+    return _quartile_columns(exact_quantiles(num, QUARTILES, max_window))
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: rows minus distinct rows (NULL equals NULL)."""
     return (
@@ -335,36 +317,49 @@ def profile_missing(raw: DataFrame) -> DataFrame:
     )
 
 
-def profile_statistics(raw: DataFrame, accuracy: int = DEFAULT_ACCURACY, method: str = "exact") -> DataFrame:
+def profile_statistics(raw: DataFrame, method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """describe(include='all'): count, unique/top/freq for text columns,
-    mean/std/min/quartiles/max for numeric columns."""
-    cs = column_stats(raw)
-    qs = numeric_quartiles(raw, accuracy, method)
-    j = cs.join(qs, "column_name", "left")
-    is_obj = F.col("data_type") == "object"
-
-    def num(c):
-        return F.when(~is_obj, F.col(c))
-
-    def txt(c):
-        return F.when(is_obj, F.col(c))
+    mean/std/min/quartiles/max for numeric columns.
 
-    return j.select(
-        "position",
-        "column_name",
-        "data_type",
-        F.col("count").cast("long").alias("count"),
-        txt("unique_text").cast("long").alias("unique"),
-        txt("top").alias("top"),
-        txt("freq").cast("long").alias("freq"),
-        num("mean").alias("mean"),
-        num("std").alias("std"),
-        num("min").alias("min"),
-        num("p25").alias("p25"),
-        num("p50").alias("p50"),
-        num("p75").alias("p75"),
-        num("max").alias("max"),
-    )
+    The value histogram is computed once (one pass over the data) and kept
+    with ``persist`` while the statistics and quartile rounds read it; the
+    report (one row per column) is materialised before it is released.
+    """
+    from pyspark import StorageLevel
+
+    hist = value_histogram(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cs = column_stats(raw, hist)
+        qs = numeric_quartiles(raw, method, hist=hist, accuracy=accuracy)
+        j = cs.join(qs, "column_name", "left")
+        is_obj = F.col("data_type") == "object"
+
+        def num(c):
+            return F.when(~is_obj, F.col(c))
+
+        def txt(c):
+            return F.when(is_obj, F.col(c))
+
+        report = j.select(
+            "position",
+            "column_name",
+            "data_type",
+            F.col("count").cast("long").alias("count"),
+            txt("unique_text").cast("long").alias("unique"),
+            txt("top").alias("top"),
+            txt("freq").cast("long").alias("freq"),
+            num("mean").alias("mean"),
+            num("std").alias("std"),
+            num("min").alias("min"),
+            num("p25").alias("p25"),
+            num("p50").alias("p50"),
+            num("p75").alias("p75"),
+            num("max").alias("max"),
+        )
+        rows = _collect_small(report)
+        return raw.sparkSession.createDataFrame(rows, report.schema)
+    finally:
+        hist.unpersist()
 
 
 def profile_overview(raw: DataFrame, dataset_name: str, size_bytes: Optional[DataFrame] = None) -> DataFrame:

@@ -21,11 +21,21 @@ from pyspark.sql import functions as F
 
 from staffwise.functions import ccn
 from staffwise.operators import silver
+from staffwise.operators.joins import broadcast_if_bounded
 from staffwise.sources.schemas import SPLIT_STEMS, STAFF_CATEGORIES
 
 
+# Fact tables whose scans are spread when under-split (see
+# ``readers.spread_if_undersplit``); dimensions stay as read so that they
+# keep their broadcast size estimate and no exchange.
+FACT_TABLES = {"lineitem", "events"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from staffwise.sources.readers import spread_if_undersplit
+
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_if_undersplit(df) if name in FACT_TABLES else df
 
 
 def _quarter_label(d: Column) -> Column:
@@ -33,15 +43,21 @@ def _quarter_label(d: Column) -> Column:
 
 
 def facility_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier x nation -> (s_suppkey, s_name, n_name). Nation has a fixed
-    25 rows; Spark broadcasts it on its own size check."""
+    """supplier x nation -> (s_suppkey, s_name, n_name, s_acctbal)."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "inner").drop(
         "n_nationkey"
     )
 
 
+def _with_directory(facts: DataFrame, key: str, directory: DataFrame, how: str = "inner") -> DataFrame:
+    """Join a fact table to the directory on its facility key; the directory
+    is broadcast only when its row count is proven small."""
+    d = broadcast_if_bounded(directory)
+    return facts.join(d, facts[key] == d.s_suppkey, how)
+
+
 # ---------------------------------------------------------------- staffing
 
 
@@ -87,8 +103,7 @@ def fx_staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
             "contract_nursing_hours"
         ),
     )
-    directory = facility_directory(spark, sf_dir)
-    return agg.join(directory, agg.l_suppkey == directory.s_suppkey, "inner").select(
+    return _with_directory(agg, "l_suppkey", facility_directory(spark, sf_dir)).select(
         ccn("l_suppkey").alias("facility_ccn"),
         "work_date",
         _quarter_label(F.col("work_date")).alias("calendar_quarter"),
@@ -105,8 +120,7 @@ def fx_pbj_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw daily staffing file (all strings, one row per lineitem) with the
     dirty values of a real payroll extract."""
     li = table(spark, sf_dir, "lineitem")
-    directory = facility_directory(spark, sf_dir)
-    j = li.join(directory, li.l_suppkey == directory.s_suppkey, "inner")
+    j = _with_directory(li, "l_suppkey", facility_directory(spark, sf_dir))
     ok, sk, pk = F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_partkey")
     day = F.col("l_shipdate").cast("date")
     qty_text = F.col("l_quantity").cast("string")
@@ -197,7 +211,7 @@ def _measure_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.avg("value").alias("score"))
     )
     d = facility_directory(spark, sf_dir).select("s_suppkey", "n_name")
-    return base.join(d, base.user_id == d.s_suppkey, "left")
+    return _with_directory(base, "user_id", d, "left")
 
 
 def fx_claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +256,7 @@ def fx_citations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     non-padded survey date (M/d/yyyy), which does not parse."""
     ev = table(spark, sf_dir, "events")
     d = facility_directory(spark, sf_dir).select("s_suppkey", "n_name")
-    j = ev.join(d, ev.user_id == d.s_suppkey, "left")
+    j = _with_directory(ev, "user_id", d, "left")
     eid = F.col("event_id")
     day = F.col("ts").cast("date")
     return j.select(

@@ -163,6 +163,17 @@ def landing_inventory(spark: SparkSession, folder: str) -> DataFrame:
     ).orderBy("file_name")
 
 
+def spread_if_undersplit(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster when it has fewer splits than
+    the cluster has cores (e.g. one file of one row group), so map-side
+    work is not serialised in a task or two. A scan of a large table already
+    has thousands of splits and is returned unchanged: no extra shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables.
 

@@ -22,13 +22,13 @@ def values(spark):
     )
 
 
-@pytest.mark.parametrize("accuracy,max_window", [(10_000, 1_000_000), (20, 40)])
-def test_exact_quantiles_equal_spark_percentile(spark, values, accuracy, max_window):
+@pytest.mark.parametrize("max_window,buckets", [(1_000_000, 1024), (3, 4), (10, 2)])
+def test_exact_quantiles_equal_spark_percentile(spark, values, max_window, buckets):
     exact = {
         r.column_name: r.p
         for r in values.groupBy("column_name").agg(F.percentile("v", P.QUARTILES).alias("p")).collect()
     }
-    got = P.exact_quantiles(values, P.QUARTILES, accuracy, max_window).collect()
+    got = P.exact_quantiles(values, P.QUARTILES, max_window, buckets).collect()
     assert len(got) == 4 * len(P.QUARTILES)
     for r in got:
         assert r.value == pytest.approx(exact[r.column_name][P.QUARTILES.index(r.q)], abs=1e-9), r
