@@ -38,24 +38,32 @@ def r6(df: DataFrame, cols=None) -> DataFrame:
 # ------------------------------------------------------------------ Silver
 
 
+def B(spark, d) -> fx.Bindings:
+    return fx.Bindings(spark, d)
+
+
+def _clean(b: fx.Bindings) -> DataFrame:
+    return silver.clean_staffing(b.pbj_raw)
+
+
 def q_clean_staffing(spark, d):
-    return silver.clean_staffing(fx.fx_pbj_raw(spark, d))
+    return _clean(B(spark, d))
 
 
 def q_valid_staffing(spark, d):
-    return silver.valid_staffing(q_clean_staffing(spark, d))
+    return silver.valid_staffing(_clean(B(spark, d)))
 
 
 def q_rejected_staffing_reasons(spark, d):
-    return silver.rejected_reason_counts(q_clean_staffing(spark, d))
+    return silver.rejected_reason_counts(_clean(B(spark, d)))
 
 
 def q_duplicate_keys(spark, d):
-    return checks.duplicate_key_count(q_clean_staffing(spark, d), ["facility_ccn", "work_date"])
+    return checks.duplicate_key_count(_clean(B(spark, d)), ["facility_ccn", "work_date"])
 
 
 def q_horizontal_hours(spark, d):
-    s = q_clean_staffing(spark, d)
+    s = _clean(B(spark, d))
     return s.select(
         "facility_ccn", "work_date",
         sum_columns(CATEGORY_HOURS).alias("total_nursing_hours"),
@@ -64,91 +72,90 @@ def q_horizontal_hours(spark, d):
 
 
 def q_union_measures(spark, d):
-    return r6(fx.fx_quality(spark, d))
+    return r6(B(spark, d).quality)
 
 
 def q_clean_facility(spark, d):
-    return fx.fx_facility(spark, d)
+    return B(spark, d).facility
 
 
 def q_clean_citations(spark, d):
-    return silver.clean_citations(fx.fx_citations_raw(spark, d))
+    return silver.clean_citations(B(spark, d).citations_raw)
 
 
 # -------------------------------------------------------------------- Gold
 
 
 def q_facility_daily(spark, d):
-    return fx.fx_daily(spark, d)
+    return B(spark, d).daily
 
 
 def q_facility_quarterly(spark, d):
-    return r6(fx.fx_quarterly(spark, d))
+    return r6(B(spark, d).quarterly)
 
 
 def q_staffing_quality(spark, d):
-    return r6(fx.fx_staffing_quality(spark, d))
+    return r6(B(spark, d).staffing_quality)
 
 
 # --------------------------------------------------------- staging + marts
 
 
-def _stg_quarterly(spark, d):
-    return marts.stg_quarterly(fx.fx_quarterly(spark, d))
+def _stg_quarterly(b: fx.Bindings) -> DataFrame:
+    return marts.stg_quarterly(b.quarterly)
 
 
-def _state_summary(spark, d):
-    return marts.state_summary(_stg_quarterly(spark, d))
+def _state_summary(b: fx.Bindings) -> DataFrame:
+    return marts.state_summary(_stg_quarterly(b))
 
 
-def _low_staffing(spark, d):
-    return marts.low_staffing(_stg_quarterly(spark, d))
+def _low_staffing(b: fx.Bindings) -> DataFrame:
+    return marts.low_staffing(_stg_quarterly(b))
 
 
-def _readmission(spark, d):
-    return marts.readmission_quality(marts.stg_quality(fx.fx_staffing_quality(spark, d)))
+def _readmission(b: fx.Bindings) -> DataFrame:
+    return marts.readmission_quality(marts.stg_quality(b.staffing_quality))
 
 
 def q_stg_daily(spark, d):
-    return marts.stg_daily(fx.fx_daily(spark, d))
+    return marts.stg_daily(B(spark, d).daily)
 
 
 def q_stg_quarterly(spark, d):
-    return r6(_stg_quarterly(spark, d))
+    return r6(_stg_quarterly(B(spark, d)))
 
 
 def q_stg_quality(spark, d):
-    return r6(marts.stg_quality(fx.fx_staffing_quality(spark, d)))
+    return r6(marts.stg_quality(B(spark, d).staffing_quality))
 
 
 def q_state_summary(spark, d):
-    return _state_summary(spark, d)
+    return _state_summary(B(spark, d))
 
 
 def q_low_staffing(spark, d):
-    return r6(_low_staffing(spark, d))
+    return r6(_low_staffing(B(spark, d)))
 
 
 def q_readmission_quality(spark, d):
-    return r6(_readmission(spark, d))
+    return r6(_readmission(B(spark, d)))
 
 
 def q_not_null_results(spark, d):
-    daily = fx.fx_daily(spark, d)
-    quarterly = fx.fx_quarterly(spark, d)
-    sq = fx.fx_staffing_quality(spark, d)
-    stg_q = marts.stg_quarterly(quarterly)
+    b = B(spark, d)
+    stg_q = marts.stg_quarterly(b.quarterly)
+    stg_qual = marts.stg_quality(b.staffing_quality)
     return checks.not_null_results(
         {
-            "FACILITY_DAILY_STAFFING": (daily, ["facility_ccn"]),
-            "FACILITY_QUARTERLY_SUMMARY": (quarterly, ["facility_ccn"]),
-            "STAFFING_QUALITY_ANALYSIS": (sq, ["facility_ccn"]),
-            "stg_facility_daily_staffing": (marts.stg_daily(daily), ["facility_ccn", "work_date"]),
+            "FACILITY_DAILY_STAFFING": (b.daily, ["facility_ccn"]),
+            "FACILITY_QUARTERLY_SUMMARY": (b.quarterly, ["facility_ccn"]),
+            "STAFFING_QUALITY_ANALYSIS": (b.staffing_quality, ["facility_ccn"]),
+            "stg_facility_daily_staffing": (marts.stg_daily(b.daily), ["facility_ccn", "work_date"]),
             "stg_facility_quarterly_summary": (stg_q, ["facility_ccn"]),
-            "stg_staffing_quality_analysis": (marts.stg_quality(sq), ["facility_ccn"]),
+            "stg_staffing_quality_analysis": (stg_qual, ["facility_ccn"]),
             "mart_state_staffing_summary": (marts.state_summary(stg_q), ["state"]),
             "mart_low_staffing_facilities": (marts.low_staffing(stg_q), ["facility_ccn"]),
-            "mart_staffing_quality": (marts.readmission_quality(marts.stg_quality(sq)), ["facility_ccn"]),
+            "mart_staffing_quality": (marts.readmission_quality(stg_qual), ["facility_ccn"]),
         }
     )
 
@@ -158,75 +165,80 @@ def q_not_null_results(spark, d):
 PROFILE_NAME = "PBJ_Daily_Nurse_Staffing"
 
 
+def _raw(spark, d):
+    return B(spark, d).pbj_raw
+
+
 def q_profile_overview(spark, d):
-    return profiling.profile_overview(fx.fx_pbj_raw(spark, d), PROFILE_NAME)
+    return profiling.profile_overview(_raw(spark, d), PROFILE_NAME)
 
 
 def q_profile_dictionary(spark, d):
-    return profiling.profile_dictionary(fx.fx_pbj_raw(spark, d))
+    return profiling.profile_dictionary(_raw(spark, d))
 
 
 def q_profile_missing(spark, d):
-    return profiling.profile_missing(fx.fx_pbj_raw(spark, d))
+    return profiling.profile_missing(_raw(spark, d))
 
 
 def q_profile_statistics(spark, d):
-    return r6(profiling.profile_statistics(fx.fx_pbj_raw(spark, d)), ["mean", "std", "p25", "p50", "p75"])
+    return r6(profiling.profile_statistics(_raw(spark, d)), ["mean", "std", "p25", "p50", "p75"])
 
 
 def q_profile_quality(spark, d):
-    return profiling.profile_quality(fx.fx_pbj_raw(spark, d))
+    return profiling.profile_quality(_raw(spark, d))
 
 
 def q_profile_sample(spark, d):
-    return profiling.profile_sample(fx.fx_pbj_raw(spark, d))
+    return profiling.profile_sample(_raw(spark, d))
 
 
 # ------------------------------------------------------------------- pages
 
 
 def q_filter_values(spark, d):
-    return pages.filter_values(_state_summary(spark, d), _readmission(spark, d))
+    b = B(spark, d)
+    return pages.filter_values(_state_summary(b), _readmission(b))
 
 
 def q_overview_kpis(spark, d):
-    return r6(pages.overview_kpis(_state_summary(spark, d)))
+    return r6(pages.overview_kpis(_state_summary(B(spark, d))))
 
 
 def q_overview_bar(spark, d):
-    return pages.overview_bar(_state_summary(spark, d))
+    return pages.overview_bar(_state_summary(B(spark, d)))
 
 
 def q_overview_scatter(spark, d):
-    return pages.overview_scatter(_state_summary(spark, d))
+    return pages.overview_scatter(_state_summary(B(spark, d)))
 
 
 def q_state_grouped_bar(spark, d):
-    return pages.state_grouped_bar(_state_summary(spark, d))
+    return pages.state_grouped_bar(_state_summary(B(spark, d)))
 
 
 def q_contractor_bar(spark, d):
-    return pages.contractor_bar(_state_summary(spark, d))
+    return pages.contractor_bar(_state_summary(B(spark, d)))
 
 
 def q_state_table(spark, d):
-    return pages.state_table(_state_summary(spark, d))
+    return pages.state_table(_state_summary(B(spark, d)))
 
 
 def q_watchlist_scatter(spark, d):
-    return r6(pages.watchlist_scatter(_low_staffing(spark, d)))
+    return r6(pages.watchlist_scatter(_low_staffing(B(spark, d))))
 
 
 def q_watchlist_table(spark, d):
-    return r6(pages.watchlist_table(_low_staffing(spark, d)))
+    return r6(pages.watchlist_table(_low_staffing(B(spark, d))))
 
 
 def q_quality_scatter(spark, d):
-    return r6(pages.quality_scatter(_readmission(spark, d)))
+    return r6(pages.quality_scatter(_readmission(B(spark, d))))
 
 
 def q_quality_detail(spark, d):
-    return r6(pages.quality_detail(_readmission(spark, d)))
+    return r6(pages.quality_detail(_readmission(B(spark, d))))
 
 
 # --------------------------------------------------------------- sources
@@ -237,7 +249,7 @@ def q_parquet_roundtrip_gold(spark, d):
     shared checkpoint folder, read it back with the explicit schema."""
     base = readers.shared_dir(spark)
     path = f"{base}/roundtrip-{uuid.uuid4().hex}/gold_facility_quarterly_summary"
-    writers.write_gold(fx.fx_quarterly(spark, d), path)
+    writers.write_gold(B(spark, d).quarterly, path)
     back = readers.read_gold_quarterly(spark, path)
     return r6(back.select(*[c for c in back.columns if not c.startswith("s3_")]))
 

@@ -16,12 +16,14 @@ negative census, ...).
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staffwise.functions import ccn
 from staffwise.operators import silver
-from staffwise.operators.joins import broadcast_if_bounded
+from staffwise.operators.joins import broadcast_if_bounded, is_bounded
 from staffwise.sources.schemas import SPLIT_STEMS, STAFF_CATEGORIES
 
 
@@ -43,19 +45,33 @@ def _quarter_label(d: Column) -> Column:
 
 
 def facility_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier x nation -> (s_suppkey, s_name, n_name, s_acctbal)."""
+    """supplier x nation -> (s_suppkey, s_name, s_acctbal, n_name)."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     nation = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "inner").drop(
-        "n_nationkey"
+        "n_nationkey", "s_nationkey"
     )
 
 
-def _with_directory(facts: DataFrame, key: str, directory: DataFrame, how: str = "inner") -> DataFrame:
-    """Join a fact table to the directory on its facility key; the directory
-    is broadcast only when its row count is proven small."""
-    d = broadcast_if_bounded(directory)
-    return facts.join(d, facts[key] == d.s_suppkey, how)
+class Directory:
+    """The facility directory with its size checked once: every join to it
+    gets the broadcast hint only when the check proved it small."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.df = facility_directory(spark, sf_dir)
+        self.small = is_bounded(self.df)
+
+    def side(self, *cols: str) -> DataFrame:
+        d = self.df.select(*cols) if cols else self.df
+        return F.broadcast(d) if self.small else d
+
+    def join(self, facts: DataFrame, key: str, how: str = "inner", cols=()) -> DataFrame:
+        d = self.side(*cols)
+        return facts.join(d, facts[key] == d.s_suppkey, how)
+
+
+def _dir(spark, sf_dir, directory):
+    return directory if directory is not None else Directory(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- staffing
@@ -81,7 +97,7 @@ CATEGORY_RULES = {
 }
 
 
-def fx_staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_staffing(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
     """Silver daily staffing: one row per (supplier, ship date).
 
     lineitem is aggregated first (partial aggregation before the shuffle),
@@ -103,7 +119,7 @@ def fx_staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
             "contract_nursing_hours"
         ),
     )
-    return _with_directory(agg, "l_suppkey", facility_directory(spark, sf_dir)).select(
+    return _dir(spark, sf_dir, directory).join(agg, "l_suppkey", cols=("s_suppkey", "s_name", "n_name")).select(
         ccn("l_suppkey").alias("facility_ccn"),
         "work_date",
         _quarter_label(F.col("work_date")).alias("calendar_quarter"),
@@ -116,11 +132,11 @@ def fx_staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_pbj_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_pbj_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
     """Raw daily staffing file (all strings, one row per lineitem) with the
     dirty values of a real payroll extract."""
     li = table(spark, sf_dir, "lineitem")
-    j = _with_directory(li, "l_suppkey", facility_directory(spark, sf_dir))
+    j = _dir(spark, sf_dir, directory).join(li, "l_suppkey", cols=("s_suppkey", "s_name", "n_name"))
     ok, sk, pk = F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_partkey")
     day = F.col("l_shipdate").cast("date")
     qty_text = F.col("l_quantity").cast("string")
@@ -161,10 +177,10 @@ def fx_pbj_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- facility
 
 
-def fx_provider_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_provider_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
     """Raw provider file: suppliers whose key mod 7 is not 3 (the others
     are facilities missing from the provider file)."""
-    d = facility_directory(spark, sf_dir)
+    d = _dir(spark, sf_dir, directory).df
     sk = F.col("s_suppkey")
     beds = F.when(sk % 10 == 0, F.lit(0)).otherwise(F.lit(5) + sk % 20)
     return d.where(sk % 7 != 3).select(
@@ -188,8 +204,8 @@ def fx_provider_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.clean_facility(fx_provider_raw(spark, sf_dir))
+def fx_facility(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+    return silver.clean_facility(fx_provider_raw(spark, sf_dir, directory))
 
 
 # ---------------------------------------------------------------- measures
@@ -200,7 +216,7 @@ ERROR_TYPE = "error"
 ERROR_MEASURE_NAME = "Short-stay Rehospitalization"
 
 
-def _measure_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _measure_base(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
     """events per (user, event type) for users whose id mod 8 is not 0 (the
     others are facilities without measures), with the user's state."""
     ev = table(spark, sf_dir, "events")
@@ -210,12 +226,11 @@ def _measure_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("user_id", "event_type")
         .agg(F.avg("value").alias("score"))
     )
-    d = facility_directory(spark, sf_dir).select("s_suppkey", "n_name")
-    return _with_directory(base, "user_id", d, "left")
+    return _dir(spark, sf_dir, directory).join(base, "user_id", "left", cols=("s_suppkey", "n_name"))
 
 
-def fx_claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _measure_base(spark, sf_dir).where(F.col("event_type") != SIGNUP_TYPE)
+def fx_claims_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+    b = _measure_base(spark, sf_dir, directory).where(F.col("event_type") != SIGNUP_TYPE)
     et = F.col("event_type")
     null_score = (et == ERROR_TYPE) & (F.col("user_id") % 9 == 0)
     return b.select(
@@ -235,8 +250,8 @@ def fx_claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_vbp_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _measure_base(spark, sf_dir).where(F.col("event_type") == SIGNUP_TYPE)
+def fx_vbp_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+    b = _measure_base(spark, sf_dir, directory).where(F.col("event_type") == SIGNUP_TYPE)
     return b.select(
         F.col("user_id").cast("string").alias(silver.CCN_HEADER),
         F.col("n_name").alias("State"),
@@ -244,19 +259,19 @@ def fx_vbp_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.quality_measures(fx_claims_raw(spark, sf_dir), fx_vbp_raw(spark, sf_dir))
+def fx_quality(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+    d = _dir(spark, sf_dir, directory)
+    return silver.quality_measures(fx_claims_raw(spark, sf_dir, d), fx_vbp_raw(spark, sf_dir, d))
 
 
 # --------------------------------------------------------------- citations
 
 
-def fx_citations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_citations_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
     """Raw citations file: one deficiency per event; every 50th event has a
     non-padded survey date (M/d/yyyy), which does not parse."""
     ev = table(spark, sf_dir, "events")
-    d = facility_directory(spark, sf_dir).select("s_suppkey", "n_name")
-    j = _with_directory(ev, "user_id", d, "left")
+    j = _dir(spark, sf_dir, directory).join(ev, "user_id", "left", cols=("s_suppkey", "n_name"))
     eid = F.col("event_id")
     day = F.col("ts").cast("date")
     return j.select(
@@ -280,19 +295,65 @@ def fx_citations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------- Gold chain
 
 
-def fx_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from staffwise.operators import gold
+class Bindings:
+    """Every binding of one folder of shared tables, each built once (one
+    directory size check, one plan per table), so a query that needs
+    several layers reuses the same sub-plans and Spark can reuse their
+    exchanges."""
 
-    return gold.facility_daily(fx_staffing(spark, sf_dir), fx_facility(spark, sf_dir))
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
+    def directory(self) -> Directory:
+        return Directory(self.spark, self.sf_dir)
 
-def fx_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from staffwise.operators import gold
+    @cached_property
+    def staffing(self) -> DataFrame:
+        return fx_staffing(self.spark, self.sf_dir, self.directory)
 
-    return gold.facility_quarterly(fx_daily(spark, sf_dir))
+    @cached_property
+    def pbj_raw(self) -> DataFrame:
+        return fx_pbj_raw(self.spark, self.sf_dir, self.directory)
 
+    @cached_property
+    def facility(self) -> DataFrame:
+        return fx_facility(self.spark, self.sf_dir, self.directory)
 
-def fx_staffing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from staffwise.operators import gold
+    @cached_property
+    def quality(self) -> DataFrame:
+        return fx_quality(self.spark, self.sf_dir, self.directory)
+
+    @cached_property
+    def citations_raw(self) -> DataFrame:
+        return fx_citations_raw(self.spark, self.sf_dir, self.directory)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        from staffwise.operators import gold
+
+        return gold.facility_daily(self.staffing, self.facility)
 
-    return gold.staffing_quality(fx_quarterly(spark, sf_dir), fx_quality(spark, sf_dir))
+    @cached_property
+    def quarterly(self) -> DataFrame:
+        from staffwise.operators import gold
+
+        return gold.facility_quarterly(self.daily)
+
+    @cached_property
+    def staffing_quality(self) -> DataFrame:
+        from staffwise.operators import gold
+
+        return gold.staffing_quality(self.quarterly, self.quality)
+
+
+def fx_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Bindings(spark, sf_dir).daily
+
+
+def fx_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Bindings(spark, sf_dir).quarterly
+
+
+def fx_staffing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Bindings(spark, sf_dir).staffing_quality
