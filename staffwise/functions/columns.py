@@ -115,13 +115,16 @@ def thousands_text(c: ColumnOrName) -> Column:
 
 
 def fixed_text(c: ColumnOrName, decimals: int) -> Column:
-    """Number with a fixed count of decimals, no separators."""
-    return F.format_string(f"%.{decimals}f", _col(c).cast("double"))
+    """Number with a fixed count of decimals, no separators; NULL stays
+    NULL (Java's formatter would print 'null')."""
+    x = _col(c)
+    return F.when(x.isNotNull(), F.format_string(f"%.{decimals}f", x.cast("double")))
 
 
 def percent_text(c: ColumnOrName, decimals: int = 1) -> Column:
     """Number already in percent units with a percent sign: 87.25 -> '87.3%'."""
-    return F.format_string(f"%.{decimals}f%%", _col(c).cast("double"))
+    x = _col(c)
+    return F.when(x.isNotNull(), F.format_string(f"%.{decimals}f%%", x.cast("double")))
 
 
 # Severity bands of the missing-value percentage (unit is

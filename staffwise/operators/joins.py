@@ -1,10 +1,14 @@
 """Join helpers.
 
-A dimension side is broadcast only behind a proven size bound: its row
-count is checked with ``limit(max_rows + 1).count()`` (the scan stops after
-max_rows + 1 rows, so the check is cheap even on a huge table). Past the
-bound nothing is hinted and Spark plans a shuffle join; AQE may still turn
-it into a broadcast from the real shuffle size at run time.
+A dimension side is broadcast only behind a proven size bound: the check
+``offset(max_rows).isEmpty()`` asks whether a (max_rows + 1)-th row exists.
+It plans as an incremental ``CollectLimit`` over a scan with an empty read
+schema: partitions are scanned one batch at a time until max_rows + 1 rows
+are seen, no column is read and no row leaves the JVM, so the check stays
+cheap on a huge table. (``limit(n).count()`` would run every partition and
+funnel up to n rows per partition into one task.) Past the bound nothing
+is hinted and Spark plans a shuffle join; AQE may still turn it into a
+broadcast from the real shuffle size at run time.
 
 The explicit hint also keeps Spark from broadcasting the *fact* side on a
 plan-time size estimate (a compressed Parquet file can look smaller than
@@ -23,7 +27,8 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return df.offset(max_rows).isEmpty()
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -216,3 +216,67 @@ def filter_values(state_summary: DataFrame, quality_mart: DataFrame) -> DataFram
     key_desc = F.when(desc, F.col("filter_value"))
     w = Window.partitionBy("filter_name").orderBy(key.asc(), key_desc.desc())
     return parts.withColumn("position", F.row_number().over(w))
+
+
+# ---------------------------------------------------------- display tables
+
+# Display labels and number formats of the three page tables,
+# as (column, label, format); format is None for text, "int" for a whole
+# number, "f1"/"f2" for 1/2 decimals, "pct1" for 1 decimal and a percent sign.
+DISPLAY_COLUMNS = {
+    "state_table": [
+        ("state", "state", None),
+        ("facility_count", "Facilities", "int"),
+        ("average_daily_census", "Average daily census", "f1"),
+        ("average_staffing_hprd", "Staffing HPRD", "f2"),
+        ("average_rn_hprd", "RN HPRD", "f2"),
+        ("average_occupancy_percent", "Occupancy proxy", "pct1"),
+        ("average_contract_hour_percent", "Contractor hours", "pct1"),
+    ],
+    "watchlist_table": [
+        ("staffing_rank", "Rank", "int"),
+        ("facility_name", "Facility", None),
+        ("facility_ccn", "CMS CCN", None),
+        ("state", "state", None),
+        ("average_daily_census", "Average daily census", "f1"),
+        ("average_staffing_hprd", "Staffing HPRD", "f2"),
+        ("average_rn_hprd", "RN HPRD", "f2"),
+        ("average_occupancy_percent", "Occupancy proxy", "pct1"),
+        ("contract_hour_percent", "Contractor hours", "pct1"),
+    ],
+    "quality_detail": [
+        ("facility_name", "Facility", None),
+        ("facility_ccn", "CMS CCN", None),
+        ("state", "state", None),
+        ("average_staffing_hprd", "Staffing HPRD", "f2"),
+        ("average_rn_hprd", "RN HPRD", "f2"),
+        ("measure_name", "Quality measure", None),
+        ("measure_score", "Score", "f2"),
+        ("measure_period", "Reporting period", None),
+    ],
+}
+
+
+def _display_value(col: str, fmt: Optional[str]):
+    c = F.col(col)
+    if fmt is None:
+        return c
+    if fmt == "int":
+        return c.cast("long").cast("string")
+    if fmt == "f1":
+        return fixed_text(round_half_up(c, 1), 1)
+    if fmt == "f2":
+        return fixed_text(round_half_up(c, 2), 2)
+    if fmt == "pct1":
+        return percent_text(round_half_up(c, 1), 1)
+    raise ValueError(fmt)
+
+
+def display_table(df: DataFrame, table: str, formatted: bool = True) -> DataFrame:
+    """A page table with display labels as column names and, when
+    ``formatted``, numbers as display texts (values rounded half-up before
+    formatting). Row order is kept."""
+    spec = DISPLAY_COLUMNS[table]
+    if formatted:
+        return df.select(*[_display_value(c, fmt).alias(label) for c, label, fmt in spec])
+    return df.select(*[c for c, _, _ in spec]).withColumnsRenamed({c: label for c, label, _ in spec})

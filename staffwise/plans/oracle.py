@@ -581,6 +581,24 @@ FROM page_state HAVING count(*) > 0""",
             ["average_staffing_hprd", "average_rn_hprd", "measure_score"],
         )
     ),
+    "state_table_display": with_fixtures(
+        f"""SELECT state, CAST(CAST(facility_count AS BIGINT) AS VARCHAR) AS "Facilities",
+  printf('%.1f', {rnd('average_daily_census', 1)}) AS "Average daily census",
+  printf('%.2f', {rnd('average_staffing_hprd', 2)}) AS "Staffing HPRD",
+  printf('%.2f', {rnd('average_rn_hprd', 2)}) AS "RN HPRD",
+  printf('%.1f%%', {rnd('average_occupancy_percent', 1)}) AS "Occupancy proxy",
+  printf('%.1f%%', {rnd('average_contract_hour_percent', 1)}) AS "Contractor hours"
+FROM page_state"""
+    ),
+    "quality_detail_display": with_fixtures(
+        f"""SELECT facility_name AS "Facility", facility_ccn AS "CMS CCN", state,
+  printf('%.2f', {rnd('average_staffing_hprd', 2)}) AS "Staffing HPRD",
+  printf('%.2f', {rnd('average_rn_hprd', 2)}) AS "RN HPRD",
+  measure_name AS "Quality measure",
+  printf('%.2f', {rnd('measure_score', 2)}) AS "Score",
+  measure_period AS "Reporting period"
+FROM page_quality"""
+    ),
     "parquet_roundtrip_gold": with_fixtures(
         r6_select("SELECT * FROM fx_quarterly", _avg_cols(QUARTERLY_COLS))
     ),

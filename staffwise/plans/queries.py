@@ -241,6 +241,14 @@ def q_quality_detail(spark, d):
     return r6(pages.quality_detail(_readmission(B(spark, d))))
 
 
+def q_state_table_display(spark, d):
+    return pages.display_table(pages.state_table(_state_summary(B(spark, d))), "state_table")
+
+
+def q_quality_detail_display(spark, d):
+    return pages.display_table(pages.quality_detail(_readmission(B(spark, d))), "quality_detail")
+
+
 # --------------------------------------------------------------- sources
 
 
@@ -299,6 +307,8 @@ QUERIES: Dict[str, QueryFn] = {
     "watchlist_table": q_watchlist_table,
     "quality_scatter": q_quality_scatter,
     "quality_detail": q_quality_detail,
+    "state_table_display": q_state_table_display,
+    "quality_detail_display": q_quality_detail_display,
     "parquet_roundtrip_gold": q_parquet_roundtrip_gold,
     "landing_inventory": q_landing_inventory,
     "bronze_key": q_bronze_key,

@@ -168,10 +168,12 @@ def spread_if_undersplit(df: DataFrame) -> DataFrame:
     the cluster has cores (e.g. one file of one row group), so map-side
     work is not serialised in a task or two. A scan of a large table already
     has thousands of splits and is returned unchanged: no extra shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave as read
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def shared_dir(spark: SparkSession) -> str:

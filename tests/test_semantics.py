@@ -202,3 +202,28 @@ def test_quarter_default_is_latest_text(spark):
     df = spark.createDataFrame([("2024Q1", "TX"), ("2024Q2", "TX"), ("2024Q2", None)], "calendar_quarter string, state string")
     out = pages.filter_states(pages.choose_quarter(df)).collect()
     assert [(r.calendar_quarter, r.state) for r in out] == [("2024Q2", "TX")]
+
+
+def test_display_table_labels_and_formats(spark):
+    df = spark.createDataFrame(
+        [("TX", 3, 12.345, 2.675, 1.0, 87.25, None)],
+        "state string, facility_count long, average_daily_census double, average_staffing_hprd double, "
+        "average_rn_hprd double, average_occupancy_percent double, average_contract_hour_percent double",
+    )
+    r = pages.display_table(df, "state_table").first().asDict()
+    assert r == {"state": "TX", "Facilities": "3", "Average daily census": "12.3", "Staffing HPRD": "2.68",
+                 "RN HPRD": "1.00", "Occupancy proxy": "87.3%", "Contractor hours": None}
+    raw = pages.display_table(df, "state_table", formatted=False)
+    assert raw.columns[1] == "Facilities" and raw.first()["Staffing HPRD"] == 2.675
+
+
+def test_checked_broadcast_has_a_fallback(spark):
+    from staffwise.operators.joins import broadcast_if_bounded, is_bounded
+
+    dim = spark.range(100)
+    assert is_bounded(dim, 100) and not is_bounded(dim, 99)
+    assert broadcast_if_bounded(dim, 10) is dim  # too big: no hint, shuffle join
+    facts = spark.range(1000).withColumnRenamed("id", "k")
+    small = broadcast_if_bounded(dim, 1000)
+    plan = facts.join(small, facts.k == small.id)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
