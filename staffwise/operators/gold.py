@@ -11,8 +11,11 @@ Scale notes
   aggregation (count/avg/sum are algebraic), so a facility holding a third
   of all rows is pre-aggregated in every task before the shuffle.
 * ``staffing_quality`` joins *after* the quarter aggregation (fan-out =
-  measures per facility on the small table, not on daily rows); the
-  measure side gets the same checked broadcast.
+  measures per facility on the small table, not on daily rows). No hint:
+  a left outer join can only build its right side, so the fact side is
+  never broadcast, and the measure side may be a derived table whose row
+  check would cost a full pass; Spark's own size check and AQE's run-time
+  decision (from the real shuffle size) pick broadcast or sort-merge.
 """
 
 from __future__ import annotations
@@ -80,5 +83,4 @@ def facility_quarterly(daily: DataFrame) -> DataFrame:
 def staffing_quality(quarterly: DataFrame, quality: DataFrame) -> DataFrame:
     """Facility-quarter left-joined with every quality measure of the
     facility (one row with NULL measure columns when there is none)."""
-    measures = broadcast_if_bounded(quality.select(*QUALITY_JOIN_COLUMNS))
-    return quarterly.join(measures, "facility_ccn", "left")
+    return quarterly.join(quality.select(*QUALITY_JOIN_COLUMNS), "facility_ccn", "left")

@@ -10,10 +10,15 @@ funnel up to n rows per partition into one task.) Past the bound nothing
 is hinted and Spark plans a shuffle join; AQE may still turn it into a
 broadcast from the real shuffle size at run time.
 
-The explicit hint also keeps Spark from broadcasting the *fact* side on a
-plan-time size estimate (a compressed Parquet file can look smaller than
-the threshold while holding millions of rows), which would leave the whole
-join to the few tasks of the dimension scan.
+The explicit hint also keeps Spark from broadcasting the *fact* side of an
+inner join on a plan-time size estimate (a compressed Parquet file can look
+smaller than the threshold while holding millions of rows), which would
+leave the whole join to the few tasks of the dimension scan.
+
+Use it on sides whose check is cheap (a scan, filter or projection of a
+table, or a join of such with a small table): the check stops early there.
+A side that is itself an aggregation would be computed in full by the
+check; leave such joins to Spark's and AQE's size checks.
 """
 
 from __future__ import annotations

@@ -197,3 +197,32 @@ def run_all(spark: SparkSession, staffing_csv: str, bronze_folder: str, silver_f
     results.append(silver_to_gold(spark, silver_folder, gold_folder))
     results.append(gold_to_marts(spark, gold_folder, mart_folder))
     return results
+
+
+# -------------------------------------------------------------- profiling
+
+
+def profile_file(spark: SparkSession, csv_path: str, report_folder: Optional[str] = None,
+                 dataset_name: Optional[str] = None, method: str = "exact") -> dict:
+    """Profile a raw CSV file (Windows-1252) into the six report tables;
+    write them as one folder each when ``report_folder`` is given.
+
+    The report tables are small (one row per column or per metric, 20
+    sample rows); the data itself is read by Spark and never collected.
+    """
+    from staffwise.operators import profiling
+
+    raw = readers.read_bronze_cp1252(spark, csv_path)
+    name = dataset_name or csv_path.rstrip("/").split("/")[-1]
+    size = profiling.input_size_bytes(readers.read_bronze_csv(spark, csv_path))
+    tables = {
+        "overview": profiling.profile_overview(raw, name, size),
+        "data_dictionary": profiling.profile_dictionary(raw),
+        "missing_values": profiling.profile_missing(raw),
+        "summary_statistics": profiling.profile_statistics(raw, method),
+        "data_quality": profiling.profile_quality(raw),
+        "sample_data": profiling.profile_sample(raw),
+    }
+    if report_folder:
+        writers.write_report(tables, report_folder)
+    return tables

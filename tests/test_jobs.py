@@ -196,3 +196,18 @@ def test_streaming_ingest_available_now(spark, tmp_path):
     q.awaitTermination()
     # only the new file is processed on the second run
     assert readers.read_silver_staffing(spark, silver_path).count() == 4
+
+
+def test_profile_file_report(spark, lake, tmp_path):
+    tables = jobs.profile_file(spark, f"{lake}/bronze/PBJ_Daily_Nurse_Staffing_Q2_2024.csv", str(tmp_path / "report"))
+    assert set(tables) == {"overview", "data_dictionary", "missing_values", "summary_statistics",
+                           "data_quality", "sample_data"}
+    overview = {r.metric: r.value for r in tables["overview"].collect()}
+    assert overview["Total Rows"] == "13" and overview["Total Columns"] == str(len(PBJ_HEADER))
+    assert float(overview["Input Size (MB)"]) >= 0
+    types = {r.column_name: r.data_type for r in tables["data_dictionary"].collect()}
+    assert types["PROVNUM"] == "object" and types["MDScensus"] == "float64" and types["Hrs_RN"] == "float64"
+    assert tables["sample_data"].columns == PBJ_HEADER
+    assert sorted(os.listdir(tmp_path / "report")) == sorted(tables)
+    # the accented name survives the cp1252 read
+    assert any(r.PROVNAME == "Résidence A" for r in tables["sample_data"].collect())
