@@ -120,11 +120,6 @@ SOURCES = {
     "FACILITY_QUARTERLY_SUMMARY": (GOLD_QUARTERLY, readers.read_gold_quarterly),
     "STAFFING_QUALITY_ANALYSIS": (GOLD_STAFFING_QUALITY, readers.read_gold_staffing_quality),
 }
-MART_TABLES = {
-    "mart_state_staffing_summary": "state_summary",
-    "mart_low_staffing_facilities": "low_staffing",
-    "mart_staffing_quality": "staffing_quality",
-}
 
 
 def gold_to_marts(spark: SparkSession, gold_folder: str, mart_folder: Optional[str] = None,

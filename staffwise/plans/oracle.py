@@ -327,7 +327,8 @@ def _na(col: str) -> str:
 
 PROFILE_NA = "profile_na AS (SELECT " + ", ".join(f"{_na(c)} AS {c}" for c in PBJ_COLUMNS) + " FROM pbj_raw)"
 
-_INT_RE = INT_PATTERN.replace("\\s", "\\s").lstrip("^").rstrip("$")
+# regexp_full_match anchors the whole string itself
+_INT_RE = INT_PATTERN.lstrip("^").rstrip("$")
 
 PROFILE_LONG = "profile_long AS (\n" + "\n  UNION ALL\n".join(
     f"  SELECT {i} AS position, '{c}' AS column_name, {c} AS s FROM profile_na" for i, c in enumerate(PBJ_COLUMNS)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staffwise.functions import bronze_key, round_half_up, sum_columns
-from staffwise.operators import checks, gold, marts, pages, profiling, silver
+from staffwise.operators import checks, marts, pages, profiling, silver
 from staffwise.sources import fixtures as fx
 from staffwise.sources import readers, writers
 from staffwise.sources.schemas import CATEGORY_HOURS

@@ -5,7 +5,6 @@ import csv
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from staffwise.operators.checks import DataCheckError
 from staffwise.plans import jobs
