@@ -30,14 +30,14 @@ from staffwise.sources.schemas import SPLIT_STEMS, STAFF_CATEGORIES
 # Fact tables whose scans are spread when under-split (see
 # ``readers.spread_if_undersplit``); dimensions stay as read so that they
 # keep their broadcast size estimate and no exchange.
-FACT_TABLES = {"lineitem", "events"}
+FACT_TABLES = {"lineitem": "l_orderkey", "events": "event_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from staffwise.sources.readers import spread_if_undersplit
 
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_if_undersplit(df) if name in FACT_TABLES else df
+    return spread_if_undersplit(df, FACT_TABLES[name]) if name in FACT_TABLES else df
 
 
 def _quarter_label(d: Column) -> Column:

@@ -163,17 +163,21 @@ def landing_inventory(spark: SparkSession, folder: str) -> DataFrame:
     ).orderBy("file_name")
 
 
-def spread_if_undersplit(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when it has fewer splits than
-    the cluster has cores (e.g. one file of one row group), so map-side
-    work is not serialised in a task or two. A scan of a large table already
-    has thousands of splits and is returned unchanged: no extra shuffle."""
+def spread_if_undersplit(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan over the cluster when it has fewer splits than the
+    cluster has cores (e.g. one file of one row group), so map-side work is
+    not serialised in a task or two. A scan of a large table already has
+    thousands of splits and is returned unchanged: no extra shuffle.
+
+    The spread hashes a near-unique ``key`` (balanced, and deterministic, so
+    a retried task rebuilds the same partition and identical sub-plans can
+    share one exchange; round-robin would need a sort before it)."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a remote session): leave as read
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target, key) if splits < target else df
 
 
 def shared_dir(spark: SparkSession) -> str:

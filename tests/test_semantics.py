@@ -227,3 +227,14 @@ def test_checked_broadcast_has_a_fallback(spark):
     small = broadcast_if_bounded(dim, 1000)
     plan = facts.join(small, facts.k == small.id)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_mart_lookup_errors_and_lower_case(spark):
+    from staffwise.sources import readers
+
+    with pytest.raises(checks.TableNotFoundError, match="could not be loaded"):
+        readers.load_mart(spark, "no_such_mart_xyz")
+    spark.createDataFrame([("TX", 1)], "STATE string, FACILITY_COUNT long").createOrReplaceTempView("mart_upper_test")
+    df = readers.load_mart(spark, "mart_upper_test", cache=True)
+    assert df.columns == ["state", "facility_count"] and df.count() == 1
+    df.unpersist()
