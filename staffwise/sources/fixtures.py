@@ -40,6 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_if_undersplit(df, FACT_TABLES[name]) if name in FACT_TABLES else df
 
 
+def wall_date(df: DataFrame, name: str) -> Column:
+    """Calendar date of a timestamp column, independent of the session time
+    zone: a plain cast for TIMESTAMP_NTZ (how these files are read by
+    default), UTC epoch days when the column comes back as a session-local
+    TIMESTAMP."""
+    from pyspark.sql.types import TimestampType
+
+    if isinstance(df.schema[name].dataType, TimestampType):
+        return F.date_from_unix_date(F.floor(F.unix_micros(F.col(name)) / 86_400_000_000).cast("int"))
+    return F.col(name).cast("date")
+
+
 def _quarter_label(d: Column) -> Column:
     return F.concat(F.year(d).cast("string"), F.lit("Q"), F.quarter(d).cast("string"))
 
@@ -105,7 +117,7 @@ def fx_staffing(spark: SparkSession, sf_dir: str, directory: "Directory | None"
     """
     li = table(spark, sf_dir, "lineitem")
     qty = F.col("l_quantity")
-    day = li.withColumn("work_date", F.col("l_shipdate").cast("date"))
+    day = li.withColumn("work_date", wall_date(li, "l_shipdate"))
     agg = day.groupBy("l_suppkey", "work_date").agg(
         F.sum(F.col("l_partkey") % 5).cast("int").alias("resident_census"),
         *[
@@ -138,7 +150,7 @@ def fx_pbj_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" =
     li = table(spark, sf_dir, "lineitem")
     j = _dir(spark, sf_dir, directory).join(li, "l_suppkey", cols=("s_suppkey", "s_name", "n_name"))
     ok, sk, pk = F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_partkey")
-    day = F.col("l_shipdate").cast("date")
+    day = wall_date(li, "l_shipdate")
     qty_text = F.col("l_quantity").cast("string")
     provnum = F.when(sk % 13 == 5, F.concat(F.lit(" A"), sk.cast("string"))).otherwise(
         F.concat(F.lit(" "), sk.cast("string"), F.lit(" "))
@@ -273,7 +285,7 @@ def fx_citations_raw(spark: SparkSession, sf_dir: str, directory: "Directory | N
     ev = table(spark, sf_dir, "events")
     j = _dir(spark, sf_dir, directory).join(ev, "user_id", "left", cols=("s_suppkey", "n_name"))
     eid = F.col("event_id")
-    day = F.col("ts").cast("date")
+    day = wall_date(ev, "ts")
     return j.select(
         F.col("user_id").cast("string").alias(silver.CCN_HEADER),
         F.col("n_name").alias("State"),
