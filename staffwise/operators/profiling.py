@@ -178,11 +178,21 @@ def exact_quantiles(
     ``max_window`` values, whatever the size or skew of the column; a value
     holding a third of the rows is a single histogram row.
     """
+    from pyspark import StorageLevel
+
     spark = values.sparkSession
     hist = values if "cnt" in values.columns else values.groupBy("column_name", "v").agg(
         F.count(F.lit(1)).alias("cnt"))
-    hist = hist.select("column_name", "v", F.col("cnt").cast("long").alias("cnt"))
-    probs = [float(p) for p in probs]
+    # read once per pass: keep it for the few passes of this function
+    hist = hist.select("column_name", "v", F.col("cnt").cast("long").alias("cnt")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact_quantiles(spark, hist, [float(p) for p in probs], max_window, buckets)
+    finally:
+        hist.unpersist()
+
+
+def _exact_quantiles(spark, hist: DataFrame, probs: list, max_window: int, buckets: int) -> DataFrame:
     base = _collect_small(hist.groupBy("column_name").agg(
         F.sum("cnt").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
         F.count(F.lit(1)).alias("distinct")))
