@@ -582,6 +582,31 @@ FROM page_state HAVING count(*) > 0""",
             ["average_staffing_hprd", "average_rn_hprd", "measure_score"],
         )
     ),
+    "state_table_selected": with_fixtures(
+        "SELECT state, facility_count, average_daily_census, average_staffing_hprd, average_rn_hprd, "
+        "average_occupancy_percent, average_contract_hour_percent FROM mart_state "
+        "WHERE calendar_quarter = '1998Q3' AND state IN ('NATION_12', 'NATION_13', 'NATION_3', 'NATION_5', 'NATION_9')"
+    ),
+    "watchlist_table_selected": with_fixtures(
+        r6_select(
+            "SELECT staffing_rank, facility_name, facility_ccn, state, average_daily_census, "
+            "average_staffing_hprd, average_rn_hprd, average_occupancy_rate * 100.0 AS average_occupancy_percent, "
+            "contract_hour_percentage, contract_hour_percentage * 100.0 AS contract_hour_percent FROM mart_low "
+            "WHERE calendar_quarter = '1998Q3' AND state IN ('NATION_12', 'NATION_13', 'NATION_3', 'NATION_5', 'NATION_9')",
+            ["average_daily_census", "average_staffing_hprd", "average_rn_hprd", "average_occupancy_percent"],
+        )
+    ),
+    "quality_detail_claims": with_fixtures(
+        r6_select(
+            """SELECT facility_name, facility_ccn, state, average_staffing_hprd, average_rn_hprd,
+  measure_name, measure_score, measure_period
+FROM page_quality_base q
+WHERE quality_source = 'claims_quality_measure'
+  AND measure_name = (SELECT min(measure_name) FROM page_quality_base
+                      WHERE quality_source = 'claims_quality_measure')""",
+            ["average_staffing_hprd", "average_rn_hprd", "measure_score"],
+        )
+    ),
     "state_table_display": with_fixtures(
         f"""SELECT state, CAST(CAST(facility_count AS BIGINT) AS VARCHAR) AS "Facilities",
   printf('%.1f', {rnd('average_daily_census', 1)}) AS "Average daily census",

@@ -241,6 +241,24 @@ def q_quality_detail(spark, d):
     return r6(pages.quality_detail(_readmission(B(spark, d))))
 
 
+# Filter values for the page queries run with explicit selections.
+PAGE_QUARTER = "1998Q3"
+PAGE_STATES = ["NATION_12", "NATION_13", "NATION_3", "NATION_5", "NATION_9"]
+PAGE_SOURCE = "claims_quality_measure"
+
+
+def q_state_table_selected(spark, d):
+    return pages.state_table(_state_summary(B(spark, d)), quarter=PAGE_QUARTER, states=PAGE_STATES)
+
+
+def q_watchlist_table_selected(spark, d):
+    return r6(pages.watchlist_table(_low_staffing(B(spark, d)), quarter=PAGE_QUARTER, states=PAGE_STATES))
+
+
+def q_quality_detail_claims(spark, d):
+    return r6(pages.quality_detail(_readmission(B(spark, d)), source=PAGE_SOURCE))
+
+
 def q_state_table_display(spark, d):
     return pages.display_table(pages.state_table(_state_summary(B(spark, d))), "state_table")
 
@@ -307,6 +325,9 @@ QUERIES: Dict[str, QueryFn] = {
     "watchlist_table": q_watchlist_table,
     "quality_scatter": q_quality_scatter,
     "quality_detail": q_quality_detail,
+    "state_table_selected": q_state_table_selected,
+    "watchlist_table_selected": q_watchlist_table_selected,
+    "quality_detail_claims": q_quality_detail_claims,
     "state_table_display": q_state_table_display,
     "quality_detail_display": q_quality_detail_display,
     "parquet_roundtrip_gold": q_parquet_roundtrip_gold,
