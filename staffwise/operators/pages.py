@@ -203,7 +203,8 @@ def filter_values(state_summary: DataFrame, quality_mart: DataFrame) -> DataFram
             F.lit(name).alias("filter_name"), F.col(col).alias("filter_value")
         ).distinct()
 
-    latest_q = choose_quarter(quality_mart)
+    # sources and measures are offered after the (default) state filter
+    latest_q = filter_states(choose_quarter(quality_mart))
     latest_s = choose_quarter(state_summary)
     parts = (
         distinct(state_summary, "calendar_quarter", "calendar_quarter")

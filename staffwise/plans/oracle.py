@@ -521,9 +521,11 @@ FROM (
   UNION ALL SELECT DISTINCT 'state', state FROM mart_state
     WHERE calendar_quarter = (SELECT max(calendar_quarter) FROM mart_state) AND state IS NOT NULL
   UNION ALL SELECT DISTINCT 'quality_source', quality_source FROM mart_quality
-    WHERE calendar_quarter = (SELECT max(calendar_quarter) FROM mart_quality) AND quality_source IS NOT NULL
+    WHERE calendar_quarter = (SELECT max(calendar_quarter) FROM mart_quality) AND state IS NOT NULL
+      AND quality_source IS NOT NULL
   UNION ALL SELECT DISTINCT 'measure_name', measure_name FROM mart_quality
-    WHERE calendar_quarter = (SELECT max(calendar_quarter) FROM mart_quality) AND measure_name IS NOT NULL
+    WHERE calendar_quarter = (SELECT max(calendar_quarter) FROM mart_quality) AND state IS NOT NULL
+      AND measure_name IS NOT NULL
 ) v"""
     ),
     "overview_kpis": with_fixtures(
