@@ -6,7 +6,7 @@ raising guards collect only that single aggregated row.
 
 from __future__ import annotations
 
-from typing import Iterable, Mapping, Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +89,3 @@ def require_table(spark: SparkSession, name: str) -> DataFrame:
         raise TableNotFoundError(f"Table {name!r} could not be loaded; check that it was built.")
     return spark.table(name)
 
-
-def columns_present(df: DataFrame, columns: Iterable[str]) -> list[str]:
-    have = set(df.columns)
-    return [c for c in columns if c in have]

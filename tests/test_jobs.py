@@ -210,3 +210,22 @@ def test_profile_file_report(spark, lake, tmp_path):
     assert sorted(os.listdir(tmp_path / "report")) == sorted(tables)
     # the accented name survives the cp1252 read
     assert any(r.PROVNAME == "Résidence A" for r in tables["sample_data"].collect())
+
+
+def test_streaming_guard_mode(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    ok_src, bad_src = tmp_path / "ok", tmp_path / "bad"
+    os.makedirs(ok_src)
+    os.makedirs(bad_src)
+    write_csv(str(ok_src / "day1.csv"), PBJ_HEADER, VALID[:2])
+    write_csv(str(bad_src / "day1.csv"), PBJ_HEADER, [VALID[0], VALID[0]])
+    schema = stream_landing.header_schema(spark, str(ok_src / "day1.csv"))
+    out = str(tmp_path / "silver")
+    q = stream_landing.start_staffing_ingest(spark, str(ok_src), out, str(tmp_path / "c1"), schema, guard_duplicates=True)
+    q.awaitTermination()
+    assert spark.read.parquet(f"{out}/batch_id=0").count() == 2
+    q = stream_landing.start_staffing_ingest(spark, str(bad_src), str(tmp_path / "s2"), str(tmp_path / "c2"), schema,
+                                             guard_duplicates=True)
+    with pytest.raises(StreamingQueryException, match="duplicate facility-day"):
+        q.awaitTermination()
