@@ -229,3 +229,14 @@ def test_streaming_guard_mode(spark, tmp_path):
                                              guard_duplicates=True)
     with pytest.raises(StreamingQueryException, match="duplicate facility-day"):
         q.awaitTermination()
+
+
+def test_cp1252_characters_survive(spark, tmp_path):
+    path = tmp_path / "cp1252.csv"
+    text = "name,price\nSaint Mary’s — East,€5\nPlain,7\n"
+    path.write_bytes(text.encode("cp1252"))
+    got = [r.name for r in readers.read_bronze_cp1252(spark, str(path)).collect()]
+    assert got == ["Saint Mary’s — East", "Plain"]
+    # read as ISO-8859-1 only, the same bytes come back as C1 control characters
+    raw = [r.name for r in readers.read_bronze_csv(spark, str(path)).collect()]
+    assert raw[0] != got[0] and "\x92" in raw[0]
