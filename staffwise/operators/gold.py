@@ -80,7 +80,15 @@ def facility_quarterly(daily: DataFrame) -> DataFrame:
     )
 
 
-def staffing_quality(quarterly: DataFrame, quality: DataFrame) -> DataFrame:
+def staffing_quality(quarterly: DataFrame, quality: DataFrame, check_measures: bool = False) -> DataFrame:
     """Facility-quarter left-joined with every quality measure of the
-    facility (one row with NULL measure columns when there is none)."""
-    return quarterly.join(quality.select(*QUALITY_JOIN_COLUMNS), "facility_ccn", "left")
+    facility (one row with NULL measure columns when there is none).
+
+    ``check_measures=True`` broadcasts the measure side behind the row-bound
+    check; use it when that side is a scan (as in the Silver -> Gold job),
+    where the check stops early. Otherwise Spark/AQE size checks decide.
+    """
+    measures = quality.select(*QUALITY_JOIN_COLUMNS)
+    if check_measures:
+        measures = broadcast_if_bounded(measures)
+    return quarterly.join(measures, "facility_ccn", "left")

@@ -108,7 +108,9 @@ def silver_to_gold(spark: SparkSession, silver_folder: str, gold_folder: str) ->
     writers.write_gold(quarterly, paths[GOLD_QUARTERLY])
     quarterly_back = _data_columns(readers.read_gold_quarterly(spark, paths[GOLD_QUARTERLY]))
 
-    writers.write_gold(gold.staffing_quality(quarterly_back, quality), paths[GOLD_STAFFING_QUALITY])
+    # the measure side is a Silver scan: its row-bound check is cheap
+    writers.write_gold(gold.staffing_quality(quarterly_back, quality, check_measures=True),
+                       paths[GOLD_STAFFING_QUALITY])
     return JobResult("silver_to_gold", paths)
 
 
