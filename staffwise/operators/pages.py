@@ -158,14 +158,43 @@ def watchlist_table(low_staffing: DataFrame, quarter=None, states=None) -> DataF
 # ------------------------------------------------------ staffing & quality
 
 
-def _quality_page(quality_mart: DataFrame, quarter, states, source, measure) -> DataFrame:
-    d = filter_states(choose_quarter(quality_mart, quarter), states)
+def _quality_filter(states, source) -> F.Column:
+    keep = F.col("state").isNotNull() if states is None else F.col("state").isin(list(states))
     if source is not None and source != ALL_SOURCES:
-        d = d.where(F.col("quality_source") == F.lit(source))
-    if measure is None:
-        first = d.agg(F.min("measure_name")).scalar()
-        return d.where(F.col("measure_name") == first)
-    return d.where(F.col("measure_name") == F.lit(measure))
+        keep = keep & (F.col("quality_source") == F.lit(source))
+    return keep
+
+
+def _quality_page(quality_mart: DataFrame, quarter, states, source, measure) -> DataFrame:
+    """Rows of one quarter (default: latest of the whole mart), the selected
+    states and source, and one measure (default: the first name, in
+    alphabetical order, among the rows left by those filters).
+
+    Both defaults come from ONE small aggregation -- per quarter, the first
+    measure name among the kept rows -- instead of two nested scalar
+    subqueries, so the mart is read twice, not three times. The one-row
+    result is broadcast (bounded by ``limit(1)``) and joined back.
+    """
+    keep = _quality_filter(states, source)
+    q, m = F.col("calendar_quarter"), F.col("measure_name")
+    rows = quality_mart.where(keep)
+    if quarter is not None and measure is not None:
+        return rows.where((q == F.lit(quarter)) & (m == F.lit(measure)))
+    if quarter is None:
+        per_quarter = (
+            quality_mart.where(q.isNotNull())
+            .groupBy("calendar_quarter")
+            .agg(F.min(F.when(keep, m)).alias("_m"))
+        )
+        chosen = per_quarter.orderBy(q.desc()).limit(1)
+    else:
+        chosen = rows.where(q == F.lit(quarter)).agg(F.min(m).alias("_m")).select(
+            F.lit(quarter).alias("calendar_quarter"), "_m"
+        )
+    if measure is not None:
+        chosen = chosen.withColumn("_m", F.lit(measure))
+    chosen = F.broadcast(chosen.select(q.alias("_q"), "_m"))
+    return rows.join(chosen, (q == F.col("_q")) & (m == F.col("_m"))).drop("_q", "_m")
 
 
 def quality_scatter(quality_mart: DataFrame, quarter=None, states=None,

@@ -238,3 +238,25 @@ def test_mart_lookup_errors_and_lower_case(spark):
     df = readers.load_mart(spark, "mart_upper_test", cache=True)
     assert df.columns == ["state", "facility_count"] and df.count() == 1
     df.unpersist()
+
+
+def test_quality_page_defaults_and_selections(spark):
+    df = spark.createDataFrame(
+        [("1", "A", "TX", "2024Q2", "claims", "b-measure", 1.0, 1.0, 1.0, 1.0, "p"),
+         ("2", "B", "TX", "2024Q2", "vbp", "a-measure", 2.0, 1.0, 1.0, 1.0, "p"),
+         ("3", "C", None, "2024Q2", "claims", "0-null-state", 3.0, 1.0, 1.0, 1.0, "p"),
+         ("4", "D", "CA", "2024Q1", "claims", "a-measure", 4.0, 1.0, 1.0, 1.0, "p")],
+        "facility_ccn string, facility_name string, state string, calendar_quarter string, quality_source string, "
+        "measure_name string, measure_score double, average_staffing_hprd double, average_rn_hprd double, "
+        "average_daily_census double, measure_period string",
+    )
+
+    def ccns(**kw):
+        return sorted(r.facility_ccn for r in pages.quality_detail(df, **kw).collect())
+
+    assert ccns() == ["2"]  # latest quarter, NULL state dropped, first measure
+    assert ccns(source="claims") == ["1"]
+    assert ccns(quarter="2024Q1") == ["4"]
+    assert ccns(measure="b-measure") == ["1"]
+    assert ccns(quarter="2024Q1", measure="a-measure") == ["4"]
+    assert ccns(states=["CA"]) == []  # latest quarter has no CA rows
