@@ -240,3 +240,32 @@ def test_cp1252_characters_survive(spark, tmp_path):
     # read as ISO-8859-1 only, the same bytes come back as C1 control characters
     raw = [r.name for r in readers.read_bronze_csv(spark, str(path)).collect()]
     assert raw[0] != got[0] and "\x92" in raw[0]
+
+
+def test_guard_runs_before_validity(spark, tmp_path):
+    # two rows of the same alphanumeric key and day: both would be filtered
+    # out as invalid, yet the duplicate guard (which runs first) fails the job
+    path = str(tmp_path / "dup_invalid.csv")
+    write_csv(path, PBJ_HEADER, [INVALID[0], INVALID[0]])
+    with pytest.raises(DataCheckError, match="duplicate"):
+        jobs.staffing_bronze_to_silver(spark, path, str(tmp_path / "silver"))
+
+
+def test_csv_blanks_and_spaces(spark, tmp_path):
+    path = tmp_path / "blanks.csv"
+    path.write_text('a,b,c\n,"", x \n', encoding="latin-1")
+    r = readers.read_bronze_csv(spark, str(path)).first()
+    assert r.a is None and r.b is None and r.c == " x "
+
+
+def test_static_and_dynamic_overwrite(spark, tmp_path):
+    from staffwise.sources import writers
+
+    path = str(tmp_path / "gold")
+    cols = "facility_ccn string, calendar_quarter string, state string, v double"
+    writers.write_gold(spark.createDataFrame([("1", "2024Q1", "TX", 1.0), ("2", "2024Q2", "TX", 2.0)], cols), path)
+    writers.write_gold(spark.createDataFrame([("3", "2024Q2", "TX", 3.0)], cols), path, dynamic=True)
+    got = sorted(r.facility_ccn for r in spark.read.parquet(path).collect())
+    assert got == ["1", "3"]  # 2024Q1 kept, 2024Q2 replaced
+    writers.write_gold(spark.createDataFrame([("4", "2024Q3", "TX", 4.0)], cols), path)
+    assert [r.facility_ccn for r in spark.read.parquet(path).collect()] == ["4"]  # static: whole table

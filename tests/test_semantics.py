@@ -260,3 +260,22 @@ def test_quality_page_defaults_and_selections(spark):
     assert ccns(measure="b-measure") == ["1"]
     assert ccns(quarter="2024Q1", measure="a-measure") == ["4"]
     assert ccns(states=["CA"]) == []  # latest quarter has no CA rows
+
+
+def test_alphanumeric_keys_kept_outside_staffing(spark):
+    provider = spark.createDataFrame(
+        [(" A5", "N", "TX", "10", "1", "x", "1", "1", "1", "1")],
+        "`CMS Certification Number (CCN)` string, `Provider Name` string, State string, "
+        "`Number of Certified Beds` string, `Average Number of Residents per Day` string, `Ownership Type` string, "
+        "`Overall Rating` string, `Staffing Rating` string, `Total nursing staff turnover` string, "
+        "`Registered Nurse turnover` string",
+    )
+    assert silver.clean_facility(provider).first().facility_ccn == "0000A5"
+
+
+def test_renamed_facility_gives_two_quarter_rows(spark):
+    staffing, facility = _daily_input(spark)
+    renamed = staffing.withColumn(
+        "facility_name", F.when(F.col("resident_census") == 0, F.lit("A renamed")).otherwise(F.col("facility_name")))
+    q = gold.facility_quarterly(gold.facility_daily(renamed, facility.dropDuplicates()))
+    assert q.where("facility_ccn = '000001'").count() == 2
