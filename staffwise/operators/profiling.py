@@ -171,9 +171,9 @@ def exact_quantiles(
 
     Each target rank q*(n-1) starts with the window [min, max]. While a
     window holds more than ``max_window`` distinct values it is cut into
-    ``buckets`` equal-width buckets, counted in one aggregation (a few
-    numbers per bucket reach the driver), and narrowed to the bucket(s)
-    holding the rank. Then one pass ranks the distinct values inside each
+    ``buckets`` equal-width buckets, counted in one aggregation with
+    cumulative counts per target (only the one or two buckets holding the
+    rank reach the driver), and narrowed to them. Then one pass ranks the distinct values inside each
     window with a window function. No task ever sorts more than
     ``max_window`` values, whatever the size or skew of the column; a value
     holding a third of the rows is a single histogram row.
@@ -210,36 +210,37 @@ def _exact_quantiles(spark, hist: DataFrame, probs: list, max_window: int, bucke
         if not open_t:
             break
         win = F.broadcast(spark.createDataFrame(
-            [(t["column_name"], t["q"], t["lo"], t["hi"]) for t in open_t], schema))
+            [(t["column_name"], t["q"], t["lo"], t["hi"], t["below"], t["r_lo"], t["r_hi"]) for t in open_t],
+            schema + ", below long, r_lo long, r_hi long"))
         width = (F.col("hi") - F.col("lo")) / buckets
         b = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(buckets - 1)).cast("int")
         counted = (
             hist.join(win, "column_name")
             .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-            .groupBy("column_name", "q", b.alias("b"))
+            .groupBy("column_name", "q", "below", "r_lo", "r_hi", b.alias("b"))
             .agg(F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("distinct"),
                  F.min("v").alias("bmin"), F.max("v").alias("bmax"))
         )
+        # cumulative counts over at most ``buckets`` rows per target, on the
+        # executors; only the (at most two) buckets holding the target ranks
+        # reach the driver
+        w = Window.partitionBy("column_name", "q").orderBy("b").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        start = F.col("below") + F.sum("cnt").over(w) - F.col("cnt")
+        hits = counted.withColumn("start", start).where(
+            (F.col("start") <= F.col("r_hi")) & (F.col("start") + F.col("cnt") > F.col("r_lo")))
         per_target = {}
-        for r in _collect_small(counted):
+        for r in _collect_small(hits):
             per_target.setdefault((r.column_name, r.q), []).append(r)
         for t in open_t:
             rows = sorted(per_target[(t["column_name"], t["q"])], key=lambda r: r.b)
-            seen, first, last = t["below"], None, None
-            for r in rows:
-                if first is None and seen + r.cnt > t["r_lo"]:
-                    first = (r, seen)
-                if seen + r.cnt > t["r_hi"]:
-                    last = r
-                    break
-                seen += r.cnt
-            (r_first, below) = first
-            if r_first.b != last.b:
+            first, last = rows[0], rows[-1]
+            if first.b != last.b:
                 # adjacent ranks split across buckets: the last value of one
                 # bucket and the first value of the next are the answer
-                t.update(v_lo=r_first.bmax, v_hi=last.bmin, distinct=0, lo=0.0, hi=0.0)
+                t.update(v_lo=first.bmax, v_hi=last.bmin, distinct=0, lo=0.0, hi=0.0)
             else:
-                t.update(lo=r_first.bmin, hi=r_first.bmax, below=below, distinct=r_first.distinct)
+                t.update(lo=first.bmin, hi=first.bmax, below=first.start, distinct=first.distinct)
     done = [t for t in targets if "v_lo" in t]
     todo = [t for t in targets if "v_lo" not in t]
     out = [(t["column_name"], t["q"], t["v_lo"] + (t["v_hi"] - t["v_lo"]) * (t["pos"] - t["r_lo"])) for t in done]
