@@ -38,7 +38,7 @@ def r6(df: DataFrame, cols=None) -> DataFrame:
 # ------------------------------------------------------------------ Silver
 
 
-def B(spark, d) -> fx.Bindings:
+def _bindings(spark, d) -> fx.Bindings:
     return fx.Bindings(spark, d)
 
 
@@ -47,23 +47,23 @@ def _clean(b: fx.Bindings) -> DataFrame:
 
 
 def q_clean_staffing(spark, d):
-    return _clean(B(spark, d))
+    return _clean(_bindings(spark, d))
 
 
 def q_valid_staffing(spark, d):
-    return silver.valid_staffing(_clean(B(spark, d)))
+    return silver.valid_staffing(_clean(_bindings(spark, d)))
 
 
 def q_rejected_staffing_reasons(spark, d):
-    return silver.rejected_reason_counts(_clean(B(spark, d)))
+    return silver.rejected_reason_counts(_clean(_bindings(spark, d)))
 
 
 def q_duplicate_keys(spark, d):
-    return checks.duplicate_key_count(_clean(B(spark, d)), ["facility_ccn", "work_date"])
+    return checks.duplicate_key_count(_clean(_bindings(spark, d)), ["facility_ccn", "work_date"])
 
 
 def q_horizontal_hours(spark, d):
-    s = _clean(B(spark, d))
+    s = _clean(_bindings(spark, d))
     return s.select(
         "facility_ccn", "work_date",
         sum_columns(CATEGORY_HOURS).alias("total_nursing_hours"),
@@ -72,30 +72,30 @@ def q_horizontal_hours(spark, d):
 
 
 def q_union_measures(spark, d):
-    return r6(B(spark, d).quality)
+    return r6(_bindings(spark, d).quality)
 
 
 def q_clean_facility(spark, d):
-    return B(spark, d).facility
+    return _bindings(spark, d).facility
 
 
 def q_clean_citations(spark, d):
-    return silver.clean_citations(B(spark, d).citations_raw)
+    return silver.clean_citations(_bindings(spark, d).citations_raw)
 
 
 # -------------------------------------------------------------------- Gold
 
 
 def q_facility_daily(spark, d):
-    return B(spark, d).daily
+    return _bindings(spark, d).daily
 
 
 def q_facility_quarterly(spark, d):
-    return r6(B(spark, d).quarterly)
+    return r6(_bindings(spark, d).quarterly)
 
 
 def q_staffing_quality(spark, d):
-    return r6(B(spark, d).staffing_quality)
+    return r6(_bindings(spark, d).staffing_quality)
 
 
 # --------------------------------------------------------- staging + marts
@@ -118,31 +118,31 @@ def _readmission(b: fx.Bindings) -> DataFrame:
 
 
 def q_stg_daily(spark, d):
-    return marts.stg_daily(B(spark, d).daily)
+    return marts.stg_daily(_bindings(spark, d).daily)
 
 
 def q_stg_quarterly(spark, d):
-    return r6(_stg_quarterly(B(spark, d)))
+    return r6(_stg_quarterly(_bindings(spark, d)))
 
 
 def q_stg_quality(spark, d):
-    return r6(marts.stg_quality(B(spark, d).staffing_quality))
+    return r6(marts.stg_quality(_bindings(spark, d).staffing_quality))
 
 
 def q_state_summary(spark, d):
-    return _state_summary(B(spark, d))
+    return _state_summary(_bindings(spark, d))
 
 
 def q_low_staffing(spark, d):
-    return r6(_low_staffing(B(spark, d)))
+    return r6(_low_staffing(_bindings(spark, d)))
 
 
 def q_readmission_quality(spark, d):
-    return r6(_readmission(B(spark, d)))
+    return r6(_readmission(_bindings(spark, d)))
 
 
 def q_not_null_results(spark, d):
-    b = B(spark, d)
+    b = _bindings(spark, d)
     stg_q = marts.stg_quarterly(b.quarterly)
     stg_qual = marts.stg_quality(b.staffing_quality)
     return checks.not_null_results(
@@ -166,7 +166,7 @@ PROFILE_NAME = "PBJ_Daily_Nurse_Staffing"
 
 
 def _raw(spark, d):
-    return B(spark, d).pbj_raw
+    return _bindings(spark, d).pbj_raw
 
 
 def q_profile_overview(spark, d):
@@ -197,48 +197,48 @@ def q_profile_sample(spark, d):
 
 
 def q_filter_values(spark, d):
-    b = B(spark, d)
+    b = _bindings(spark, d)
     return pages.filter_values(_state_summary(b), _readmission(b))
 
 
 def q_overview_kpis(spark, d):
-    return r6(pages.overview_kpis(_state_summary(B(spark, d))))
+    return r6(pages.overview_kpis(_state_summary(_bindings(spark, d))))
 
 
 def q_overview_bar(spark, d):
-    return pages.overview_bar(_state_summary(B(spark, d)))
+    return pages.overview_bar(_state_summary(_bindings(spark, d)))
 
 
 def q_overview_scatter(spark, d):
-    return pages.overview_scatter(_state_summary(B(spark, d)))
+    return pages.overview_scatter(_state_summary(_bindings(spark, d)))
 
 
 def q_state_grouped_bar(spark, d):
-    return pages.state_grouped_bar(_state_summary(B(spark, d)))
+    return pages.state_grouped_bar(_state_summary(_bindings(spark, d)))
 
 
 def q_contractor_bar(spark, d):
-    return pages.contractor_bar(_state_summary(B(spark, d)))
+    return pages.contractor_bar(_state_summary(_bindings(spark, d)))
 
 
 def q_state_table(spark, d):
-    return pages.state_table(_state_summary(B(spark, d)))
+    return pages.state_table(_state_summary(_bindings(spark, d)))
 
 
 def q_watchlist_scatter(spark, d):
-    return r6(pages.watchlist_scatter(_low_staffing(B(spark, d))))
+    return r6(pages.watchlist_scatter(_low_staffing(_bindings(spark, d))))
 
 
 def q_watchlist_table(spark, d):
-    return r6(pages.watchlist_table(_low_staffing(B(spark, d))))
+    return r6(pages.watchlist_table(_low_staffing(_bindings(spark, d))))
 
 
 def q_quality_scatter(spark, d):
-    return r6(pages.quality_scatter(_readmission(B(spark, d))))
+    return r6(pages.quality_scatter(_readmission(_bindings(spark, d))))
 
 
 def q_quality_detail(spark, d):
-    return r6(pages.quality_detail(_readmission(B(spark, d))))
+    return r6(pages.quality_detail(_readmission(_bindings(spark, d))))
 
 
 # Filter values for the page queries run with explicit selections.
@@ -248,23 +248,23 @@ PAGE_SOURCE = "claims_quality_measure"
 
 
 def q_state_table_selected(spark, d):
-    return pages.state_table(_state_summary(B(spark, d)), quarter=PAGE_QUARTER, states=PAGE_STATES)
+    return pages.state_table(_state_summary(_bindings(spark, d)), quarter=PAGE_QUARTER, states=PAGE_STATES)
 
 
 def q_watchlist_table_selected(spark, d):
-    return r6(pages.watchlist_table(_low_staffing(B(spark, d)), quarter=PAGE_QUARTER, states=PAGE_STATES))
+    return r6(pages.watchlist_table(_low_staffing(_bindings(spark, d)), quarter=PAGE_QUARTER, states=PAGE_STATES))
 
 
 def q_quality_detail_claims(spark, d):
-    return r6(pages.quality_detail(_readmission(B(spark, d)), source=PAGE_SOURCE))
+    return r6(pages.quality_detail(_readmission(_bindings(spark, d)), source=PAGE_SOURCE))
 
 
 def q_state_table_display(spark, d):
-    return pages.display_table(pages.state_table(_state_summary(B(spark, d))), "state_table")
+    return pages.display_table(pages.state_table(_state_summary(_bindings(spark, d))), "state_table")
 
 
 def q_quality_detail_display(spark, d):
-    return pages.display_table(pages.quality_detail(_readmission(B(spark, d))), "quality_detail")
+    return pages.display_table(pages.quality_detail(_readmission(_bindings(spark, d))), "quality_detail")
 
 
 # --------------------------------------------------------------- sources
@@ -275,7 +275,7 @@ def q_parquet_roundtrip_gold(spark, d):
     shared checkpoint folder, read it back with the explicit schema."""
     base = readers.shared_dir(spark)
     path = f"{base}/roundtrip-{uuid.uuid4().hex}/gold_facility_quarterly_summary"
-    writers.write_gold(B(spark, d).quarterly, path)
+    writers.write_gold(_bindings(spark, d).quarterly, path)
     back = readers.read_gold_quarterly(spark, path)
     return r6(back.select(*[c for c in back.columns if not c.startswith("s3_")]))
 
