@@ -72,25 +72,27 @@ def main() -> None:
     from staffwise.plans.queries import QUERIES
 
     names = only or HEADLINE
-    results = {}
+    results, errors = {}, {}
     for name in names:
         fn = QUERIES[name]
-        run_once(spark, fn, sf_dir)  # warm-up
-        results[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeat)), 3)
+        try:
+            run_once(spark, fn, sf_dir)  # warm-up
+            results[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeat)), 3)
+        except Exception as e:  # keep timing the others; report the failure
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)$", sf_dir)
-    print(
-        json.dumps(
-            {
-                "metric": "headline_queries_total_median_sec",
-                "value": round(sum(results.values()), 3),
-                "unit": "sec",
-                "queries": results,
-                "sf": float(m.group(1)) if m else sf_dir,
-                "cpus": cpus,
-                "repeat": repeat,
-            }
-        )
-    )
+    out = {
+        "metric": "headline_queries_total_median_sec",
+        "value": round(sum(results.values()), 3),
+        "unit": "sec",
+        "queries": results,
+        "sf": float(m.group(1)) if m else sf_dir,
+        "cpus": cpus,
+        "repeat": repeat,
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
