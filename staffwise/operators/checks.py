@@ -47,15 +47,20 @@ def not_null_results(tests: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Da
     return out
 
 
-def assert_passed(results: DataFrame) -> None:
-    """Raise when any test row failed (collects only failing rows, at most
-    one per tested column)."""
-    failed = results.where(~F.col("passed")).collect()
+def raise_failed(rows) -> None:
+    """Raise when any collected test row failed."""
+    failed = [r for r in rows if not r.passed]
     if failed:
         desc = ", ".join(f"{r.table_name}.{r.column_name}={r.failing_rows}" for r in failed)
         raise DataCheckError(f"not_null tests failed: {desc}")
 
 
+def assert_passed(results: DataFrame) -> None:
+    """Raise when any test row failed (collects only failing rows, at most
+    one per tested column)."""
+    raise_failed(results.where(~F.col("passed")).collect())
+
+
 def duplicate_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: number of key values that occur more than once.
 

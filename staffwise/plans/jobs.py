@@ -134,9 +134,9 @@ def gold_to_marts(spark: SparkSession, gold_folder: str, mart_folder: Optional[s
     results = []
 
     def test(tests):
-        r = checks.not_null_results(tests)
-        checks.assert_passed(r)
-        results.extend(r.collect())
+        rows = checks.not_null_results(tests).collect()  # one row per tested column
+        checks.raise_failed(rows)
+        results.extend(rows)
 
     test({name: (df, ["facility_ccn"]) for name, df in raw.items()})
     stg = {

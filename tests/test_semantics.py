@@ -279,3 +279,12 @@ def test_renamed_facility_gives_two_quarter_rows(spark):
         "facility_name", F.when(F.col("resident_census") == 0, F.lit("A renamed")).otherwise(F.col("facility_name")))
     q = gold.facility_quarterly(gold.facility_daily(renamed, facility.dropDuplicates()))
     assert q.where("facility_ccn = '000001'").count() == 2
+
+
+def test_not_null_failure_is_reported(spark):
+    df = spark.createDataFrame([("1", None), (None, None)], "facility_ccn string, work_date date")
+    res = checks.not_null_results({"t": (df, ["facility_ccn", "work_date"])})
+    rows = {r.column_name: (r.failing_rows, r.passed) for r in res.collect()}
+    assert rows == {"facility_ccn": (1, False), "work_date": (2, False)}
+    with pytest.raises(checks.DataCheckError, match=r"t.facility_ccn=1, t.work_date=2"):
+        checks.assert_passed(res)
