@@ -53,3 +53,15 @@ def test_top_value_ties_take_smallest_and_duplicates(spark):
     assert P.duplicate_rows(df).first()[0] == 2
     sample = P.profile_sample(df, 3).collect()
     assert [tuple(r) for r in sample] == [("a", "1"), ("a", "1"), ("b", "1")]
+
+
+def test_approx_method_close_to_exact(spark):
+    from staffwise.sources import fixtures as fx
+
+    raw = fx.fx_pbj_raw(spark, SF0001).select("MDScensus", "Hrs_RN", "WorkDate")
+    exact = {r.column_name: r for r in P.profile_statistics(raw).collect()}
+    approx = {r.column_name: r for r in P.profile_statistics(raw, method="approx").collect()}
+    for col in ("MDScensus", "Hrs_RN"):
+        for q in ("p25", "p50", "p75"):
+            assert approx[col][q] == pytest.approx(exact[col][q], abs=1.0)
+    assert approx["WorkDate"].p50 is None  # text column: no quartiles
