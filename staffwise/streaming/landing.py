@@ -43,14 +43,16 @@ def staffing_stream(spark: SparkSession, bronze_folder: str, schema: T.StructTyp
 
 
 def start_staffing_ingest(spark: SparkSession, bronze_folder: str, silver_path: str, checkpoint: str,
-                          schema: T.StructType, guard_duplicates: bool = False) -> StreamingQuery:
+                          schema: T.StructType, guard_duplicates: bool = False,
+                          max_files_per_trigger: Optional[int] = None) -> StreamingQuery:
     """Start the incremental ingest (available-now trigger).
 
     Default: Parquet file sink partitioned by state (exactly-once through
     the sink's commit log). With ``guard_duplicates=True`` every micro-batch
     is checked for duplicate facility-days before it is appended.
     """
-    stream = staffing_stream(spark, bronze_folder, schema)
+    # a large backlog is cut into micro-batches of at most that many files
+    stream = staffing_stream(spark, bronze_folder, schema, max_files_per_trigger=max_files_per_trigger)
     if not guard_duplicates:
         return (
             stream.writeStream.format("parquet")
