@@ -10,6 +10,8 @@ from staffwise.llm.exact_dedup import exact_dedup
 from staffwise.llm.mixing import pareto_mix
 from staffwise.llm.shared import documents
 from staffwise.llm.sharding import shard_lpt
+from staffwise.llm.simhash import simhash_components
+from staffwise.llm.token_files import token_files
 
 
 def op1_pareto_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -25,6 +27,10 @@ def op2_suffix_decontamination(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op5_simhash_components(spark: SparkSession, d: str) -> DataFrame:
+    return simhash_components(documents(spark, d))
+
+
 def op6_heavy_hitter_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup(documents(spark, d))
 
@@ -33,13 +39,25 @@ def op9_lpt_sharding(spark: SparkSession, d: str) -> DataFrame:
     return shard_lpt(documents(spark, d), 40).drop("group")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_huffman_token_files(spark: SparkSession, d: str) -> DataFrame:
+    return token_files(documents(spark, d), tokenizer_path())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pareto_mix,
         op2_suffix_decontamination,
+        op5_simhash_components,
         op6_heavy_hitter_dedup,
         op9_lpt_sharding,
+        op10_huffman_token_files,
     )
 }
 
