@@ -16,13 +16,16 @@ reaches 1 becomes a certain copy.
 
 No task orders a whole source: q / (1 + q) lies in (0, 1) and is cut into
 ``buckets`` equal ranges, the words of each range are summed per source, and
-only the range that holds the cut is ordered row by row. What is collected is
-one row per source (name, size).
+only the range that holds the cut is ordered row by row. The outcome is a plan
+of one row per source (target, cut, best-fitting document). Whether a document
+is taken follows from the plan and its own row, so texts are never shuffled.
+One row per source (name, size) is collected; the plan is broadcast up to
+``MAX_BROADCAST_SOURCES`` rows and joined otherwise.
 
 Defined results: null text has size 0, as has empty text; a null source is a
-source of its own, last in order; equal ranks go by id, a null id first;
-repeated rows are ranked together and each may be taken. A source without
-words takes none. At most ``max_copies`` copies of a document are taken.
+source of its own, last in order; equal ranks go by id, a null id first; rows
+of equal id and source are taken or left together. A source without words
+takes none. At most ``max_copies`` copies of a document are taken.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 BUCKETS = 4096
+MAX_BROADCAST_SOURCES = 100_000
 SEED = 17
 
 
@@ -63,13 +67,14 @@ def targets(sizes: list[int], weights: list[float], most: float = MAX_COPIES) ->
 
 
 def source_targets(spark: SparkSession, rows: DataFrame, weights: tuple[float, ...], most: float) -> DataFrame:
-    """One row per source: source, source_size, target."""
+    """One row per source: of, source_size, target."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("size")).collect()  # one row per source
     sizes.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-32-be")))
     share = targets([r["size"] for r in sizes], [weights[i % len(weights)] for i in range(len(sizes))], most)
-    return spark.createDataFrame(
-        [(r["source"], r["size"], t) for r, t in zip(sizes, share)], "source string, source_size long, target double"
+    plan = spark.createDataFrame(
+        [(r["source"], r["size"], t) for r, t in zip(sizes, share)], "of string, source_size long, target double"
     )
+    return F.broadcast(plan) if len(sizes) <= MAX_BROADCAST_SOURCES else plan
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -77,78 +82,125 @@ def uniform(key: Column, seed: int) -> Column:
     return (F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 52)) + 0.5) / float(1 << 52)
 
 
-def pareto_mix(
-    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED, weight_col: str | None = None,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", buckets: int = BUCKETS,
+def known_id(doc_id: Column) -> Column:
+    """An id that compares: null is smallest."""
+    return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
+
+
+def ranked(rows: DataFrame, plan: DataFrame, max_copies: int, seed: int, buckets: int) -> DataFrame:
+    """``rows`` (id, source, weight, ...) with the plan of their source, certain copies, inclusion probability, rank and range."""
+    scale = F.when(F.col("mean") > 0, F.col("weight") / F.col("mean")).otherwise(1.0)
+    expected = F.least(F.col("target") / F.greatest("source_size", F.lit(1)) * scale, F.lit(float(max_copies)))
+    odds = lambda x: x / (1 - x)
+    return (
+        rows.join(plan, rows["source"].eqNullSafe(plan["of"]), "left")
+        .withColumn("expected", expected)
+        .withColumn("certain", F.floor(F.col("expected") + 1e-9))
+        .withColumn("p", F.greatest(F.col("expected") - F.col("certain"), F.lit(0.0)))
+        .withColumn("q", odds(uniform(F.col("id"), seed)) / odds(F.col("p")))
+        .withColumn("rank", F.when(F.col("p") > 0, F.col("q") / (1 + F.col("q"))))
+        .withColumn("range", F.least(F.floor(F.col("rank") * buckets), F.lit(buckets - 1)).cast("int"))
+    )
+
+
+def taken_extra() -> Column:
+    """Whether the sample takes a ranked row that carries its source's plan."""
+    place = F.struct("rank", known_id(F.col("id")).alias("id"))
+    before_cut = (F.col("range") < F.col("cut_range")) | ((F.col("range") == F.col("cut_range")) & (place <= F.col("cut")))
+    return F.coalesce(before_cut, F.lit(False))
+
+
+def copies_taken() -> Column:
+    extra = taken_extra() | F.coalesce((F.col("p") > 0) & (known_id(F.col("id")) == F.col("best_id")), F.lit(False))
+    return (F.col("certain") + extra.cast("int")).cast("long")
+
+
+def mix_plan(
+    docs: DataFrame, weights: tuple[float, ...], max_copies: int, seed: int, weight_col: str | None, id_col: str, text_col: str, source_col: str, buckets: int,
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (words), copies, source, row_no."""
+    """One row per source: of, source_size, target, mean (weight), cut_range, cut (rank and id of the last taken), best_id."""
     spark = docs.sparkSession
     rows = stored(
         docs.select(
-            F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"), F.col(source_col).alias("source"),
-            (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("weight"), F.monotonically_increasing_id().alias("row_no"),
+            F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+            (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("weight"),
         ),
         "mix-rows",
     )
+    sources = source_targets(spark, rows, weights, max_copies)
     mean = rows.groupBy("source").agg((F.sum(F.col("weight") * F.col("size")) / F.greatest(F.sum("size"), F.lit(1))).alias("mean"))
-    wanted = source_targets(spark, rows, weights, max_copies).withColumnRenamed("source", "of")
-    means = mean.withColumnRenamed("source", "mean_of")
-    wanted = wanted.join(means, wanted["of"].eqNullSafe(means["mean_of"]), "left").drop("mean_of")
-
-    expected = F.least(
-        F.col("target") / F.greatest("source_size", F.lit(1)) * F.when(F.col("mean") > 0, F.col("weight") / F.col("mean")).otherwise(1.0),
-        F.lit(float(max_copies)),
+    mean = mean.withColumnRenamed("source", "mean_of")
+    sources = stored(sources.join(mean, sources["of"].eqNullSafe(mean["mean_of"])).drop("mean_of"), "mix-sources")
+    sources = F.broadcast(sources) if sources.count() <= MAX_BROADCAST_SOURCES else sources
+
+    # words of each range of ranks, and the range in which a source's remaining words are reached
+    every = ranked(rows, sources, max_copies, seed, buckets)
+    sums = every.groupBy("of", "range").agg(
+        F.sum("size").alias("words"), F.sum(F.col("certain") * F.col("size")).alias("sure"), F.first("target").alias("target")
     )
-    ranked = (
-        rows.join(F.broadcast(wanted), rows["source"].eqNullSafe(wanted["of"]), "left")
-        .withColumn("expected", expected)
-        .withColumn("certain", F.floor(F.col("expected") + 1e-9))
-        .withColumn("p", F.greatest(F.col("expected") - F.col("certain"), F.lit(0.0)))
-        .withColumn("u", uniform(F.col("doc_id"), seed))
-        .withColumn("q", (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p"))))
-        .withColumn("rank", F.when(F.col("p") > 0, F.col("q") / (1 + F.col("q"))))
-        .withColumn("bucket", F.least(F.floor(F.col("rank") * buckets), F.lit(buckets - 1)).cast("int"))
+    of = Window.partitionBy("of")
+    upto = of.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sampled = F.when(F.col("range").isNotNull(), F.col("words")).otherwise(0)
+    sums = stored(
+        sums.withColumn("end", F.sum(sampled).over(upto)).withColumn("begin", F.col("end") - sampled).withColumn("left", F.col("target") - F.sum("sure").over(of)),
+        "mix-ranges",
     )
-    # words still wanted of each source, and the words of each range of ranks
-    certain = ranked.groupBy("of").agg(F.sum(F.col("certain") * F.col("size")).alias("sure"), F.first("target").alias("target"))
-    per_range = ranked.where("bucket is not null").groupBy("of", "bucket").agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("of").orderBy("bucket")
-    ranges = per_range.withColumn("end", F.sum("words").over(upto)).withColumn("begin", F.col("end") - F.col("words"))
-    certain = certain.select(F.col("of").alias("c_of"), (F.col("target") - F.col("sure")).alias("left"))
-    ranges = ranges.join(certain, ranges["of"].eqNullSafe(certain["c_of"])).select(
-        F.col("of").alias("r_of"), F.col("bucket").alias("r_bucket"), "begin", "end", "left"
+    cut = sums.where("range is not null and begin <= left and end > left").groupBy("of").agg(
+        F.min(F.struct("range", "begin", "left")).alias("at")
     )
-    placed = ranked.join(ranges, ranked["of"].eqNullSafe(ranges["r_of"]) & (ranked["bucket"] == ranges["r_bucket"]), "left").drop("r_of", "r_bucket")
-
-    inside = (F.col("begin") <= F.col("left")) & (F.col("end") > F.col("left"))  # the range with the cut
-    order = Window.partitionBy("of", "bucket").orderBy("rank", F.asc_nulls_first("doc_id"), "row_no")
-    cut = placed.where(inside).withColumn("reached", F.col("begin") + F.sum("size").over(order))
-    cut = cut.withColumn("extra", F.col("reached") <= F.col("left"))
-    others = placed.where(~F.coalesce(inside, F.lit(False))).withColumn("reached", F.lit(None).cast("long")).withColumn(
-        "extra", F.coalesce(F.col("end") <= F.col("left"), F.lit(False))
+    whole = sums.groupBy("of").agg((F.max("left") - F.max("end")).alias("rest"))  # what is left when all ranges are taken
+    cut = cut.select(F.col("of").alias("cut_of"), F.col("at.range").alias("cut_range"), F.col("at.begin").alias("begin"), F.col("at.left").alias("left"))
+    cuts = stored(
+        whole.join(cut, whole["of"].eqNullSafe(cut["cut_of"]), "left").select(
+            F.col("of").alias("cut_of"), F.coalesce("cut_range", F.lit(buckets)).alias("cut_range"), "begin", "left", "rest"
+        ),
+        "mix-cuts",
     )
-    taken = stored(
-        cut.unionByName(others).select("doc_id", "row_no", "source", "size", "source_size", "target", "certain", "rank", "extra", "p"), "mix-taken"
+    near = every.join(cuts, every["of"].eqNullSafe(cuts["cut_of"]) & (every["range"] == cuts["cut_range"])).withColumn("id", known_id(F.col("id")))
+    near = near.withColumn("reached", F.col("begin") + F.sum("size").over(Window.partitionBy("of", "range").orderBy("rank", "id")))
+    last = near.where("reached <= left").groupBy("of").agg(F.max(F.struct("rank", "id")).alias("cut"), F.max("reached").alias("reached"))
+    last = last.withColumnRenamed("of", "last_of")
+    gap = F.when(F.col("begin").isNull(), F.col("rest")).otherwise(F.col("left") - F.coalesce("reached", "begin"))
+    cuts = stored(cuts.join(last, cuts["cut_of"].eqNullSafe(last["last_of"]), "left").select("cut_of", "cut_range", "cut", gap.alias("gap")), "mix-cuts")
+
+    # the untaken document that best fills what is left
+    off = F.abs(F.col("gap") - F.col("size"))
+    spare = every.join(F.broadcast(cuts) if cuts.count() <= MAX_BROADCAST_SOURCES else cuts, every["of"].eqNullSafe(cuts["cut_of"]))
+    best = (
+        spare.where((F.col("p") > 0) & ~taken_extra() & (off < F.abs("gap")))
+        .groupBy(F.col("of").alias("best_of"))
+        .agg(F.min(F.struct(off.alias("off"), "rank", known_id(F.col("id")).alias("id"))).alias("best"))
     )
-    return filled(taken)
+    plan = sources.join(cuts, sources["of"].eqNullSafe(cuts["cut_of"]), "left").join(best, sources["of"].eqNullSafe(best["best_of"]), "left")
+    plan = stored(plan.select("of", "source_size", "target", "mean", "cut_range", "cut", F.col("best.id").alias("best_id")), "mix-plan")
+    return F.broadcast(plan) if plan.count() <= MAX_BROADCAST_SOURCES else plan
 
 
-def filled(taken: DataFrame) -> DataFrame:
-    """Adds to each source the one untaken document that best fills the words still wanted."""
-    sums = taken.groupBy("source").agg(
-        (F.first("target") - F.sum((F.col("certain") + F.col("extra").cast("int")) * F.col("size"))).alias("gap")
-    ).withColumnRenamed("source", "g_of")
-    spare = taken.where(~F.col("extra") & (F.col("p") > 0)).join(F.broadcast(sums), taken["source"].eqNullSafe(F.col("g_of")))
-    off = F.abs(F.col("gap") - F.col("size"))
-    best = (
-        spare.where(off < F.abs(F.col("gap")))
-        .groupBy("g_of")
-        .agg(F.min(F.struct(off.alias("off"), F.col("rank"), F.col("row_no"))).alias("best"))
-        .select(F.col("best.row_no").alias("best_row"))
+def with_copies(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED, weight_col: str | None = None,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", buckets: int = BUCKETS,
+) -> DataFrame:
+    """doc (a struct of all columns of ``docs``), copies, source_size and target of each document."""
+    plan = mix_plan(docs, weights, max_copies, seed, weight_col, id_col, text_col, source_col, buckets)
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+        (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("weight"),
     )
-    copies = F.col("certain") + (F.col("extra") | F.col("best_row").isNotNull()).cast("long")
-    return (
-        taken.join(F.broadcast(best), taken["row_no"] == F.col("best_row"), "left")
-        .withColumn("copies", copies.cast("long"))
-        .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source", "row_no")
+    found = ranked(rows, plan, max_copies, seed, buckets)
+    return found.select("doc", copies_taken().alias("copies"), "source_size", "target")
+
+
+def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight_col: str | None = None, **options) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken (words), copies."""
+    kept = [F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")]
+    kept += [F.col(weight_col).cast("double").alias("weight")] if weight_col else []
+    found = with_copies(docs.select(*kept), weight_col="weight" if weight_col else None, **options)
+    return found.select("doc.doc_id", word_count(F.col("doc.text")).alias("size"), "source_size", "target", "copies").select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, same columns."""
+    found = with_copies(docs, **options).where("copies > 0")
+    return found.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
