@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from staffwise.llm.decontamination import hit_words, match_benchmark
 from staffwise.llm.exact_dedup import exact_dedup
+from staffwise.llm.langid import held_out, identify, learn
 from staffwise.llm.mixing import pareto_mix
 from staffwise.llm.shared import documents
 from staffwise.llm.sharding import shard_lpt
@@ -35,6 +36,12 @@ def op6_heavy_hitter_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup(documents(spark, d))
 
 
+def op8_viterbi_language(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    found = identify(docs.select("doc_id", "text"), learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op9_lpt_sharding(spark: SparkSession, d: str) -> DataFrame:
     return shard_lpt(documents(spark, d), 40).drop("group")
 
@@ -56,6 +63,7 @@ QUERIES = {
         op2_suffix_decontamination,
         op5_simhash_components,
         op6_heavy_hitter_dedup,
+        op8_viterbi_language,
         op9_lpt_sharding,
         op10_huffman_token_files,
     )
