@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staffwise.llm import quality
 from staffwise.llm.decontamination import hit_words, match_benchmark
 from staffwise.llm.exact_dedup import exact_dedup
 from staffwise.llm.langid import held_out, identify, learn
@@ -28,6 +29,16 @@ def op2_suffix_decontamination(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op3_attention_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    model = quality.learn(docs, spark.read.parquet(f"{d}/labels.parquet"))
+    found = quality.score(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_simhash_components(spark: SparkSession, d: str) -> DataFrame:
     return simhash_components(documents(spark, d))
 
@@ -61,6 +72,7 @@ QUERIES = {
     for f in (
         op1_pareto_mix,
         op2_suffix_decontamination,
+        op3_attention_quality,
         op5_simhash_components,
         op6_heavy_hitter_dedup,
         op8_viterbi_language,
