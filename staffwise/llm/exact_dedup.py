@@ -49,7 +49,8 @@ def frequent_digests(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
     """Misra-Gries candidates: every digest above an error bound of about 3.5 / tracked of the rows."""
     part = F.pmod(F.shiftright("row_no", 33), F.lit(64))  # the writing task's number
     summaries = rows.groupBy(part.alias("part")).agg(F.expr(f"approx_top_k_accumulate(digest, {tracked})").alias("summary"))
-    merged = summaries.agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
+    # grouped by a constant: a global aggregate would also merge the typeless summaries of empty partitions
+    merged = summaries.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {tracked // 2})")).alias("top"))
     return top.select(F.col("top.item").alias("digest")).where("digest is not null")
 
