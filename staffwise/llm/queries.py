@@ -10,6 +10,7 @@ from staffwise.llm.decontamination import hit_words, match_benchmark
 from staffwise.llm.exact_dedup import exact_dedup
 from staffwise.llm.langid import held_out, identify, learn
 from staffwise.llm.mixing import pareto_mix
+from staffwise.llm.pii import KINDS, find_personal_data
 from staffwise.llm.shared import documents
 from staffwise.llm.sharding import shard_lpt
 from staffwise.llm.simhash import simhash_components
@@ -47,6 +48,18 @@ def op6_heavy_hitter_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup(documents(spark, d))
 
 
+def op7_disclosive_terms(spark: SparkSession, d: str) -> DataFrame:
+    found = find_personal_data(documents(spark, d))
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    kinds = F.col("spans.kind")
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed("spans"), 256).alias("base_sha256"), listed(F.concat("spans", "terms")).alias("spans")
+    )
+
+
 def op8_viterbi_language(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d)
     found = identify(docs.select("doc_id", "text"), learn(docs))
@@ -75,6 +88,7 @@ QUERIES = {
         op3_attention_quality,
         op5_simhash_components,
         op6_heavy_hitter_dedup,
+        op7_disclosive_terms,
         op8_viterbi_language,
         op9_lpt_sharding,
         op10_huffman_token_files,
