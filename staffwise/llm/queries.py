@@ -14,6 +14,7 @@ from staffwise.llm.pii import KINDS, find_personal_data
 from staffwise.llm.shared import documents
 from staffwise.llm.sharding import shard_lpt
 from staffwise.llm.simhash import simhash_components
+from staffwise.llm.suffix_dedup import repeated_ranges
 from staffwise.llm.token_files import token_files
 
 
@@ -40,6 +41,10 @@ def op3_attention_quality(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op4_bucket_pointer_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_ranges(documents(spark, d)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_simhash_components(spark: SparkSession, d: str) -> DataFrame:
     return simhash_components(documents(spark, d))
 
@@ -86,6 +91,7 @@ QUERIES = {
         op1_pareto_mix,
         op2_suffix_decontamination,
         op3_attention_quality,
+        op4_bucket_pointer_dedup,
         op5_simhash_components,
         op6_heavy_hitter_dedup,
         op7_disclosive_terms,
