@@ -97,8 +97,8 @@ def ranked(rows: DataFrame, plan: DataFrame, max_copies: int, seed: int, buckets
         .withColumn("expected", expected)
         .withColumn("certain", F.floor(F.col("expected") + 1e-9))
         .withColumn("p", F.greatest(F.col("expected") - F.col("certain"), F.lit(0.0)))
-        .withColumn("q", odds(uniform(F.col("id"), seed)) / odds(F.col("p")))
-        .withColumn("rank", F.when(F.col("p") > 0, F.col("q") / (1 + F.col("q"))))
+        .withColumn("q", F.when(F.col("p") > 0, odds(uniform(F.col("id"), seed)) / odds(F.col("p"))))
+        .withColumn("rank", F.col("q") / (1 + F.col("q")))
         .withColumn("range", F.least(F.floor(F.col("rank") * buckets), F.lit(buckets - 1)).cast("int"))
     )
 

@@ -166,6 +166,11 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; same columns."""
-    found = simhash_components(docs, shingle, max_bits).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_semi").select(*docs.columns)
+    """``docs`` with one document of each component, that of the smallest id; same columns.
+
+    Of rows that repeat an id one stays; rows with a null id stay, as no id tells them apart.
+    """
+    stays = simhash_components(docs, shingle, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col("doc_id").alias("id"))
+    kept = keyed.join(stays, F.col("id") == F.col("stays"), "left_semi").dropDuplicates(["id"])
+    return kept.unionByName(keyed.where("id is null")).select("doc.*")
