@@ -23,9 +23,11 @@ def _col(c: ColumnOrName) -> Column:
 
 
 # Facility key width and pad character of the CMS certification
-# number, and the two date layouts of the source files.
+# number, the texts that count as whole numbers, and the two date layouts of the
+# source files.
 CCN_WIDTH = 6
 CCN_PAD = "0"
+DECIMAL_PATTERN = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*$"
 STAFFING_DATE_FORMAT = "yyyyMMdd"
 SURVEY_DATE_FORMAT = "MM/dd/yyyy"
 
@@ -49,9 +51,11 @@ def to_int(c: ColumnOrName) -> Column:
 
     A direct ``try_cast(... as int)`` would give NULL for '12.7'; going
     through double first keeps the truncating behaviour, and values outside
-    the int range become NULL.
+    the int range become NULL. Only digits with an optional fraction count:
+    the double parser would also take '12d' and '1e2'.
     """
-    return _col(c).try_cast("double").try_cast("int")
+    x = _col(c)
+    return F.when(x.cast("string").rlike(DECIMAL_PATTERN), x.try_cast("double").try_cast("int"))
 
 
 def hours(c: ColumnOrName) -> Column:
@@ -80,9 +84,11 @@ def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
 
     Rounding the double directly gives different answers across engines
     near .xx5 ties because of summation noise in the last bits; fixing the
-    value at 9 decimals first gives one stable definition.
+    value at 9 decimals first gives one stable definition. Values that do
+    not fit (NaN, infinity, 1e21 and more) are rounded as they are.
     """
-    return F.round(_col(c).try_cast("decimal(30,9)"), scale).cast("double")
+    x = _col(c)
+    return F.coalesce(F.round(x.try_cast("decimal(30,9)"), scale).cast("double"), F.round(x.cast("double"), scale))
 
 
 def to_percent(c: ColumnOrName) -> Column:

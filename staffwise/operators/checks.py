@@ -6,6 +6,7 @@ raising guards collect only that single aggregated row.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,31 +21,26 @@ class TableNotFoundError(LookupError):
     """A mart or table asked for by name does not exist."""
 
 
-def null_counts(df: DataFrame, table_name: str, columns: Sequence[str]) -> DataFrame:
-    """(table_name, column_name, failing_rows, passed) for every tested
-    column of one table, all from a single aggregation pass."""
-    counts = df.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]
-    )
-    pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("failing_rows"))
-        for i, c in enumerate(columns)
+def null_counts(df: DataFrame, tests: Sequence[tuple]) -> DataFrame:
+    """(table_name, column_name, failing_rows, passed) of all the tests on one
+    lineage from a single aggregation. A test is (table name, column) or (table
+    name, column, condition): the table then has the rows of ``df`` that meet it."""
+    checked = [(t[0], t[1], t[2] if len(t) > 2 and t[2] is not None else F.lit(True)) for t in tests]
+    counts = df.agg(*[F.count_if(F.col(c).isNull() & rows).alias(f"c{i}") for i, (_, c, rows) in enumerate(checked)])
+    found = [
+        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.col(f"c{i}").alias("failing_rows"))
+        for i, (t, c, _) in enumerate(checked)
     ]
-    return counts.select(F.inline(F.array(*pairs))).select(
-        F.lit(table_name).alias("table_name"),
-        "column_name",
-        "failing_rows",
-        (F.col("failing_rows") == 0).alias("passed"),
-    )
+    return counts.select(F.inline(F.array(*found))).withColumn("passed", F.col("failing_rows") == 0)
 
 
-def not_null_results(tests: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Run the not-null tests of several tables: {name: (df, columns)}."""
-    out = None
-    for name, (df, cols) in tests.items():
-        part = null_counts(df, name, cols)
-        out = part if out is None else out.unionByName(part)
-    return out
+def not_null_results(tests: Mapping[str, tuple]) -> DataFrame:
+    """The not-null tests of several tables: {name: (df, columns)} or {name:
+    (df, columns, condition)}. Tables given by the same ``df`` share one pass."""
+    lineages: dict[int, tuple[DataFrame, list]] = {}
+    for name, (df, columns, *condition) in tests.items():
+        lineages.setdefault(id(df), (df, []))[1].extend((name, c, *condition) for c in columns)
+    return reduce(DataFrame.unionByName, [null_counts(df, own) for df, own in lineages.values()])
 
 
 def raise_failed(rows) -> None:
@@ -79,7 +75,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "facility-day"
     """Fail with the number of duplicate keys (one aggregated row)."""
     n = duplicate_key_count(df, keys).first()["duplicate_keys"]
     if n:
-        raise DataCheckError(f"Found {n} duplicate {what} records.")
+        raise DataCheckError(f"{what} keys are not unique: {n} of them occur more than once.")
 
 
 def assert_not_empty(df: DataFrame, what: str) -> None:

@@ -3,19 +3,15 @@
 Scale notes
 -----------
 * ``facility_daily`` joins staffing (big) with facility (one row per
-  facility, ~15k in the domain). The facility side is broadcast only after
-  its row count is proven under ``joins.BROADCAST_MAX_ROWS``; past that the
-  join is a shuffle join (sort-merge with AQE skew splitting, or an AQE
-  run-time broadcast from real sizes).
+  facility). No hint: a left join can only build its right side, so the fact
+  side is never broadcast; Spark's size estimate and AQE's real sizes choose
+  between a broadcast and a sort-merge join with skew splitting.
 * ``facility_quarterly`` is one hash aggregation with map-side partial
   aggregation (count/avg/sum are algebraic), so a facility holding a third
   of all rows is pre-aggregated in every task before the shuffle.
 * ``staffing_quality`` joins *after* the quarter aggregation (fan-out =
-  measures per facility on the small table, not on daily rows). No hint:
-  a left outer join can only build its right side, so the fact side is
-  never broadcast, and the measure side may be a derived table whose row
-  check would cost a full pass; Spark's own size check and AQE's run-time
-  decision (from the real shuffle size) pick broadcast or sort-merge.
+  measures per facility on the small table, not on daily rows), again a
+  left join without a hint.
 """
 
 from __future__ import annotations
@@ -24,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffwise.functions import safe_ratio, sum_columns
-from staffwise.operators.joins import broadcast_if_bounded
 from staffwise.sources.schemas import CATEGORY_HOURS, QUALITY_JOIN_COLUMNS
 
 QUARTER_KEYS = ["facility_ccn", "facility_name", "state", "calendar_quarter"]
@@ -36,7 +31,7 @@ def facility_daily(staffing: DataFrame, facility: DataFrame) -> DataFrame:
     The facility side is not de-duplicated (a repeated key duplicates the
     facility-days), matching the source semantics.
     """
-    beds = broadcast_if_bounded(facility.select("facility_ccn", "certified_beds"))
+    beds = facility.select("facility_ccn", "certified_beds")
     return (
         staffing.join(beds, "facility_ccn", "left")
         .withColumn("total_nursing_hours", sum_columns(CATEGORY_HOURS))
@@ -80,15 +75,7 @@ def facility_quarterly(daily: DataFrame) -> DataFrame:
     )
 
 
-def staffing_quality(quarterly: DataFrame, quality: DataFrame, check_measures: bool = False) -> DataFrame:
+def staffing_quality(quarterly: DataFrame, quality: DataFrame) -> DataFrame:
     """Facility-quarter left-joined with every quality measure of the
-    facility (one row with NULL measure columns when there is none).
-
-    ``check_measures=True`` broadcasts the measure side behind the row-bound
-    check; use it when that side is a scan (as in the Silver -> Gold job),
-    where the check stops early. Otherwise Spark/AQE size checks decide.
-    """
-    measures = quality.select(*QUALITY_JOIN_COLUMNS)
-    if check_measures:
-        measures = broadcast_if_bounded(measures)
-    return quarterly.join(measures, "facility_ccn", "left")
+    facility (one row with NULL measure columns when there is none)."""
+    return quarterly.join(quality.select(*QUALITY_JOIN_COLUMNS), "facility_ccn", "left")

@@ -6,7 +6,7 @@ their key filters reach the Parquet scan as pushed filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staffwise.functions import contains_any_ci, round_half_up, to_percent
@@ -42,18 +42,26 @@ WATCHLIST_SIZE = 10
 READMISSION_PATTERNS = ["rehospital", "readmission"]
 
 
+def is_staged() -> Column:
+    """The staging filter: rows with a facility key."""
+    return F.col("facility_ccn").isNotNull()
+
+
+def is_readmission() -> Column:
+    """A scored measure of the rehospitalization / readmission type."""
+    return F.col("measure_score").isNotNull() & contains_any_ci("measure_name", READMISSION_PATTERNS)
+
+
 def stg_daily(daily: DataFrame) -> DataFrame:
-    return daily.select(*STG_DAILY_COLUMNS).where(F.col("facility_ccn").isNotNull())
+    return daily.select(*STG_DAILY_COLUMNS).where(is_staged())
 
 
 def stg_quarterly(quarterly: DataFrame) -> DataFrame:
-    return quarterly.select(*STG_QUARTERLY_COLUMNS).where(F.col("facility_ccn").isNotNull())
+    return quarterly.select(*STG_QUARTERLY_COLUMNS).where(is_staged())
 
 
 def stg_quality(staffing_quality: DataFrame) -> DataFrame:
-    return staffing_quality.select(*STG_QUALITY_COLUMNS).where(
-        F.col("facility_ccn").isNotNull()
-    )
+    return staffing_quality.select(*STG_QUALITY_COLUMNS).where(is_staged())
 
 
 def state_summary(stg_q: DataFrame) -> DataFrame:
@@ -107,7 +115,4 @@ def low_staffing(stg_q: DataFrame, size: int = WATCHLIST_SIZE) -> DataFrame:
 def readmission_quality(stg_qual: DataFrame) -> DataFrame:
     """Facility-quarter rows with a scored rehospitalization/readmission
     measure."""
-    return stg_qual.select(*STG_QUALITY_COLUMNS).where(
-        F.col("measure_score").isNotNull()
-        & contains_any_ci("measure_name", READMISSION_PATTERNS)
-    )
+    return stg_qual.select(*STG_QUALITY_COLUMNS).where(is_readmission())

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from typing import Optional, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from staffwise.operators.checks import assert_not_empty
 from staffwise.functions import fixed_text, percent_text, round_half_up, thousands_text, to_percent
 
 ALL_SOURCES = "All sources"
@@ -224,23 +225,28 @@ def quality_detail(quality_mart: DataFrame, quarter=None, states=None,
 def filter_values(state_summary: DataFrame, quality_mart: DataFrame) -> DataFrame:
     """Sorted distinct non-null values offered by the page filters:
     quarters (latest first), states, quality sources and measures of the
-    latest quarter (alphabetical). (filter_name, filter_value, position)."""
-    from pyspark.sql import Window
+    latest quarter (alphabetical). (filter_name, filter_value, position).
 
-    def distinct(df, col, name):
-        return df.where(F.col(col).isNotNull()).select(
-            F.lit(name).alias("filter_name"), F.col(col).alias("filter_value")
-        ).distinct()
+    Each mart is read once, for its distinct combinations of filter values;
+    the latest quarter and the lists come from that small table.
+    """
+    everything = Window.partitionBy()
+
+    def offered(combinations: DataFrame, *lists: Column) -> DataFrame:
+        latest = F.max("calendar_quarter").over(everything)
+        rows = combinations.withColumn("latest", F.col("calendar_quarter") == latest)
+        return rows.select(F.inline(F.array(*lists))).where(F.col("filter_value").isNotNull()).distinct()
+
+    def listed(name: str, column: str, when: Column) -> Column:
+        return F.struct(F.lit(name).alias("filter_name"), F.when(when, F.col(column)).alias("filter_value"))
 
+    states = state_summary.select("calendar_quarter", "state").distinct()
+    measures = quality_mart.groupBy("calendar_quarter", "quality_source", "measure_name").agg(F.count("state").alias("stated"))
     # sources and measures are offered after the (default) state filter
-    latest_q = filter_states(choose_quarter(quality_mart))
-    latest_s = choose_quarter(state_summary)
-    parts = (
-        distinct(state_summary, "calendar_quarter", "calendar_quarter")
-        .unionByName(distinct(latest_s, "state", "state"))
-        .unionByName(distinct(latest_q, "quality_source", "quality_source"))
-        .unionByName(distinct(latest_q, "measure_name", "measure_name"))
-    )
+    shown = F.col("latest") & (F.col("stated") > 0)
+    parts = offered(
+        states, listed("calendar_quarter", "calendar_quarter", F.lit(True)), listed("state", "state", F.col("latest"))
+    ).unionByName(offered(measures, listed("quality_source", "quality_source", shown), listed("measure_name", "measure_name", shown)))
     desc = F.col("filter_name") == "calendar_quarter"
     key = F.when(desc, F.lit(None)).otherwise(F.col("filter_value"))
     key_desc = F.when(desc, F.col("filter_value"))
@@ -248,6 +254,15 @@ def filter_values(state_summary: DataFrame, quality_mart: DataFrame) -> DataFram
     return parts.withColumn("position", F.row_number().over(w))
 
 
+# ------------------------------------------------------------- empty pages
+
+
+def shown(df: DataFrame, page: str) -> DataFrame:
+    """A page's data set, or an error when the selection leaves no row (reads at most one row)."""
+    assert_not_empty(df, f"the selection of page {page}")
+    return df
+
+
 # ---------------------------------------------------------- display tables
 
 # Display labels and number formats of the three page tables,

@@ -10,24 +10,32 @@ Plan shape (for a table with C columns and N rows)
   and standard deviation all derive from the histogram, so per-value work
   runs once per distinct value. A value holding a third of all cells is
   one counter; no group is ever collected.
-* Exact quartiles (pandas' linear interpolation) from the same histogram:
-  each target rank is narrowed by equal-width bucket counts until its
-  value window holds at most ``max_window`` distinct values, then only the
-  values inside are ranked. No task sorts a whole column.
-  ``method="approx"`` uses a bounded ``percentile_approx`` sketch instead.
+* What the histogram is joined with (means, largest counts, quantile
+  windows) has one row per column or target and is broadcast; the histogram
+  itself is never shuffled by its few column names.
+* Exact quartiles (pandas' linear interpolation) from the same histogram, by
+  one algorithm at every size: ``CUT_ROUNDS`` times a target's window is cut
+  at ``CUTS`` approximate ranks of its distinct values, the pieces are
+  counted exactly, and the window narrows to the piece with the target rank;
+  then the values left inside are ranked. ``method="approx"`` uses a bounded
+  ``percentile_approx`` sketch instead.
 * Duplicate rows: group by all columns with partial aggregation.
 
+All functions are lazy. Those that need the histogram or the duplicate count
+take them as arguments, so a report computes each once (``report_inputs``).
+
 Types follow pandas' CSV inference: NA words are NULL; a column whose every
-non-null value parses as a number is numeric ('int64' when all values are
-integers and none is missing, else 'float64'), otherwise 'object'.
+non-null value is a number is numeric ('int64' when all values are integers
+and none is missing, else 'float64'; a column without values is 'float64'), a
+column of True / False words without a missing value is 'bool', any other is
+'object'.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Optional, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staffwise.functions import missing_severity
@@ -41,11 +49,16 @@ NA_WORDS = [
 # Quartiles of the summary statistics.
 QUARTILES = [0.25, 0.5, 0.75]
 INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
+# What pandas' CSV reader takes for a number, and its words for truth values.
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+TRUE_WORDS = ["True", "TRUE", "true"]
+FALSE_WORDS = ["False", "FALSE", "false"]
 DEFAULT_ACCURACY = 10_000
-# Most distinct values one task ranks exactly in the last quantile pass.
-DEFAULT_MAX_WINDOW = 1_000_000
-# Equal-width buckets per round when a quantile window is narrowed.
-REFINE_BUCKETS = 1024
+# A quantile window is cut into so many pieces, so many times: what is ranked
+# at the end is about 1 / CUTS ** CUT_ROUNDS of a column's distinct values.
+CUTS = 256
+CUT_ROUNDS = 2
 
 
 def null_na_words(df: DataFrame) -> DataFrame:
@@ -83,67 +96,83 @@ def value_histogram(raw: DataFrame) -> DataFrame:
     )
 
 
+def parsed_number(text: Column) -> Column:
+    """The value of a text that pandas reads as a number, else NULL (the
+    double parser alone would also take '1d' and '2f')."""
+    infinite = F.when(F.trim(text).startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double")).when(text.rlike(INFINITY_PATTERN), infinite)
+
+
 def _typed_hist(hist: DataFrame) -> DataFrame:
-    return hist.withColumn("v", F.col("s").try_cast("double")).withColumn(
-        "v", F.when(~F.isnan("v"), F.col("v"))
-    )
+    return hist.withColumn("v", parsed_number(F.col("s")))
 
 
 def column_stats(raw: DataFrame, hist: Optional[DataFrame] = None) -> DataFrame:
     """One row per column: position, name, pandas-like type, counts,
     distinct values, most frequent value and the numeric moments.
 
-    Everything is derived from the value histogram, so per-value work
-    (casts, the integer pattern) runs once per distinct value, not per
-    cell. Mean and sample standard deviation use the two-pass formula over
-    the histogram (numerically stable).
+    Sums and extremes are one hash aggregate over the histogram; distinct
+    numbers and the most frequent text are aggregates of their own. Mean and
+    sample standard deviation use the two-pass formula (stable).
     """
     h = _typed_hist(hist if hist is not None else value_histogram(raw))
-    present = F.col("s").isNotNull()
-    cnt = F.col("cnt")
-    zero = F.lit(0).cast("long")
-    top = F.min(F.when(present, F.struct((-cnt).alias("neg"), F.col("s").alias("s"))))
+    present, cnt, zero = F.col("s").isNotNull(), F.col("cnt"), F.lit(0).cast("long")
+
+    def cells(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, cnt)), zero)
+
     stats = h.groupBy("position", "column_name").agg(
         F.sum(cnt).alias("rows"),
-        F.coalesce(F.sum(F.when(present, cnt)), zero).alias("count"),
-        F.coalesce(F.sum(F.when(~present, cnt)), zero).alias("missing_count"),
-        F.coalesce(F.sum(F.when(present & F.col("v").isNull(), cnt)), zero).alias("bad"),
-        F.coalesce(F.sum(F.when(present & ~F.col("s").rlike(INT_PATTERN), cnt)), zero).alias("nonint"),
+        cells(present).alias("count"),
+        cells(~present).alias("missing_count"),
+        cells(present & F.col("v").isNull()).alias("bad"),
+        cells(present & ~F.col("s").rlike(INT_PATTERN)).alias("nonint"),
+        cells(F.col("s").isin(TRUE_WORDS)).alias("n_true"),
+        cells(F.col("s").isin(FALSE_WORDS)).alias("n_false"),
         F.count("s").alias("unique_text"),
-        F.count_distinct("v").alias("unique_number"),
-        top.alias("top_struct"),
+        F.max(F.when(present, cnt)).alias("most"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-        F.sum(F.col("v") * cnt).alias("vsum"),
-        F.sum(F.when(F.col("v").isNotNull(), cnt)).alias("vn"),
-    ).withColumn("mean", F.col("vsum") / F.col("vn"))
+        (F.sum(F.col("v") * cnt) / F.sum(F.when(F.col("v").isNotNull(), cnt))).alias("mean"),
+        cells(F.col("v").isNotNull()).alias("vn"),
+    )
+    numbers = h.where("v is not null").groupBy("column_name", "v").agg(F.sum("cnt").alias("cnt"))
     spread = (
-        h.where(F.col("v").isNotNull())
-        .join(stats.select("column_name", "mean"), "column_name")
+        numbers.join(F.broadcast(stats.select("column_name", "mean")), "column_name")
         .groupBy("column_name")
-        .agg(F.sum(cnt * (F.col("v") - F.col("mean")) ** 2).alias("ss"))
+        .agg(F.sum(cnt * (F.col("v") - F.col("mean")) ** 2).alias("ss"), F.count(F.lit(1)).alias("unique_number"))
     )
-    out = stats.join(spread, "column_name", "left").withColumn(
-        "std", F.when(F.col("vn") > 1, F.sqrt(F.col("ss") / (F.col("vn") - 1)))
+    tops = (
+        h.where(present)
+        .join(F.broadcast(stats.select("column_name", "most")), "column_name")
+        .where(F.col("cnt") == F.col("most"))
+        .groupBy("column_name")
+        .agg(F.min("s").alias("top_text"))
     )
-    numeric = F.col("bad") == 0
+    out = stats.join(F.broadcast(spread), "column_name", "left").join(F.broadcast(tops), "column_name", "left")
+    std = F.when(F.col("vn") > 1, F.sqrt(F.col("ss") / (F.col("vn") - 1)))
+    truth = (F.col("n_true") + F.col("n_false") == F.col("count")) & (F.col("missing_count") == 0) & (F.col("count") > 0)
     dtype = (
-        F.when(numeric & (F.col("missing_count") == 0) & (F.col("nonint") == 0) & (F.col("count") > 0), F.lit("int64"))
-        .when(numeric & (F.col("count") > 0), F.lit("float64"))
+        F.when(truth, F.lit("bool"))
+        .when((F.col("bad") == 0) & (F.col("missing_count") == 0) & (F.col("nonint") == 0) & (F.col("count") > 0), F.lit("int64"))
+        .when(F.col("bad") == 0, F.lit("float64"))
         .otherwise(F.lit("object"))
     )
+    both = F.when((F.col("n_true") > 0) & (F.col("n_false") > 0), F.lit(2)).otherwise(F.lit(1)).cast("long")
+    more_true = F.col("n_true") > F.col("n_false")
     return out.select(
         "position", "column_name", "rows", "count", "missing_count",
-        dtype.alias("data_type"), "unique_text", "unique_number",
-        F.col("top_struct.s").alias("top"), (-F.col("top_struct.neg")).alias("freq"),
-        "mean", "std", "min", "max",
+        dtype.alias("data_type"),
+        F.when(truth, both).otherwise(F.col("unique_text")).alias("unique_text"),
+        F.coalesce("unique_number", zero).alias("unique_number"),
+        F.when(truth, F.when(more_true, F.lit("True")).otherwise(F.lit("False"))).otherwise(F.col("top_text")).alias("top"),
+        F.when(truth, F.greatest("n_true", "n_false")).otherwise(F.col("most")).alias("freq"),
+        "mean", std.alias("std"), "min", "max",
     )
 
 
-def _collect_small(df: DataFrame) -> list:
-    """Collect a result whose size is fixed by the number of columns and
-    probabilities (never by the data)."""
-    return df.collect()
+def is_categorical(data_type: Column) -> Column:
+    return data_type.isin("object", "bool")
 
 
 def approx_quantiles(values: DataFrame, probs: Sequence[float] = QUARTILES,
@@ -156,110 +185,62 @@ def approx_quantiles(values: DataFrame, probs: Sequence[float] = QUARTILES,
     return q.select("column_name", F.inline(F.array(*rows)))
 
 
-def exact_quantiles(
-    values: DataFrame,
-    probs: Sequence[float] = QUARTILES,
-    max_window: int = DEFAULT_MAX_WINDOW,
-    buckets: int = REFINE_BUCKETS,
-) -> DataFrame:
+def exact_quantiles(values: DataFrame, probs: Sequence[float] = QUARTILES, cuts: int = CUTS, rounds: int = CUT_ROUNDS) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas/numpy 'linear').
 
-    ``values`` has (column_name, v) and optionally ``cnt`` (a histogram:
-    each row stands for cnt equal values); v must be non-null. Result:
-    (column_name, q, value), a small DataFrame built from collected
-    numbers (one row per column and probability).
-
-    Each target rank q*(n-1) starts with the window [min, max]. While a
-    window holds more than ``max_window`` distinct values it is cut into
-    ``buckets`` equal-width buckets, counted in one aggregation with
-    cumulative counts per target (only the one or two buckets holding the
-    rank reach the driver), and narrowed to them. Then one pass ranks the distinct values inside each
-    window with a window function. No task ever sorts more than
-    ``max_window`` values, whatever the size or skew of the column; a value
-    holding a third of the rows is a single histogram row.
+    ``values`` has (column_name, v) and optionally ``cnt`` (a histogram: each
+    row stands for cnt equal values); v must be non-null. Result:
+    (column_name, q, value).
+
+    Each target rank q * (n - 1) starts with all values of its column as its
+    window. A round cuts the window at ``cuts`` - 1 approximate ranks of its
+    distinct values, sums the counts of the pieces exactly and keeps the
+    piece (or the neighbouring pieces) with the rank; whatever the sketch
+    chose as cuts, the sums make the result exact. What is left is ranked by
+    a window function. Infinities order like any value.
     """
-    from pyspark import StorageLevel
-
-    spark = values.sparkSession
-    hist = values if "cnt" in values.columns else values.groupBy("column_name", "v").agg(
-        F.count(F.lit(1)).alias("cnt"))
-    # read once per pass: keep it for the few passes of this function
-    hist = hist.select("column_name", "v", F.col("cnt").cast("long").alias("cnt")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _exact_quantiles(spark, hist, [float(p) for p in probs], max_window, buckets)
-    finally:
-        hist.unpersist()
-
-
-def _exact_quantiles(spark, hist: DataFrame, probs: list, max_window: int, buckets: int) -> DataFrame:
-    base = _collect_small(hist.groupBy("column_name").agg(
-        F.sum("cnt").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
-        F.count(F.lit(1)).alias("distinct")))
-    targets = []
-    for r in base:
-        for p in probs:
-            pos = p * (r.n - 1)
-            targets.append(dict(column_name=r.column_name, q=p, pos=pos, r_lo=int(math.floor(pos)),
-                                r_hi=int(math.ceil(pos)), lo=r.vmin, hi=r.vmax, below=0, distinct=r.distinct))
-    if not targets:
-        return spark.createDataFrame([], "column_name string, q double, value double")
-    schema = "column_name string, q double, lo double, hi double"
-    for _ in range(64):
-        open_t = [t for t in targets if "v_lo" not in t and t["distinct"] > max_window and t["hi"] > t["lo"]]
-        if not open_t:
-            break
-        win = F.broadcast(spark.createDataFrame(
-            [(t["column_name"], t["q"], t["lo"], t["hi"], t["below"], t["r_lo"], t["r_hi"]) for t in open_t],
-            schema + ", below long, r_lo long, r_hi long"))
-        width = (F.col("hi") - F.col("lo")) / buckets
-        b = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(buckets - 1)).cast("int")
-        counted = (
-            hist.join(win, "column_name")
-            .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-            .groupBy("column_name", "q", "below", "r_lo", "r_hi", b.alias("b"))
-            .agg(F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("distinct"),
-                 F.min("v").alias("bmin"), F.max("v").alias("bmax"))
+    hist = values if "cnt" in values.columns else values.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    hist = hist.select("column_name", "v", F.col("cnt").cast("long").alias("cnt"))
+    target = ["column_name", "q", "pos", "r_lo", "r_hi"]
+    pos = F.col("q") * (F.col("n") - 1)
+    windows = (
+        hist.groupBy("column_name")
+        .agg(F.sum("cnt").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .withColumn("q", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .select("column_name", "q", pos.alias("pos"), F.floor(pos).alias("r_lo"), F.ceil(pos).alias("r_hi"), "lo", "hi", F.lit(0).cast("long").alias("below"))
+    )
+
+    def inside(w: DataFrame) -> DataFrame:
+        return hist.join(F.broadcast(w), "column_name").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+
+    ranks = [(i + 1) / cuts for i in range(cuts - 1)]
+    for _ in range(rounds):
+        held = inside(windows)
+        at = held.groupBy("column_name", "q").agg(F.percentile_approx("v", ranks, 4 * cuts).alias("cut"))
+        piece = F.size(F.filter("cut", lambda c: c < F.col("v")))
+        pieces = (
+            held.join(F.broadcast(at), ["column_name", "q"])
+            .groupBy(*target, "below", piece.alias("piece"))
+            .agg(F.sum("cnt").alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
-        # cumulative counts over at most ``buckets`` rows per target, on the
-        # executors; only the (at most two) buckets holding the target ranks
-        # reach the driver
-        w = Window.partitionBy("column_name", "q").orderBy("b").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        start = F.col("below") + F.sum("cnt").over(w) - F.col("cnt")
-        hits = counted.withColumn("start", start).where(
-            (F.col("start") <= F.col("r_hi")) & (F.col("start") + F.col("cnt") > F.col("r_lo")))
-        per_target = {}
-        for r in _collect_small(hits):
-            per_target.setdefault((r.column_name, r.q), []).append(r)
-        for t in open_t:
-            rows = sorted(per_target[(t["column_name"], t["q"])], key=lambda r: r.b)
-            first, last = rows[0], rows[-1]
-            if first.b != last.b:
-                # adjacent ranks split across buckets: the last value of one
-                # bucket and the first value of the next are the answer
-                t.update(v_lo=first.bmax, v_hi=last.bmin, distinct=0, lo=0.0, hi=0.0)
-            else:
-                t.update(lo=first.bmin, hi=first.bmax, below=first.start, distinct=first.distinct)
-    done = [t for t in targets if "v_lo" in t]
-    todo = [t for t in targets if "v_lo" not in t]
-    out = [(t["column_name"], t["q"], t["v_lo"] + (t["v_hi"] - t["v_lo"]) * (t["pos"] - t["r_lo"])) for t in done]
-    if not todo:
-        return spark.createDataFrame(out, "column_name string, q double, value double")
-    win = F.broadcast(spark.createDataFrame(
-        [(t["column_name"], t["q"], t["lo"], t["hi"], t["below"], t["pos"], t["r_lo"], t["r_hi"]) for t in todo],
-        schema + ", below long, pos double, r_lo long, r_hi long"))
-    inside = hist.join(win, "column_name").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-    w = Window.partitionBy("column_name", "q").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("cum", F.sum("cnt").over(w))
-    first_rank = F.col("below") + F.col("cum") - F.col("cnt")
-    last_rank = F.col("below") + F.col("cum") - 1
-    hit_lo = (first_rank <= F.col("r_lo")) & (F.col("r_lo") <= last_rank)
-    hit_hi = (first_rank <= F.col("r_hi")) & (F.col("r_hi") <= last_rank)
-    picked = _collect_small(ranked.groupBy("column_name", "q", "pos", "r_lo").agg(
-        F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"), F.max(F.when(hit_hi, F.col("v"))).alias("v_hi")))
-    out += [(r.column_name, r.q, r.v_lo + (r.v_hi - r.v_lo) * (r.pos - r.r_lo)) for r in picked]
-    return spark.createDataFrame(out, "column_name string, q double, value double")
+        upto = Window.partitionBy("column_name", "q").orderBy("piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        start = F.col("below") + F.sum("cnt").over(upto) - F.col("cnt")
+        hit = (F.col("start") <= F.col("r_hi")) & (F.col("start") + F.col("cnt") > F.col("r_lo"))
+        windows = (
+            pieces.withColumn("start", start).where(hit)
+            .groupBy(*target).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("start").alias("below"))
+        )
+    upto = Window.partitionBy("column_name", "q").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.col("below") + F.sum("cnt").over(upto) - 1
+    ranked = inside(windows).withColumn("last", last).withColumn("first", F.col("last") - F.col("cnt") + 1)
+
+    def at_rank(r: str) -> Column:
+        return F.max(F.when((F.col("first") <= F.col(r)) & (F.col(r) <= F.col("last")), F.col("v")))
+
+    picked = ranked.groupBy(*target).agg(at_rank("r_lo").alias("v_lo"), at_rank("r_hi").alias("v_hi"))
+    part = F.col("pos") - F.col("r_lo")
+    value = F.when(part == 0, F.col("v_lo")).otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * part)
+    return picked.select("column_name", "q", value.alias("value"))
 
 
 def _quartile_columns(q: DataFrame) -> DataFrame:
@@ -270,17 +251,15 @@ def _quartile_columns(q: DataFrame) -> DataFrame:
 
 
 def numeric_quartiles(raw: DataFrame, method: str = "exact", hist: Optional[DataFrame] = None,
-                      accuracy: int = DEFAULT_ACCURACY, max_window: int = DEFAULT_MAX_WINDOW) -> DataFrame:
-    """(column_name, p25, p50, p75) over the numeric parse of every column;
+                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """(column_name, p25, p50, p75) over the numeric values of every column;
     exact from the value histogram, or sketched (``method="approx"``)."""
     if method == "approx":
-        long = _long(null_na_words(raw)).select(
-            "column_name", F.col("s").try_cast("double").alias("v")
-        ).where(F.col("v").isNotNull() & ~F.isnan("v"))
+        long = _long(null_na_words(raw)).select("column_name", parsed_number(F.col("s")).alias("v")).where("v is not null")
         return _quartile_columns(approx_quantiles(long, QUARTILES, accuracy))
     h = _typed_hist(hist if hist is not None else value_histogram(raw))
     num = h.where(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.sum("cnt").alias("cnt"))
-    return _quartile_columns(exact_quantiles(num, QUARTILES, max_window))
+    return _quartile_columns(exact_quantiles(num, QUARTILES))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -301,10 +280,15 @@ def _missing_pct() -> F.Column:
     )
 
 
-def profile_dictionary(raw: DataFrame) -> DataFrame:
+def report_inputs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Value histogram and duplicate count of a table, for the functions below."""
+    return value_histogram(raw), duplicate_rows(null_na_words(raw))
+
+
+def profile_dictionary(raw: DataFrame, hist: Optional[DataFrame] = None) -> DataFrame:
     """Column name, type, missing count and %, distinct values."""
-    cs = column_stats(raw)
-    unique = F.when(F.col("data_type") == "object", F.col("unique_text")).otherwise(
+    cs = column_stats(raw, hist)
+    unique = F.when(is_categorical(F.col("data_type")), F.col("unique_text")).otherwise(
         F.col("unique_number")
     )
     return cs.select(
@@ -317,10 +301,10 @@ def profile_dictionary(raw: DataFrame) -> DataFrame:
     )
 
 
-def profile_missing(raw: DataFrame) -> DataFrame:
+def profile_missing(raw: DataFrame, hist: Optional[DataFrame] = None) -> DataFrame:
     """Missing values per column with severity, most missing first (ties in
     column order)."""
-    cs = column_stats(raw)
+    cs = column_stats(raw, hist)
     return (
         cs.select("position", "column_name", "missing_count", _missing_pct().alias("missing_pct"))
         .withColumn("severity", missing_severity("missing_pct"))
@@ -328,63 +312,36 @@ def profile_missing(raw: DataFrame) -> DataFrame:
     )
 
 
-def profile_statistics(raw: DataFrame, method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """describe(include='all'): count, unique/top/freq for text columns,
-    mean/std/min/quartiles/max for numeric columns.
-
-    The value histogram is computed once (one pass over the data) and kept
-    with ``persist`` while the statistics and quartile rounds read it; the
-    report (one row per column) is materialised before it is released.
-    """
-    from pyspark import StorageLevel
-
-    hist = value_histogram(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cs = column_stats(raw, hist)
-        qs = numeric_quartiles(raw, method, hist=hist, accuracy=accuracy)
-        j = cs.join(qs, "column_name", "left")
-        is_obj = F.col("data_type") == "object"
-
-        def num(c):
-            return F.when(~is_obj, F.col(c))
-
-        def txt(c):
-            return F.when(is_obj, F.col(c))
-
-        report = j.select(
-            "position",
-            "column_name",
-            "data_type",
-            F.col("count").cast("long").alias("count"),
-            txt("unique_text").cast("long").alias("unique"),
-            txt("top").alias("top"),
-            txt("freq").cast("long").alias("freq"),
-            num("mean").alias("mean"),
-            num("std").alias("std"),
-            num("min").alias("min"),
-            num("p25").alias("p25"),
-            num("p50").alias("p50"),
-            num("p75").alias("p75"),
-            num("max").alias("max"),
-        )
-        rows = _collect_small(report)
-        return raw.sparkSession.createDataFrame(rows, report.schema)
-    finally:
-        hist.unpersist()
+def profile_statistics(raw: DataFrame, method: str = "exact", accuracy: int = DEFAULT_ACCURACY, hist: Optional[DataFrame] = None) -> DataFrame:
+    """describe(include='all'): count, unique/top/freq for text and truth-value
+    columns, mean/std/min/quartiles/max for numeric columns."""
+    hist = hist if hist is not None else value_histogram(raw)
+    j = column_stats(raw, hist).join(F.broadcast(numeric_quartiles(raw, method, hist, accuracy)), "column_name", "left")
+    text = is_categorical(F.col("data_type"))
+    return j.select(
+        "position", "column_name", "data_type",
+        F.col("count").cast("long").alias("count"),
+        F.when(text, F.col("unique_text")).cast("long").alias("unique"),
+        F.when(text, F.col("top")).alias("top"),
+        F.when(text, F.col("freq")).cast("long").alias("freq"),
+        *[F.when(~text, F.col(c)).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")],
+    )
 
 
-def profile_overview(raw: DataFrame, dataset_name: str, size_bytes: Optional[DataFrame] = None) -> DataFrame:
+def profile_overview(raw: DataFrame, dataset_name: str, size_bytes: Optional[DataFrame] = None,
+                     hist: Optional[DataFrame] = None, duplicates: Optional[DataFrame] = None) -> DataFrame:
     """(metric, value) rows: name, rows, columns, numeric and categorical
     columns, duplicate rows, missing cells, and input size in MB when a
     one-row ``size_bytes`` DataFrame (column ``bytes``) is given."""
-    cs = column_stats(raw)
+    cs = column_stats(raw, hist)
+    duplicates = duplicates if duplicates is not None else duplicate_rows(null_na_words(raw))
     summary = cs.agg(
         F.max("rows").cast("long").alias("rows"),
         F.count(F.lit(1)).alias("columns"),
-        F.count_if(F.col("data_type") != "object").alias("numeric"),
-        F.count_if(F.col("data_type") == "object").alias("categorical"),
+        F.count_if(~is_categorical(F.col("data_type"))).alias("numeric"),
+        F.count_if(is_categorical(F.col("data_type"))).alias("categorical"),
         F.sum("missing_count").cast("long").alias("missing"),
-    ).crossJoin(duplicate_rows(null_na_words(raw)))  # 1 x 1 rows
+    ).crossJoin(duplicates)  # 1 x 1 rows
     metrics = [
         ("Dataset Name", F.lit(dataset_name)),
         ("Total Rows", F.col("rows").cast("string")),
@@ -406,10 +363,11 @@ def profile_overview(raw: DataFrame, dataset_name: str, size_bytes: Optional[Dat
     return summary.select(F.inline(F.array(*rows)))
 
 
-def profile_quality(raw: DataFrame) -> DataFrame:
+def profile_quality(raw: DataFrame, hist: Optional[DataFrame] = None, duplicates: Optional[DataFrame] = None) -> DataFrame:
     """Duplicate-row check followed by one missing-value check per column."""
-    cs = column_stats(raw)
-    dup = duplicate_rows(null_na_words(raw)).select(
+    cs = column_stats(raw, hist)
+    duplicates = duplicates if duplicates is not None else duplicate_rows(null_na_words(raw))
+    dup = duplicates.select(
         F.lit(-1).alias("position"),
         F.lit("Duplicate Rows").alias("check"),
         F.col("duplicate_rows").alias("result"),
@@ -423,18 +381,15 @@ def profile_quality(raw: DataFrame) -> DataFrame:
 
 
 def profile_sample(raw: DataFrame, n: int = 20, order_by: Optional[Sequence[str]] = None) -> DataFrame:
-    """First n rows in a deterministic order (all columns by default).
-
-    ``orderBy(...).limit(n)`` plans as a per-task top-n, so only n rows per
-    task are shuffled.
-    """
+    """The first n rows as the file has them, or the first n by ``order_by``
+    (a per-task top-n: only n rows per task are shuffled)."""
     df = null_na_words(raw)
-    keys = list(order_by) if order_by else df.columns
-    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
+    if order_by:
+        df = df.orderBy(*[F.col(k).asc_nulls_first() for k in order_by])
+    return df.limit(n)
 
 
-def input_size_bytes(file_df: DataFrame) -> DataFrame:
-    """Bytes on disk of the files behind a file-source DataFrame (sum over
-    distinct files of ``_metadata.file_size``), one row."""
-    files = file_df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).cast("long").alias("bytes"))
+def input_size_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes of the files at ``path`` (one row), from file metadata alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("bytes"))

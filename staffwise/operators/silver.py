@@ -100,6 +100,7 @@ def rejected_reason_counts(staffing: DataFrame) -> DataFrame:
 
 def clean_facility(provider: DataFrame) -> DataFrame:
     """Provider information file -> 10 typed facility columns."""
+    # fixed values: the source headers and the output names
     return provider.select(
         ccn(CCN_HEADER).alias("facility_ccn"),
         F.trim("Provider Name").alias("facility_name"),
@@ -116,6 +117,7 @@ def clean_facility(provider: DataFrame) -> DataFrame:
 
 def clean_claims_measures(claims: DataFrame) -> DataFrame:
     """Claims-based quality measures file -> measure rows."""
+    # fixed values: the source headers and the output names
     return claims.select(
         ccn(CCN_HEADER).alias("facility_ccn"),
         F.trim("State").alias("state"),
@@ -149,6 +151,7 @@ def quality_measures(claims: DataFrame, vbp: DataFrame) -> DataFrame:
 
 def clean_citations(citations: DataFrame) -> DataFrame:
     """Health citations file -> 8 typed columns (survey date MM/dd/yyyy)."""
+    # fixed values: the source headers and the output names
     return citations.select(
         ccn(CCN_HEADER).alias("facility_ccn"),
         F.trim("State").alias("state"),

@@ -1,9 +1,10 @@
 """Jobs: operators chained with I/O, in the order the layers depend on.
 
+* ``landing.land_folder``         plain CSV files -> Bronze
 * ``staffing_bronze_to_silver``   raw daily staffing CSV -> Silver (JOB1)
 * ``supporting_bronze_to_silver`` provider / measures / citations (JOB2)
 * ``silver_to_gold``              daily, quarterly, staffing x quality (JOB3)
-* ``gold_to_marts``               RAW sources -> tests -> staging -> marts (JOB4)
+* ``gold_to_marts``               Gold -> RAW tables -> tests -> staging -> marts (JOB4)
 * ``run_all``                     everything, stopping at the first failure (JOB5)
 
 Each Gold table is written and then read back for the next step, so later
@@ -13,14 +14,16 @@ lineage, and a lost executor only costs the step that was running.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Optional
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from staffwise.operators import checks, gold, marts, silver
-from staffwise.sources import readers, writers
+from staffwise.sources import landing, readers, writers
 from staffwise.sources.schemas import SHADOW_PARTITIONS
 
 STAFFING_KEYS = ["facility_ccn", "work_date"]
@@ -108,9 +111,7 @@ def silver_to_gold(spark: SparkSession, silver_folder: str, gold_folder: str) ->
     writers.write_gold(quarterly, paths[GOLD_QUARTERLY])
     quarterly_back = _data_columns(readers.read_gold_quarterly(spark, paths[GOLD_QUARTERLY]))
 
-    # the measure side is a Silver scan: its row-bound check is cheap
-    writers.write_gold(gold.staffing_quality(quarterly_back, quality, check_measures=True),
-                       paths[GOLD_STAFFING_QUALITY])
+    writers.write_gold(gold.staffing_quality(quarterly_back, quality), paths[GOLD_STAFFING_QUALITY])
     return JobResult("silver_to_gold", paths)
 
 
@@ -124,13 +125,27 @@ SOURCES = {
 }
 
 
-def gold_to_marts(spark: SparkSession, gold_folder: str, mart_folder: Optional[str] = None,
-                  save_tables: bool = False) -> JobResult:
-    """Source tests -> staging views -> model tests -> marts -> mart tests,
-    each step only after the tests of its inputs passed. Marts are written
-    as Parquet folders and/or catalog tables."""
+def load_sources(spark: SparkSession, gold_folder: str, database: Optional[str] = None) -> dict[str, str]:
+    """Gold folders -> the declared RAW tables of the catalog: {logical name: table}."""
     g = gold_folder.rstrip("/")
-    raw = {name: _data_columns(reader(spark, f"{g}/{folder}/")) for name, (folder, reader) in SOURCES.items()}
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    out = {}
+    for name, (folder, reader) in SOURCES.items():
+        out[name] = readers.source_table(name, database)
+        writers.save_table(_data_columns(reader(spark, f"{g}/{folder}/")), out[name])
+    return out
+
+
+def gold_to_marts(spark: SparkSession, gold_folder: str, mart_folder: Optional[str] = None,
+                  save_tables: bool = True, database: Optional[str] = None) -> JobResult:
+    """RAW tables -> source tests -> staging views -> model tests -> marts ->
+    mart tests, each step only after the tests of its inputs passed. Marts are
+    catalog tables (by default) and/or Parquet folders."""
+    if not (save_tables or mart_folder):
+        raise ValueError("no place for the marts: give mart_folder or leave save_tables on")
+    load_sources(spark, gold_folder, database)
+    raw = {name: readers.source(spark, name, database) for name in SOURCES}
     results = []
 
     def test(tests):
@@ -161,15 +176,14 @@ def gold_to_marts(spark: SparkSession, gold_folder: str, mart_folder: Optional[s
     out = {}
     for name, df in built.items():
         if mart_folder:
-            path = f"{mart_folder.rstrip('/')}/{name}/"
-            writers.write_parquet(df, path)
-            out[name] = path
+            out[name] = f"{mart_folder.rstrip('/')}/{name}/"
+            writers.write_parquet(df, out[name])
+            df = spark.read.schema(df.schema).parquet(out[name])
         if save_tables:
-            writers.save_table(df, name)
-            out.setdefault(name, name)
-    reread = {
-        name: (spark.read.parquet(out[name]) if mart_folder else spark.table(name)) for name in built
-    }
+            table = f"{database}.{name}" if database else name
+            writers.save_table(df, table)
+            out.setdefault(name, table)
+    reread = {name: (spark.read.parquet(at) if mart_folder else spark.table(at)) for name, at in out.items()}
     test(
         {
             "mart_state_staffing_summary": (reread["mart_state_staffing_summary"], ["state"]),
@@ -183,17 +197,22 @@ def gold_to_marts(spark: SparkSession, gold_folder: str, mart_folder: Optional[s
 # ------------------------------------------------------------------- JOB5
 
 
-def run_all(spark: SparkSession, staffing_csv: str, bronze_folder: str, silver_folder: str,
-            gold_folder: str, mart_folder: str) -> list[JobResult]:
-    """Whole run in dependency order; the first failing job raises and the
+def run_all(spark: SparkSession, landing_folder: str, bronze_folder: str, silver_folder: str, gold_folder: str,
+            mart_folder: Optional[str] = None, database: Optional[str] = None) -> list[JobResult]:
+    """Whole run in dependency order: landing, then both Silver jobs side by
+    side, then Gold, then the marts. The first failing job raises and the
     later ones do not start."""
-    results = [
-        staffing_bronze_to_silver(spark, staffing_csv, _silver(silver_folder, "silver_daily_staffing")),
-        supporting_bronze_to_silver(spark, bronze_folder, silver_folder),
-    ]
-    results.append(silver_to_gold(spark, silver_folder, gold_folder))
-    results.append(gold_to_marts(spark, gold_folder, mart_folder))
-    return results
+    landed = landing.land_folder(spark, landing_folder, bronze_folder)
+    staffing = readers.bronze_file(bronze_folder, readers.STAFFING_FILE)
+    with ThreadPoolExecutor(2) as both:
+        silver_jobs = [
+            both.submit(staffing_bronze_to_silver, spark, staffing, _silver(silver_folder, "silver_daily_staffing")),
+            both.submit(supporting_bronze_to_silver, spark, bronze_folder, silver_folder),
+        ]
+        done = [job.result() for job in silver_jobs]
+    done.append(silver_to_gold(spark, silver_folder, gold_folder))
+    done.append(gold_to_marts(spark, gold_folder, mart_folder, database=database))
+    return [JobResult("landing", {path.rsplit("/", 1)[-1]: path for path in landed}), *done]
 
 
 # -------------------------------------------------------------- profiling
@@ -211,13 +230,17 @@ def profile_file(spark: SparkSession, csv_path: str, report_folder: Optional[str
 
     raw = readers.read_bronze_cp1252(spark, csv_path)
     name = dataset_name or csv_path.rstrip("/").split("/")[-1]
-    size = profiling.input_size_bytes(readers.read_bronze_csv(spark, csv_path))
+    size = profiling.input_size_bytes(spark, csv_path)
+    # the two passes over the data, stored once for the six tables
+    hist, duplicates = (
+        writers.stored(df, f"{readers.shared_dir(spark)}/profile-{uuid4().hex}") for df in profiling.report_inputs(raw)
+    )
     tables = {
-        "overview": profiling.profile_overview(raw, name, size),
-        "data_dictionary": profiling.profile_dictionary(raw),
-        "missing_values": profiling.profile_missing(raw),
-        "summary_statistics": profiling.profile_statistics(raw, method),
-        "data_quality": profiling.profile_quality(raw),
+        "overview": profiling.profile_overview(raw, name, size, hist, duplicates),
+        "data_dictionary": profiling.profile_dictionary(raw, hist),
+        "missing_values": profiling.profile_missing(raw, hist),
+        "summary_statistics": profiling.profile_statistics(raw, method, hist=hist),
+        "data_quality": profiling.profile_quality(raw, hist, duplicates),
         "sample_data": profiling.profile_sample(raw),
     }
     if report_folder:

@@ -10,9 +10,20 @@ from __future__ import annotations
 
 from typing import Dict, Sequence
 
-from staffwise.operators.profiling import INT_PATTERN, NA_WORDS
-from staffwise.sources.schemas import SPLIT_STEMS, STAFF_CATEGORIES
-
+# Fixed values, written out here a second time so that an error in the
+# library's lists shows up as a mismatch.
+NA_WORDS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+]
+STAFF_CATEGORIES = [
+    ("Hrs_RN", "rn_hours"), ("Hrs_LPN", "lpn_hours"), ("Hrs_CNA", "cna_hours"), ("Hrs_RNDON", "director_rn_hours"),
+    ("Hrs_RNadmin", "rn_admin_hours"), ("Hrs_LPNadmin", "lpn_admin_hours"), ("Hrs_NAtrn", "nurse_aide_training_hours"),
+    ("Hrs_MedAide", "medication_aide_hours"),
+]
+SPLIT_STEMS = [stem for stem, _ in STAFF_CATEGORIES]
+INT_RE = r"\s*[+-]?[0-9]+\s*"
+NUMBER_RE = r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*|\s*[+-]?(?i:inf|infinity)\s*"
 
 # ------------------------------------------------------------ expressions
 
@@ -26,7 +37,8 @@ def to_double(x: str) -> str:
 
 
 def to_int(x: str) -> str:
-    return f"TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS INTEGER)"
+    whole = r"\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*"
+    return f"CASE WHEN regexp_full_match({x}, '{whole}') THEN TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS INTEGER) END"
 
 
 def hours(x: str) -> str:
@@ -99,7 +111,8 @@ def _pbj_raw_columns() -> str:
         "' ' || d.s_name AS PROVNAME",
         "d.n_name AS STATE",
         "CASE WHEN l.l_orderkey % 89 = 0 THEN NULL WHEN l.l_orderkey % 83 = 0 THEN '-1' "
-        "WHEN l.l_orderkey % 79 = 0 THEN '12.7' ELSE CAST(l.l_partkey % 5 AS VARCHAR) END AS MDScensus",
+        "WHEN l.l_orderkey % 79 = 0 THEN '12.7' WHEN l.l_orderkey % 73 = 0 THEN '12d' "
+        "WHEN l.l_orderkey % 71 = 0 THEN '1e2' ELSE CAST(l.l_partkey % 5 AS VARCHAR) END AS MDScensus",
     ]
     text = {}
     for stem, name in STAFF_CATEGORIES:
@@ -148,7 +161,7 @@ TOTAL = " + ".join(CATS)
 FIXTURE_CTES = f"""
 directory AS (
   SELECT s.s_suppkey, s.s_name, s.s_acctbal, n.n_name
-  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 ),
 staffing_agg AS (
   SELECT l_suppkey, CAST(l_shipdate AS DATE) AS work_date,
@@ -162,18 +175,18 @@ fx_staffing AS (
     trim(d.s_name) AS facility_name, trim(d.n_name) AS state, a.resident_census,
     {", ".join("a." + c for c in CATS)},
     a.employee_nursing_hours, a.contract_nursing_hours
-  FROM staffing_agg a JOIN directory d ON a.l_suppkey = d.s_suppkey
+  FROM staffing_agg a LEFT JOIN directory d ON a.l_suppkey = d.s_suppkey
 ),
 pbj_raw AS (
   SELECT {_pbj_raw_columns()}
-  FROM lineitem l JOIN directory d ON l.l_suppkey = d.s_suppkey
+  FROM lineitem l LEFT JOIN directory d ON l.l_suppkey = d.s_suppkey
 ),
 clean_staffing AS (
   SELECT {_clean_staffing_columns()}
   FROM pbj_raw
 ),
 provider_raw AS (
-  SELECT ' ' || CAST(s_suppkey AS VARCHAR) AS ccn_text,
+  SELECT CASE WHEN s_suppkey % 7 = 3 THEN ' P' ELSE ' ' END || CAST(s_suppkey AS VARCHAR) AS ccn_text,
     s_name || ' ' AS provider_name, n_name AS state_text,
     CAST(CASE WHEN s_suppkey % 10 = 0 THEN 0 ELSE 5 + s_suppkey % 20 END AS VARCHAR) AS beds_text,
     CAST(s_acctbal AS VARCHAR) AS residents_text,
@@ -183,7 +196,7 @@ provider_raw AS (
     CASE WHEN s_suppkey % 11 = 0 THEN 'N/A' ELSE CAST(1 + s_suppkey % 4 AS VARCHAR) END AS staffing_text,
     CAST(s_suppkey % 60 AS VARCHAR) AS turnover_text,
     CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE CAST(s_suppkey % 45 AS VARCHAR) END AS rn_turnover_text
-  FROM directory WHERE s_suppkey % 7 <> 3
+  FROM directory
 ),
 fx_facility AS (
   SELECT {ccn('ccn_text')} AS facility_ccn, trim(provider_name) AS facility_name,
@@ -194,13 +207,13 @@ fx_facility AS (
   FROM provider_raw
 ),
 measure_base AS (
-  SELECT b.user_id, b.event_type, b.score, d.n_name
-  FROM (SELECT user_id, event_type, avg(value) AS score FROM events
-        WHERE user_id % 8 <> 0 GROUP BY user_id, event_type) b
+  SELECT b.user_id, b.event_type, b.score, d.n_name,
+    CASE WHEN b.user_id % 8 = 0 THEN 'M' ELSE '' END || CAST(b.user_id AS VARCHAR) AS ccn_text
+  FROM (SELECT user_id, event_type, avg(value) AS score FROM events GROUP BY user_id, event_type) b
   LEFT JOIN directory d ON b.user_id = d.s_suppkey
 ),
 fx_quality AS (
-  SELECT {ccn('user_id')} AS facility_ccn, trim(n_name) AS state,
+  SELECT {ccn('ccn_text')} AS facility_ccn, trim(n_name) AS state,
     'claims_quality_measure' AS quality_source, event_type AS measure_code,
     CASE WHEN event_type = 'error' THEN 'Short-stay Rehospitalization' ELSE 'Other ' || event_type END AS measure_name,
     CASE WHEN event_type = 'error' THEN 'Short Stay' ELSE 'Long Stay' END AS resident_type,
@@ -208,7 +221,7 @@ fx_quality AS (
     '2024' AS measure_period
   FROM measure_base WHERE event_type <> 'signup'
   UNION ALL
-  SELECT {ccn('user_id')}, trim(n_name), 'vbp_readmission_rate', 'FY2022_READMISSION_RATE',
+  SELECT {ccn('ccn_text')}, trim(n_name), 'vbp_readmission_rate', 'FY2022_READMISSION_RATE',
     'FY 2022 Risk-Standardized Readmission Rate', CAST(NULL AS VARCHAR), score, 'FY 2022'
   FROM measure_base WHERE event_type = 'signup'
 ),
@@ -325,29 +338,37 @@ def _na(col: str) -> str:
     return f"CASE WHEN CAST({col} AS VARCHAR) IN ({sql_list(NA_WORDS)}) THEN NULL ELSE CAST({col} AS VARCHAR) END"
 
 
-PROFILE_NA = "profile_na AS (SELECT " + ", ".join(f"{_na(c)} AS {c}" for c in PBJ_COLUMNS) + " FROM pbj_raw)"
-
-# regexp_full_match anchors the whole string itself
-_INT_RE = INT_PATTERN.lstrip("^").rstrip("$")
+PROFILE_COLUMNS = PBJ_COLUMNS + ["Notes", "Is_Contract", "Shift_Code"]
+PROFILE_RAW = f"""profile_raw AS (
+  SELECT {_pbj_raw_columns()}, CAST(NULL AS VARCHAR) AS Notes,
+    CASE WHEN l.l_returnflag = 'R' THEN 'True' ELSE 'FALSE' END AS Is_Contract,
+    CAST(l.l_linenumber % 3 AS VARCHAR) || CASE WHEN l.l_linenumber % 2 = 0 THEN 'd' ELSE 'f' END AS Shift_Code
+  FROM lineitem l LEFT JOIN directory d ON l.l_suppkey = d.s_suppkey
+)"""
+PROFILE_NA = "profile_na AS (SELECT " + ", ".join(f"{_na(c)} AS {c}" for c in PROFILE_COLUMNS) + " FROM profile_raw)"
+NUM = f"CASE WHEN regexp_full_match(s, '{NUMBER_RE}') THEN TRY_CAST(s AS DOUBLE) END"
 
 PROFILE_LONG = "profile_long AS (\n" + "\n  UNION ALL\n".join(
-    f"  SELECT {i} AS position, '{c}' AS column_name, {c} AS s FROM profile_na" for i, c in enumerate(PBJ_COLUMNS)
+    f"  SELECT {i} AS position, '{c}' AS column_name, {c} AS s FROM profile_na" for i, c in enumerate(PROFILE_COLUMNS)
 ) + "\n)"
 
 PROFILE_COLS = f"""profile_cols AS (
   SELECT position, column_name,
     CAST(count(s) AS BIGINT) AS count,
     CAST(count(*) FILTER (WHERE s IS NULL) AS BIGINT) AS missing_count,
-    count(*) FILTER (WHERE s IS NOT NULL AND TRY_CAST(s AS DOUBLE) IS NULL) AS bad,
-    count(*) FILTER (WHERE s IS NOT NULL AND NOT regexp_full_match(s, '{_INT_RE}')) AS nonint,
-    avg(TRY_CAST(s AS DOUBLE)) AS mean, stddev_samp(TRY_CAST(s AS DOUBLE)) AS std,
-    min(TRY_CAST(s AS DOUBLE)) AS min, max(TRY_CAST(s AS DOUBLE)) AS max,
+    count(*) FILTER (WHERE s IS NOT NULL AND {NUM} IS NULL) AS bad,
+    count(*) FILTER (WHERE s IS NOT NULL AND NOT regexp_full_match(s, '{INT_RE}')) AS nonint,
+    avg({NUM}) AS mean, stddev_samp({NUM}) AS std,
+    count(*) FILTER (WHERE s IN ('True', 'TRUE', 'true')) AS n_true, count(*) FILTER (WHERE s IN ('False', 'FALSE', 'false')) AS n_false,
+    min({NUM}) AS min, max({NUM}) AS max,
     CAST(count(*) AS BIGINT) AS rows
   FROM profile_long GROUP BY position, column_name
 ),
 profile_typed AS (
-  SELECT *, CASE WHEN bad = 0 AND missing_count = 0 AND nonint = 0 AND count > 0 THEN 'int64'
-                 WHEN bad = 0 AND count > 0 THEN 'float64' ELSE 'object' END AS data_type,
+  SELECT *, CASE WHEN n_true + n_false = count AND missing_count = 0 AND count > 0 THEN 'bool'
+                 WHEN bad = 0 AND missing_count = 0 AND nonint = 0 AND count > 0 THEN 'int64'
+                 WHEN bad = 0 THEN 'float64' ELSE 'object' END AS data_type,
+    CASE WHEN n_true > 0 AND n_false > 0 THEN 2 ELSE 1 END AS unique_truth,
     {rnd('CASE WHEN rows > 0 THEN missing_count / rows * 100.0 END', 2)} AS missing_pct
   FROM profile_cols
 ),
@@ -355,21 +376,21 @@ profile_hist AS (
   SELECT column_name, s, count(*) AS cnt FROM profile_long WHERE s IS NOT NULL GROUP BY column_name, s
 ),
 profile_values AS (
-  SELECT column_name, count(*) AS unique_text, count(DISTINCT TRY_CAST(s AS DOUBLE)) AS unique_number,
+  SELECT column_name, count(*) AS unique_text, count(DISTINCT {NUM}) AS unique_number,
     min({{'neg': -cnt, 's': s}}) AS top_struct
   FROM profile_hist GROUP BY column_name
 ),
 profile_quart AS (
   SELECT column_name, quantile_cont(v, [0.25, 0.5, 0.75]) AS qs
-  FROM (SELECT column_name, TRY_CAST(s AS DOUBLE) AS v FROM profile_long) x
-  WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY column_name
+  FROM (SELECT column_name, {NUM} AS v FROM profile_long) x
+  WHERE v IS NOT NULL GROUP BY column_name
 )"""
 
-PROFILE_CTES = ",\n".join([PROFILE_NA, PROFILE_LONG, PROFILE_COLS])
+PROFILE_CTES = ",\n".join([PROFILE_RAW, PROFILE_NA, PROFILE_LONG, PROFILE_COLS])
 
 PROFILE_DUP = (
     "SELECT CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM "
-    f"(SELECT count(*) AS n FROM profile_na GROUP BY {', '.join(PBJ_COLUMNS)}) g"
+    f"(SELECT count(*) AS n FROM profile_na GROUP BY {', '.join(PROFILE_COLUMNS)}) g"
 )
 
 
@@ -383,15 +404,15 @@ PROFILE_SQL = {
   SELECT 0 AS position, 'Dataset Name' AS metric, 'PBJ_Daily_Nurse_Staffing' AS value
   UNION ALL SELECT 1, 'Total Rows', CAST(max(rows) AS VARCHAR) FROM profile_typed
   UNION ALL SELECT 2, 'Total Columns', CAST(count(*) AS VARCHAR) FROM profile_typed
-  UNION ALL SELECT 3, 'Numeric Columns', CAST(count(*) FILTER (WHERE data_type <> 'object') AS VARCHAR) FROM profile_typed
-  UNION ALL SELECT 4, 'Categorical Columns', CAST(count(*) FILTER (WHERE data_type = 'object') AS VARCHAR) FROM profile_typed
+  UNION ALL SELECT 3, 'Numeric Columns', CAST(count(*) FILTER (WHERE data_type NOT IN ('object', 'bool')) AS VARCHAR) FROM profile_typed
+  UNION ALL SELECT 4, 'Categorical Columns', CAST(count(*) FILTER (WHERE data_type IN ('object', 'bool')) AS VARCHAR) FROM profile_typed
   UNION ALL SELECT 5, 'Duplicate Rows', CAST(duplicate_rows AS VARCHAR) FROM ({PROFILE_DUP}) d
   UNION ALL SELECT 6, 'Total Missing Cells', CAST(sum(missing_count) AS VARCHAR) FROM profile_typed
 ) o"""
     ),
     "profile_dictionary": _profile(
         """SELECT t.position, t.column_name, t.data_type, t.missing_count, t.missing_pct,
-  CAST(COALESCE(CASE WHEN t.data_type = 'object' THEN v.unique_text ELSE v.unique_number END, 0) AS BIGINT) AS unique_values
+  CAST(COALESCE(CASE t.data_type WHEN 'bool' THEN t.unique_truth WHEN 'object' THEN v.unique_text ELSE v.unique_number END, 0) AS BIGINT) AS unique_values
 FROM profile_typed t LEFT JOIN profile_values v ON t.column_name = v.column_name"""
     ),
     "profile_missing": _profile(
@@ -402,16 +423,16 @@ FROM profile_typed"""
     ),
     "profile_statistics": _profile(
         f"""SELECT t.position, t.column_name, t.data_type, t.count,
-  CASE WHEN t.data_type = 'object' THEN CAST(v.unique_text AS BIGINT) END AS "unique",
-  CASE WHEN t.data_type = 'object' THEN v.top_struct.s END AS top,
-  CASE WHEN t.data_type = 'object' THEN CAST(-v.top_struct.neg AS BIGINT) END AS freq,
-  CASE WHEN t.data_type <> 'object' THEN {rnd('t.mean', 6)} END AS mean,
-  CASE WHEN t.data_type <> 'object' THEN {rnd('t.std', 6)} END AS std,
-  CASE WHEN t.data_type <> 'object' THEN t.min END AS min,
-  CASE WHEN t.data_type <> 'object' THEN {rnd('q.qs[1]', 6)} END AS p25,
-  CASE WHEN t.data_type <> 'object' THEN {rnd('q.qs[2]', 6)} END AS p50,
-  CASE WHEN t.data_type <> 'object' THEN {rnd('q.qs[3]', 6)} END AS p75,
-  CASE WHEN t.data_type <> 'object' THEN t.max END AS max
+  CAST(CASE t.data_type WHEN 'bool' THEN t.unique_truth WHEN 'object' THEN v.unique_text END AS BIGINT) AS "unique",
+  CASE t.data_type WHEN 'bool' THEN CASE WHEN n_true > n_false THEN 'True' ELSE 'False' END WHEN 'object' THEN v.top_struct.s END AS top,
+  CAST(CASE t.data_type WHEN 'bool' THEN greatest(n_true, n_false) WHEN 'object' THEN -v.top_struct.neg END AS BIGINT) AS freq,
+  CASE WHEN t.data_type NOT IN ('object', 'bool') THEN {rnd('t.mean', 6)} END AS mean,
+  CASE WHEN t.data_type NOT IN ('object', 'bool') THEN {rnd('t.std', 6)} END AS std,
+  CASE WHEN t.data_type NOT IN ('object', 'bool') THEN t.min END AS min,
+  CASE WHEN t.data_type NOT IN ('object', 'bool') THEN {rnd('q.qs[1]', 6)} END AS p25,
+  CASE WHEN t.data_type NOT IN ('object', 'bool') THEN {rnd('q.qs[2]', 6)} END AS p50,
+  CASE WHEN t.data_type NOT IN ('object', 'bool') THEN {rnd('q.qs[3]', 6)} END AS p75,
+  CASE WHEN t.data_type NOT IN ('object', 'bool') THEN t.max END AS max
 FROM profile_typed t LEFT JOIN profile_values v ON t.column_name = v.column_name
 LEFT JOIN profile_quart q ON t.column_name = q.column_name"""
     ),
@@ -422,7 +443,7 @@ SELECT position, 'Missing Values - ' || column_name, missing_count FROM profile_
     ),
     "profile_sample": _profile(
         "SELECT * FROM profile_na ORDER BY "
-        + ", ".join(f"{c} ASC NULLS FIRST" for c in PBJ_COLUMNS)
+        + ", ".join(f"{c} ASC NULLS FIRST" for c in PROFILE_COLUMNS)
         + " LIMIT 20"
     ),
 }
@@ -630,6 +651,14 @@ FROM page_quality"""
     "parquet_roundtrip_gold": with_fixtures(
         r6_select("SELECT * FROM fx_quarterly", _avg_cols(QUARTERLY_COLS))
     ),
+    "csv_roundtrip_staffing": with_fixtures("SELECT * FROM clean_staffing"),
+    "csv_roundtrip_supporting": with_fixtures(r6_select("SELECT * FROM fx_quality", ["measure_score"])),
+    "silver_roundtrip_staffing": with_fixtures(
+        "SELECT * FROM clean_staffing WHERE regexp_full_match(facility_ccn, '[0-9]{6}') "
+        "AND work_date IS NOT NULL AND resident_census >= 0"
+    ),
+    "report_roundtrip_missing": PROFILE_SQL["profile_missing"],
+    "catalog_roundtrip_state_summary": with_fixtures("SELECT * FROM mart_state"),
     "bronze_key": (
         "SELECT page_id, concat_ws('/', NULLIF(regexp_replace('/bronze/pages/', '^/+|/+$', '', 'g'), ''), "
         "string_split(url, '/')[-1]) AS bronze_key FROM pages"

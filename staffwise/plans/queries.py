@@ -144,18 +144,19 @@ def q_readmission_quality(spark, d):
 def q_not_null_results(spark, d):
     b = _bindings(spark, d)
     stg_q = marts.stg_quarterly(b.quarterly)
-    stg_qual = marts.stg_quality(b.staffing_quality)
+    key, staged = ["facility_ccn"], marts.is_staged()
+    # models that only filter their source are tested in the source's pass
     return checks.not_null_results(
         {
-            "FACILITY_DAILY_STAFFING": (b.daily, ["facility_ccn"]),
-            "FACILITY_QUARTERLY_SUMMARY": (b.quarterly, ["facility_ccn"]),
-            "STAFFING_QUALITY_ANALYSIS": (b.staffing_quality, ["facility_ccn"]),
-            "stg_facility_daily_staffing": (marts.stg_daily(b.daily), ["facility_ccn", "work_date"]),
-            "stg_facility_quarterly_summary": (stg_q, ["facility_ccn"]),
-            "stg_staffing_quality_analysis": (stg_qual, ["facility_ccn"]),
+            "FACILITY_DAILY_STAFFING": (b.daily, key),
+            "stg_facility_daily_staffing": (b.daily, ["facility_ccn", "work_date"], staged),
+            "FACILITY_QUARTERLY_SUMMARY": (b.quarterly, key),
+            "stg_facility_quarterly_summary": (b.quarterly, key, staged),
+            "STAFFING_QUALITY_ANALYSIS": (b.staffing_quality, key),
+            "stg_staffing_quality_analysis": (b.staffing_quality, key, staged),
+            "mart_staffing_quality": (b.staffing_quality, key, staged & marts.is_readmission()),
             "mart_state_staffing_summary": (marts.state_summary(stg_q), ["state"]),
-            "mart_low_staffing_facilities": (marts.low_staffing(stg_q), ["facility_ccn"]),
-            "mart_staffing_quality": (marts.readmission_quality(stg_qual), ["facility_ccn"]),
+            "mart_low_staffing_facilities": (marts.low_staffing(stg_q), key),
         }
     )
 
@@ -166,7 +167,7 @@ PROFILE_NAME = "PBJ_Daily_Nurse_Staffing"
 
 
 def _raw(spark, d):
-    return _bindings(spark, d).pbj_raw
+    return _bindings(spark, d).profile_raw
 
 
 def q_profile_overview(spark, d):
@@ -190,7 +191,8 @@ def q_profile_quality(spark, d):
 
 
 def q_profile_sample(spark, d):
-    return profiling.profile_sample(_raw(spark, d))
+    raw = _raw(spark, d)
+    return profiling.profile_sample(raw, order_by=raw.columns)
 
 
 # ------------------------------------------------------------------- pages
@@ -270,18 +272,70 @@ def q_quality_detail_display(spark, d):
 # --------------------------------------------------------------- sources
 
 
+def _folder(spark) -> str:
+    """A new folder below the session's shared folder."""
+    return f"{readers.shared_dir(spark)}/roundtrip-{uuid.uuid4().hex}"
+
+
 def q_parquet_roundtrip_gold(spark, d):
     """Write Gold quarterly with shadow partitions under the session's
-    shared checkpoint folder, read it back with the explicit schema."""
-    base = readers.shared_dir(spark)
-    path = f"{base}/roundtrip-{uuid.uuid4().hex}/gold_facility_quarterly_summary"
+    shared folder, read it back with the explicit schema."""
+    path = f"{_folder(spark)}/gold_facility_quarterly_summary"
     writers.write_gold(_bindings(spark, d).quarterly, path)
     back = readers.read_gold_quarterly(spark, path)
     return r6(back.select(*[c for c in back.columns if not c.startswith("s3_")]))
 
 
-def q_landing_inventory(spark, d):
-    return readers.landing_inventory(spark, d)
+def _bronze_csv(df: DataFrame, path: str) -> str:
+    df.write.option("header", True).option("encoding", readers.BRONZE_CHARSET).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    return path
+
+
+def q_csv_roundtrip_staffing(spark, d):
+    """Raw staffing as a Bronze CSV folder, read back and cleaned."""
+    path = _bronze_csv(_bindings(spark, d).pbj_raw, f"{_folder(spark)}/{readers.STAFFING_FILE}")
+    return silver.clean_staffing(readers.read_bronze_csv(spark, path))
+
+
+def q_csv_roundtrip_supporting(spark, d):
+    """The four supporting files as Bronze CSV folders, read back; their measures."""
+    b, folder = _bindings(spark, d), _folder(spark)
+    raw = {
+        readers.PROVIDER_FILE: fx.fx_provider_raw(spark, d, b.directory), readers.CLAIMS_FILE: fx.fx_claims_raw(spark, d, b.directory),
+        readers.VBP_FILE: fx.fx_vbp_raw(spark, d, b.directory), readers.CITATIONS_FILE: b.citations_raw,
+    }
+    for name, df in raw.items():
+        _bronze_csv(df, readers.bronze_file(folder, name))
+    back = readers.read_supporting(spark, folder)
+    return r6(silver.quality_measures(back["claims"], back["vbp"]))
+
+
+def q_silver_roundtrip_staffing(spark, d):
+    """Valid staffing written as Silver by state, read back."""
+    path = f"{_folder(spark)}/silver_daily_staffing"
+    writers.write_silver(silver.valid_staffing(_clean(_bindings(spark, d))), path)
+    return readers.read_silver_staffing(spark, path)
+
+
+def q_report_roundtrip_missing(spark, d):
+    """The missing-value table written as a report folder, read back."""
+    folder = _folder(spark)
+    writers.write_report({"missing_values": profiling.profile_missing(_raw(spark, d))}, folder)
+    return spark.read.parquet(f"{folder}/missing_values")
+
+
+def q_catalog_roundtrip_state_summary(spark, d):
+    """Quarterly Gold saved as its RAW table, the state summary built from the
+    source and saved as a mart, and the mart loaded by its page key."""
+    database = f"staffwise_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    writers.save_table(_bindings(spark, d).quarterly, readers.source_table("FACILITY_QUARTERLY_SUMMARY", database))
+    quarterly = readers.source(spark, "FACILITY_QUARTERLY_SUMMARY", database)
+    mart = f"{database}.{readers.MARTS['state_summary']}"
+    writers.save_table(marts.state_summary(marts.stg_quarterly(quarterly)), mart)
+    return readers.load_mart(spark, mart)
 
 
 def q_bronze_key(spark, d):
@@ -331,6 +385,10 @@ QUERIES: Dict[str, QueryFn] = {
     "state_table_display": q_state_table_display,
     "quality_detail_display": q_quality_detail_display,
     "parquet_roundtrip_gold": q_parquet_roundtrip_gold,
-    "landing_inventory": q_landing_inventory,
+    "csv_roundtrip_staffing": q_csv_roundtrip_staffing,
+    "csv_roundtrip_supporting": q_csv_roundtrip_supporting,
+    "silver_roundtrip_staffing": q_silver_roundtrip_staffing,
+    "report_roundtrip_missing": q_report_roundtrip_missing,
+    "catalog_roundtrip_state_summary": q_catalog_roundtrip_state_summary,
     "bronze_key": q_bronze_key,
 }

@@ -8,10 +8,10 @@ scale factor. The same bindings are written as DuckDB SQL in
 
 Roles: a supplier is a facility, a (supplier, ship date) pair is a
 facility-day, a nation is a state, an events user is a facility with quality
-measures and citations. Modulo rules on keys do not cut any input; they
-inject the dirty values and unmatched keys that the cleaning and join
-semantics need (facilities missing from the provider file, unparsable dates,
-negative census, ...).
+measures and citations. Modulo rules on keys do not cut any input: every row
+of every table is kept. They change texts into the dirty values (unparsable
+dates, negative census, ...) and altered keys (facilities unknown to the
+provider or the measure files) that the cleaning and join semantics need.
 """
 
 from __future__ import annotations
@@ -23,21 +23,11 @@ from pyspark.sql import functions as F
 
 from staffwise.functions import ccn
 from staffwise.operators import silver
-from staffwise.operators.joins import broadcast_if_bounded, is_bounded
 from staffwise.sources.schemas import SPLIT_STEMS, STAFF_CATEGORIES
 
 
-# Fact tables whose scans are spread when under-split (see
-# ``readers.spread_if_undersplit``); dimensions stay as read so that they
-# keep their broadcast size estimate and no exchange.
-FACT_TABLES = {"lineitem": "l_orderkey", "events": "event_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from staffwise.sources.readers import spread_if_undersplit
-
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_if_undersplit(df, FACT_TABLES[name]) if name in FACT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def wall_date(df: DataFrame, name: str) -> Column:
@@ -57,33 +47,20 @@ def _quarter_label(d: Column) -> Column:
 
 
 def facility_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier x nation -> (s_suppkey, s_name, s_acctbal, n_name)."""
+    """supplier with its nation -> (s_suppkey, s_name, s_acctbal, n_name)."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    nation = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "inner").drop(
-        "n_nationkey", "s_nationkey"
-    )
-
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "left").drop("n_nationkey", "s_nationkey")
 
-class Directory:
-    """The facility directory with its size checked once: every join to it
-    gets the broadcast hint only when the check proved it small."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.df = facility_directory(spark, sf_dir)
-        self.small = is_bounded(self.df)
+def with_directory(facts: DataFrame, directory: DataFrame, key: str, *cols: str) -> DataFrame:
+    """Facts with directory columns; a left join, so every fact row stays and only the directory can be broadcast."""
+    d = directory.select("s_suppkey", *cols)
+    return facts.join(d, facts[key] == d.s_suppkey, "left")
 
-    def side(self, *cols: str) -> DataFrame:
-        d = self.df.select(*cols) if cols else self.df
-        return F.broadcast(d) if self.small else d
 
-    def join(self, facts: DataFrame, key: str, how: str = "inner", cols=()) -> DataFrame:
-        d = self.side(*cols)
-        return facts.join(d, facts[key] == d.s_suppkey, how)
-
-
-def _dir(spark, sf_dir, directory):
-    return directory if directory is not None else Directory(spark, sf_dir)
+def _dir(spark: SparkSession, sf_dir: str, directory: DataFrame | None) -> DataFrame:
+    return directory if directory is not None else facility_directory(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- staffing
@@ -109,7 +86,7 @@ CATEGORY_RULES = {
 }
 
 
-def fx_staffing(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+def fx_staffing(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
     """Silver daily staffing: one row per (supplier, ship date).
 
     lineitem is aggregated first (partial aggregation before the shuffle),
@@ -131,7 +108,7 @@ def fx_staffing(spark: SparkSession, sf_dir: str, directory: "Directory | None"
             "contract_nursing_hours"
         ),
     )
-    return _dir(spark, sf_dir, directory).join(agg, "l_suppkey", cols=("s_suppkey", "s_name", "n_name")).select(
+    return with_directory(agg, _dir(spark, sf_dir, directory), "l_suppkey", "s_name", "n_name").select(
         ccn("l_suppkey").alias("facility_ccn"),
         "work_date",
         _quarter_label(F.col("work_date")).alias("calendar_quarter"),
@@ -144,11 +121,14 @@ def fx_staffing(spark: SparkSession, sf_dir: str, directory: "Directory | None"
     )
 
 
-def fx_pbj_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+def fx_pbj_raw(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
     """Raw daily staffing file (all strings, one row per lineitem) with the
     dirty values of a real payroll extract."""
-    li = table(spark, sf_dir, "lineitem")
-    j = _dir(spark, sf_dir, directory).join(li, "l_suppkey", cols=("s_suppkey", "s_name", "n_name"))
+    return _pbj_rows(table(spark, sf_dir, "lineitem"), _dir(spark, sf_dir, directory), [])
+
+
+def _pbj_rows(li: DataFrame, directory: DataFrame, extra: list[Column]) -> DataFrame:
+    j = with_directory(li, directory, "l_suppkey", "s_name", "n_name")
     ok, sk, pk = F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_partkey")
     day = wall_date(li, "l_shipdate")
     qty_text = F.col("l_quantity").cast("string")
@@ -160,6 +140,8 @@ def fx_pbj_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" =
         F.when(ok % 89 == 0, F.lit(None).cast("string"))
         .when(ok % 83 == 0, F.lit("-1"))
         .when(ok % 79 == 0, F.lit("12.7"))
+        .when(ok % 73 == 0, F.lit("12d"))
+        .when(ok % 71 == 0, F.lit("1e2"))
         .otherwise((pk % 5).cast("string"))
     )
     category_text = {}
@@ -183,20 +165,33 @@ def fx_pbj_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" =
         census.alias("MDScensus"),
         *[category_text[stem].alias(stem) for stem, _ in STAFF_CATEGORIES],
         *split_cols,
+        *extra,
     )
 
 
+def fx_profile_raw(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
+    """The raw staffing file with an empty column, a truth-value column and
+    numbers with a letter behind them, for the profiling types."""
+    li = table(spark, sf_dir, "lineitem")
+    extra = [
+        F.lit(None).cast("string").alias("Notes"),
+        F.when(F.col("l_returnflag") == "R", F.lit("True")).otherwise(F.lit("FALSE")).alias("Is_Contract"),
+        F.concat((F.col("l_linenumber") % 3).cast("string"), F.when(F.col("l_linenumber") % 2 == 0, F.lit("d")).otherwise(F.lit("f"))).alias("Shift_Code"),
+    ]
+    return _pbj_rows(li, _dir(spark, sf_dir, directory), extra)
+
+
 # ---------------------------------------------------------------- facility
 
 
-def fx_provider_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
-    """Raw provider file: suppliers whose key mod 7 is not 3 (the others
-    are facilities missing from the provider file)."""
-    d = _dir(spark, sf_dir, directory).df
+def fx_provider_raw(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
+    """Raw provider file: every supplier; one in seven is under another key,
+    so its facility is unknown to the provider file."""
+    d = _dir(spark, sf_dir, directory)
     sk = F.col("s_suppkey")
     beds = F.when(sk % 10 == 0, F.lit(0)).otherwise(F.lit(5) + sk % 20)
-    return d.where(sk % 7 != 3).select(
-        F.concat(F.lit(" "), sk.cast("string")).alias(silver.CCN_HEADER),
+    return d.select(
+        F.concat(F.when(sk % 7 == 3, F.lit(" P")).otherwise(F.lit(" ")), sk.cast("string")).alias(silver.CCN_HEADER),
         F.concat(F.col("s_name"), F.lit(" ")).alias("Provider Name"),
         F.col("n_name").alias("State"),
         beds.cast("string").alias("Number of Certified Beds"),
@@ -216,7 +211,7 @@ def fx_provider_raw(spark: SparkSession, sf_dir: str, directory: "Directory | No
     )
 
 
-def fx_facility(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+def fx_facility(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
     return silver.clean_facility(fx_provider_raw(spark, sf_dir, directory))
 
 
@@ -228,25 +223,21 @@ ERROR_TYPE = "error"
 ERROR_MEASURE_NAME = "Short-stay Rehospitalization"
 
 
-def _measure_base(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
-    """events per (user, event type) for users whose id mod 8 is not 0 (the
-    others are facilities without measures), with the user's state."""
-    ev = table(spark, sf_dir, "events")
+def _measure_base(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
+    """events per (user, event type) with the user's state; one user in eight
+    is under another key, so its facility has no measures."""
+    base = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.avg("value").alias("score"))
     uid = F.col("user_id")
-    base = (
-        ev.where(uid % 8 != 0)
-        .groupBy("user_id", "event_type")
-        .agg(F.avg("value").alias("score"))
-    )
-    return _dir(spark, sf_dir, directory).join(base, "user_id", "left", cols=("s_suppkey", "n_name"))
+    key = F.concat(F.when(uid % 8 == 0, F.lit("M")).otherwise(F.lit("")), uid.cast("string"))
+    return with_directory(base, _dir(spark, sf_dir, directory), "user_id", "n_name").withColumn("ccn_text", key)
 
 
-def fx_claims_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+def fx_claims_raw(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
     b = _measure_base(spark, sf_dir, directory).where(F.col("event_type") != SIGNUP_TYPE)
     et = F.col("event_type")
     null_score = (et == ERROR_TYPE) & (F.col("user_id") % 9 == 0)
     return b.select(
-        F.col("user_id").cast("string").alias(silver.CCN_HEADER),
+        F.col("ccn_text").alias(silver.CCN_HEADER),
         F.col("n_name").alias("State"),
         et.alias("Measure Code"),
         F.when(et == ERROR_TYPE, F.lit(ERROR_MEASURE_NAME))
@@ -262,16 +253,16 @@ def fx_claims_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None
     )
 
 
-def fx_vbp_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+def fx_vbp_raw(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
     b = _measure_base(spark, sf_dir, directory).where(F.col("event_type") == SIGNUP_TYPE)
     return b.select(
-        F.col("user_id").cast("string").alias(silver.CCN_HEADER),
+        F.col("ccn_text").alias(silver.CCN_HEADER),
         F.col("n_name").alias("State"),
         F.col("score").cast("string").alias(silver.VBP_SCORE_HEADER),
     )
 
 
-def fx_quality(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+def fx_quality(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
     d = _dir(spark, sf_dir, directory)
     return silver.quality_measures(fx_claims_raw(spark, sf_dir, d), fx_vbp_raw(spark, sf_dir, d))
 
@@ -279,11 +270,11 @@ def fx_quality(spark: SparkSession, sf_dir: str, directory: "Directory | None" =
 # --------------------------------------------------------------- citations
 
 
-def fx_citations_raw(spark: SparkSession, sf_dir: str, directory: "Directory | None" = None) -> DataFrame:
+def fx_citations_raw(spark: SparkSession, sf_dir: str, directory: DataFrame | None = None) -> DataFrame:
     """Raw citations file: one deficiency per event; every 50th event has a
     non-padded survey date (M/d/yyyy), which does not parse."""
     ev = table(spark, sf_dir, "events")
-    j = _dir(spark, sf_dir, directory).join(ev, "user_id", "left", cols=("s_suppkey", "n_name"))
+    j = with_directory(ev, _dir(spark, sf_dir, directory), "user_id", "n_name")
     eid = F.col("event_id")
     day = wall_date(ev, "ts")
     return j.select(
@@ -308,17 +299,16 @@ def fx_citations_raw(spark: SparkSession, sf_dir: str, directory: "Directory | N
 
 
 class Bindings:
-    """Every binding of one folder of shared tables, each built once (one
-    directory size check, one plan per table), so a query that needs
-    several layers reuses the same sub-plans and Spark can reuse their
-    exchanges."""
+    """Every binding of one folder of shared tables, each built once, so a
+    query that needs several layers reuses the same sub-plans and Spark can
+    reuse their exchanges."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def directory(self) -> Directory:
-        return Directory(self.spark, self.sf_dir)
+    def directory(self) -> DataFrame:
+        return facility_directory(self.spark, self.sf_dir)
 
     @cached_property
     def staffing(self) -> DataFrame:
@@ -328,6 +318,10 @@ class Bindings:
     def pbj_raw(self) -> DataFrame:
         return fx_pbj_raw(self.spark, self.sf_dir, self.directory)
 
+    @cached_property
+    def profile_raw(self) -> DataFrame:
+        return fx_profile_raw(self.spark, self.sf_dir, self.directory)
+
     @cached_property
     def facility(self) -> DataFrame:
         return fx_facility(self.spark, self.sf_dir, self.directory)

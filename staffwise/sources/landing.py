@@ -1,12 +1,12 @@
 """Landing of source files into Bronze.
 
 The source files arrive in a folder. ``land_folder`` lists the files
-directly in it (SRC8), fails when there are none, and lands each one into
-Bronze under ``prefix/<base name>`` (or one explicit key). Files are not
-copied byte by byte through the driver: each file is read by Spark with
-its charset and written as an all-string Parquet table that keeps the
-source file name, so the Bronze copy is typed-free, splittable and
-columnar.
+directly in it (SRC8), fails when there are none or when one is not a CSV
+file, and lands each one into Bronze under ``prefix/<base name>`` (or one
+explicit key). Files are not copied byte by byte through the driver: each
+file is read by Spark with its charset and written as an all-string CSV
+table under its own name, which is the one Bronze format: the Bronze readers
+take a landed folder and a plain file alike.
 """
 
 from __future__ import annotations
@@ -29,13 +29,12 @@ def bronze_target(prefix: str, file_name: str) -> str:
     return f"{clean}/{base}" if clean else base
 
 
-def land_file(spark: SparkSession, source_path: str, bronze_root: str, key: str,
-              charset: str = BRONZE_CHARSET) -> str:
-    df = read_bronze_csv(spark, source_path, charset).withColumn(
-        "_source_file", F.col("_metadata.file_name")
-    )
+def land_file(spark: SparkSession, source_path: str, bronze_root: str, key: str, charset: str = BRONZE_CHARSET) -> str:
+    """One CSV file as a Bronze CSV table (texts, blanks and header unchanged)."""
     target = f"{bronze_root.rstrip('/')}/{key}"
-    df.write.mode("overwrite").parquet(target)
+    rows = read_bronze_csv(spark, source_path, charset)
+    writer = rows.write.mode("overwrite").option("header", True).option("encoding", charset)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(target)
     return target
 
 
@@ -44,14 +43,18 @@ def land_folder(spark: SparkSession, source_folder: str, bronze_root: str, prefi
     """Land every file directly inside ``source_folder``. The file list is
     metadata (one row per file), so iterating it on the driver is bounded by
     the number of files, not by their size."""
-    files = landing_inventory(spark, source_folder).select("file_name").collect()
+    files = landing_inventory(spark, source_folder).select("file_name", "file_type").collect()
     if not files:
-        raise DataCheckError(f"No files found in folder {source_folder}.")
-    out = []
-    for row in files:
-        target_key = key or bronze_target(prefix, row.file_name)
-        out.append(land_file(spark, f"{source_folder.rstrip('/')}/{row.file_name}", bronze_root, target_key, charset))
-    return out
+        raise DataCheckError(f"The landing folder {source_folder} is empty.")
+    other = sorted(f.file_name for f in files if f.file_type != "csv")
+    if other:
+        raise DataCheckError(f"Only CSV files can be landed, not: {', '.join(other)}")
+    if key is not None and len(files) > 1:
+        raise DataCheckError(f"One key ({key}) cannot hold {len(files)} files: each would overwrite the one before.")
+    return [
+        land_file(spark, f"{source_folder.rstrip('/')}/{f.file_name}", bronze_root, key or bronze_target(prefix, f.file_name), charset)
+        for f in files
+    ]
 
 
 def landing_keys(spark: SparkSession, source_folder: str, prefix: str):

@@ -7,8 +7,6 @@ schemas, so partition folders are never type-inferred.
 
 from __future__ import annotations
 
-import os
-import tempfile
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +26,8 @@ C1_CODE_POINTS = [
 CP1252_FROM = "".join(chr(c) for c in C1_CODE_POINTS)
 CP1252_TO = bytes(C1_CODE_POINTS).decode("cp1252")
 
-# File names of the four supporting CMS extracts.
+# File names of the daily staffing file and the four supporting CMS extracts.
+STAFFING_FILE = "PBJ_Daily_Nurse_Staffing_Q2_2024.csv"
 PROVIDER_FILE = "NH_ProviderInfo_Oct2024.csv"
 CLAIMS_FILE = "NH_QualityMsr_Claims_Oct2024.csv"
 VBP_FILE = "FY_2024_SNF_VBP_Facility_Performance.csv"
@@ -129,21 +128,35 @@ MARTS = {
 }
 
 
-def source(spark: SparkSession, logical_name: str) -> DataFrame:
+def source_table(logical_name: str, database: Optional[str] = None) -> str:
+    """Catalog name of a declared RAW source table."""
+    table = SOURCE_TABLES[logical_name]
+    return f"{database}.{table}" if database else table
+
+
+def source(spark: SparkSession, logical_name: str, database: Optional[str] = None) -> DataFrame:
     """Declared RAW source table by its logical name."""
     from staffwise.operators.checks import require_table
 
-    return require_table(spark, SOURCE_TABLES[logical_name])
+    return require_table(spark, source_table(logical_name, database))
 
 
 def load_mart(spark: SparkSession, key: str, cache: bool = False) -> DataFrame:
     """Whole mart by page key, with lower-case column names. ``cache=True``
-    keeps it in executor memory/disk for repeated page queries."""
+    caches the table once in the session, however often it is loaded;
+    ``release_mart`` frees it."""
     from staffwise.operators.checks import require_table
 
-    df = require_table(spark, MARTS.get(key, key))
-    df = df.toDF(*[c.lower() for c in df.columns])
-    return df.persist() if cache else df
+    name = MARTS.get(key, key)
+    df = require_table(spark, name)
+    if cache and not spark.catalog.isCached(name):
+        spark.catalog.cacheTable(name)
+    return df.toDF(*[c.lower() for c in df.columns])
+
+
+def release_mart(spark: SparkSession, key: str) -> None:
+    """Free a mart that ``load_mart(cache=True)`` cached."""
+    spark.catalog.uncacheTable(MARTS.get(key, key))
 
 
 # ----------------------------------------------------------------- landing
@@ -163,38 +176,14 @@ def landing_inventory(spark: SparkSession, folder: str) -> DataFrame:
     ).orderBy("file_name")
 
 
-def spread_if_undersplit(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan over the cluster when it has fewer splits than the
-    cluster has cores (e.g. one file of one row group), so map-side work is
-    not serialised in a task or two. A scan of a large table already has
-    thousands of splits and is returned unchanged: no extra shuffle.
-
-    The spread hashes a near-unique ``key`` (balanced, and deterministic, so
-    a retried task rebuilds the same partition and identical sub-plans can
-    share one exchange; round-robin would need a sort before it)."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave as read
-        return df
-    return df.repartition(target, key) if splits < target else df
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for intermediate tables.
-
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- local runs and tests -- a folder is created
-    and registered as the checkpoint dir.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="staffwise-")
-        spark.sparkContext.setCheckpointDir(d)
-    if d.startswith("file:"):
-        d = d[len("file:"):]
-    if "://" not in d:
-        os.makedirs(d, exist_ok=True)
-    return d.rstrip("/")
+    """The cluster's shared folder for intermediate tables: ``spark.checkpoint.dir``,
+    else the context's checkpoint folder, else the warehouse folder."""
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir", None)
+    )
+    if not base:
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir or spark.sql.warehouse.dir")
+    return base.rstrip("/")

@@ -27,11 +27,7 @@ STAFF_CATEGORIES = [
     ("Hrs_NAtrn", "nurse_aide_training_hours"),
     ("Hrs_MedAide", "medication_aide_hours"),
 ]
-# Order of the employee / contract sums in the source job.
-SPLIT_STEMS = [
-    "Hrs_RNDON", "Hrs_RNadmin", "Hrs_RN", "Hrs_LPNadmin",
-    "Hrs_LPN", "Hrs_CNA", "Hrs_NAtrn", "Hrs_MedAide",
-]
+SPLIT_STEMS = [stem for stem, _ in STAFF_CATEGORIES]
 CATEGORY_HOURS = [name for _, name in STAFF_CATEGORIES]
 
 SILVER_DAILY_STAFFING = _schema(

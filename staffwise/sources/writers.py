@@ -54,6 +54,12 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).saveAsTable(name)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet and read back, so that later plans start from files."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def create_view(df: DataFrame, name: str) -> None:
     """Materialise a staging model as a view."""
     df.createOrReplaceTempView(name)

@@ -3,6 +3,7 @@ hand-computed marts. Rows cover the cases listed in FIXTURES.md A4."""
 
 import csv
 import os
+import uuid
 
 import pytest
 
@@ -10,7 +11,8 @@ from staffwise.operators.checks import DataCheckError
 from staffwise.plans import jobs
 from staffwise.sources import landing, readers
 from staffwise.sources.schemas import SPLIT_STEMS, STAFF_CATEGORIES
-from staffwise.streaming import landing as stream_landing
+
+DATABASE = f"staffwise_test_{uuid.uuid4().hex}"
 
 PBJ_HEADER = (
     ["PROVNUM", "PROVNAME", "STATE", "CY_Qtr", "WorkDate", "MDScensus"]
@@ -87,7 +89,7 @@ def write_csv(path, header, rows):
 @pytest.fixture(scope="module")
 def lake(tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
-    bronze = os.path.join(root, "bronze")
+    bronze = os.path.join(root, "plain")
     os.makedirs(bronze)
     write_csv(f"{bronze}/PBJ_Daily_Nurse_Staffing_Q2_2024.csv", PBJ_HEADER, VALID + INVALID)
     write_csv(f"{bronze}/{readers.PROVIDER_FILE}", PROVIDER_HEADER, PROVIDER)
@@ -101,16 +103,17 @@ def lake(tmp_path_factory):
 def run(spark, lake):
     return jobs.run_all(
         spark,
-        f"{lake}/bronze/PBJ_Daily_Nurse_Staffing_Q2_2024.csv",
+        f"{lake}/plain",
         f"{lake}/bronze",
         f"{lake}/silver",
         f"{lake}/gold",
         f"{lake}/marts",
+        DATABASE,
     )
 
 
 def test_staffing_job_counts(run):
-    m = run[0].metrics
+    m = run[1].metrics
     assert (m["cleaned_rows"], m["written_rows"], m["rejected_rows"]) == (13, 7, 6)
 
 
@@ -159,46 +162,62 @@ def test_marts(spark, lake, run):
     ]
     sq = readers.read_gold_staffing_quality(spark, f"{lake}/gold/{jobs.GOLD_STAFFING_QUALITY}/")
     assert sq.count() == 10  # sum over facility-quarters of max(1, measures)
-    assert all(t["passed"] for t in run[3].metrics["tests"]) and len(run[3].metrics["tests"]) == 10
+    assert all(t["passed"] for t in run[4].metrics["tests"]) and len(run[4].metrics["tests"]) == 10
 
 
 def test_duplicate_facility_day_fails(spark, lake):
     path = f"{lake}/dup.csv"
     write_csv(path, PBJ_HEADER, [VALID[0], VALID[0]])
-    with pytest.raises(DataCheckError, match="Found 1 duplicate facility-day"):
+    with pytest.raises(DataCheckError, match="facility-day keys are not unique: 1"):
         jobs.staffing_bronze_to_silver(spark, path, f"{lake}/silver_dup")
 
 
 def test_landing_folder(spark, lake, tmp_path):
-    out = landing.land_folder(spark, f"{lake}/bronze", str(tmp_path / "landed"), prefix="/raw/cms/")
+    out = landing.land_folder(spark, f"{lake}/plain", str(tmp_path / "landed"), prefix="/raw/cms/")
     assert len(out) == 5 and all("/raw/cms/" in p for p in out)
-    back = spark.read.parquet(out[0])
-    assert "_source_file" in back.columns and all(t == "string" for _, t in back.dtypes)
-    keys = landing.landing_keys(spark, f"{lake}/bronze", "raw/").collect()
+    for path in out:  # unchanged: the same header and the same texts
+        plain = readers.read_bronze_csv(spark, f"{lake}/plain/{os.path.basename(path)}")
+        back = readers.read_bronze_csv(spark, path)
+        assert back.columns == plain.columns and sorted(map(str, back.collect())) == sorted(map(str, plain.collect()))
+    keys = landing.landing_keys(spark, f"{lake}/plain", "raw/").collect()
     assert sorted(r.bronze_key for r in keys)[0].startswith("raw/")
+
+
+def test_landing_refuses(spark, lake, tmp_path):
     os.makedirs(tmp_path / "empty")
-    with pytest.raises(DataCheckError):
+    with pytest.raises(DataCheckError, match="is empty"):
         landing.land_folder(spark, str(tmp_path / "empty"), str(tmp_path / "x"))
+    with pytest.raises(DataCheckError, match="cannot hold 5 files"):
+        landing.land_folder(spark, f"{lake}/plain", str(tmp_path / "x"), key="one.csv")
+    os.makedirs(tmp_path / "mixed")
+    (tmp_path / "mixed" / "a.csv").write_text("a\n1\n")
+    (tmp_path / "mixed" / "notes.pdf").write_bytes(b"%PDF")
+    with pytest.raises(DataCheckError, match="notes.pdf"):
+        landing.land_folder(spark, str(tmp_path / "mixed"), str(tmp_path / "x"))
+    assert not os.path.exists(tmp_path / "x")
+
+
+def test_landing_inventory_lists_files(spark, lake):
+    rows = readers.landing_inventory(spark, f"{lake}/plain").collect()
+    names = [r.file_name for r in rows]
+    assert names == sorted(names) and readers.CLAIMS_FILE in names
+    assert all(r.file_type == "csv" and r.file_size > 0 for r in rows)
 
 
-def test_streaming_ingest_available_now(spark, tmp_path):
-    src = tmp_path / "drops"
-    os.makedirs(src)
-    write_csv(str(src / "day1.csv"), PBJ_HEADER, VALID[:2] + INVALID[:2])
-    schema = stream_landing.header_schema(spark, str(src / "day1.csv"))
-    silver_path, ckpt = str(tmp_path / "silver"), str(tmp_path / "ckpt")
-    q = stream_landing.start_staffing_ingest(spark, str(src), silver_path, ckpt, schema)
-    q.awaitTermination()
-    assert readers.read_silver_staffing(spark, silver_path).count() == 2
-    write_csv(str(src / "day2.csv"), PBJ_HEADER, VALID[2:4])
-    q = stream_landing.start_staffing_ingest(spark, str(src), silver_path, ckpt, schema)
-    q.awaitTermination()
-    # only the new file is processed on the second run
-    assert readers.read_silver_staffing(spark, silver_path).count() == 4
+def test_marts_need_a_place(spark, lake, run):
+    with pytest.raises(ValueError, match="no place"):
+        jobs.gold_to_marts(spark, f"{lake}/gold", save_tables=False)
+
+
+def test_marts_as_tables_by_default(spark, lake, run):
+    result = jobs.gold_to_marts(spark, f"{lake}/gold", database=DATABASE)
+    assert result.outputs["mart_staffing_quality"] == f"{DATABASE}.mart_staffing_quality"
+    assert readers.load_mart(spark, f"{DATABASE}.mart_state_staffing_summary").count() == 4
+    assert readers.source(spark, "STAFFING_QUALITY_ANALYSIS", DATABASE).count() == 10
 
 
 def test_profile_file_report(spark, lake, tmp_path):
-    tables = jobs.profile_file(spark, f"{lake}/bronze/PBJ_Daily_Nurse_Staffing_Q2_2024.csv", str(tmp_path / "report"))
+    tables = jobs.profile_file(spark, f"{lake}/plain/PBJ_Daily_Nurse_Staffing_Q2_2024.csv", str(tmp_path / "report"))
     assert set(tables) == {"overview", "data_dictionary", "missing_values", "summary_statistics",
                            "data_quality", "sample_data"}
     overview = {r.metric: r.value for r in tables["overview"].collect()}
@@ -212,25 +231,6 @@ def test_profile_file_report(spark, lake, tmp_path):
     assert any(r.PROVNAME == "Résidence A" for r in tables["sample_data"].collect())
 
 
-def test_streaming_guard_mode(spark, tmp_path):
-    from pyspark.errors import StreamingQueryException
-
-    ok_src, bad_src = tmp_path / "ok", tmp_path / "bad"
-    os.makedirs(ok_src)
-    os.makedirs(bad_src)
-    write_csv(str(ok_src / "day1.csv"), PBJ_HEADER, VALID[:2])
-    write_csv(str(bad_src / "day1.csv"), PBJ_HEADER, [VALID[0], VALID[0]])
-    schema = stream_landing.header_schema(spark, str(ok_src / "day1.csv"))
-    out = str(tmp_path / "silver")
-    q = stream_landing.start_staffing_ingest(spark, str(ok_src), out, str(tmp_path / "c1"), schema, guard_duplicates=True)
-    q.awaitTermination()
-    assert spark.read.parquet(f"{out}/batch_id=0").count() == 2
-    q = stream_landing.start_staffing_ingest(spark, str(bad_src), str(tmp_path / "s2"), str(tmp_path / "c2"), schema,
-                                             guard_duplicates=True)
-    with pytest.raises(StreamingQueryException, match="duplicate facility-day"):
-        q.awaitTermination()
-
-
 def test_cp1252_characters_survive(spark, tmp_path):
     path = tmp_path / "cp1252.csv"
     text = "name,price\nSaint Mary’s — East,€5\nPlain,7\n"
@@ -247,7 +247,7 @@ def test_guard_runs_before_validity(spark, tmp_path):
     # out as invalid, yet the duplicate guard (which runs first) fails the job
     path = str(tmp_path / "dup_invalid.csv")
     write_csv(path, PBJ_HEADER, [INVALID[0], INVALID[0]])
-    with pytest.raises(DataCheckError, match="duplicate"):
+    with pytest.raises(DataCheckError, match="not unique"):
         jobs.staffing_bronze_to_silver(spark, path, str(tmp_path / "silver"))
 
 

@@ -11,8 +11,9 @@ from conftest import SF0001, SF001
 
 import __spark_entry__ as E
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from staffwise.plans.oracle import ORACLE
+from staffwise.plans.queries import QUERIES
+
 HEADLINE = ["clean_staffing", "valid_staffing", "duplicate_keys", "facility_daily", "facility_quarterly",
             "staffing_quality", "state_summary", "low_staffing", "readmission_quality", "overview_kpis"]
 
@@ -28,8 +29,8 @@ def con_mid():
 
 
 def test_every_query_has_oracle_or_is_documented():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"landing_inventory"}
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -61,10 +62,3 @@ def test_entry_smoke(spark):
     assert df.columns == ["state", "calendar_quarter", "facility_count", "average_daily_census",
                           "average_staffing_hprd", "average_rn_hprd", "average_occupancy_percent",
                           "average_contract_hour_percent"]
-
-
-def test_landing_inventory_lists_files(spark):
-    rows = QUERIES["landing_inventory"](spark, SF0001).collect()
-    names = [r.file_name for r in rows]
-    assert names == sorted(names) and "lineitem.parquet" in names
-    assert all(r.file_type == "parquet" and r.file_size > 0 for r in rows)

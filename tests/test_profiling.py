@@ -22,18 +22,69 @@ def values(spark):
     )
 
 
-@pytest.mark.parametrize("max_window,buckets", [(1_000_000, 1024), (3, 4), (10, 2)])
-def test_exact_quantiles_equal_spark_percentile(spark, values, max_window, buckets):
+@pytest.mark.parametrize("cuts, rounds", [(256, 2), (2, 1), (3, 4)])
+def test_exact_quantiles_equal_spark_percentile(spark, values, cuts, rounds):
     exact = {
         r.column_name: r.p
         for r in values.groupBy("column_name").agg(F.percentile("v", P.QUARTILES).alias("p")).collect()
     }
-    got = P.exact_quantiles(values, P.QUARTILES, max_window, buckets).collect()
+    got = P.exact_quantiles(values, P.QUARTILES, cuts, rounds).collect()
     assert len(got) == 4 * len(P.QUARTILES)
     for r in got:
         assert r.value == pytest.approx(exact[r.column_name][P.QUARTILES.index(r.q)], abs=1e-9), r
 
 
+def test_quantiles_with_infinities(spark):
+    df = spark.createDataFrame([("a", float(v)) for v in range(201)] + [("a", float("inf"))] * 3 + [("a", float("-inf"))] * 3, "column_name string, v double")
+    got = {r.q: r.value for r in P.exact_quantiles(df, P.QUARTILES, 4, 3).collect()}
+    assert got == {0.25: 48.5, 0.5: 100.0, 0.75: 151.5}
+
+
+PANDAS_CSV = """i,f,text,suffix,flag,maybe,empty,big,na
+1,1.5,a,1d,True,True,,inf,N/A
+2,,b,2f,FALSE,,,-3,3
+3,1e3,a,1d,true,False,,1e400,
+4,.5,NA,7,TRUE,True,,2.,nan
+"""
+
+
+def test_types_and_describe_equal_pandas(spark, workdir):
+    import math
+
+    import pandas as pd
+
+    from staffwise.sources import readers
+
+    path = f"{workdir}/types.csv"
+    with open(path, "w", encoding="latin-1") as f:
+        f.write(PANDAS_CSV)
+    frame = pd.read_csv(path)
+    raw = readers.read_bronze_csv(spark, path)
+    got = {r.column_name: r for r in P.profile_statistics(raw).collect()}
+    assert {c: got[c].data_type for c in frame.columns} == {c: str(t) for c, t in frame.dtypes.items()}
+    described = frame.describe(include="all")
+    for c in frame.columns:
+        assert got[c]["count"] == described[c]["count"], c
+        if got[c].data_type in ("object", "bool"):
+            assert got[c].unique == described[c]["unique"] and got[c].freq == described[c]["freq"]
+            assert got[c].top == str(described[c]["top"])
+        elif c not in ("empty", "big"):
+            for ours, theirs in (("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")):
+                assert got[c][ours] == pytest.approx(described[c][theirs]) or math.isnan(described[c][theirs]), (c, ours)
+    unique = {r.column_name: r.unique_values for r in P.profile_dictionary(raw).collect()}
+    assert unique == {c: frame[c].nunique() for c in frame.columns}
+    missing = {r.column_name: r.missing_count for r in P.profile_missing(raw).collect()}
+    assert missing == {c: int(frame[c].isna().sum()) for c in frame.columns}
+
+
+def test_na_words_equal_pandas(spark):
+    from pandas._libs.parsers import STR_NA_VALUES
+
+    from staffwise.plans import oracle
+
+    assert set(P.NA_WORDS) == set(STR_NA_VALUES) == set(oracle.NA_WORDS)
+
+
 def test_types_follow_pandas_inference(spark):
     df = spark.createDataFrame(
         [("1", "1.5", "a", "N/A", "7"), ("2", "NA", "b", "3", None), ("3", "2", "1", "", "8")],
@@ -51,8 +102,9 @@ def test_top_value_ties_take_smallest_and_duplicates(spark):
     assert (st["s"].top, st["s"].freq, st["s"].unique) == ("a", 2, 2)
     assert st["t"].mean == 1.0 and st["t"].p50 == 1.0 and st["t"].top is None
     assert P.duplicate_rows(df).first()[0] == 2
-    sample = P.profile_sample(df, 3).collect()
+    sample = P.profile_sample(df, 3, order_by=df.columns).collect()
     assert [tuple(r) for r in sample] == [("a", "1"), ("a", "1"), ("b", "1")]
+    assert [tuple(r) for r in P.profile_sample(df.coalesce(1), 3).collect()] == [("b", "1"), ("a", "1"), ("b", "1")]  # as in the file
 
 
 def test_approx_method_close_to_exact(spark):

@@ -80,7 +80,7 @@ def test_validity_filter_and_reasons(spark):
 def test_duplicate_guard_groups_null_keys(spark):
     df = spark.createDataFrame([("1", None), ("1", None), ("2", "x")], "facility_ccn string, work_date string")
     assert checks.duplicate_key_count(df, ["facility_ccn", "work_date"]).first()[0] == 1
-    with pytest.raises(checks.DataCheckError, match="Found 1 duplicate"):
+    with pytest.raises(checks.DataCheckError, match="not unique: 1"):
         checks.assert_unique(df, ["facility_ccn", "work_date"])
 
 
@@ -217,16 +217,21 @@ def test_display_table_labels_and_formats(spark):
     assert raw.columns[1] == "Facilities" and raw.first()["Staffing HPRD"] == 2.675
 
 
-def test_checked_broadcast_has_a_fallback(spark):
-    from staffwise.operators.joins import broadcast_if_bounded, is_bounded
+def test_whole_numbers_only_from_digits(spark):
+    from staffwise.functions import round_half_up, to_int
 
-    dim = spark.range(100)
-    assert is_bounded(dim, 100) and not is_bounded(dim, 99)
-    assert broadcast_if_bounded(dim, 10) is dim  # too big: no hint, shuffle join
-    facts = spark.range(1000).withColumnRenamed("id", "k")
-    small = broadcast_if_bounded(dim, 1000)
-    plan = facts.join(small, facts.k == small.id)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    texts = {"12": 12, "12.7": 12, " 7 ": 7, "-3": -3, "12d": None, "12f": None, "1e2": None, "": None, "x": None, ".5": 0, "99999999999": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.n for r in df.select("t", to_int("t").alias("n")).collect()} == texts
+    values = spark.createDataFrame([(2.675,), (1e22,), (float("inf"),), (None,)], "v double").select(round_half_up("v", 2).alias("r")).collect()
+    assert [r.r for r in values] == [2.68, 1e22, float("inf"), None]
+
+
+def test_empty_page_is_an_error(spark):
+    df = spark.createDataFrame([("TX", 1)], "state string, n long")
+    assert pages.shown(df, "overview") is df
+    with pytest.raises(checks.DataCheckError, match="overview"):
+        pages.shown(df.where("n > 1"), "overview")
 
 
 def test_mart_lookup_errors_and_lower_case(spark):
@@ -237,7 +242,10 @@ def test_mart_lookup_errors_and_lower_case(spark):
     spark.createDataFrame([("TX", 1)], "STATE string, FACILITY_COUNT long").createOrReplaceTempView("mart_upper_test")
     df = readers.load_mart(spark, "mart_upper_test", cache=True)
     assert df.columns == ["state", "facility_count"] and df.count() == 1
-    df.unpersist()
+    readers.load_mart(spark, "mart_upper_test", cache=True)
+    assert spark.catalog.isCached("mart_upper_test")
+    readers.release_mart(spark, "mart_upper_test")
+    assert not spark.catalog.isCached("mart_upper_test")
 
 
 def test_quality_page_defaults_and_selections(spark):
