@@ -98,9 +98,10 @@ def value_histogram(raw: DataFrame) -> DataFrame:
 
 def parsed_number(text: Column) -> Column:
     """The value of a text that pandas reads as a number, else NULL (the
-    double parser alone would also take '1d' and '2f')."""
+    double parser alone would also take '1d' and '2f', and '1e400' as infinite)."""
+    finite = text.try_cast("double")
     infinite = F.when(F.trim(text).startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double")).when(text.rlike(INFINITY_PATTERN), infinite)
+    return F.when(text.rlike(NUMBER_PATTERN) & (F.abs(finite) < float("inf")), finite).when(text.rlike(INFINITY_PATTERN), infinite)
 
 
 def _typed_hist(hist: DataFrame) -> DataFrame:
