@@ -89,7 +89,10 @@ def passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     out[:, :CLASSES] = np.sqrt(classes / length)
     if len(raw) > 1:
         pair = ((raw[:-1].astype(np.uint32) << np.uint32(8) | raw[1:]) * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.int64) % PAIR_BUCKETS
-        pairs = np.bincount(of_byte[:-1] * PAIR_BUCKETS + pair, minlength=total * PAIR_BUCKETS).reshape(total, PAIR_BUCKETS)
+        within = np.ones(len(raw), bool)
+        within[offsets[1:-1][offsets[1:-1] > 0] - 1] = False  # a pair does not reach into the next text
+        within = within[:-1]
+        pairs = np.bincount(of_byte[:-1][within] * PAIR_BUCKETS + pair[within], minlength=total * PAIR_BUCKETS).reshape(total, PAIR_BUCKETS)
         out[:, CLASSES : CLASSES + PAIR_BUCKETS] = np.sqrt(pairs / length)
     if len(starts):
         kept = np.concatenate(([0], np.cumsum(inside)))
@@ -219,7 +222,7 @@ def score_block(m: dict[str, np.ndarray], column: pa.Array) -> tuple[np.ndarray,
     top = np.flatnonzero(f["a"] >= most)
     of = np.searchsorted(bag, top, "right") - 1
     _, one = np.unique(of, return_index=True)
-    return f["score"], top[one] - bag[:-1]
+    return np.round(f["score"], 9), top[one] - bag[:-1]
 
 
 def _score(shared, text_index: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
