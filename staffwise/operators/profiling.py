@@ -61,25 +61,22 @@ CUTS = 256
 CUT_ROUNDS = 2
 
 
+def null_if_na(text: Column) -> Column:
+    """The text, or NULL for one of pandas' NA words."""
+    return F.when(~text.isin(NA_WORDS), text)
+
+
 def null_na_words(df: DataFrame) -> DataFrame:
     """Every column as string with pandas' NA words turned into NULL."""
-    return df.select(
-        *[
-            F.when(F.col(c).cast("string").isin(NA_WORDS), F.lit(None).cast("string"))
-            .otherwise(F.col(c).cast("string"))
-            .alias(c)
-            for c in df.columns
-        ]
-    )
+    return df.select(*[null_if_na(F.col(c).cast("string")).alias(c) for c in df.columns])
 
 
 def _long(df: DataFrame) -> DataFrame:
-    """Unpivot to (position, column_name, s): an Expand of rows x columns."""
-    pairs = [
-        F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.col(c).alias("s"))
-        for i, c in enumerate(df.columns)
-    ]
-    return df.select(F.inline(F.array(*pairs)))
+    """Unpivot to (position, column_name, s), NA words as NULL. The words are
+    looked up after the unpivot: one expression, however many columns."""
+    cells = F.posexplode(F.array(*[F.col(c).cast("string") for c in df.columns])).alias("position", "s")
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return df.select(cells).select("position", F.get(names, "position").alias("column_name"), null_if_na(F.col("s")).alias("s"))
 
 
 def value_histogram(raw: DataFrame) -> DataFrame:
@@ -91,7 +88,7 @@ def value_histogram(raw: DataFrame) -> DataFrame:
     carries at most one row per (column, value) per task, and a value that
     holds a third of all cells is just one counter.
     """
-    return _long(null_na_words(raw)).groupBy("position", "column_name", "s").agg(
+    return _long(raw).groupBy("position", "column_name", "s").agg(
         F.count(F.lit(1)).alias("cnt")
     )
 
@@ -256,7 +253,7 @@ def numeric_quartiles(raw: DataFrame, method: str = "exact", hist: Optional[Data
     """(column_name, p25, p50, p75) over the numeric values of every column;
     exact from the value histogram, or sketched (``method="approx"``)."""
     if method == "approx":
-        long = _long(null_na_words(raw)).select("column_name", parsed_number(F.col("s")).alias("v")).where("v is not null")
+        long = _long(raw).select("column_name", parsed_number(F.col("s")).alias("v")).where("v is not null")
         return _quartile_columns(approx_quantiles(long, QUARTILES, accuracy))
     h = _typed_hist(hist if hist is not None else value_histogram(raw))
     num = h.where(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.sum("cnt").alias("cnt"))

@@ -183,7 +183,10 @@ def q_profile_missing(spark, d):
 
 
 def q_profile_statistics(spark, d):
-    return r6(profiling.profile_statistics(_raw(spark, d)), ["mean", "std", "p25", "p50", "p75"])
+    """As in the profile job, the histogram is stored once: ten steps read it."""
+    raw = _raw(spark, d)
+    hist = writers.stored(profiling.value_histogram(raw), f"{_folder(spark)}/histogram")
+    return r6(profiling.profile_statistics(raw, hist=hist), ["mean", "std", "p25", "p50", "p75"])
 
 
 def q_profile_quality(spark, d):

@@ -34,9 +34,10 @@ def test_no_python_evaluation_in_any_query(spark):
 
 
 def test_no_job_while_a_query_is_built(spark):
-    """Only round trips write while they are built; every other query is a plan until it is asked for rows."""
+    """Round trips write while they are built and the statistics store their histogram; every
+    other query is a plan until it is asked for rows."""
     for name, fn in Q.QUERIES.items():
-        if "roundtrip" in name:
+        if "roundtrip" in name or name == "profile_statistics":
             continue
         spark.sparkContext.setJobGroup(f"build-{name}", name)
         fn(spark, SF0001)
