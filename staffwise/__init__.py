@@ -12,7 +12,6 @@ Sub-packages:
 * ``sources``   - readers, writers, explicit schemas, table bindings
 * ``operators`` - Silver, Gold, marts, data checks, profiling, page data sets
 * ``plans``     - jobs that chain operators with I/O, driver query registry
-* ``streaming`` - incremental Bronze landing with Structured Streaming
 """
 
 __version__ = "0.1.0"
