@@ -27,6 +27,7 @@ documents of equal id are neighbours in any order; a null id sorts first.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,7 +44,7 @@ BLOCK_TOKENS = 1 << 16
 STRIDE = 128
 PIECE_BLOCK_BYTES = 8 << 20
 #: Distinct pieces whose ids a task keeps; beyond that it starts anew.
-CACHED_PIECES = 200_000
+CACHED_PIECES = 400_000
 
 IDS = "doc_id long, ids binary"
 BLOCKS = "part int, block int, first_token long, doc_ids array<long>, n_tokens array<long>, checkpoints array<long>, payload binary"
@@ -54,6 +55,8 @@ _B = np.arange(256)
 LETTER = ((_B >= 0x61) & (_B <= 0x7A)) | ((_B >= 0x41) & (_B <= 0x5A))
 SPACE = ((_B >= 0x09) & (_B <= 0x0D)) | (_B == 0x20)
 SIGN = (_B < 0x80) & ~LETTER & ~SPACE & (_B != 0x27)  # an apostrophe may belong to the letters behind it
+#: Bytes of texts of lower-case letters a-z and U+00DF to U+00FF (but the division sign).
+PLAIN = bytes([*range(0x61, 0x7B), 0xC3, *range(0x9F, 0xB7), *range(0xB8, 0xC0)])
 LOWER = np.where((_B >= 0x41) & (_B <= 0x5A), _B + 32, _B).astype(np.uint8)
 
 
@@ -96,26 +99,25 @@ class Pieces:
         self.model = self.tokenizer.model
         self.special = [s.content.encode() for s in self.tokenizer.get_added_tokens_decoder().values()]
         self.alphabet = byte_alphabet()
-        self.cache: dict[bytes, list[int]] = {}
+        self.cache: dict[bytes, bytes] = {}  # ids as packed 32-bit numbers
 
     def encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def ids(self, piece: bytes) -> list[int]:
-        piece = piece.strip(b" \t\n\x0b\x0c\r")
-        found = self.cache.get(piece)
+    def ids(self, piece: bytes) -> bytes:
+        if len(self.cache) >= CACHED_PIECES:
+            self.cache.clear()
+        text = piece.strip(b" \t\n\x0b\x0c\r")
+        found = self.cache.get(text)
         if found is None:
-            if len(self.cache) >= CACHED_PIECES:
-                self.cache.clear()
-            if piece.isalpha():  # ASCII letters: normaliser and pre-tokenizer leave them as they are
-                found = [t.id for t in self.model.tokenize(piece.decode())]
+            if text.isalpha():  # ASCII letters: normaliser and pre-tokenizer leave them as they are
+                ids = [t.id for t in self.model.tokenize(text.decode())]
+            elif not text.translate(None, PLAIN):  # so they do here, but for the byte alphabet
+                ids = [t.id for t in self.model.tokenize("".join(map(self.alphabet.__getitem__, text)))]
             else:
-                text = piece.decode()
-                if text.isalpha() and all("ß" <= c <= "ÿ" or "a" <= c <= "z" for c in text):
-                    found = [t.id for t in self.model.tokenize("".join(map(self.alphabet.__getitem__, piece)))]
-                else:
-                    found = self.encode(text)
-            self.cache[piece] = found
+                ids = self.encode(text.decode())
+            found = self.cache[text] = array("I", ids).tobytes()
+        self.cache[piece] = found
         return found
 
     def block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -126,9 +128,10 @@ class Pieces:
         low, letter = lowered(raw)
         cuts = piece_offsets(low, letter, offsets)
         coded = string_array(low, cuts).dictionary_encode()
-        known = [self.ids(p) for p in coded.dictionary.to_pylist()]
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.fromiter((i for ids in known for i in ids), np.uint32, int(sizes.sum()))
+        cached, own = self.cache.get, self.ids
+        known = [own(p) if (found := cached(p)) is None else found for p in coded.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), np.uint32)
         which = coded.indices.to_numpy(zero_copy_only=False)
         count = sizes[which]
         ends = np.cumsum(count)
