@@ -9,9 +9,9 @@ buckets that need it are refined by bucket pointers.
    share it, so a document is covered by runs of strings with one anchor
    (about one in 18 bytes). Equal strings have equal anchors at equal places.
 2. Buckets. A run goes to the bucket of its anchor as (anchor, hash of the
-   run's bytes, id, place), packed in blobs. In a bucket, a run whose bytes a
-   smaller id has is removed whole. Equal runs inside a task are settled
-   before the shuffle: the smallest id is sent, the others are removed there.
+   run's bytes, id, place). In a bucket, a run whose bytes a smaller id has is
+   removed whole. Equal runs inside a task are settled before the shuffle: the
+   smallest id is sent, the others are removed there.
 3. Refinement. An anchor with several different runs is left with one run per
    content. Their bytes are fetched, and a task refines each q-gram bucket by
    bucket pointers: positions are bucketed by their first 8 bytes, then sorted
@@ -20,6 +20,11 @@ buckets that need it are refined by bucket pointers.
    50. Buckets of one position are settled and drop out of later rounds. A
    string whose bucket holds a smaller id is removed.
 
+Whatever is shuffled is packed: a task gathers what goes to one bucket and
+sends it as one row (numbers in byte planes, texts compressed with zstd).
+Buckets are as many as the text asks for (``BUCKET_TEXT`` bytes each), so a
+bucket fits a task at every size.
+
 An anchor of a large share of the documents (a common line) would fill one
 bucket at the line's edges. Such anchors are found in a bounded sample of
 documents; their runs are sent string by string, each under its own hash, so
@@ -49,13 +54,16 @@ GRAM = 16
 WINDOW = LENGTH - GRAM + 1
 BLOCK_BYTES = 2 << 20
 #: Text bytes per bucket; a bucket is worked on in one task.
-BUCKET_TEXT = 16 << 20
+BUCKET_TEXT = 8 << 20
 LEAST_BUCKETS = 64
 #: Runs that a task gathers before it settles equal ones and sends the rest.
 GATHERED = 1_000_000
 SAMPLE_DOCS = 5000
 HOT_SHARE = 0.002
-HASH_BYTES = 5  # sent of the anchor (above its bucket) and of the run's bytes
+#: Bytes sent of the anchor (beside its bucket) and of the hash of the run's content.
+ANCHOR_BYTES, CONTENT_BYTES = 4, 5
+#: Refining takes some 100 bytes of memory for a byte of text, so its buckets are finer.
+FINER = 4
 
 _rng = np.random.default_rng(50)
 BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -120,39 +128,55 @@ def split_hot(start: np.ndarray, size: np.ndarray, anchor: np.ndarray, hashes: H
         is_hot = hot[np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)] == anchor
         n = size[is_hot]
         single = np.repeat(start[is_hot] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        own = hashes.of(single, single + LENGTH)
+        own = mix(hashes.of(single, single + LENGTH) + BASE)  # other bits than the hash of the content
         start, size, anchor = (np.concatenate(x) for x in ((start[~is_hot], single), (size[~is_hot], np.ones(len(single), np.int64)), (anchor[~is_hot], own)))
     return start, size, anchor, hashes.of(start, start + size - 1 + LENGTH)
 
 
-def _planes(values: np.ndarray, n: int) -> bytes:
-    """The ``n`` low bytes of each value, all first bytes first."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T.tobytes()
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The ``width`` low bytes of each value, all first bytes first."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _from_planes(blob: memoryview, at: int, count: int, n: int) -> tuple[np.ndarray, int]:
-    out = np.zeros((count, 8), np.uint8)
-    out[:, :n] = np.frombuffer(blob, np.uint8, count * n, at).reshape(n, count).T
-    return out.reshape(-1).view("<u8"), at + count * n
+def packed(columns: list[np.ndarray], raw: bytes = b"", compress: bool = True) -> bytes:
+    """Columns of whole numbers, each in as many byte planes as it needs, and raw bytes."""
+    widths = [1 if not len(c) else 8 if c.min() < 0 else max(1, -(-int(c.max()).bit_length() // 8)) for c in columns]
+    body = b"".join(_planes(c, w) for c, w in zip(columns, widths)) + raw
+    head = np.array([len(columns), len(columns[0]), len(body), compress, *widths], "<i8").tobytes()
+    return head + (pa.compress(body, "zstd", asbytes=True) if compress else body)
 
 
-def packed(anchor: np.ndarray, content: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> bytes:
-    order = np.lexsort((start, doc))
-    anchor, content, doc, start, size = (x[order] for x in (anchor, content, doc, start, size))
-    step = np.diff(doc, prepend=doc[:1])
-    head = np.array([len(doc), doc[0], 4 if step.max() < 1 << 32 else 8, 4 if start.max() < 1 << 32 else 8], "<i8").tobytes()
-    wide, far = head[16], head[24]
-    return b"".join((head, _planes(anchor, HASH_BYTES), _planes(content, HASH_BYTES), _planes(step, wide), _planes(start, far), _planes(size, 1)))
+def unpacked(blob: bytes) -> tuple[list[np.ndarray], bytes]:
+    n_columns, n, size, compress = np.frombuffer(blob, "<i8", 4).tolist()
+    widths = np.frombuffer(blob, "<i8", n_columns, 32).tolist()
+    body = blob[32 + 8 * n_columns :]
+    body = pa.decompress(body, size, "zstd", asbytes=True) if compress else body
+    columns, at = [], 0
+    for w in widths:
+        out = np.zeros((n, 8), np.uint8)
+        out[:, :w] = np.frombuffer(body, np.uint8, n * w, at).reshape(w, n).T
+        columns.append(out.reshape(-1).view("<i8"))
+        at += n * w
+    return columns, body[at:]
+
+
+def all_unpacked(blobs: list[bytes], columns: int) -> list[np.ndarray]:
+    """The columns of several blobs, one blob after the other."""
+    parts = [unpacked(b)[0] for b in blobs]
+    return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(columns)]
+
+
+def by_place(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each value of ``to`` with the rows that have it."""
+    order = np.argsort(to, kind="stable")
+    edges = np.flatnonzero(np.concatenate(([True], np.diff(to[order]) != 0, [True]))) if len(order) else np.zeros(1, np.int64)
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield int(to[order[lo]]), order[lo:hi]
 
 
-def unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
-    n, first, wide, far = np.frombuffer(blob, "<i8", 4).tolist()
-    view, at, out = memoryview(blob), 32, []
-    for width in (HASH_BYTES, HASH_BYTES, wide, far, 1):
-        values, at = _from_planes(view, at, n, width)
-        out.append(values)
-    anchor, content, step, start, size = out
-    return anchor, content, first + np.cumsum(step.astype(np.int64)), start.astype(np.int64), size.astype(np.int64)
+def place_of(doc: np.ndarray, places: int) -> np.ndarray:
+    """The place where a document's text and ranges meet."""
+    return (mix(doc.view(np.uint64)) % np.uint64(places)).astype(np.int64)
 
 
 def first_of(keys: tuple[np.ndarray, ...], doc: np.ndarray) -> np.ndarray:
@@ -168,34 +192,45 @@ def first_of(keys: tuple[np.ndarray, ...], doc: np.ndarray) -> np.ndarray:
     return out
 
 
-#: bucket -1: the payload is a list of removed ranges (doc, start, end) settled before the shuffle.
-SENT = "bucket int, payload binary"
+SENT = "place int, kind int, payload binary"
+_SENT = pa.schema([("place", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
+RUNS, GONE, MIXED, TEXTS, PIECES = range(5)
+
+
+def _rows(kind: int, items: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    names = pa.array([p for p, _ in items], pa.int32())
+    return pa.RecordBatch.from_arrays([names, pa.array([kind] * len(items), pa.int32()), pa.array([b for _, b in items], pa.binary())], schema=_SENT)
+
+
+def _ranges(kind: int, doc: np.ndarray, start: np.ndarray, end: np.ndarray, places: int) -> pa.RecordBatch:
+    """Ranges sent to the places of their documents."""
+    return _rows(kind, [(p, packed([doc[own], start[own], (end - start)[own]])) for p, own in by_place(place_of(doc, places))])
 
 
 def _send(hot_list, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs to the buckets of their anchors; what the task settles itself goes to a bucket as well, to be passed on."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = hot_list.value
         held: list[tuple[np.ndarray, ...]] = []
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             anchor, content, doc, start, size = (np.concatenate(x) for x in zip(*held))
             held.clear()
             again = doc > first_of((anchor, content), doc)
-            names, blobs = [], []
             if again.any():
-                # any bucket will do to carry them: their own anchors' spreads them
-                gone = merged_ranges(doc[again], start[again], start[again] + size[again] - 1 + LENGTH)
-                names.append(-1 - int(gone[0][0] % buckets))
-                blobs.append(np.concatenate(gone).astype("<i8").tobytes())
+                yield _ranges(GONE, *merged_ranges(doc[again], start[again], start[again] + size[again] - 1 + LENGTH), buckets)
             anchor, content, doc, start, size = (x[~again] for x in (anchor, content, doc, start, size))
-            to = (anchor >> np.uint64(8 * HASH_BYTES)) % np.uint64(buckets)
-            order = np.argsort(to, kind="stable")
-            edges = np.flatnonzero(np.concatenate(([True], np.diff(to[order]) > 0, [True]))) if len(order) else np.zeros(1, np.int64)
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                own = order[lo:hi]
-                names.append(int(to[own[0]]))
-                blobs.append(packed(*(x[own] for x in (anchor, content, doc, start, size))))
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "payload"])
+            order = np.lexsort((start, doc))
+            anchor, content, doc, start, size = (x[order] for x in (anchor, content, doc, start, size))
+            to = ((anchor >> np.uint64(8 * ANCHOR_BYTES)) % np.uint64(buckets)).astype(np.int64)
+            low = [(x & np.uint64((1 << 8 * n) - 1)).view(np.int64) for x, n in ((anchor, ANCHOR_BYTES), (content, CONTENT_BYTES))]
+            blobs = []
+            for place, own in by_place(to):
+                first = doc[own[0]]
+                step = np.diff(doc[own], prepend=first)
+                blobs.append((place, packed([low[0][own], low[1][own], step, start[own], size[own]], np.int64(first).tobytes(), compress=False)))
+            yield _rows(RUNS, blobs)
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -208,9 +243,9 @@ def _send(hot_list, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                 row = np.searchsorted(offsets, start, "right") - 1
                 held.append((anchor, content, ids[lo:hi][row].astype(np.int64), start - offsets[row], size))
                 if sum(len(h[0]) for h in held) >= GATHERED:
-                    yield flush()
+                    yield from flush()
         if held:
-            yield flush()
+            yield from flush()
 
     return run
 
@@ -231,41 +266,90 @@ def merged_ranges(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[
     return doc[first], start[first], reach[last] - lift[last]
 
 
-EVENTS = "doc_id long, start long, end long, anchor long"
-_EVENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("anchor", pa.int64())])
+def _settle(places: int) -> Callable[[pa.Table], pa.Table]:
+    """A bucket's runs to removed ranges and to the runs that are to be refined."""
+
+    def settle(table: pa.Table) -> pa.Table:
+        kinds, payloads, place = table.column("kind").to_pylist(), table.column("payload").to_pylist(), table.column("place")[0].as_py()
+        out = [_rows(GONE, [(place, b) for k, b in zip(kinds, payloads) if k == GONE])]
+        parts = []
+        for k, blob in zip(kinds, payloads):
+            if k == RUNS:
+                (anchor, content, step, start, size), first = unpacked(blob)
+                parts.append((anchor, content, np.frombuffer(first, np.int64)[0] + np.cumsum(step), start, size))
+        if not parts:
+            return pa.Table.from_batches(out)
+        anchor, content, doc, start, size = (np.concatenate(x) for x in zip(*parts))
+        del parts, payloads
+        order = np.argsort(anchor, kind="stable")
+        new = np.concatenate(([True], anchor[order][1:] != anchor[order][:-1]))
+        group = np.cumsum(new) - 1
+        keep = order[np.bincount(group)[group] > 1]
+        anchor, content, doc, start, size = (x[keep] for x in (anchor, content, doc, start, size))
+        gone = doc > first_of((anchor, content), doc)
+        out.append(_ranges(GONE, *merged_ranges(doc[gone], start[gone], start[gone] + size[gone] - 1 + LENGTH), places))
+        # one document's run stands for each content; they are refined where another document's run differs
+        anchor, doc, start, size = (x[~gone] for x in (anchor, doc, start, size))
+        mixed = first_of((anchor,), doc) < -first_of((anchor,), -doc)
+        anchor, doc, start, size = (x[mixed] for x in (anchor, doc, start, size))
+        blobs = [
+            (p, packed([doc[own], start[own], size[own] - 1 + LENGTH, anchor[own], np.full(len(own), place)]))
+            for p, own in by_place(place_of(doc, places))
+        ]
+        return pa.Table.from_batches([*out, _rows(MIXED, blobs)])
+
+    return settle
+
+
+def _send_texts(places: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            raw, offsets = text_buffer(batch.column(1))
+            size = np.diff(offsets)
+            blobs = []
+            for place, own in by_place(place_of(ids, places)):
+                texts = b"".join(raw[a:b].tobytes() for a, b in zip(offsets[own].tolist(), offsets[own + 1].tolist()))
+                blobs.append((place, packed([ids[own], size[own]], texts)))
+            yield _rows(TEXTS, blobs)
+
+    return run
+
 
+def _texts(table: pa.Table) -> Iterator[tuple[int, bytes]]:
+    """(doc_id, text) of a place, in the order of the ids."""
+    found = []
+    for kind, blob in zip(table.column("kind").to_pylist(), table.column("payload").to_pylist()):
+        if kind == TEXTS:
+            (ids, size), texts = unpacked(blob)
+            end = np.cumsum(size)
+            found += [(doc, texts[e - n : e]) for doc, n, e in zip(ids.tolist(), size.tolist(), end.tolist())]
+    return iter(sorted(found, key=lambda r: r[0]))
 
-def _events(doc: np.ndarray, start: np.ndarray, end: np.ndarray, anchor: np.ndarray | None = None) -> pa.Table:
-    kinds = pa.array(anchor, pa.int64()) if anchor is not None else pa.nulls(len(doc), pa.int64())
-    return pa.Table.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), kinds], schema=_EVENTS)
 
+def _blobs(table: pa.Table, kind: int) -> list[bytes]:
+    return [b for k, b in zip(table.column("kind").to_pylist(), table.column("payload").to_pylist()) if k == kind]
 
-def _settle(table: pa.Table) -> pa.Table:
-    """A bucket's removed ranges (anchor null), and the runs that are to be refined (anchor given)."""
-    bucket = table.column("bucket")[0].as_py()
-    blobs = table.column("payload").to_pylist()
-    if bucket < 0:
-        ranges = [np.frombuffer(b, "<i8").reshape(3, -1) for b in blobs]
-        return _events(*np.concatenate(ranges, axis=1))
-    anchor, content, doc, start, size = (np.concatenate(x) for x in zip(*map(unpacked, blobs)))
-    order = np.argsort(anchor, kind="stable")
-    new = np.concatenate(([True], anchor[order][1:] != anchor[order][:-1]))
-    group = np.cumsum(new) - 1
-    several = np.bincount(group)[group] > 1
-    keep = order[several]
-    if not len(keep):
-        return _events(doc[:0], start[:0], start[:0], start[:0])
-    anchor, content, doc, start, size = (x[keep] for x in (anchor, content, doc, start, size))
-    first = first_of((anchor, content), doc)
-    gone = doc > first
-    removed = merged_ranges(doc[gone], start[gone], start[gone] + size[gone] - 1 + LENGTH)
-    # one document's run stands for each content; they are refined where another document's run differs
-    anchor, content, doc, start, size = (x[~gone] for x in (anchor, content, doc, start, size))
-    least = first_of((anchor,), doc)
-    most = -first_of((anchor,), -doc)
-    mixed = least < most
-    name = (np.int64(bucket) << 40) | anchor[mixed].astype(np.int64)
-    return pa.concat_tables([_events(*removed), _events(doc[mixed], start[mixed], start[mixed] + size[mixed] - 1 + LENGTH, name)])
+
+def _pieces(buckets: int) -> Callable[[pa.Table], pa.Table]:
+    """The bytes of a place's runs to be refined, sent to the (finer) buckets of their anchors."""
+
+    def pieces(table: pa.Table) -> pa.Table:
+        doc, start, size, anchor, bucket = all_unpacked(_blobs(table, MIXED), 5)
+        order = np.argsort(doc, kind="stable")
+        doc, start, size, anchor, bucket = (x[order] for x in (doc, start, size, anchor, bucket))
+        raw: list[bytes] = [b""] * len(doc)
+        last = None
+        for own, text in _texts(table):
+            if own != last:
+                for i in range(int(np.searchsorted(doc, own, "left")), int(np.searchsorted(doc, own, "right"))):
+                    raw[i] = text[start[i] : start[i] + size[i]]
+            last = own
+        to = (mix((anchor ^ (bucket << 32)).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        blobs = [(p, packed([doc[own], start[own], size[own]], b"".join(raw[i] for i in own.tolist()))) for p, own in by_place(to)]
+        return pa.Table.from_batches([_rows(PIECES, blobs)])
+
+    return pieces
 
 
 def bucket_refined(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -299,57 +383,41 @@ def bucket_refined(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, pointer[at]
 
 
-def _refine(table: pa.Table) -> pa.Table:
+def _refine(places: int) -> Callable[[pa.Table], pa.Table]:
     """Removed ranges among the runs of a bucket's anchors."""
-    doc, start = table.column("doc_id").to_numpy(), table.column("start").to_numpy()
-    pieces = table.column("piece").to_pylist()
-    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    raw = np.frombuffer(b"".join(pieces), np.uint8)
-    end = np.cumsum(size)
-    piece = np.repeat(np.arange(len(size)), size)
-    at, bucket = bucket_refined(raw, end[piece])
-    if not len(at):
-        return _events(doc[:0], start[:0], start[:0])
-    own = piece[at]
-    gone = doc[own] > first_of((bucket,), doc[own])
-    from_ = start[own] + at - (end - size)[own]
-    return _events(*merged_ranges(doc[own][gone], from_[gone], from_[gone] + LENGTH))
 
+    def refine(table: pa.Table) -> pa.Table:
+        parts = [unpacked(b) for b in _blobs(table, PIECES)]
+        doc, start, size = (np.concatenate([p[0][i] for p in parts]) for i in range(3))
+        raw = np.frombuffer(b"".join(p[1] for p in parts), np.uint8)
+        end = np.cumsum(size)
+        piece = np.repeat(np.arange(len(size)), size)
+        at, bucket = bucket_refined(raw, end[piece])
+        own = piece[at]
+        gone = doc[own] > first_of((bucket,), doc[own])
+        from_ = start[own] + at - (end - size)[own]
+        return pa.Table.from_batches([_ranges(GONE, *merged_ranges(doc[own][gone], from_[gone], from_[gone] + LENGTH), places)])
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the runs to be refined."""
-    for batch in batches:
-        rows = {"doc_id": [], "start": [], "anchor": [], "piece": []}
-        for doc, text, events in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "events"))):
-            raw = text.encode()
-            for e in events:
-                if e["anchor"] is not None:
-                    rows["doc_id"].append(doc)
-                    rows["start"].append(e["start"])
-                    rows["anchor"].append(e["anchor"])
-                    rows["piece"].append(raw[e["start"] : e["end"]])
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(rows[c], pa.int64()) for c in ("doc_id", "start", "anchor")), pa.array(rows["piece"], pa.binary())], names=list(rows)
-        )
+    return refine
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>"
+_RESULT = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out: dict[str, list] = {c.split()[0]: [] for c in RESULT.split(", ")}
-        for doc, text, first, second in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "events", "refined"))):
-            raw = text.encode()
-            ranges = [(e["start"], e["end"]) for e in first if e["anchor"] is None] + [(e["start"], e["end"]) for e in second or []]
-            starts, ends = np.array([r[0] for r in ranges], np.int64), np.array([r[1] for r in ranges], np.int64)
-            _, starts, ends = merged_ranges(np.zeros(len(ranges), np.int64), starts, ends)
-            kept = [raw[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(raw)])]
-            values = (doc, len(raw), int((ends - starts).sum()), len(starts), hashlib.sha256(b"".join(kept)).hexdigest(), starts.tolist(), ends.tolist())
-            for column, value in zip(out.values(), values):
-                column.append(value)
-        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
+def _cut(table: pa.Table) -> pa.Table:
+    """The results of a place's documents."""
+    doc, start, size = all_unpacked(_blobs(table, GONE), 3)
+    doc, start, end = merged_ranges(doc, start, start + size)
+    out: list[list] = [[] for _ in _RESULT]
+    for own, raw in _texts(table):
+        lo, hi = np.searchsorted(doc, own, "left"), np.searchsorted(doc, own, "right")
+        starts, ends = start[lo:hi], end[lo:hi]
+        kept = [raw[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(raw)])]
+        values = (own, len(raw), int((ends - starts).sum()), len(starts), hashlib.sha256(b"".join(kept)).hexdigest(), starts.tolist(), ends.tolist())
+        for column, value in zip(out, values):
+            column.append(value)
+    return pa.Table.from_arrays([pa.array(v, k) for v, k in zip(out, _RESULT)], names=[c.split()[0] for c in RESULT.split(", ")])
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,31 +448,18 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     known = rows.where("doc_id is not null")
     n, size = known.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_TEXT))
+    places = max(LEAST_BUCKETS, -(-size // BUCKET_TEXT))
     hot = spark.sparkContext.broadcast(hot_anchors(known, n))
-    sent = known.mapInArrow(_send(hot, buckets), SENT)
-    events = stored(sent.groupBy("bucket").applyInArrow(_settle, EVENTS), "repeats")
-
-    of_doc = events.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "end", "anchor")).alias("events"))
-    met = rows.join(of_doc, F.expr("doc_id = of"), "left")
-    touched = F.col("events").isNotNull()
-    # texts go on only where something is removed or refined
-    met = stored(
-        met.select(
-            "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.when(touched, F.col("text")).alias("text"), "events",
-            F.when(~touched, F.sha2(F.col("text").cast("binary"), 256)).alias("kept_sha256"),
-        ),
-        "repeats-met",
-    )
-    pieces = met.where(F.exists("events", lambda e: e["anchor"].isNotNull())).select("doc_id", "text", "events")
-    pieces = pieces.mapInArrow(_pieces, "doc_id long, start long, anchor long, piece binary")
-    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    refined = pieces.groupBy("bucket").applyInArrow(_refine, EVENTS)
-    refined = refined.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "end")).alias("refined"))
-    cut = met.where(touched).select("doc_id", "text", "events").join(refined, F.expr("doc_id = of"), "left").drop("of")
-    none = F.array().cast("array<long>")
-    whole = met.where(~touched).select(
-        "doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), "kept_sha256",
-        none.alias("span_starts"), none.alias("span_ends"),
+    sent = known.mapInArrow(_send(hot, places), SENT)
+    settled = stored(sent.groupBy("place").applyInArrow(_settle(places), SENT), "repeats")
+    texts = known.mapInArrow(_send_texts(places), SENT)
+    pieces = settled.where(F.col("kind") == MIXED).unionByName(texts).groupBy("place").applyInArrow(_pieces(places * FINER), SENT)
+    refined = stored(pieces.groupBy("place").applyInArrow(_refine(places), SENT), "repeats-refined")
+    gone = settled.where(F.col("kind") == GONE).unionByName(refined)
+    cut = gone.unionByName(texts).groupBy("place").applyInArrow(_cut, RESULT)
+    none, zero = F.array().cast("array<long>"), F.lit(0).cast("long")
+    whole = rows.where("doc_id is null").select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), none.alias("span_starts"), none.alias("span_ends"),
     )
-    return cut.mapInArrow(_cut, RESULT).unionByName(whole)
+    return cut.unionByName(whole)

@@ -206,7 +206,7 @@ def test_suffix_dedup_random_overlaps(spark, monkeypatch, share):
             s = sources[int(rng.integers(0, len(sources)))]
             a = int(rng.integers(0, len(s)))
             parts.append(s[a : a + int(rng.integers(1, 160))])
-        rows.append((int(rng.integers(0, 60)) * 1000 + i, "".join(parts)))
+        rows.append((int(rng.integers(-20, 40)) * 1000 + i, "".join(parts)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     monkeypatch.setattr(suffix_dedup.hot_anchors, "__defaults__", (suffix_dedup.SAMPLE_DOCS, share))
     assert ranges(suffix_dedup.repeated_ranges(docs)) == expected_ranges(rows)
