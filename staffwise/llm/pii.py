@@ -1,26 +1,30 @@
 """Personal data: patterns for entities, and corpus statistics for the terms that reveal them.
 
-Entities are found by pattern: email, ip, card (Luhn), phone. For every
-mention the terms around it are noted (``CONTEXT_WORDS`` words on either
-side). Over all documents N the corpus gives
+Entities are found by pattern: email, ip, card (Luhn), phone. The terms of a
+document that mentions one are all its distinct words outside the entities
+themselves, however far from the mention. Equal texts count once, so copies of
+one document are no evidence. Over the N different texts the corpus gives
 
-- n(e): documents that mention entity e,
-- n(t): documents that hold term t anywhere,
-- n(e, t): documents in which t stands around a mention of e.
+- n(e): texts that mention entity e,
+- n(t): texts that hold term t anywhere,
+- n(e, t): texts that mention e and hold t outside of entities.
 
 The information that a term gives away about an entity is their pointwise
 mutual information log2(n(e, t) N / (n(e) n(t))); what there is to know is the
-entity's information content log2(N / n(e)). A term whose share of it reaches
-``REMOVE`` is removed around the entity, one that reaches ``GENERALISE`` is
-replaced by its kind of word. A pair needs ``SUPPORT`` different surroundings,
-so copies of one document are no evidence.
+entity's information content log2(N / n(e)). In every text that mentions the
+entity, all occurrences of a term whose share of it reaches ``REMOVE`` are
+removed, and of one that reaches ``GENERALISE`` are replaced by its kind of
+word. A pair needs ``support`` different texts.
 
 Term counts are summed per task before the shuffle; pair counts are partial
 aggregates as well, so an entity in a third of all documents is no hot task.
+The pairs of a text are at most its words times its entities. Texts are
+shuffled only where they repeat, one of each per task, when the list of the
+repeated ones is small enough to be broadcast, else once.
 
-Defined results: null text is empty and has no spans; a repeated row counts as
-another document and gets equal spans; an entity in every document carries no
-information and reveals nothing. Extra columns are ignored.
+Defined results: null text is empty and has no spans; a repeated row gets
+equal spans; an entity in every text carries no information and reveals
+nothing. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +44,6 @@ from staffwise.llm.shared import row_blocks, stored, text_buffer
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_REMOVED, TERM_GENERALISED = "term_removed", "term_generalised"
-CONTEXT_WORDS = 20
-CONTEXT_CHARS = 2000
 LEAST_TERM = 3  # characters
 SUPPORT = 3
 REMOVE = 0.8
@@ -98,25 +100,26 @@ def entity_key(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
-def context_terms(text: str, start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
-    """(term, start, end) of the words around a mention that are no part of an entity themselves."""
-    lo, hi = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
-    before = [(m.group(), m.start() + lo, m.end() + lo) for m in WORD.finditer(text[lo:start].translate(ASCII_LOWER))]
-    after = [(m.group(), m.start() + end, m.end() + end) for m in WORD.finditer(text[end:hi].translate(ASCII_LOWER))]
-    before = [w for w in before if w[1] > lo or lo == 0][-CONTEXT_WORDS:]
-    after = [w for w in after if w[2] < hi or hi == len(text)][:CONTEXT_WORDS]
-    return [
-        w for w in before + after
-        if len(w[0]) >= LEAST_TERM and any(map(str.isalpha, w[0])) and not any(a < w[2] and w[1] < b for a, b in taken)
-    ]
+def outside_words(text: str, taken: list[tuple[int, int]]) -> dict[str, list[int]]:
+    """Where each word stands that is no part of an entity."""
+    places: dict[str, list[int]] = {}
+    spans, at, end = sorted(taken), 0, -1
+    for m in WORD.finditer(text.translate(ASCII_LOWER)):
+        start, stop = m.span()
+        while at < len(spans) and spans[at][0] < stop:
+            end = max(end, spans[at][1])
+            at += 1
+        if end <= start:
+            places.setdefault(m.group(), []).append(start)
+    return {w: starts for w, starts in places.items() if len(w) >= LEAST_TERM and any(map(str.isalpha, w))}
 
 
 SCAN = (
     "doc_id long, text_key long, spans array<struct<kind: string, start: bigint, end: bigint>>, entities array<bigint>, "
-    "near array<struct<entity: bigint, term: bigint, start: bigint, end: bigint, context: bigint>>"
+    "words array<struct<term: bigint, size: bigint, starts: array<bigint>>>"
 )
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_NEAR = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("context", pa.int64())]))
+_WORDS = pa.list_(pa.struct([("term", pa.int64()), ("size", pa.int64()), ("starts", pa.list_(pa.int64()))]))
 
 
 def text_key(text: str) -> int:
@@ -125,33 +128,31 @@ def text_key(text: str) -> int:
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, spans, entities, near, terms = [], [], [], [], []
-        for value in batch.column(1):
-            text = value.as_py() or ""
-            found = base_spans(text)
-            taken = [(a, b) for _, a, b in found]
-            around = []
-            for kind, a, b in found:
-                entity = entity_key(kind, text[a:b])
-                words = context_terms(text, a, b, taken)
-                context = xxhash.xxh64_intdigest(" ".join(w for w, _, _ in words)) - (1 << 63)
-                around += [{"entity": entity, "term": len(terms) + i, "start": s, "end": e, "context": context} for i, (_, s, e) in enumerate(words)]
-                terms += [w for w, _, _ in words]
-            keys.append(text_key(text))
-            spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-            entities.append(sorted({entity_key(k, text[a:b]) for k, a, b in found}))
-            near.append(around)
-        coded = [w.encode() for w in terms]
-        ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
-        starts = np.concatenate(([0], ends[:-1])).astype(np.int64) if len(ends) else ends
-        hashes = word_hashes(np.frombuffer(b"".join(coded), np.uint8), starts, ends).view(np.int64).tolist() if coded else []
-        for around in near:
-            for n in around:
-                n["term"] = hashes[n["term"]]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys, pa.int64()), pa.array(spans, _SPANS), pa.array(entities, pa.list_(pa.int64())), pa.array(near, _NEAR)],
-            names=["doc_id", "text_key", "spans", "entities", "near"],
-        )
+        for lo, hi in row_blocks(text_buffer(batch.column(1))[1]):
+            keys, spans, entities, words, terms = [], [], [], [], []
+            for value in batch.column(1).slice(lo, hi - lo):
+                text = value.as_py() or ""
+                found = base_spans(text)
+                places = outside_words(text, [(a, b) for _, a, b in found]) if found else {}
+                words.append([{"term": len(terms) + i, "size": len(w), "starts": starts} for i, (w, starts) in enumerate(places.items())])
+                terms += places
+                keys.append(text_key(text))
+                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
+                entities.append(sorted({entity_key(k, text[a:b]) for k, a, b in found}))
+            coded = [w.encode() for w in terms]
+            ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
+            starts = np.concatenate(([0], ends[:-1])).astype(np.int64) if len(ends) else ends
+            hashes = word_hashes(np.frombuffer(b"".join(coded), np.uint8), starts, ends).view(np.int64).tolist() if coded else []
+            for own in words:
+                for w in own:
+                    w["term"] = hashes[w["term"]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(lo, hi - lo), pa.array(keys, pa.int64()), pa.array(spans, _SPANS), pa.array(entities, pa.list_(pa.int64())),
+                    pa.array(words, _WORDS),
+                ],
+                names=["doc_id", "text_key", "spans", "entities", "words"],
+            )
 
 
 def _merged(term: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +161,7 @@ def _merged(term: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold each word, summed over the task's documents."""
+    """Texts that hold each word, summed over the task's texts."""
     terms, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for batch in batches:
         texts = batch.column(0)
@@ -191,20 +192,37 @@ def _counted(term: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Entities of each document and the terms around them, stored."""
+    """Entities of each document and, where there are any, all its words, stored."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return stored(rows.mapInArrow(_scan, SCAN), "pii-scan")
 
 
+def different_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Each text once; only those that repeat are brought together."""
+    rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    again = stored(rows.groupBy("key").count().where("count > 1").select("key"), "pii-repeated")
+    repeated = rows.join(again, "key", "left_semi").dropDuplicates(["key"])
+    return rows.join(again, "key", "left_anti").unionByName(repeated).select("text")
+
+
+def entity_texts(scan: DataFrame) -> DataFrame:
+    """text_key, entities and terms of each different text that mentions an entity."""
+    return scan.where(F.size("entities") > 0).select("text_key", "entities", F.col("words.term").alias("terms")).dropDuplicates(["text_key"])
+
+
+def _pairs(texts: DataFrame) -> DataFrame:
+    """(text_key, entity, term) of each entity and each word of a text."""
+    return texts.select("text_key", F.explode("entities").alias("entity"), "terms").select("text_key", "entity", F.explode("terms").alias("term"))
+
+
 def revealing_terms(scan: DataFrame, docs: DataFrame, text_col: str = "text", support: int = SUPPORT, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure, kind) of the pairs whose share of the entity's information reaches a threshold."""
-    total = scan.count()
-    around = scan.where(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("near")).select("doc_id", "text_key", "near.*")
-    pairs = around.groupBy("entity", "term", "doc_id", "text_key").agg(F.min("context").alias("context"))
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_pair"), F.countDistinct("context").alias("contexts")).where(F.col("contexts") >= support)
-    entities = scan.where(F.size("entities") > 0).select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = docs.select(F.col(text_col).cast("string")).mapInArrow(_term_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-    found = pairs.join(entities, "entity").join(terms, "term")
+    total = scan.select("text_key").distinct().count()
+    texts = stored(entity_texts(scan), "pii-texts")
+    pairs = _pairs(texts).groupBy("entity", "term").agg(F.count("*").alias("n_pair")).where(F.col("n_pair") >= support)
+    entities = stored(texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity")), "pii-entities")
+    terms = different_texts(docs, text_col).mapInArrow(_term_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    found = pairs.join(entities, "entity").join(stored(terms, "pii-words"), "term")
     known = F.log2(F.lit(float(total)) / F.col("n_entity"))
     told = F.log2(F.col("n_pair") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
     found = found.where(F.col("n_entity") < total).withColumn("disclosure", told / known).where(F.col("disclosure") >= generalise)
@@ -212,17 +230,35 @@ def revealing_terms(scan: DataFrame, docs: DataFrame, text_col: str = "text", su
     return found.select("entity", "term", "disclosure", kind.alias("kind"))
 
 
+FOUND = "doc_id long, text_key long, spans array<struct<kind: string, start: bigint, end: bigint>>, terms array<struct<kind: string, start: bigint, end: bigint>>"
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every place of the terms that are told of a document's text."""
+    for batch in batches:
+        words, told = batch.column(3), batch.column(4)
+        marked = []
+        for own, hits in zip(words, told):
+            kinds = {h["term"]: h["kind"] for h in hits.as_py() or []}
+            places = []
+            if kinds:
+                term = own.values.field("term").to_numpy(zero_copy_only=False)
+                for i in np.flatnonzero(np.isin(term, np.fromiter(kinds, np.int64, len(kinds)))).tolist():
+                    w = own.values[i].as_py()
+                    places += [(kinds[w["term"]], at, at + w["size"]) for at in w["starts"]]
+            marked.append([{"kind": k, "start": a, "end": b} for k, a, b in sorted(places)])
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(marked, _SPANS)], names=["doc_id", "text_key", "spans", "terms"])
+
+
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """One row per document: doc_id, text_key, spans (entities by kind and start), terms (spans of revealing terms)."""
     scan = scanned(docs, id_col, text_col)
-    found = stored(revealing_terms(scan, docs, text_col, **thresholds), "pii-terms")
-    around = scan.where(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("near")).select("doc_id", "text_key", "near.*")
-    span = F.struct(F.col("kind"), F.col("start"), F.col("end"))
-    hits = around.join(found, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max("kind").alias("kind"))  # removed beats generalised
-    hits = hits.groupBy(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).agg(F.sort_array(F.collect_list(span)).alias("terms"))
-    met = F.expr("doc_id <=> hit_id and text_key = hit_key")
+    found = stored(revealing_terms(scan, docs, text_col, **thresholds).select("entity", "term", "kind"), "pii-terms")
+    hits = _pairs(entity_texts(scan)).join(found, ["entity", "term"]).groupBy("text_key", "term").agg(F.max("kind").alias("kind"))  # removed beats generalised
+    hits = stored(hits.groupBy(F.col("text_key").alias("hit_key")).agg(F.collect_list(F.struct("term", "kind")).alias("told")), "pii-hits")
+    rows = scan.where(F.size("entities") > 0).join(hits, F.col("text_key") == F.col("hit_key"), "left").select("doc_id", "text_key", "spans", "words", "told")
     none = F.array().cast("array<struct<kind: string, start: bigint, end: bigint>>")
-    return scan.join(hits, met, "left").select("doc_id", "text_key", "spans", F.coalesce("terms", none).alias("terms"))
+    return rows.mapInArrow(_mark, FOUND).unionByName(scan.where(F.size("entities") == 0).select("doc_id", "text_key", "spans", none.alias("terms")))
 
 
 def generalised(word: str) -> str:

@@ -217,6 +217,19 @@ def test_terms_that_reveal_an_entity(spark):
     assert clean[100] == others[0][1] and clean[400] == "the secretword next to [EMAIL]"
 
 
+def test_terms_far_from_the_mention(spark):
+    """A name 3,000 words away from the address is found, counted and marked at every place."""
+    filler = "plain weather words " * 1000
+    letters = [(i, f"Quixotemill opens {filler} ask jo@corp.example.com about {filler} number{i} Quixotemill") for i in range(4)]
+    others = [(100 + i, f"{filler} opens about ask number {i}") for i in range(60)]
+    docs = spark.createDataFrame(letters + others, "doc_id long, text string").repartition(4)
+    rows = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    for i, text in letters:
+        marked = [(t.kind, text[t.start : t.end]) for t in rows[i].terms]
+        assert marked == [(pii.TERM_REMOVED, "Quixotemill")] * 2
+    assert not any(rows[i].terms for i, _ in others)
+
+
 def test_generalised_words():
     assert [pii.generalised(w) for w in ("Oslo", "UNO", "tree", "b12")] == ["[NAME]", "[ACRONYM]", "[WORD]", "[CODE]"]
     spans = [("email", 4, 9), (pii.TERM_GENERALISED, 0, 3), (pii.TERM_REMOVED, 10, 12)]
