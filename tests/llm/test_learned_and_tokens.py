@@ -217,6 +217,18 @@ def test_terms_that_reveal_an_entity(spark):
     assert clean[100] == others[0][1] and clean[400] == "the secretword next to [EMAIL]"
 
 
+def test_query_marks_terms_of_an_entity_in_one_text(spark, tmp_path):
+    """An address of a single text, a repeated one and one without an entity: the disclosure alone decides."""
+    rows = [(1, "the Zanzibarproject of jo@corp.example.com today"), (2, "the secretword next to pat@corp.example.com"), (3, "the secretword next to pat@corp.example.com")]
+    rows += [(100 + i, f"the weather of today next to number {i}") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in QUERIES["op7_disclosive_terms"](spark, str(tmp_path)).collect()}
+    for i, term in [(1, "Zanzibarproject"), (2, "secretword"), (3, "secretword")]:
+        at = rows[i - 1][1].index(term)
+        assert found[i].spans.split(",")[1:] == [f"{pii.TERM_REMOVED}:{at}:{at + len(term)}"]
+    assert {found[r[0]].spans for r in rows[3:]} == {""}
+
+
 def test_terms_far_from_the_mention(spark):
     """A name 3,000 words away from the address is found, counted and marked at every place."""
     filler = "plain weather words " * 1000
