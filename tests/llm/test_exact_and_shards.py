@@ -124,6 +124,15 @@ def test_mix_takes_the_smallest_ranks(spark):
     assert taken == set(sorted(u, key=u.get)[: len(taken)]) and len(taken) * 2 == pytest.approx(rows[0].target, abs=2)
 
 
+def test_mix_goes_on_behind_a_document_that_does_not_fit(spark):
+    """One text of 40 % of a source's words beside short ones, at a target of 0.4 times the source."""
+    short = [(i, "a b c d e f", "a") for i in range(1000)]
+    docs = spark.createDataFrame([*short, (5000, "w " * 4000, "a"), (6000, "x " * 10000, "b")], "doc_id long, text string, source string").repartition(2)
+    for seed in range(4):
+        rows = [r for r in mixing.pareto_mix(docs, weights=(1, 4), seed=seed, buckets=16).collect() if r.doc_id < 6000]
+        assert rows[0].target == 4000 and abs(sum(r.taken for r in rows) - 4000) <= 3
+
+
 def test_unequal_probabilities_favour_weight(spark):
     docs = spark.range(3000).select(
         F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"), (F.col("id") % 2 * 2 + 1).alias("worth")
