@@ -15,7 +15,8 @@ of the letters is the score. All documents of a block are passed at once, one
 word of each per step.
 
 Defined results: null texts and texts without a letter are ``und`` with score
-0 and no spans, as is everything when nothing was learned; ties go to the
+0 and no spans, as is everything when there is nothing to learn from (labelled
+documents of which the sample holds none are an error); ties go to the
 first language by name; repeated rows get equal results. A null id is never
 held out. Extra columns are ignored.
 """
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from staffwise.llm.shared import HELD_OUT_REMAINDER, row_blocks, string_array, text_buffer
+from staffwise.llm.shared import HELD_OUT_REMAINDER, in_sample, row_blocks, string_array, text_buffer
 from staffwise.llm.token_files import lowered
 
 UNDETERMINED = "und"
@@ -180,11 +181,13 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str = "doc_id",
     )
     n = known.select("lang").count()
     part = min(1.0, train_docs / max(n, 1))
-    sample = known.where(F.pmod(F.xxhash64("id", F.lit("train")), F.lit(1_000_000)) < F.lit(int(part * 1_000_000)))
+    sample = known.where(in_sample(F.xxhash64("id", F.lit("train")), part))
     rows = sample.select("lang", "text").mapInArrow(_count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).collect()
     counts: dict[str, dict[int, int]] = {}
     for r in rows:
         counts.setdefault(r["lang"], {})[r["slot"]] = r["n"]
+    if n and not counts and sample.isEmpty():
+        raise RuntimeError(f"none of {n} labelled documents is in the training sample of about {train_docs}")
     return Model(counts)
 
 

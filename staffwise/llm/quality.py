@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from staffwise.llm.langid import held_out
-from staffwise.llm.shared import row_blocks, string_array, text_buffer
+from staffwise.llm.shared import in_sample, row_blocks, string_array, text_buffer
 
 PASSAGE_WORDS = 64
 TRAIN_DOCS = 5000
@@ -203,12 +203,15 @@ def learn(
     """The model from a bounded sample of the labelled documents that are not held out."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
     known = known.where(F.col("label").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    part = min(1.0, train_docs / max(known.count(), 1))
-    sample = known.where(F.pmod(F.xxhash64("id", F.lit("quality")), F.lit(1_000_000)) < F.lit(int(part * 1_000_000)))
+    n = known.count()
+    part = min(1.0, train_docs / max(n, 1))
+    sample = known.where(in_sample(F.xxhash64("id", F.lit("quality")), part))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(sample), "id").select("id", "label", "text")  # the sample has about train_docs rows of two numbers
     found = rows.mapInArrow(_describe, "id long, label double, x binary").orderBy("id", "label").toArrow()
     bags = [np.frombuffer(b, "<f2").astype(np.float32).reshape(-1, FEATURES) for b in found.column("x").to_pylist()]
+    if n and not bags and sample.isEmpty():
+        raise RuntimeError(f"none of {n} labels is in the training sample of about {train_docs}")
     x = np.concatenate(bags) if bags else np.zeros((0, FEATURES), np.float32)
     bag = np.concatenate(([0], np.cumsum([len(b) for b in bags]))).astype(np.int64)
     return fit(x, bag, found.column("label").to_numpy())

@@ -13,7 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one numpy pass works on; a single longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -44,6 +45,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_sample(key: Column, part: float) -> Column:
+    """Whether a row with this 64-bit hash is in a sample of the share ``part``, at a resolution of 2^-52."""
+    return F.pmod(key, F.lit(1 << 52)) < F.lit(part * (1 << 52))
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column back to back, and the n + 1 offsets of its rows; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffwise.llm.shared import row_blocks, stored, text_buffer
+from staffwise.llm.shared import in_sample, row_blocks, stored, text_buffer
 
 LENGTH = 50
 GRAM = 16
@@ -436,7 +436,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def hot_anchors(rows: DataFrame, n: int, sample_docs: int = SAMPLE_DOCS, share: float = HOT_SHARE) -> np.ndarray:
     """Anchors in at least ``share`` of a sample of about ``sample_docs`` documents; at most some thousand values."""
     part = min(1.0, sample_docs / max(n, 1))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < F.lit(int(part * 1_000_000))).select("text")
+    sample = rows.where(in_sample(F.xxhash64("doc_id", F.lit("sample")), part)).select("text")
     least = max(3, int(share * min(n, sample_docs)))
     found = sample.mapInArrow(_anchors, "anchor long").groupBy("anchor").count().where(F.col("count") >= least).select("anchor")
     return np.sort(np.array([r["anchor"] for r in found.collect()], np.int64).view(np.uint64))

@@ -90,6 +90,19 @@ def test_language_edges(edge_docs, no_docs):
     assert [r.lang_pred for r in langid.identify(edge_docs, langid.learn(no_docs)).collect()] == ["und"] * len(ROWS)
 
 
+@pytest.mark.parametrize("operator", ["language", "quality"])
+def test_samples_of_less_than_a_millionth(spark, operator):
+    ids = spark.range(4_000_000).select(F.col("id").alias("doc_id"))
+    docs = ids.select("doc_id", F.lit("the cat sat on the mat").alias("text"), F.lit("en").alias("lang"))
+    labels = ids.select("doc_id", F.lit(1).alias("quality"))
+    if operator == "language":
+        assert langid.learn(docs, train_docs=2.9).langs == ["en"]
+    else:
+        assert quality.learn(docs, labels, train_docs=2.9)["scale"].max() < 1  # fitted
+    with pytest.raises(RuntimeError, match="none of"):
+        langid.learn(docs, train_docs=1e-6) if operator == "language" else quality.learn(docs, labels, train_docs=1e-6)
+
+
 # --------------------------------------------------------------- quality
 
 
