@@ -210,7 +210,8 @@ def viterbi(scores: np.ndarray, which: np.ndarray, size: np.ndarray, prior: np.n
     longest = int(size.max(initial=0))
     live = np.searchsorted(-size[order], -np.arange(longest), "left")  # texts with more than t words
     begin = first[order]
-    switched, source = np.zeros((total, kinds), bool), np.zeros(total, np.uint8)
+    number = np.min_scalar_type(max(kinds - 1, 0))  # holds every label
+    switched, source = np.zeros((total, kinds), bool), np.zeros(total, number)
     value = np.repeat(prior[None, :].astype(np.float64), len(size), axis=0)
     for t in range(longest):
         k = int(live[t])
@@ -223,7 +224,7 @@ def viterbi(scores: np.ndarray, which: np.ndarray, size: np.ndarray, prior: np.n
             switched[at] = other > now
             now = np.maximum(now, other)
         value[:k] = now + scores[which[at]]
-    label = np.zeros(total, np.uint8)
+    label = np.zeros(total, number)
     state = value.argmax(axis=1)
     for t in range(longest - 1, -1, -1):
         k = int(live[t])

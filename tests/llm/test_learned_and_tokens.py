@@ -51,6 +51,22 @@ def test_viterbi_equals_plain_version():
         at += n
 
 
+def test_three_hundred_languages():
+    rng = np.random.default_rng(2)
+    scores, size = rng.normal(0, 5, (40, 300)).astype(np.float32), np.array([9, 4])
+    prior, which = np.full(300, np.log(1 / 300)), rng.integers(0, 40, 13)
+    got = langid.viterbi(scores, which, size, prior, 6.0).tolist()
+    assert got == slow_viterbi(scores, which[:9], prior, 6.0) + slow_viterbi(scores, which[9:], prior, 6.0) and max(got) > 255
+    names = [f"l{i:03}" for i in range(300)]
+    texts = [" ".join([chr(97 + i // 26) * 3 + chr(97 + i % 26) * 3] * 20) for i in range(300)]
+    counts = {}
+    for out in langid._count([pa.RecordBatch.from_arrays([pa.array(names), pa.array(texts)], names=["lang", "text"])]):
+        for lang, slot, n in zip(*(c.to_pylist() for c in out.columns)):
+            counts.setdefault(lang, {})[slot] = n
+    langs, score, spans = langid.label_block(langid.Model(counts), pa.array(texts))
+    assert langs == names and [s[0]["lang"] for s in spans.to_pylist()] == names
+
+
 def test_language_of_held_out_documents(spark):
     d = "/root/testdata/sf0.01"
     rows = QUERIES["op8_viterbi_language"](spark, d).join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
