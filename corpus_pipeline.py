@@ -7,7 +7,7 @@ them back as the next one's documents.
 
 - language: documents of undetermined or evenly mixed language go;
 - near_duplicates: of each group of linked fingerprints the document with the
-  smallest id stays;
+  smallest id stays (rows of one id with different texts are told apart);
 - decontamination: documents that hold a window of a benchmark item go;
 - mixing: a document appears as often as the mix takes it (0 to 3 times);
 - token_files: ids of all rows in Huffman-coded blocks, one result row per row.

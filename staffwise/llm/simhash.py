@@ -69,7 +69,7 @@ def _fingerprints(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).cast(pa.large_binary())
             found = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64), pa.int64())], names=[*batch.schema.names[:-1], "fp"])
 
     return run
 
@@ -152,12 +152,17 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> Data
     return posted.mapInArrow(_links(max_bits), "u long, v long")
 
 
+def labelled_prints(rows: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of ``rows`` (the text last), stored, and links between them as (node, label)."""
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    prints = stored(rows.mapInArrow(_fingerprints(shingle), f"{kept}, fp long"), "fingerprints")
+    return prints, component_labels(fingerprint_links(prints, max_bits))
+
+
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    prints = stored(rows.mapInArrow(_fingerprints(shingle), f"doc_id {id_type}, fp long"), "fingerprints")
-    labels = component_labels(fingerprint_links(prints, max_bits))
+    prints, labels = labelled_prints(rows, shingle, max_bits)
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     labelled = first.join(labels, first["fp"] == labels["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     named = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
@@ -166,11 +171,17 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; same columns.
+    """``docs`` with one document of each component, that of the smallest id (then fingerprint, then hash of the text); same columns.
 
-    Of rows that repeat an id one stays; rows with a null id stay, as no id tells them apart.
+    Rows that repeat an id with different texts are told apart by the hash of the text, of equal rows
+    one stays; rows with a null id stay, as no id tells them apart.
     """
-    stays = simhash_components(docs, shingle, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
-    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col("doc_id").alias("id"))
-    kept = keyed.join(stays, F.col("id") == F.col("stays"), "left_semi").dropDuplicates(["id"])
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    prints, labels = labelled_prints(rows, shingle, max_bits)
+    first = prints.where("doc_id is not null").groupBy("fp").agg(F.min(F.struct("doc_id", "fp", "text_hash")).alias("first"))
+    labelled = first.join(labels, first["fp"] == labels["node"], "left").select("first", F.coalesce("label", "fp").alias("label"))
+    stays = labelled.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("stays"), F.col("first.text_hash").alias("stays_hash"))
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col("doc_id").alias("id"), F.xxhash64(text).alias("hash"))
+    kept = keyed.join(stays, (F.col("id") == F.col("stays")) & (F.col("hash") == F.col("stays_hash")), "left_semi").dropDuplicates(["id", "hash"])
     return kept.unionByName(keyed.where("id is null")).select("doc.*")

@@ -155,6 +155,14 @@ def test_links_lose_no_component(spark, max_bits):
     assert {x: labels.get(x, x) for x in signed} == {x: root(x) for x in signed}
 
 
+def test_near_dedup_tells_rows_of_one_id_apart(spark):
+    one, two = "the quick brown fox jumps over the lazy dog and runs away", "seven wizards brew a potion of strange herbs in the old mill"
+    three = "numbers of the ledger were added twice by a tired clerk on monday"
+    four, five = "rain fell on the harbour all night while ships lay still", "every child of the village learned to carve small birds"
+    docs = spark.createDataFrame([(1, one), (2, two), (2, one), (3, two), (3, three), (3, three), (5, four), (5, five), (7, None)], "doc_id long, text string").repartition(3)
+    assert sorted((r.doc_id, r.text or "") for r in simhash.near_dedup(docs).collect()) == [(1, one), (2, two), (3, three), (5, five), (5, four), (7, "")]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100)] + [(200, x) for x in range(201, 260)] + [(5, 5)]
     labels = {r.node: r.label for r in component_labels(spark.createDataFrame(edges, "u long, v long")).collect()}
