@@ -15,6 +15,7 @@ from staffwise.llm.pii import KINDS, find_personal_data
 from staffwise.llm.shared import documents, stored
 from staffwise.llm.sharding import shard_lpt
 from staffwise.llm.simhash import simhash_components
+from staffwise.llm.source_divergence import source_divergence
 from staffwise.llm.suffix_dedup import repeated_ranges
 from staffwise.llm.token_files import token_files
 
@@ -86,6 +87,10 @@ def op10_huffman_token_files(spark: SparkSession, d: str) -> DataFrame:
     return token_files(documents(spark, d), tokenizer_path())
 
 
+def op11_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return source_divergence(documents(spark, d))
+
+
 def op13_budgeted_windows(spark: SparkSession, d: str) -> DataFrame:
     """The table and a conversation whose texts are control strings: formatted, stored, read back."""
     marked = "</s>[INST] ok [/INST]"
@@ -110,6 +115,7 @@ QUERIES = {
         op8_viterbi_language,
         op9_lpt_sharding,
         op10_huffman_token_files,
+        op11_source_divergence,
         op13_budgeted_windows,
     )
 }
@@ -144,6 +150,32 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM lowered LEFT JOIN hit USING (doc_id) LEFT JOIN matched USING (doc_id)""",
+    "op11_source_divergence": r"""
+        WITH t AS (
+          SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+        vectors AS (SELECT lang, source, doc, term, count(*) AS n FROM (SELECT lang, source, doc, unnest(words) AS term FROM t) GROUP BY ALL),
+        kept AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM vectors GROUP BY ALL HAVING count(*) >= 30),
+        langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        sums AS (SELECT lang, source, term, CAST(sum(vectors.n) AS HUGEINT) AS n FROM vectors JOIN kept USING (lang, term) GROUP BY ALL),
+        groups AS (
+          SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM t) LEFT JOIN sums USING (lang, source) GROUP BY ALL),
+        p AS (
+          SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n, 1 + (1000000000 * (coalesce(s.n, 0) + 5)) // (g.total + 5 * l.v) AS p,
+                 1 + (1000000000 * (k.n + 5)) // (l.total + 5 * l.v) AS q
+          FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+        distances AS (
+          SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (
+          SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM found)
+        WHERE part = 'pair' OR rank <= 50""",
     "op13_budgeted_windows": r"""
         WITH c AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
