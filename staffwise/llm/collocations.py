@@ -132,7 +132,7 @@ class Grams:
 def short_rows(raw: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The texts, longer ones cut behind breaks into parts of at most ``limit`` bytes (or one piece): new offsets,
     the text of each part, and the byte of the text where the part starts."""
-    cuts = [offsets]
+    starts, text = [offsets[:-1]], [np.arange(len(offsets) - 1)]
     for row in np.flatnonzero(np.diff(offsets) > limit):
         cut, end = int(offsets[row]), int(offsets[row + 1])
         breaks = np.flatnonzero(BREAKS[raw[cut:end]]) + cut + 1
@@ -141,11 +141,12 @@ def short_rows(raw: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.nda
             fits = breaks[np.searchsorted(breaks, cut + limit, "right") - 1]
             cut = int(fits if cut < fits <= cut + limit else breaks[np.searchsorted(breaks, cut, "right")])
             found.append(cut)
-        cuts.append(np.array([c for c in found if c < end], np.int64))
-    parts = np.concatenate(cuts)
-    parts = np.sort(parts, kind="stable") if len(cuts) > 1 else parts
-    text = np.searchsorted(offsets, parts[:-1], "right") - 1 if len(cuts) > 1 else np.arange(len(offsets) - 1)
-    return parts, text, parts[:-1] - offsets[text]
+        starts.append(np.array([c for c in found if c < end], np.int64))
+        text.append(np.full(len(starts[-1]), row))
+    start, of = np.concatenate(starts), np.concatenate(text)
+    order = np.lexsort((start, of))
+    start, of = start[order], of[order]
+    return np.append(start, offsets[-1]), of, start - offsets[of]
 
 
 class Miner:

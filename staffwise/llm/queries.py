@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from staffwise.llm import quality
 from staffwise.llm.chat_windows import conversation_digests, format_chats
+from staffwise.llm.collocations import collocations
 from staffwise.llm.decontamination import hit_words, match_benchmark
 from staffwise.llm.exact_dedup import exact_dedup
 from staffwise.llm.langid import held_out, identify, learn
@@ -91,6 +92,10 @@ def op11_source_divergence(spark: SparkSession, d: str) -> DataFrame:
     return source_divergence(documents(spark, d))
 
 
+def op12_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations(documents(spark, d))
+
+
 def op13_budgeted_windows(spark: SparkSession, d: str) -> DataFrame:
     """The table and a conversation whose texts are control strings: formatted, stored, read back."""
     marked = "</s>[INST] ok [/INST]"
@@ -116,6 +121,7 @@ QUERIES = {
         op9_lpt_sharding,
         op10_huffman_token_files,
         op11_source_divergence,
+        op12_collocations,
         op13_budgeted_windows,
     )
 }
@@ -176,6 +182,33 @@ ORACLE: dict[str, str] = {
         SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
         FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM found)
         WHERE part = 'pair' OR rank <= 50""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        langs AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+        phrases AS (
+          SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+          FROM split, (VALUES (1), (2), (3), (4)) AS s(k), unnest(range(1, len(w) - k + 2)) AS u(i)
+          WHERE len(w) >= k GROUP BY ALL HAVING count(*) >= 30),
+        cuts AS (
+          SELECT lang, phrase, k, f, c, array_to_string(string_split(phrase, ' ')[1 : c], ' ') AS head,
+                 array_to_string(string_split(phrase, ' ')[c + 1 : k], ' ') AS tail
+          FROM phrases, unnest(range(1, k)) AS u(c) WHERE k > 1),
+        valued AS (
+          SELECT cuts.lang, cuts.phrase, cuts.f AS a, c, l.f AS l, r.f AS r, (CAST(2000000 AS HUGEINT) * cuts.f) // (l.f + r.f) AS score
+          FROM cuts JOIN phrases l ON l.lang = cuts.lang AND l.phrase = head JOIN phrases r ON r.lang = cuts.lang AND r.phrase = tail),
+        lowest AS (SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+        inner_parts AS (
+          SELECT lang, array_to_string(string_split(phrase, ' ')[i : i + m - 1], ' ') AS phrase, max(f) AS longer
+          FROM phrases, (VALUES (2), (3)) AS s(m), unnest(range(1, k - m + 2)) AS u(i) WHERE m < k GROUP BY ALL),
+        kept AS (
+          SELECT lowest.* FROM lowest LEFT JOIN inner_parts USING (lang, phrase)
+          WHERE CAST(100 AS HUGEINT) * coalesce(longer, 0) < CAST(80 AS HUGEINT) * a)
+        SELECT lang, row_number() OVER v AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM kept JOIN langs USING (lang) WINDOW v AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase))
+        QUALIFY row_number() OVER v <= 2000""",
     "op13_budgeted_windows": r"""
         WITH c AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
