@@ -57,13 +57,13 @@ def frequent_digests(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
 
 def winners_of(rows: DataFrame, candidates: DataFrame, least: int) -> DataFrame:
     """Exact size and kept row of each candidate that has at least ``least`` rows."""
-    best = F.max(F.struct("n_chars", (-F.col("doc_id")).alias("neg_id"), (-F.col("row_no")).alias("neg_row"))).alias("best")
+    best = F.min(F.struct((-F.col("n_chars")).alias("neg_chars"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_no")).alias("best")
     return (
         rows.join(F.broadcast(candidates), "digest")
         .groupBy("digest")
         .agg(F.count("*").alias("group_size"), best)
         .where(F.col("group_size") >= least)
-        .select("digest", "group_size", (-F.col("best.neg_id")).alias("keep_id"), (-F.col("best.neg_row")).alias("keep_row"))
+        .select("digest", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row_no").alias("keep_row"))
     )
 
 

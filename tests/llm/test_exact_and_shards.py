@@ -44,6 +44,13 @@ def test_exact_dedup_heavy_group_is_broadcast(spark):
     assert found.where("kept").count() == 5000 - 1666
 
 
+@pytest.mark.parametrize("share", [1e-9, 0.9])
+def test_exact_dedup_takes_the_least_id(spark, share):
+    docs = spark.createDataFrame([(-(1 << 63), "same"), ((1 << 63) - 1, "same"), (None, "same")], "doc_id long, text string")
+    found = exact_dedup.exact_dedup(docs, heavy_share=share).collect()
+    assert {(r.keep_id, r.group_size) for r in found} == {(-(1 << 63), 3)} and [r.doc_id for r in found if r.kept] == [-(1 << 63)]
+
+
 def test_exact_dedup_empty(no_docs):
     assert exact_dedup.exact_dedup(no_docs).count() == 0
 
