@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from staffwise.llm.shared import row_blocks, runs, text_buffer
+from staffwise.llm.shared import numbered, row_blocks, runs, text_buffer
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = "".join(chr(c) for c in range(65, 91))
@@ -322,8 +322,9 @@ def hit_words() -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a window of a test item; same columns."""
-    marked = match_benchmark(docs, benchmark, window, text_col)
-    return marked.where(F.size("items") == 0).select(*docs.columns)
+    plain, own = numbered(docs)
+    marked = match_benchmark(plain, benchmark, window, f"c{docs.columns.index(text_col)}")
+    return marked.where(F.size("items") == 0).select(*own)
 
 
 def items_digest(items: list[str]) -> str:

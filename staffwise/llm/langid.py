@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from staffwise.llm.shared import HELD_OUT_REMAINDER, in_sample, row_blocks, string_array, text_buffer
+from staffwise.llm.shared import HELD_OUT_REMAINDER, in_sample, numbered, row_blocks, string_array, text_buffer
 from staffwise.llm.token_files import lowered
 
 UNDETERMINED = "und"
@@ -291,5 +291,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
 def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """``docs`` without texts of undetermined language or of which no language has ``least`` of the letters; same columns."""
-    found = identify(docs, learn(docs))
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("lang_score") >= least)).select(*docs.columns)
+    plain, own = numbered(docs)
+    found = identify(plain, learn(docs), f"c{docs.columns.index('text')}")
+    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("lang_score") >= least)).select(*own)

@@ -45,6 +45,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns named c0, c1, ... so that none clashes with added ones, and the columns under their own names."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, docs.columns)]
+
+
 def in_sample(key: Column, part: float) -> Column:
     """Whether a row with this 64-bit hash is in a sample of the share ``part``, at a resolution of 2^-52."""
     return F.pmod(key, F.lit(1 << 52)) < F.lit(part * (1 << 52))

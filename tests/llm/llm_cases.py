@@ -7,6 +7,7 @@ SF = "/root/testdata/sf0.001"
 CLASHING = [
     "id", "size", "digest", "row_no", "group", "bundle", "bucket", "shard", "rank", "weight", "of", "range", "fp", "label", "events",
     "items", "n_words", "lang_pred", "quality_score", "spans", "near", "text_key", "ids", "copies", "doc", "_stays", "component_id",
+    "hit_starts", "hit_ends", "longest_match", "lang_score", "lang_spans", "c0", "c1",
 ]
 LONG = " ".join(f"word{i % 97} and" for i in range(20_000))
 SHARED = "the quick brown fox jumps over the lazy dog while seven wizards brew a potion of seven herbs in the old mill"

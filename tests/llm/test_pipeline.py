@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from llm_cases import SF, edge_docs, no_docs  # noqa: F401
+from llm_cases import CLASHING, SF, edge_docs, no_docs  # noqa: F401
 from pyspark.sql import functions as F
 from test_matching import expected_components, expected_hits, slow_fingerprint
 
@@ -95,4 +95,5 @@ def test_stages_take_edges(spark, edge_docs, no_docs, name, f):
     got = f(spark, edge_docs, SF)
     assert got.count() >= 0 and f(spark, no_docs, SF).count() == 0
     if name != "token_files":
-        assert got.columns == edge_docs.columns
+        assert got.dtypes == edge_docs.dtypes  # also of columns that bear the name of an added one
+        assert all(r[c] == "clash" for r in got.collect() for c in CLASHING)
