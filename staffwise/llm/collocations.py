@@ -7,19 +7,22 @@ mark or a line end.
 1. Fingerprints. Words are hashed by prefix polynomials over their bytes,
    n-grams by prefix polynomials over their words' hashes: the hash of any
    n-gram is one difference of prefix sums. Two independent polynomials give a
-   fingerprint and a check value of 64 bits each.
+   fingerprint of 64 bits and a check value of 32 bits.
 2. Counters. A first pass adds every n-gram to a table of saturating counters
    addressed by the fingerprint. The table's size is fixed (``MAX_BITS``), and
    so is the broadcast bitmap of the counters that reach ``min_count``. An
    n-gram whose counter, or a part's counter, stays below cannot be frequent.
    A table too small for a corpus lets more n-grams through; it drops none.
 3. Occurrences. A second pass sends, per block of texts, one row per n-gram that
-   is left: fingerprint, check value, count, and a pointer to an occurrence.
-   Inside a block equal fingerprints are compared word by word; across blocks
-   the shuffle aggregates fingerprints and check values, so colliding
+   is left: fingerprint, check value, count, and a pointer to the first text that
+   has it. Inside a block equal fingerprints are compared word by word; across
+   blocks the shuffle aggregates fingerprints and check values, so colliding
    fingerprints are told apart.
-4. Texts. Only phrases that reach ``min_count`` are materialised, from their
-   pointers; both polynomials of each text must give the aggregated values.
+4. Texts. Only phrases that reach ``min_count`` are materialised, from the texts
+   that they point to: both polynomials of the words there must give the
+   aggregated values. A frequent phrase's first text comes early, so few texts
+   are pointed to; a bitmap of fixed size (``ROW_BITS``) keeps most others out of
+   the shuffle, and lets none of the pointed ones out.
 5. Scores, containment and ranks are joins and windows over the phrase table,
    with integers held as decimals where products may pass 64 bits.
 
@@ -39,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +59,8 @@ MAX_BITS = 25
 BYTES_PER_COUNTER = 20
 PHRASE_BLOCK_BYTES = 2 << 20
 CHUNK_BITS = 14
+#: Bits of the broadcast map of texts that phrases point to, as a power of two.
+ROW_BITS = 26
 #: Counters stop at most here, so that a batch of occurrences cannot overflow 16 bits.
 CEILING, BATCH = 5_000, 60_000
 
@@ -102,7 +108,7 @@ class Polynomial:
 
 class Grams:
     """The n-grams of some texts: ``keys(n)`` gives both hashes of the n-gram at every word, ``whole(n)`` whether
-    it ends in the piece that it starts in."""
+    it ends in the piece that it starts in, ``text`` the words of some."""
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, lang: pa.Array, polynomials: tuple[Polynomial, Polynomial], mask: int):
         self.words = words = Words(raw, offsets, IN_WORD)
@@ -123,15 +129,20 @@ class Grams:
         sums, back = self.sums[which]
         at = np.arange(max(0, len(self) - n + 1)) if at is None else at
         out = mixed((sums[at + n] - sums[at]) * back[at] + self.seed[which][at] * np.uint64(2 * n + 1))
-        return out if which else out & self.mask
+        return out >> np.uint64(32) if which else out & self.mask
 
     def whole(self, n: int) -> np.ndarray:
         return self.piece[n - 1 :] == self.piece[: max(0, len(self) - n + 1)]
 
+    def text(self, n: int, at: np.ndarray) -> pa.Array:
+        spelled = self.words.dictionary.cast(pa.large_string())
+        parts = [spelled.take(pa.array(self.words.code[at + k])) for k in range(n)]
+        return pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
-def short_rows(raw: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The texts, longer ones cut behind breaks into parts of at most ``limit`` bytes (or one piece): new offsets,
-    the text of each part, and the byte of the text where the part starts."""
+
+def short_rows(raw: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts, longer ones cut behind breaks into parts of at most ``limit`` bytes (or one piece): new offsets, and
+    the text of each part."""
     starts, text = [offsets[:-1]], [np.arange(len(offsets) - 1)]
     for row in np.flatnonzero(np.diff(offsets) > limit):
         cut, end = int(offsets[row]), int(offsets[row + 1])
@@ -145,8 +156,7 @@ def short_rows(raw: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.nda
         text.append(np.full(len(starts[-1]), row))
     start, of = np.concatenate(starts), np.concatenate(text)
     order = np.lexsort((start, of))
-    start, of = start[order], of[order]
-    return np.append(start, offsets[-1]), of, start - offsets[of]
+    return np.append(start[order], offsets[-1]), of[order]
 
 
 class Miner:
@@ -158,16 +168,14 @@ class Miner:
         self.mask = ((1 << fingerprint_bits) - 1) << (64 - fingerprint_bits)  # fewer bits: tests of collisions
         self.polynomials = (Polynomial(1), Polynomial(2))
 
-    def blocks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Grams, pa.RecordBatch, np.ndarray, np.ndarray]]:
-        """Grams of each block with its batch, and row and byte where each of its parts starts."""
-        for batch in batches:
-            raw, offsets = text_buffer(batch.column("text"))
-            offsets, text, base = short_rows(raw, offsets, self.block_bytes)
-            for start, end in row_blocks(offsets, self.block_bytes):
-                rows = text[start:end]
-                lang = batch.column("lang").take(pa.array(rows))
-                here = offsets[start : end + 1]
-                yield Grams(raw[here[0] : here[-1]], here - here[0], lang, self.polynomials, self.mask), batch, rows, base[start:end]
+    def blocks(self, batch: pa.RecordBatch) -> Iterator[tuple[Grams, np.ndarray]]:
+        """Grams of each block of a batch, and the batch's row that each of its parts comes from."""
+        raw, offsets = text_buffer(batch.column("text"))
+        offsets, text = short_rows(raw, offsets, self.block_bytes)
+        for start, end in row_blocks(offsets, self.block_bytes):
+            lang = batch.column("lang").take(pa.array(text[start:end]))
+            here = offsets[start : end + 1]
+            yield Grams(raw[here[0] : here[-1]], here - here[0], lang, self.polynomials, self.mask), text[start:end]
 
     def bucket(self, fingerprints: np.ndarray) -> np.ndarray:
         return (fingerprints >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -175,7 +183,7 @@ class Miner:
     def count(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """First pass: chunks of the task's counters, and words by language (chunk -1)."""
         counters, words = np.zeros(1 << self.bits, np.uint16), Counter()
-        for grams, *_ in self.blocks(batches):
+        for grams, _ in (block for batch in batches for block in self.blocks(batch)):
             names = grams.langs.to_pylist()
             words.update({names[i]: int(n) for i, n in enumerate(np.bincount(grams.lang, minlength=len(names)))})
             for n in range(1, self.longest + 1):
@@ -203,9 +211,9 @@ class Miner:
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "bits": pa.array([bits], pa.binary())})
 
     def occurrences(self, batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Second pass: a row per n-gram and block that may be frequent, with its count and a pointer to its first place."""
-        for grams, batch, rows, base in self.blocks(batches):
-            words, row_no = grams.words, np.asarray(batch.column("row_no"))
+        """Second pass: a row per n-gram and block that may be frequent, with its count and a pointer to the first text that has it."""
+        for grams, row_no in ((grams, np.asarray(batch.column("row_no"))[rows]) for batch in batches for grams, rows in self.blocks(batch)):
+            words = grams.words
             passed = np.ones(len(grams) + 1, bool)
             for n in range(1, self.longest + 1):
                 at = np.flatnonzero(grams.whole(n) & passed[:-1][: max(0, len(grams) - n + 1)] & passed[1:][: max(0, len(grams) - n + 1)])
@@ -225,31 +233,57 @@ class Miner:
                     other[1:] |= words.code[at[1:] + k] != words.code[at[:-1] + k]
                 first = np.flatnonzero(other)
                 at = at[first]
-                part = words.row[at]
                 yield pa.RecordBatch.from_pydict({
                     "lang": grams.langs.take(pa.array(grams.lang[at])), "n": pa.array(np.full(len(at), n), pa.int32()),
-                    "fp": pa.array(fingerprint[first].view(np.int64)), "checked": pa.array(grams.keys(n, 1, at).view(np.int64)),
-                    "count": pa.array(np.diff(np.append(first, len(other)))), "row_no": pa.array(row_no[rows[part]]),
-                    "start": pa.array(words.starts[at] - words.first_byte[at] + base[part]),
-                    "length": pa.array((words.ends[at + n - 1] - words.starts[at]).astype(np.int32)),
+                    "fp": pa.array(fingerprint[first].view(np.int64)), "checked": pa.array(grams.keys(n, 1, at).astype(np.uint32).view(np.int32)),
+                    "count": pa.array(np.diff(np.append(first, len(other)))), "row_no": pa.array(row_no[words.row[at]]),
                 })
 
-    def verified(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phrases whose text gives the fingerprint and the check value that were counted; others are an error."""
+    def materialised(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Phrases of texts (lang, text) whose words give the fingerprint and the check value of a pointer (``at``:
+        n, fp, checked, f) to the text; a pointer without such words is an error."""
         for batch in batches:
-            phrases = batch.column("text")
-            raw, offsets = text_buffer(phrases)
-            grams = Grams(raw, offsets, batch.column("lang"), self.polynomials, self.mask)
-            n = np.asarray(batch.column("n"))
-            first = np.searchsorted(grams.words.row, np.arange(len(n)))
-            same = np.bincount(grams.words.row, minlength=len(n)) == n
-            for size in np.unique(n):
-                of = np.flatnonzero(same & (n == size))
-                for which, name in enumerate(("fp", "checked")):
-                    same[of] &= grams.keys(int(size), which, first[of]).view(np.int64) == np.asarray(batch.column(name))[of]
-            if not same.all():
-                raise ValueError(f"{int((~same).sum())} phrases differ from the fingerprints they were counted under")
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("lang", "n", "text", "f")], ["lang", "n", "phrase", "f"])
+            at = batch.column("at")
+            size, row = np.asarray(pc.list_value_length(at)), np.asarray(pc.list_parent_indices(at))
+            pointer = dict(zip(("n", "fp", "checked", "f"), pc.list_flatten(at).flatten()))
+            n = np.asarray(pointer["n"])
+            key = pointer_key(np.asarray(pointer["fp"]).view(np.uint64), np.asarray(pointer["checked"]).view(np.uint32).astype(np.uint64), row)
+            missing = np.ones(int(size.sum()), bool)
+            for grams, rows in self.blocks(batch):
+                first, last = np.searchsorted(row, (rows[0], rows[-1] + 1)) if len(rows) else (0, 0)
+                for k in np.unique(n[first:last]).tolist():
+                    wanted = first + np.flatnonzero(missing[first:last] & (n[first:last] == k))
+                    wanted = wanted[np.argsort(key[wanted])]
+                    places = np.flatnonzero(grams.whole(k))
+                    if not len(wanted) or not len(places):
+                        continue
+                    own = pointer_key(grams.keys(k, 0, places), grams.keys(k, 1, places), rows[grams.words.row[places]])
+                    found = np.minimum(np.searchsorted(key[wanted], own), len(wanted) - 1)
+                    hit = np.flatnonzero(key[wanted][found] == own)
+                    which, one = np.unique(found[hit], return_index=True)
+                    which, place = wanted[which], places[hit[one]]
+                    missing[which] = False
+                    yield pa.RecordBatch.from_pydict({
+                        "lang": grams.langs.take(pa.array(grams.lang[place])), "n": pa.array(np.full(len(which), k), pa.int32()),
+                        "phrase": grams.text(k, place), "f": pointer["f"].take(pa.array(which)),
+                    })
+            if missing.any():
+                raise ValueError(f"{int(missing.sum())} phrases differ from the fingerprints they were counted under")
+
+
+def pointer_key(fingerprint: np.ndarray, checked: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """One number for a fingerprint, its check value and a row of a batch."""
+    return mixed(fingerprint ^ mixed(checked | (row.astype(np.uint64) << np.uint64(32))))
+
+
+def pointed_texts(texts: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``texts`` without most of those that ``frequent`` does not point to: no shuffle, at most 2^ROW_BITS bits broadcast."""
+    number = (F.pmod(F.xxhash64("row_no"), F.lit(1 << ROW_BITS)) + 1).alias("number")
+    bit = F.bitmap_bit_position("number")
+    marked = frequent.select(number).groupBy(F.bitmap_bucket_number("number").alias("chunk")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    told = texts.select("*", number).withColumns({"chunk": F.bitmap_bucket_number("number"), "bit": bit}).join(F.broadcast(marked), "chunk")
+    byte = F.conv(F.hex(F.substr("bits", F.expr("cast(bit div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("long")
+    return told.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1).select(*texts.columns)
 
 
 def frequent_phrases(texts: DataFrame, miner: Miner) -> tuple[DataFrame, DataFrame]:
@@ -267,22 +301,15 @@ def frequent_phrases(texts: DataFrame, miner: Miner) -> tuple[DataFrame, DataFra
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return miner.occurrences(batches, passing.value)
 
-    found = texts.mapInArrow(occurrences, "lang string, n int, fp long, checked long, count long, row_no long, start long, length int")
+    found = texts.mapInArrow(occurrences, "lang string, n int, fp long, checked int, count long, row_no long")
     frequent = stored(
-        found.groupBy("lang", "n", "fp", "checked")
-        .agg(F.sum("count").alias("f"), *[F.first(c).alias(c) for c in ("row_no", "start", "length")])
+        found.groupBy("lang", "n", "fp", "checked").agg(F.sum("count").alias("f"), F.min("row_no").alias("row_no"))
         .where(F.col("f") >= miner.min_count),
         "phrase-pointers",
     )
-    pointers = frequent.groupBy("row_no").agg(F.collect_list(F.struct(*[c for c in frequent.columns if c != "row_no"])).alias("at"))
-    data = F.col("text").cast("binary")
-    told = (
-        texts.select("row_no", "text").join(pointers, "row_no").select("text", F.explode("at").alias("at"))
-        .select("at.*", F.decode(F.substr(data, (F.col("at.start") + 1).cast("int"), F.col("at.length")), "UTF-8").alias("text"))
-    )
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    plain = F.regexp_replace(F.translate("text", upper, upper.lower()), "[ \t]+", " ")
-    phrases = told.select("lang", "n", "fp", "checked", "f", plain.alias("text")).mapInArrow(miner.verified, "lang string, n int, phrase string, f long")
+    pointers = frequent.groupBy("row_no").agg(F.collect_list(F.struct("n", "fp", "checked", "f")).alias("at"))
+    told = pointed_texts(texts, frequent).join(pointers, "row_no").select("lang", "text", "at")
+    phrases = told.mapInArrow(miner.materialised, "lang string, n int, phrase string, f long")
     words = counted.where("chunk < 0").groupBy("lang").agg(F.sum("n").alias("n"))
     return stored(phrases, "phrases"), words
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import ROWS, SF, edge_docs, no_docs  # noqa: F401
 
@@ -97,8 +98,8 @@ def test_parts_cover_texts():
     texts = [b"", b"a b. c d. e f.", b"no break at all", b".", b"x. " * 20]
     raw = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-    parts, text, base = co.short_rows(raw, offsets, 6)
-    assert parts[0] == 0 and parts[-1] == len(raw) and len(text) == len(base) == len(parts) - 1
+    parts, text = co.short_rows(raw, offsets, 6)
+    assert parts[0] == 0 and parts[-1] == len(raw) and len(text) == len(parts) - 1
     for i, t in enumerate(texts):
         mine = [raw[parts[j] : parts[j + 1]].tobytes() for j in np.flatnonzero(text == i)]
         assert b"".join(mine) == t
@@ -113,15 +114,21 @@ def test_spans_equal_direct_hashes():
     assert got.tolist() == want
 
 
-def test_wrong_text_is_an_error(spark):
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_pydict({
-        "lang": ["en"], "n": pa.array([2], pa.int32()), "fp": pa.array([1], pa.int64()), "checked": pa.array([2], pa.int64()),
-        "f": pa.array([9], pa.int64()), "text": ["two words"],
-    })
+def test_wrong_pointer_is_an_error():
+    at = [[{"n": 2, "fp": 1, "checked": 2, "f": 9}]]
+    kind = pa.list_(pa.struct([("n", pa.int32()), ("fp", pa.int64()), ("checked", pa.int32()), ("f", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["two words"]), pa.array(at, kind)], ["lang", "text", "at"])
     with pytest.raises(ValueError, match="differ"):
-        list(co.Miner(2, 4, 14).verified(iter([batch])))
+        list(co.Miner(2, 4, 14).materialised(iter([batch])))
+
+
+def test_pointed_texts_keeps_all_that_are_pointed_to(spark, monkeypatch):
+    monkeypatch.setattr(co, "ROW_BITS", 16)
+    texts = spark.range(0, 3 << 33, 1 << 20).withColumnRenamed("id", "row_no")
+    frequent = texts.where("row_no % 3 = 0")
+    kept = {r.row_no for r in co.pointed_texts(texts, frequent).collect()}
+    pointed = {r.row_no for r in frequent.collect()}
+    assert pointed <= kept and len(kept) < texts.count() * 0.6
 
 
 def test_empty_table(no_docs):
