@@ -41,7 +41,7 @@ SMOOTHING = 0.5
 PENALTY = 8.0
 #: Share of a language's training words in a script that makes it a candidate there.
 SCRIPT_SHARE = 0.001
-LANGUAGE_BLOCK_BYTES = 8 << 20
+LANGUAGE_BLOCK_BYTES = 2 << 20
 
 #: First and last code point of ranges of scripts (Unicode blocks).
 SCRIPTS = {

@@ -4,8 +4,9 @@
    for certain (behind white space, between a letter and other ASCII signs),
    encodes every distinct piece once with the tokenizers library, and puts the
    ids of the pieces together. A text that spells out a special token is
-   encoded whole. The end id follows each document. The ids are stored.
-2. Count. Ids are counted over all documents; the counts (one per id of the
+   encoded whole. The end id follows each document. The ids are stored, and a
+   row per task with its counts of ids.
+2. Count. The tasks' counts are added up; the counts (one per id of the
    vocabulary) give code lengths limited to ``max_bits`` by package-merge, and
    lengths alone define the canonical code.
 3. Write. Documents are ranged and sorted by id; a task packs its documents
@@ -42,11 +43,13 @@ END_ID = 2
 MAX_BITS = 18
 BLOCK_TOKENS = 1 << 16
 STRIDE = 128
-PIECE_BLOCK_BYTES = 8 << 20
+PIECE_BLOCK_BYTES = 4 << 20
 #: Distinct pieces whose ids a task keeps; beyond that it starts anew.
 CACHED_PIECES = 400_000
 
-IDS = "doc_id long, ids binary"
+#: Documents have ids and no counts, a task's last row has counts and no ids.
+IDS = "doc_id long, ids binary, counts array<struct<id: long, n: long>>"
+IDS_NAMES = ["doc_id", "ids", "counts"]
 BLOCKS = "part int, block int, first_token long, doc_ids array<long>, n_tokens array<long>, checkpoints array<long>, payload binary"
 
 # ------------------------------------------------------------ tokenise
@@ -153,14 +156,22 @@ class Pieces:
 
 def _tokenise(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Pieces(path)
+        own, total = Pieces(path), np.zeros(0, np.int64)
+        kind = pa.list_(pa.struct([("id", pa.int64()), ("n", pa.int64())]))
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for lo, hi in row_blocks(text_buffer(texts)[1], PIECE_BLOCK_BYTES):
                 found = [np.append(x, np.uint32(end_id)).astype("<u4") for x in own.rows(texts.slice(lo, hi - lo))]
+                seen = np.bincount(np.concatenate(found), minlength=len(total))
+                seen[: len(total)] += total
+                total = seen
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array([_packed(x) for x in found], pa.binary())], names=["doc_id", "ids"]
+                    [ids.slice(lo, hi - lo), pa.array([_packed(x) for x in found], pa.binary()), pa.nulls(hi - lo, kind)], names=IDS_NAMES
                 )
+        own.cache.clear()  # the worker process lives on
+        used = np.flatnonzero(total)
+        counts = [{"id": i, "n": n} for i, n in zip(used.tolist(), total[used].tolist())]
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], kind)], names=IDS_NAMES)
 
     return run
 
@@ -182,7 +193,7 @@ def _unpacked(blob: bytes) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and packed ids of each document, stored in the shared folder."""
+    """doc_id and packed ids of each document, and the tasks' counts of ids, stored in the shared folder."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     path = shared_path(spark, "token-ids")
@@ -193,20 +204,8 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
 # ------------------------------------------------------- code lengths
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for blob in batch.column(0):
-            own = np.bincount(_unpacked(blob.as_py()))
-            if len(own) > len(total):
-                total, own = own.astype(np.int64), total
-            total[: len(own)] += own
-    ids = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
-
-
 def id_counts(ids: DataFrame) -> DataFrame:
-    return ids.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return ids.where("counts is not null").select(F.inline("counts")).groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, max_bits: int) -> np.ndarray:
@@ -330,14 +329,14 @@ def _write_blocks(shared, block_tokens: int, stride: int) -> Callable[[Iterator[
 
 
 def write_token_files(ids: DataFrame, path: str, max_bits: int = MAX_BITS, block_tokens: int = BLOCK_TOKENS, stride: int = STRIDE) -> None:
-    """Writes ``path``/code (id, n_bits) and ``path``/blocks from (doc_id, packed ids)."""
+    """Writes ``path``/code (id, n_bits) and ``path``/blocks from the rows of ``tokenised``."""
     spark = ids.sparkSession
     counted = sorted((r["id"], r["n"]) for r in id_counts(ids).collect())  # at most one row per id of the vocabulary
     symbols = np.array([i for i, _ in counted], np.int64)
     lengths = code_lengths(np.array([n for _, n in counted], np.int64), max_bits)
     spark.createDataFrame(list(zip(symbols.tolist(), lengths.tolist())), "id long, n_bits long").coalesce(1).write.parquet(f"{path}/code")
     shared = spark.sparkContext.broadcast((symbols, lengths))
-    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = ids.where("counts is null").select("doc_id", "ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.mapInArrow(_write_blocks(shared, block_tokens, stride), BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
