@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from typing import Optional, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -378,16 +379,57 @@ def profile_quality(raw: DataFrame, hist: Optional[DataFrame] = None, duplicates
     return dup.unionByName(miss)
 
 
+def file_metadata(df: DataFrame) -> Optional[F.Column]:
+    """Spark's hidden file metadata of a DataFrame over files, None for one
+    that was not read from files. A user's column ``_metadata`` is not taken for it."""
+    try:
+        meta = df.metadataColumn("_metadata")
+        df.select(meta.getField("file_path"))
+    except AnalysisException:
+        return None
+    return meta
+
+
+def file_position(df: DataFrame) -> F.Column:
+    """Sort key of a row's place in its source: file by name, split by its
+    start, row by its place in the split (ids only grow inside a task, and a
+    split is read by one task). ``df`` must be a scan with row-wise steps on
+    top. Without files, the order of the DataFrame's partitions."""
+    place = F.monotonically_increasing_id().alias("place")
+    meta = file_metadata(df)
+    if meta is None:
+        return F.struct(place)
+    return F.struct(meta.getField("file_path").alias("file"), meta.getField("file_block_start").alias("start"), place)
+
+
 def profile_sample(raw: DataFrame, n: int = 20, order_by: Optional[Sequence[str]] = None) -> DataFrame:
-    """The first n rows as the file has them, or the first n by ``order_by``
-    (a per-task top-n: only n rows per task are shuffled)."""
-    df = null_na_words(raw)
+    """The first n rows as the files have them, or the first n by ``order_by``.
+
+    Either way a per-task top-n: only n rows per task are shuffled. A plain
+    ``limit`` would follow the packing of splits into tasks, largest first.
+    """
     if order_by:
-        df = df.orderBy(*[F.col(k).asc_nulls_first() for k in order_by])
-    return df.limit(n)
+        return null_na_words(raw).orderBy(*[F.col(k).asc_nulls_first() for k in order_by]).limit(n)
+    position = "position"
+    while position in {c.lower() for c in raw.columns}:
+        position += "_"
+    cells = [null_if_na(F.col(f"`{c}`").cast("string")).alias(c) for c in raw.columns]
+    return raw.select(*cells, file_position(raw).alias(position)).orderBy(position).limit(n).drop(position)
 
 
 def input_size_bytes(spark: SparkSession, path: str) -> DataFrame:
     """Bytes of the files at ``path`` (one row), from file metadata alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("bytes"))
+
+
+def input_size(df: DataFrame) -> DataFrame:
+    """Bytes of the files that a DataFrame over files reads (one row, like
+    ``input_size_bytes``), from the metadata of its own scan: no data column is
+    read and a task sends one row per file. Files without any row are not seen."""
+    meta = file_metadata(df)
+    if meta is None:
+        raise ValueError("input_size needs a DataFrame that was read from files")
+    files = df.select(meta.getField("file_path").alias("file"), meta.getField("file_size").alias("size"))
+    sizes = files.groupBy("file").agg(F.max("size").alias("size"))
+    return sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("bytes"))

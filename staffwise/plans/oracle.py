@@ -446,6 +446,23 @@ SELECT position, 'Missing Values - ' || column_name, missing_count FROM profile_
         + ", ".join(f"{c} ASC NULLS FIRST" for c in PROFILE_COLUMNS)
         + " LIMIT 20"
     ),
+    "profile_sample_roundtrip_files": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+  CAST(o_orderstatus AS VARCHAR) AS o_orderstatus, CAST(o_orderpriority AS VARCHAR) AS o_orderpriority
+FROM orders ORDER BY orders.o_orderkey LIMIT 20""",
+    "profile_overview_roundtrip_files": """WITH cells AS (
+  SELECT COALESCE(CAST(o_custkey AS VARCHAR), '') AS a, COALESCE(o_orderstatus, '') AS b, COALESCE(o_orderpriority, '') AS c FROM orders
+), counted AS (
+  SELECT count(*) AS n, count(DISTINCT (a, b, c)) AS different, sum(strlen(a) + strlen(b) + strlen(c) + 3) AS bytes,
+    count(*) FILTER (WHERE a = '') + count(*) FILTER (WHERE b = '') + count(*) FILTER (WHERE c = '') AS missing FROM cells
+)
+SELECT 0 AS position, 'Dataset Name' AS metric, 'orders' AS value
+UNION ALL SELECT 1, 'Total Rows', CAST(n AS VARCHAR) FROM counted
+UNION ALL SELECT 2, 'Total Columns', '3'
+UNION ALL SELECT 3, 'Numeric Columns', '1'
+UNION ALL SELECT 4, 'Categorical Columns', '2'
+UNION ALL SELECT 5, 'Duplicate Rows', CAST(n - different AS VARCHAR) FROM counted
+UNION ALL SELECT 6, 'Total Missing Cells', CAST(missing AS VARCHAR) FROM counted
+UNION ALL SELECT 7, 'Input Size (MB)', CAST(round(bytes / 1048576.0, 2) AS VARCHAR) FROM counted""",
 }
 
 

@@ -198,6 +198,26 @@ def q_profile_sample(spark, d):
     return profiling.profile_sample(raw, order_by=raw.columns)
 
 
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+def q_profile_sample_roundtrip_files(spark, d):
+    """Orders written by key as eight files; the first rows of the first file."""
+    path = f"{_folder(spark)}/orders"
+    by_key = fx.table(spark, d, "orders").select(*ORDER_COLUMNS).repartitionByRange(8, "o_orderkey")
+    by_key.sortWithinPartitions("o_orderkey").write.parquet(path)
+    return profiling.profile_sample(spark.read.parquet(path))
+
+
+def q_profile_overview_roundtrip_files(spark, d):
+    """Orders without their key written as lines of text, their overview with the input size."""
+    path, names = f"{_folder(spark)}/orders", ORDER_COLUMNS[1:]
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    fx.table(spark, d, "orders").select(F.concat_ws(",", *cells).alias("value")).write.text(path)
+    raw = spark.read.schema(", ".join(f"{c} string" for c in names)).csv(path)
+    return profiling.profile_overview(raw, "orders", profiling.input_size(raw))
+
+
 # ------------------------------------------------------------------- pages
 
 
@@ -371,6 +391,8 @@ QUERIES: Dict[str, QueryFn] = {
     "profile_statistics": q_profile_statistics,
     "profile_quality": q_profile_quality,
     "profile_sample": q_profile_sample,
+    "profile_sample_roundtrip_files": q_profile_sample_roundtrip_files,
+    "profile_overview_roundtrip_files": q_profile_overview_roundtrip_files,
     "filter_values": q_filter_values,
     "overview_kpis": q_overview_kpis,
     "overview_bar": q_overview_bar,

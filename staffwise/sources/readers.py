@@ -40,12 +40,21 @@ def read_bronze_csv(spark: SparkSession, path: str, charset: str = BRONZE_CHARSE
     return spark.read.option("header", True).option("encoding", charset).csv(path)
 
 
-def read_bronze_cp1252(spark: SparkSession, path: str) -> DataFrame:
-    """CSV written in Windows-1252: read as ISO-8859-1 (same bytes outside
-    0x80..0x9F) and map the C1 code points to their cp1252 characters."""
-    raw = read_bronze_csv(spark, path, BRONZE_CHARSET)
+def read_bronze_cp1252(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV written in Windows-1252, as pandas reads it: a doubled quote
+    inside a quoted field is one quote, and a quoted field may hold line
+    breaks. The bytes are read as ISO-8859-1 (the same outside 0x80..0x9F) and
+    the C1 code points mapped to their cp1252 characters.
+
+    Where a record may start can only be told from the start of its file, so a
+    file is one task. ``multi_line=False`` splits files, for
+    extracts known to have no line break inside a field.
+    """
+    reader = spark.read.option("header", True).option("encoding", BRONZE_CHARSET).option("escape", '"')
+    raw = reader.option("multiLine", multi_line).csv(path)
+    names = [c.translate(str.maketrans(CP1252_FROM, CP1252_TO)) for c in raw.columns]
     return raw.select(
-        *[F.translate(F.col(c), CP1252_FROM, CP1252_TO).alias(c) for c in raw.columns]
+        *[F.translate(raw[f"`{c}`"], CP1252_FROM, CP1252_TO).alias(name) for c, name in zip(raw.columns, names)]
     )
 
 

@@ -1,5 +1,9 @@
 """Profiling: exact quartiles under forced narrowing, pandas-like types."""
 
+import glob
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +121,57 @@ def test_approx_method_close_to_exact(spark):
         for q in ("p25", "p50", "p75"):
             assert approx[col][q] == pytest.approx(exact[col][q], abs=1.0)
     assert approx["WorkDate"].p50 is None  # text column: no quartiles
+
+
+def test_raw_csv_with_quotes_and_line_breaks_equals_pandas(spark, workdir):
+    import pandas as pd
+
+    from staffwise.sources import readers
+
+    path = f"{workdir}/quotes.csv"
+    text = 'Größe,na.me,c\n"q,""x""",y,1\n"two\nlines",’z,2\n"a\r\nb","""",3\n plain , p ,4\n'
+    with open(path, "wb") as f:
+        f.write(text.encode("cp1252"))
+    want = pd.read_csv(path, encoding="cp1252", dtype=str)
+    raw = readers.read_bronze_cp1252(spark, path)
+    assert raw.columns == list(want.columns)
+    assert [tuple(r) for r in P.profile_sample(raw).collect()] == [tuple(r) for r in want.itertuples(index=False)]
+
+
+def test_sample_follows_the_files(spark, workdir):
+    # the second part is the larger one: a plain limit starts there
+    path = f"{workdir}/parts"
+    spark.range(100).selectExpr("cast(id as string) id", "'x' _metadata", "id position").coalesce(1).write.parquet(path)
+    spark.range(100, 9000).selectExpr("cast(id as string) id", "'y' _metadata", "id position").coalesce(1).write.parquet(f"{workdir}/more")
+    first = glob.glob(f"{path}/part-*")[0]
+    folder = f"{workdir}/folder"
+    os.makedirs(folder)
+    shutil.copy(first, f"{folder}/part-00000.parquet")
+    shutil.copy(glob.glob(f"{workdir}/more/part-*")[0], f"{folder}/part-00001.parquet")
+    df = spark.read.parquet(folder)
+    got = P.profile_sample(df, 20)
+    assert got.columns == ["id", "_metadata", "position"]
+    assert [r.id for r in got.collect()] == [str(i) for i in range(20)]
+    assert "TakeOrderedAndProject" in got._jdf.queryExecution().executedPlan().toString()
+    # a column named like the metadata is the user's; the size is that of both files
+    assert got.first()["_metadata"] == "x"
+    sizes = sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.startswith("part"))
+    assert P.input_size(df).first()["bytes"] == sizes == P.input_size_bytes(spark, folder).first()["bytes"]
+
+
+def test_sample_of_a_split_file_and_of_no_file(spark, workdir):
+    path = f"{workdir}/lines.csv"
+    with open(path, "w") as f:
+        f.write("id\n" + "".join(f"{i:06d}\n" for i in range(60_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = spark.read.option("header", True).csv(path)
+        assert df.rdd.getNumPartitions() > 4
+        assert [r.id for r in P.profile_sample(df, 5000).collect()] == [f"{i:06d}" for i in range(5000)]
+        assert P.input_size(df).first()["bytes"] == os.path.getsize(path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.raises(ValueError, match="read from files"):
+        P.input_size(spark.range(3))
+    assert [r.id for r in P.profile_sample(spark.range(100).repartition(1).sortWithinPartitions("id"), 3).collect()] == ["0", "1", "2"]
