@@ -2,10 +2,12 @@
 hand-computed marts. Rows cover the cases listed in FIXTURES.md A4."""
 
 import csv
+import hashlib
 import os
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from staffwise.operators.checks import DataCheckError
 from staffwise.plans import jobs
@@ -172,29 +174,76 @@ def test_duplicate_facility_day_fails(spark, lake):
         jobs.staffing_bronze_to_silver(spark, path, f"{lake}/silver_dup")
 
 
+def sha256(path):
+    with open(path, "rb") as f:
+        return hashlib.sha256(f.read()).hexdigest()
+
+
 def test_landing_folder(spark, lake, tmp_path):
     out = landing.land_folder(spark, f"{lake}/plain", str(tmp_path / "landed"), prefix="/raw/cms/")
     assert len(out) == 5 and all("/raw/cms/" in p for p in out)
-    for path in out:  # unchanged: the same header and the same texts
-        plain = readers.read_bronze_csv(spark, f"{lake}/plain/{os.path.basename(path)}")
-        back = readers.read_bronze_csv(spark, path)
-        assert back.columns == plain.columns and sorted(map(str, back.collect())) == sorted(map(str, plain.collect()))
+    for path in out:
+        assert sha256(path) == sha256(f"{lake}/plain/{os.path.basename(path)}")
+    assert sorted(os.listdir(tmp_path / "landed")) == ["raw"]  # nothing staged is left
     keys = landing.landing_keys(spark, f"{lake}/plain", "raw/").collect()
     assert sorted(r.bronze_key for r in keys)[0].startswith("raw/")
 
 
+AWKWARD = {
+    "quotes.csv": b'a,b\n"q,""x"",y",""\n"two\r\nlines",z\r\nno end',
+    "empty.csv": b"",
+    "notes.pdf": b"%PDF-\x00\xff\xfe" * 5,
+    "name with space %20 \u00e9.csv": b"a\n1\n",
+    "large.bin": bytes(range(256)) * 9000 + b"tail",
+}
+
+
+def test_landing_keeps_every_byte(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "PIECE_BYTES", 1000)
+    source = tmp_path / "in"
+    os.makedirs(source)
+    for name, data in AWKWARD.items():
+        (source / name).write_bytes(data)
+    ranges = landing.byte_ranges(landing.listing(spark, str(source)).selectExpr("*", "file_name target", "'file:/x' root"), 100_001)
+    counts = {r.target: r["count"] for r in ranges.groupBy("target").count().collect()}
+    assert counts["large.bin"] == 24 and counts["empty.csv"] == 1
+    spark.sparkContext.setJobGroup("landing", "landing")
+    out = landing.land_folder(spark, str(source), str(tmp_path / "out"), "raw", range_bytes=100_001)
+    status = spark.sparkContext.statusTracker()
+    tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("landing") for s in status.getJobInfo(j).stageIds if status.getStageInfo(s)]
+    spark.sparkContext.setJobGroup("", "")
+    assert tasks.count(28) == 1  # every range of every file in one stage
+    assert {os.path.basename(p): open(p, "rb").read() for p in out} == AWKWARD
+    assert landing.land_file(spark, str(source / "quotes.csv"), str(tmp_path / "one"), "x/q.csv") == f"{tmp_path}/one/x/q.csv"
+    assert sha256(tmp_path / "one/x/q.csv") == sha256(source / "quotes.csv")
+
+
+def test_failed_landing_leaves_the_files_of_before(spark, tmp_path):
+    source, out = tmp_path / "in", tmp_path / "out"
+    os.makedirs(source)
+    (source / "a.csv").write_bytes(b"old")
+    (source / "b.csv").write_bytes(b"old")
+    landing.land_folder(spark, str(source), str(out))
+    (source / "a.csv").write_bytes(b"new")
+    files = landing.listing(spark, str(source)).withColumn("target", F.col("file_name"))
+    short = files.withColumn("file_size", F.when(F.col("file_name") == "b.csv", F.lit(9).cast("long")).otherwise(F.col("file_size")))
+    with pytest.raises(Exception, match="became shorter"):
+        landing._land(spark, short, str(out), 2)
+    assert sorted(os.listdir(out)) == ["a.csv", "b.csv"]
+    assert (out / "a.csv").read_bytes() == b"old"
+
+
 def test_landing_refuses(spark, lake, tmp_path):
     os.makedirs(tmp_path / "empty")
     with pytest.raises(DataCheckError, match="is empty"):
         landing.land_folder(spark, str(tmp_path / "empty"), str(tmp_path / "x"))
     with pytest.raises(DataCheckError, match="cannot hold 5 files"):
         landing.land_folder(spark, f"{lake}/plain", str(tmp_path / "x"), key="one.csv")
-    os.makedirs(tmp_path / "mixed")
-    (tmp_path / "mixed" / "a.csv").write_text("a\n1\n")
-    (tmp_path / "mixed" / "notes.pdf").write_bytes(b"%PDF")
-    with pytest.raises(DataCheckError, match="notes.pdf"):
-        landing.land_folder(spark, str(tmp_path / "mixed"), str(tmp_path / "x"))
     assert not os.path.exists(tmp_path / "x")
+    os.makedirs(tmp_path / "y" / readers.VBP_FILE)
+    with pytest.raises(Exception, match="is a folder"):
+        landing.land_folder(spark, f"{lake}/plain", str(tmp_path / "y"))
+    assert os.listdir(tmp_path / "y") == [readers.VBP_FILE]
 
 
 def test_landing_inventory_lists_files(spark, lake):
