@@ -21,9 +21,10 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staffwise.operators import checks, gold, marts, silver
-from staffwise.sources import landing, readers, writers
+from staffwise.sources import landing, readers, schemas, writers
 from staffwise.sources.schemas import SHADOW_PARTITIONS
 
 STAFFING_KEYS = ["facility_ccn", "work_date"]
@@ -43,22 +44,35 @@ def _silver(folder: str, name: str) -> str:
 # ------------------------------------------------------------------- JOB1
 
 
+def stage_staffing(spark: SparkSession, bronze_path: str, stage_path: str) -> tuple[int, int]:
+    """The one pass over the staffing CSV: valid rows in full, by state, and of rejected rows the
+    keys, in two folders by ``staged_valid``. Returns (cleaned rows, valid rows), counted on the way."""
+    staffing = silver.clean_staffing(readers.read_bronze_csv(spark, bronze_path))
+    valid = F.coalesce(silver.is_valid_staffing_row(), F.lit(False))
+    kept = [F.col(c) if c in STAFFING_KEYS else F.when(valid, F.col(c)).alias(c) for c in staffing.columns]
+    seen = Observation("staged")
+    rows = staffing.observe(seen, F.count(F.lit(1)).alias("cleaned"), F.count_if(valid).alias("valid"))
+    writers.write_parquet(rows.select(*kept, valid.alias("staged_valid")), stage_path, ["staged_valid", "state"])
+    return seen.get["cleaned"], seen.get["valid"]
+
+
 def staffing_bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> JobResult:
     """Clean the daily staffing file, fail on duplicate facility-days, keep
     valid rows, write Silver partitioned by state.
 
-    The guard is one aggregation over the two key columns only (the CSV
-    scan is pruned to them). The write pass counts cleaned and written rows
-    with an ``Observation`` instead of extra jobs.
+    Stage, verify, publish: the CSV is parsed once, into a staging folder beside Silver. The guard
+    reads the two key columns of the staged files, those of rejected rows
+    included. Only then the valid rows take Silver's place, by renaming; a failure
+    before leaves the Silver of the last run as it was and removes the staging folder.
     """
-    staffing = silver.clean_staffing(readers.read_bronze_csv(spark, bronze_path))
-    checks.assert_unique(staffing, STAFFING_KEYS, "facility-day")
-    seen, kept = Observation("cleaned"), Observation("written")
-    valid = silver.valid_staffing(
-        staffing.observe(seen, F.count(F.lit(1)).alias("rows"))
-    ).observe(kept, F.count(F.lit(1)).alias("rows"))
-    writers.write_silver(valid, silver_path)
-    cleaned, written = seen.get["rows"], kept.get["rows"]
+    stage = f"{silver_path.rstrip('/')}__stage-{uuid4().hex}"
+    try:
+        cleaned, written = stage_staffing(spark, bronze_path, stage)
+        keys = T.StructType([f for f in schemas.SILVER_DAILY_STAFFING.fields if f.name in STAFFING_KEYS])
+        checks.assert_unique(spark.read.schema(keys).parquet(stage), STAFFING_KEYS, "facility-day")
+        writers.publish(spark, f"{stage}/staged_valid=true", silver_path)
+    finally:
+        writers.remove_folder(spark, stage)
     return JobResult(
         "staffing_bronze_to_silver",
         {"silver_daily_staffing": silver_path},

@@ -11,8 +11,9 @@ so a hot state does not end up in one task.
 from __future__ import annotations
 
 from typing import Mapping, Optional, Sequence
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staffwise.sources.schemas import SHADOW_PARTITIONS
@@ -34,6 +35,43 @@ def write_parquet(df: DataFrame, path: str, partition_by: Optional[Sequence[str]
     writer.parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself resolves them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder, if there is one."""
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a staged folder in the place of ``target`` by renaming: no row is
+    written again. The folder of before is set aside first, put
+    back if the renaming fails, and deleted at the end. Without a staged folder
+    (no rows were staged) the target is an empty folder.
+
+    A reader sees the old folder, for the moment between the two renames none, then
+    the new one. Not for object stores, where renaming a folder is a copy file by file."""
+    new, system = _folder(spark, staged)
+    old, _ = _folder(spark, target)
+    aside, _ = _folder(spark, f"{target.rstrip('/')}__before-{uuid4().hex}")
+    if not system.exists(new):
+        system.mkdirs(new)
+    system.mkdirs(old.getParent())
+    had = system.exists(old)
+    if had and not system.rename(old, aside):
+        raise OSError(f"{target} could not be set aside.")
+    if not system.rename(new, old):
+        if had:
+            system.rename(aside, old)
+        raise OSError(f"{staged} could not take the place of {target}.")
+    if had:
+        system.delete(aside, True)
+
+
 def write_silver(df: DataFrame, path: str, partition_by_state: bool = True, dynamic: bool = False,
                  mode: str = "overwrite") -> None:
     write_parquet(df, path, ["state"] if partition_by_state else None, mode=mode, dynamic=dynamic)

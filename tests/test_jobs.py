@@ -300,6 +300,38 @@ def test_guard_runs_before_validity(spark, tmp_path):
         jobs.staffing_bronze_to_silver(spark, path, str(tmp_path / "silver"))
 
 
+def test_guard_reads_the_staged_files_only(spark, lake, tmp_path, monkeypatch):
+    guarded = []
+    check = jobs.checks.assert_unique
+    monkeypatch.setattr(jobs.checks, "assert_unique", lambda df, *rest: (guarded.extend(df.inputFiles()), check(df, *rest)))
+    out = str(tmp_path / "silver")
+    result = jobs.staffing_bronze_to_silver(spark, f"{lake}/plain/{readers.STAFFING_FILE}", out)
+    assert result.metrics == {"cleaned_rows": 13, "written_rows": 7, "rejected_rows": 6}
+    assert guarded and all("silver__stage-" in f and f.endswith(".parquet") for f in guarded)
+    assert any("staged_valid=false" in f for f in guarded)  # keys of rejected rows are checked too
+    assert os.listdir(tmp_path) == ["silver"]  # staging is gone
+
+
+def test_failed_guard_leaves_silver(spark, lake, tmp_path):
+    out = str(tmp_path / "silver")
+    jobs.staffing_bronze_to_silver(spark, f"{lake}/plain/{readers.STAFFING_FILE}", out)
+    before = sorted((d, f) for d, _, files in os.walk(out) for f in files)
+    path = str(tmp_path / "dup.csv")
+    write_csv(path, PBJ_HEADER, [VALID[0], VALID[0]])
+    with pytest.raises(DataCheckError, match="not unique"):
+        jobs.staffing_bronze_to_silver(spark, path, out)
+    assert sorted((d, f) for d, _, files in os.walk(out) for f in files) == before
+    assert sorted(os.listdir(tmp_path)) == ["dup.csv", "silver"]
+
+
+def test_silver_without_valid_rows_is_empty(spark, lake, tmp_path):
+    path, out = str(tmp_path / "bad.csv"), str(tmp_path / "silver")
+    jobs.staffing_bronze_to_silver(spark, f"{lake}/plain/{readers.STAFFING_FILE}", out)
+    write_csv(path, PBJ_HEADER, INVALID)
+    assert jobs.staffing_bronze_to_silver(spark, path, out).metrics["written_rows"] == 0
+    assert readers.read_silver_staffing(spark, out).count() == 0
+
+
 def test_csv_blanks_and_spaces(spark, tmp_path):
     path = tmp_path / "blanks.csv"
     path.write_text('a,b,c\n,"", x \n', encoding="latin-1")
