@@ -44,8 +44,10 @@ MAX_BITS = 18
 BLOCK_TOKENS = 1 << 16
 STRIDE = 128
 PIECE_BLOCK_BYTES = 4 << 20
-#: Distinct pieces whose ids a task keeps; beyond that it starts anew.
+#: Distinct pieces whose ids a task keeps, in two halves: when the newer one is full, the older one goes,
+#: so pieces in use stay. Longer pieces are not kept, which bounds the bytes.
 CACHED_PIECES = 400_000
+CACHED_BYTES = 64
 
 #: Documents have ids and no counts, a task's last row has counts and no ids.
 IDS = "doc_id long, ids binary, counts array<struct<id: long, n: long>>"
@@ -103,15 +105,14 @@ class Pieces:
         self.special = [s.content.encode() for s in self.tokenizer.get_added_tokens_decoder().values()]
         self.alphabet = byte_alphabet()
         self.cache: dict[bytes, bytes] = {}  # ids as packed 32-bit numbers
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def ids(self, piece: bytes) -> bytes:
-        if len(self.cache) >= CACHED_PIECES:
-            self.cache.clear()
-        text = piece.strip(b" \t\n\x0b\x0c\r")
-        found = self.cache.get(text)
+    def ids(self, text: bytes) -> bytes:
+        """Ids of a piece without white space that the newer half of the cache does not hold."""
+        found = self.older.get(text)
         if found is None:
             if text.isalpha():  # ASCII letters: normaliser and pre-tokenizer leave them as they are
                 ids = [t.id for t in self.model.tokenize(text.decode())]
@@ -119,10 +120,16 @@ class Pieces:
                 ids = [t.id for t in self.model.tokenize("".join(map(self.alphabet.__getitem__, text)))]
             else:
                 ids = self.encode(text.decode())
-            found = self.cache[text] = array("I", ids).tobytes()
-        self.cache[piece] = found
+            found = array("I", ids).tobytes()
+        if len(text) <= CACHED_BYTES:
+            if len(self.cache) >= CACHED_PIECES // 2:
+                self.older, self.cache = self.cache, {}
+            self.cache[text] = found
         return found
 
+    def clear(self) -> None:
+        self.cache, self.older = {}, {}
+
     def block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows back to back, without end ids, and the n + 1 offsets of the rows."""
         raw, offsets = text_buffer(column)
@@ -130,8 +137,10 @@ class Pieces:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         low, letter = lowered(raw)
         cuts = piece_offsets(low, letter, offsets)
-        coded = string_array(low, cuts).dictionary_encode()
-        cached, own = self.cache.get, self.ids
+        kept = ~SPACE[raw]  # white space is at the ends of pieces only and has no ids
+        ends = np.cumsum(np.add.reduceat(kept, cuts[:-1], dtype=np.int64))
+        coded = string_array(low[kept], np.concatenate(([0], ends))).dictionary_encode()
+        cached, own = self.cache.get, self.ids  # should the halves change meanwhile: a block's pieces are distinct
         known = [own(p) if (found := cached(p)) is None else found for p in coded.dictionary.to_pylist()]
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         flat = np.frombuffer(b"".join(known), np.uint32)
@@ -168,7 +177,7 @@ def _tokenise(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), pa.array([_packed(x) for x in found], pa.binary()), pa.nulls(hi - lo, kind)], names=IDS_NAMES
                 )
-        own.cache.clear()  # the worker process lives on
+        own.clear()  # the worker process lives on
         used = np.flatnonzero(total)
         counts = [{"id": i, "n": n} for i, n in zip(used.tolist(), total[used].tolist())]
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], kind)], names=IDS_NAMES)
@@ -337,7 +346,7 @@ def write_token_files(ids: DataFrame, path: str, max_bits: int = MAX_BITS, block
     spark.createDataFrame(list(zip(symbols.tolist(), lengths.tolist())), "id long, n_bits long").coalesce(1).write.parquet(f"{path}/code")
     shared = spark.sparkContext.broadcast((symbols, lengths))
     ordered = ids.where("counts is null").select("doc_id", "ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(_write_blocks(shared, block_tokens, stride), BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    ordered.mapInArrow(_write_blocks(shared, block_tokens, stride), BLOCKS).write.option("compression", "snappy").parquet(f"{path}/blocks")
 
 
 def _read_blocks(shared, stride: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
