@@ -8,16 +8,18 @@ mark or a line end.
    n-grams by prefix polynomials over their words' hashes: the hash of any
    n-gram is one difference of prefix sums. Two independent polynomials give a
    fingerprint of 64 bits and a check value of 32 bits.
-2. Counters. A first pass adds every n-gram to a table of saturating counters
-   addressed by the fingerprint. The table's size is fixed (``MAX_BITS``), and
-   so is the broadcast bitmap of the counters that reach ``min_count``. An
-   n-gram whose counter, or a part's counter, stays below cannot be frequent.
-   A table too small for a corpus lets more n-grams through; it drops none.
-3. Occurrences. A second pass sends, per block of texts, one row per n-gram that
+2. Counters. A first pass adds every word and pair to a table of saturating
+   counters addressed by the fingerprint; a second one adds to another table
+   the longer n-grams whose pairs all passed the first, so that rare pairs do
+   not fill it. A table's size is bounded (``MAX_BITS``), and so is the
+   broadcast bitmap of its counters that reach ``min_count``. An n-gram whose
+   counter, or a part's counter, stays below cannot be frequent. A table too
+   small for a corpus lets more n-grams through; it drops none.
+3. Occurrences. A third pass makes, per block of texts, one row per n-gram that
    is left: fingerprint, check value, count, and a pointer to the first text that
    has it. Inside a block equal fingerprints are compared word by word; across
-   blocks the shuffle aggregates fingerprints and check values, so colliding
-   fingerprints are told apart.
+   blocks Spark aggregates fingerprints and check values, in each task and by
+   the shuffle, so colliding fingerprints are told apart.
 4. Texts. Only phrases that reach ``min_count`` are materialised, from the texts
    that they point to: both polynomials of the words there must give the
    aggregated values. A frequent phrase's first text comes early, so few texts
@@ -26,9 +28,10 @@ mark or a line end.
 5. Scores, containment and ranks are joins and windows over the phrase table,
    with integers held as decimals where products may pass 64 bits.
 
-A frequent phrase is one row per block of texts before the shuffle; texts longer
-than a block are cut between pieces, so memory does not grow with a text (a
-single piece is never cut).
+A frequent phrase is one row per task in the shuffle, and a table of counters is
+sent by each task: a task takes ``TASK_BYTES`` of texts, however small the
+scan's splits are. Texts longer than a block are cut between pieces, so memory
+does not grow with a text (a single piece is never cut).
 
 Defined results: null text counts as empty; null lang is ``und``; repeated rows
 and repeated or null ids are texts of their own (ids are not read). Extra
@@ -43,6 +46,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,15 +58,19 @@ LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
 CONTAINED_PERCENT = 80
-#: Counters of the table, as a power of two: at most, and texts of so many bytes per counter at best.
-MAX_BITS = 25
+#: Counters of a table, as a power of two: at most, and texts of so many bytes per counter at best.
+MAX_BITS = 27
 BYTES_PER_COUNTER = 20
+#: Bytes of texts that one task of a pass takes.
+TASK_BYTES = 64 << 20
+#: The longest n-grams of the first table; a second one counts the others.
+SHORT = 2
 PHRASE_BLOCK_BYTES = 2 << 20
 CHUNK_BITS = 14
 #: Bits of the broadcast map of texts that phrases point to, as a power of two.
 ROW_BITS = 26
-#: Counters stop at most here, so that a batch of occurrences cannot overflow 16 bits.
-CEILING, BATCH = 5_000, 60_000
+#: Counters stop at most here, so that sums of two fit 16 bits.
+CEILING = 5_000
 
 BREAKS = np.zeros(256, bool)
 BREAKS[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -165,6 +173,7 @@ class Miner:
     def __init__(self, min_count: int, longest: int, bits: int, fingerprint_bits: int = 64, block_bytes: int = PHRASE_BLOCK_BYTES):
         self.min_count, self.longest, self.bits, self.block_bytes = min_count, longest, bits, block_bytes
         self.cap = min(min_count, CEILING)
+        self.kind = np.uint8 if self.cap < 256 else np.uint16
         self.mask = ((1 << fingerprint_bits) - 1) << (64 - fingerprint_bits)  # fewer bits: tests of collisions
         self.polynomials = (Polynomial(1), Polynomial(2))
 
@@ -180,18 +189,31 @@ class Miner:
     def bucket(self, fingerprints: np.ndarray) -> np.ndarray:
         return (fingerprints >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def count(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """First pass: chunks of the task's counters, and words by language (chunk -1)."""
-        counters, words = np.zeros(1 << self.bits, np.uint16), Counter()
+    def passing(self, grams: Grams, bitmaps: dict[int, np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per n up to ``longest``: places and fingerprints of the n-grams that the ``bitmaps`` (by n) of theirs and their parts let through."""
+        passed = np.ones(len(grams) + 1, bool)
+        for n in range(1, longest + 1):
+            room = max(0, len(grams) - n + 1)
+            at = np.flatnonzero(grams.whole(n) & passed[:-1][:room] & passed[1:][:room])
+            fingerprint = grams.keys(n, 0, at)
+            if n in bitmaps:
+                bucket = self.bucket(fingerprint)
+                passes = (bitmaps[n][bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
+                at, fingerprint = at[passes], fingerprint[passes]
+            passed = np.zeros(len(grams) + 1, bool)
+            passed[at] = True
+            yield n, at, fingerprint
+
+    def count(self, batches: Iterator[pa.RecordBatch], sizes: range, bitmaps: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Chunks of the task's counters of the n-grams of these ``sizes`` that the ``bitmaps`` of shorter ones let through, and words by language (chunk -1)."""
+        counters, words = np.zeros(1 << self.bits, self.kind), Counter()
         for grams, _ in (block for batch in batches for block in self.blocks(batch)):
             names = grams.langs.to_pylist()
             words.update({names[i]: int(n) for i, n in enumerate(np.bincount(grams.lang, minlength=len(names)))})
-            for n in range(1, self.longest + 1):
-                bucket = self.bucket(grams.keys(n, 0)[grams.whole(n)])
-                for low in range(0, len(bucket), BATCH):
-                    some = bucket[low : low + BATCH]
-                    np.add.at(counters, some, np.uint16(1))
-                    counters[some] = np.minimum(counters[some], self.cap)
+            for n, _, fingerprint in self.passing(grams, bitmaps, sizes[-1]):
+                if n in sizes:
+                    some, times = np.unique(self.bucket(fingerprint).astype(np.uint32), return_counts=True)
+                    counters[some] = np.minimum(counters[some] + np.minimum(times, self.cap).astype(np.uint16), self.cap)
         for lang, n in words.items():
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([-1], pa.int32()), "data": pa.array([None], pa.binary()), "lang": pa.array([lang], pa.string()), "n": pa.array([n], pa.int64())})
         for chunk, part in enumerate(counters.reshape(-1, 1 << CHUNK_BITS)):
@@ -200,29 +222,25 @@ class Miner:
                 yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "data": pa.array([data], pa.binary()), "lang": pa.array([None], pa.string()), "n": pa.array([0], pa.int64())})
 
     def merge(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Chunks of all tasks added up as they stream in, as bitmaps of the counters that reach ``min_count``."""
+        """Chunks of all tasks added up as they stream in, as bitmaps of the counters that reach ``min_count``; words by language as they are."""
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
+            told = batch.filter(pc.less(batch.column("chunk"), 0))
+            if told.num_rows:
+                yield told
             for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist()):
-                part = np.frombuffer(pa.decompress(data, 2 << CHUNK_BITS, "zstd", asbytes=True), np.uint16)
-                sums[chunk] = np.minimum(sums[chunk] + part, self.cap) if chunk in sums else part
+                if chunk >= 0:
+                    part = np.frombuffer(pa.decompress(data, np.dtype(self.kind).itemsize << CHUNK_BITS, "zstd", asbytes=True), self.kind).astype(np.uint16)
+                    sums[chunk] = np.minimum(sums[chunk] + part, self.cap).astype(np.uint16) if chunk in sums else part
         for chunk, total in sums.items():
             bits = np.packbits(total >= self.cap).tobytes()
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "bits": pa.array([bits], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "data": pa.array([bits], pa.binary()), "lang": pa.array([None], pa.string()), "n": pa.array([0], pa.int64())})
 
-    def occurrences(self, batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Second pass: a row per n-gram and block that may be frequent, with its count and a pointer to the first text that has it."""
+    def occurrences(self, batches: Iterator[pa.RecordBatch], bitmaps: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """A row per n-gram and block that may be frequent, with its count and a pointer to the first text that has it."""
         for grams, row_no in ((grams, np.asarray(batch.column("row_no"))[rows]) for batch in batches for grams, rows in self.blocks(batch)):
             words = grams.words
-            passed = np.ones(len(grams) + 1, bool)
-            for n in range(1, self.longest + 1):
-                at = np.flatnonzero(grams.whole(n) & passed[:-1][: max(0, len(grams) - n + 1)] & passed[1:][: max(0, len(grams) - n + 1)])
-                fingerprint = grams.keys(n, 0, at)
-                bucket = self.bucket(fingerprint)
-                passes = (bitmap[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
-                at, fingerprint = at[passes], fingerprint[passes]
-                passed = np.zeros(len(grams) + 1, bool)
-                passed[at] = True
+            for n, at, fingerprint in self.passing(grams, bitmaps, self.longest):
                 if not len(at):
                     break
                 order = np.argsort(fingerprint, kind="stable")
@@ -286,22 +304,39 @@ def pointed_texts(texts: DataFrame, frequent: DataFrame) -> DataFrame:
     return told.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1).select(*texts.columns)
 
 
-def frequent_phrases(texts: DataFrame, miner: Miner) -> tuple[DataFrame, DataFrame]:
-    """Of ``texts`` (row_no, lang, text; stored): phrases of 1 to ``longest`` words that occur ``min_count`` times
-    or more (lang, n, phrase, f), and the words of each language (lang, n)."""
-    spark = texts.sparkSession
-    counted = stored(texts.select("lang", "text").mapInArrow(miner.count, "chunk int, data binary, lang string, n long"), "phrase-counters")
+def counter_bitmap(texts: DataFrame, miner: Miner, sizes: range, bitmaps: dict[int, Broadcast]) -> tuple[np.ndarray, DataFrame]:
+    """Of the n-grams of these ``sizes`` that pass the ``bitmaps`` of shorter ones: which counters reach ``min_count``
+    (2^bits bits, packed); and the words of each language (lang, n)."""
+    columns = "chunk int, data binary, lang string, n long"
     chunks = 1 << max(0, miner.bits - CHUNK_BITS)
-    merged = counted.where("chunk >= 0").select("chunk", "data").repartition(min(chunks, 64), "chunk").mapInArrow(miner.merge, "chunk int, bits binary")
+    counted = texts.select("lang", "text").mapInArrow(lambda batches: miner.count(batches, sizes, {n: b.value for n, b in bitmaps.items()}), columns)
+    merged = stored(counted.repartition(min(chunks, 64), "chunk", "lang").mapInArrow(miner.merge, columns), "phrase-counters")
     bitmap = np.zeros((chunks, 1 << (CHUNK_BITS - 3)), np.uint8)
-    for row in merged.toLocalIterator():  # 2^bits bits in all
-        bitmap[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
-    passing = spark.sparkContext.broadcast(bitmap.reshape(-1))
+    for row in merged.where("chunk >= 0").select("chunk", "data").toLocalIterator():
+        bitmap[row["chunk"]] = np.frombuffer(row["data"], np.uint8)
+    return bitmap.reshape(-1), merged.where("chunk < 0").groupBy("lang").agg(F.sum("n").alias("n"))
+
+
+def gathered(texts: DataFrame, size: int) -> DataFrame:
+    """``texts`` of ``size`` bytes in partitions of about ``TASK_BYTES``, but two per core at least where the scan has as many."""
+    return texts.coalesce(max(2 * texts.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+
+
+def frequent_phrases(texts: DataFrame, size: int, miner: Miner) -> tuple[DataFrame, DataFrame]:
+    """Of ``texts`` (row_no, lang, text; stored) of ``size`` bytes: phrases of 1 to ``longest`` words that occur
+    ``min_count`` times or more (lang, n, phrase, f), and the words of each language (lang, n)."""
+    context = texts.sparkSession.sparkContext
+    parts, bitmaps, words = gathered(texts, size), {}, None
+    for sizes in (range(1, min(SHORT, miner.longest) + 1), range(SHORT + 1, miner.longest + 1)):
+        if sizes:
+            bitmap, told = counter_bitmap(parts, miner, sizes, dict(bitmaps))
+            words = words or told
+            bitmaps |= dict.fromkeys(sizes, context.broadcast(bitmap))
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return miner.occurrences(batches, passing.value)
+        return miner.occurrences(batches, {n: b.value for n, b in bitmaps.items()})
 
-    found = texts.mapInArrow(occurrences, "lang string, n int, fp long, checked int, count long, row_no long")
+    found = parts.mapInArrow(occurrences, "lang string, n int, fp long, checked int, count long, row_no long")
     frequent = stored(
         found.groupBy("lang", "n", "fp", "checked").agg(F.sum("count").alias("f"), F.min("row_no").alias("row_no"))
         .where(F.col("f") >= miner.min_count),
@@ -310,7 +345,6 @@ def frequent_phrases(texts: DataFrame, miner: Miner) -> tuple[DataFrame, DataFra
     pointers = frequent.groupBy("row_no").agg(F.collect_list(F.struct("n", "fp", "checked", "f")).alias("at"))
     told = pointed_texts(texts, frequent).join(pointers, "row_no").select("lang", "text", "at")
     phrases = told.mapInArrow(miner.materialised, "lang string, n int, phrase string, f long")
-    words = counted.where("chunk < 0").groupBy("lang").agg(F.sum("n").alias("n"))
     return stored(phrases, "phrases"), words
 
 
@@ -352,11 +386,11 @@ def collocations(
             F.monotonically_increasing_id().alias("row_no"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"),
             F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         ),
-        "phrase-texts",
+        "phrase-texts", compression="zstd",
     )
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = min(max_bits, max(CHUNK_BITS, int(size // BYTES_PER_COUNTER).bit_length()))
-    phrases, words = frequent_phrases(texts, Miner(min_count, longest, bits, fingerprint_bits, block_bytes))
+    phrases, words = frequent_phrases(texts, size, Miner(min_count, longest, bits, fingerprint_bits, block_bytes))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored(phrases, longest).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

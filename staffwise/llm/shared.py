@@ -37,11 +37,11 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later steps start from files."""
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """``df`` written to the shared folder (with the writer's ``options``) and read back: later steps start from files."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

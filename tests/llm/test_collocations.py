@@ -11,6 +11,7 @@ from llm_cases import ROWS, SF, edge_docs, no_docs  # noqa: F401
 
 import harness
 from staffwise.llm import collocations as co
+from staffwise.llm import shared
 from staffwise.llm.queries import ORACLE, QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -87,6 +88,47 @@ def test_full_counter_table_drops_nothing(spark):
     assert rows_of(co.collocations(frame(spark, rows), 2, max_bits=14)) == expected(rows, 2, 2000)
 
 
+def test_rare_pairs_do_not_fill_the_table_of_longer_phrases():
+    random.seed(4)
+    texts = [" ".join(f"w{random.randrange(4000)}" for _ in range(60)) + ". so they said again" for _ in range(600)]
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["en"] * 600), "text": pa.array(texts), "row_no": pa.array(range(600), pa.int64())})
+    miner, bitmaps = co.Miner(25, 4, 14), {}
+    for sizes in (range(1, 3), range(3, 5)):
+        (chunk,) = [b for b in miner.merge(miner.count(iter([batch]), sizes, dict(bitmaps))) if b.column("chunk")[0].as_py() == 0]
+        bitmaps |= dict.fromkeys(sizes, np.frombuffer(chunk.column("data")[0].as_py(), np.uint8))
+    found = Counter()
+    for rows in miner.occurrences(iter([batch]), bitmaps):
+        for n, times in zip(rows.column("n").to_pylist(), rows.column("count").to_pylist()):
+            found[n, times >= 25] += 1
+    assert found[3, True] == 2 and found[4, True] == 1 and found[3, False] + found[4, False] == 0
+
+
+@pytest.mark.parametrize("min_count", [200, 300])
+def test_wide_and_narrow_counters_saturate(spark, min_count):
+    rows = [("a b a b c " * 40, "en")] * 9 + [("a b c d", "en")] * 20
+    assert rows_of(co.collocations(frame(spark, rows), min_count)) == expected(rows, min_count, 2000)
+
+
+def test_small_splits_share_tasks(spark):
+    texts = spark.range(100).repartition(100)
+    cores = spark.sparkContext.defaultParallelism
+    assert co.gathered(texts, 1 << 20).rdd.getNumPartitions() == min(100, 2 * cores)
+    assert co.gathered(texts, 100 * co.TASK_BYTES).rdd.getNumPartitions() == 100
+
+
+def test_counters_of_tasks_are_not_stored(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_path", lambda _, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    random.seed(6)
+    rows = [(" ".join(f"w{random.randrange(9000)}" for _ in range(300)), "en") for _ in range(600)]
+    co.collocations(frame(spark, rows).repartition(40), 2)
+    stored = Counter()
+    for file in tmp_path.glob("*/*.parquet"):
+        stored[file.parent.name.rsplit("-", 1)[0]] += file.stat().st_size
+    size = sum(len(text) for text, _ in rows)
+    assert stored["phrase-counters"] < size / 8, (size, stored)
+    assert all(".zstd." in file.name for file in tmp_path.glob("phrase-texts-*/*.parquet"))
+
+
 def test_long_text_in_parts(spark):
     random.seed(2)
     long = "".join(random.choice(["one", "two", "three"]) + random.choice([" ", " ", ". "]) for _ in range(5000))
