@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from staffwise.llm.shared import numbered, row_blocks, runs, text_buffer
+from staffwise.llm.shared import numbered, releasing, row_blocks, runs, text_buffer
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = "".join(chr(c) for c in range(65, 91))
@@ -289,7 +289,7 @@ def match_benchmark(
     for block in item_blocks(benchmark, item_id_col, item_text_col, max_item_bytes):
         shared = spark.sparkContext.broadcast((block, window))
         schema = StructType([*docs.schema.fields, *StructType.fromDDL(OUTPUT).fields])
-        one = docs.mapInArrow(_matcher(shared, docs.columns.index(text_col), to_arrow_schema(schema)), schema)
+        one = docs.mapInArrow(releasing(_matcher(shared, docs.columns.index(text_col), to_arrow_schema(schema))), schema)
         if found is None:
             found = one
         else:

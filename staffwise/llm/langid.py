@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from staffwise.llm.shared import HELD_OUT_REMAINDER, in_sample, numbered, row_blocks, string_array, text_buffer
+from staffwise.llm.shared import HELD_OUT_REMAINDER, in_sample, numbered, releasing, row_blocks, string_array, text_buffer
 from staffwise.llm.token_files import lowered
 
 UNDETERMINED = "und"
@@ -182,7 +182,7 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str = "doc_id",
     n = known.select("lang").count()
     part = min(1.0, train_docs / max(n, 1))
     sample = known.where(in_sample(F.xxhash64("id", F.lit("train")), part))
-    rows = sample.select("lang", "text").mapInArrow(_count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).collect()
+    rows = sample.select("lang", "text").mapInArrow(releasing(_count), "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).collect()
     counts: dict[str, dict[int, int]] = {}
     for r in rows:
         counts.setdefault(r["lang"], {})[r["slot"]] = r["n"]
@@ -286,7 +286,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     docs = docs.drop(*added.names)
     schema = StructType([*docs.schema.fields, *added.fields])
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # fixed size per language
-    return docs.mapInArrow(_label(shared, docs.columns.index(text_col), schema.names), schema)
+    return docs.mapInArrow(releasing(_label(shared, docs.columns.index(text_col), schema.names)), schema)
 
 
 def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:

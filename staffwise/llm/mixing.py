@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from staffwise.llm.shared import stored
+from staffwise.llm.shared import local_frame, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -90,7 +90,7 @@ PLAN = {
 
 def plan_frame(spark: SparkSession, sources: list[dict], *columns: str) -> DataFrame:
     names = columns or tuple(PLAN)
-    plan = spark.createDataFrame([tuple(s.get(c) for c in names) for s in sources], ", ".join(f"{c} {PLAN[c]}" for c in names))
+    plan = local_frame(spark, [tuple(s.get(c) for c in names) for s in sources], ", ".join(f"{c} {PLAN[c]}" for c in names))
     return F.broadcast(plan) if len(sources) <= MAX_BROADCAST_SOURCES else plan
 
 
@@ -151,7 +151,7 @@ def first_stops(spark: SparkSession, rows: DataFrame) -> list[dict]:
     stops = [{"no": r["no"], "stop": None, "words": r["words"]} for r in found if r["at"] is None]
     cuts = [(r["no"], r["at"]["range"], r["at"]["begin"]) for r in found if r["at"] is not None]
     if cuts:
-        frame = spark.createDataFrame(cuts, "no long, range int, begin long")
+        frame = local_frame(spark, cuts, "no long, range int, begin long")
         near = rows.join(F.broadcast(frame) if len(cuts) <= MAX_BROADCAST_SOURCES else frame, ["no", "range"])
         near = near.withColumn("reached", F.col("begin") + F.sum("size").over(Window.partitionBy("no", "range").orderBy("rank", "id")))
         fits = F.col("reached") <= F.col("left")

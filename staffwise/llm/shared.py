@@ -8,17 +8,23 @@ setting the checkpoint directory of the context is used, and a local session
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Text bytes that one numpy pass works on; a single longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
 
+#: Bytes of input after which a task hands freed memory back to the system.
+RELEASE_BYTES = 16 << 20
+
 #: Remainder of crc32(doc_id as text) mod 4 whose rows are held out of training.
 HELD_OUT_REMAINDER = 2
 
@@ -45,6 +51,42 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver's as a DataFrame. They go out as Arrow data, which needs no Python workers (a daemon
+    and a worker per core) on the executors; nested tuples are structs."""
+    kind = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(kind)
+    arrow = to_arrow_schema(kind)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), kind)
+
+
+def release_memory() -> None:
+    """Hands freed memory back to the system; the allocators of Arrow and of the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, with freed memory handed back between large batches and at the end: the worker process lives on beside later stages."""
+
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            seen += batch.nbytes
+            yield batch
+            if seen >= RELEASE_BYTES:
+                release_memory()
+                seen = 0
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(freed(batches))
+        release_memory()  # what ``run`` held is gone
+
+    return task
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
     """``docs`` with its columns named c0, c1, ... so that none clashes with added ones, and the columns under their own names."""
     names = [f"c{i}" for i in range(len(docs.columns))]

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffwise.llm.components import component_labels
-from staffwise.llm.shared import stored
+from staffwise.llm.shared import releasing, stored
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -149,13 +149,13 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> Data
     """Links (u, v) that connect every two distinct fingerprints of at most ``max_bits`` differing bits."""
     posted = fingerprints.select("fp").distinct().select(posting_keys(max_bits).alias("key"), "fp")
     posted = posted.select("key.set", "key.bytes", "fp").repartition("set", "bytes").sortWithinPartitions("set", "bytes")
-    return posted.mapInArrow(_links(max_bits), "u long, v long")
+    return posted.mapInArrow(releasing(_links(max_bits)), "u long, v long")
 
 
 def labelled_prints(rows: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of ``rows`` (the text last), stored, and links between them as (node, label)."""
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    prints = stored(rows.mapInArrow(_fingerprints(shingle), f"{kept}, fp long"), "fingerprints")
+    prints = stored(rows.mapInArrow(releasing(_fingerprints(shingle)), f"{kept}, fp long"), "fingerprints")
     return prints, component_labels(fingerprint_links(prints, max_bits))
 
 

@@ -37,13 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffwise.llm.shared import row_blocks, shared_path, string_array, text_buffer
+from staffwise.llm.shared import local_frame, releasing, row_blocks, shared_path, string_array, text_buffer
 
 END_ID = 2
 MAX_BITS = 18
 BLOCK_TOKENS = 1 << 16
 STRIDE = 128
-PIECE_BLOCK_BYTES = 4 << 20
+PIECE_BLOCK_BYTES = 2 << 20
 #: Distinct pieces whose ids a task keeps, in two halves: when the newer one is full, the older one goes,
 #: so pieces in use stay. Longer pieces are not kept, which bounds the bytes.
 CACHED_PIECES = 400_000
@@ -206,7 +206,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     path = shared_path(spark, "token-ids")
-    rows.mapInArrow(_tokenise(tokenizer_path, end_id), IDS).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(releasing(_tokenise(tokenizer_path, end_id)), IDS).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(IDS).parquet(path)
 
 
@@ -343,10 +343,10 @@ def write_token_files(ids: DataFrame, path: str, max_bits: int = MAX_BITS, block
     counted = sorted((r["id"], r["n"]) for r in id_counts(ids).collect())  # at most one row per id of the vocabulary
     symbols = np.array([i for i, _ in counted], np.int64)
     lengths = code_lengths(np.array([n for _, n in counted], np.int64), max_bits)
-    spark.createDataFrame(list(zip(symbols.tolist(), lengths.tolist())), "id long, n_bits long").coalesce(1).write.parquet(f"{path}/code")
+    local_frame(spark, list(zip(symbols.tolist(), lengths.tolist())), "id long, n_bits long").coalesce(1).write.parquet(f"{path}/code")
     shared = spark.sparkContext.broadcast((symbols, lengths))
     ordered = ids.where("counts is null").select("doc_id", "ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(_write_blocks(shared, block_tokens, stride), BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    ordered.mapInArrow(releasing(_write_blocks(shared, block_tokens, stride)), BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def _read_blocks(shared, stride: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -390,8 +390,8 @@ def read_token_files(spark: SparkSession, path: str, stride: int = STRIDE, with_
     for r in parts:
         before.append((r["part"], total))
         total += r["tokens"]
-    starts = F.broadcast(spark.createDataFrame(before, "part int, before long"))
-    rows = blocks.mapInArrow(_read_blocks(shared, stride, with_ids), "part int, doc_id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
+    starts = F.broadcast(local_frame(spark, before, "part int, before long"))
+    rows = blocks.mapInArrow(releasing(_read_blocks(shared, stride, with_ids)), "part int, doc_id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
     found = rows.join(starts, "part").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "ids")
     return found if with_ids else found.drop("ids")
 
